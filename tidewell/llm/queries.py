@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, simhash
+from . import line_dedup, simhash, toxicity
 from .common import pick
 
 
@@ -32,6 +32,14 @@ FROM keyed LEFT JOIN often ON keyed.k = often.k GROUP BY r
 """
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labelled rows that are not held out."""
+    docs = pick(_table(spark, sf_dir, "documents"), "doc_id", "text")
+    model = toxicity.fit(docs, toxicity.training_labels(_table(spark, sf_dir, "labels"), "toxic"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(5, 0).alias("held_out"), F.col("tox_score").alias("score"), (F.col("tox_score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash.classes(_table(spark, sf_dir, "documents"), most=3, shingle=3)
@@ -39,6 +47,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
+    "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
 
