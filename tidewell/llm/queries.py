@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, simhash, toxicity
+from . import decontam, line_dedup, simhash, toxicity
 from .common import pick
 
 
@@ -32,6 +32,12 @@ FROM keyed LEFT JOIN often ON keyed.k = often.k GROUP BY r
 """
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item that it holds, whatever its numbers and names."""
+    out = decontam.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "item_id", F.col("item_words").cast("long").alias("item_words"), "n_windows", "covered")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learned from the labelled rows that are not held out."""
     docs = pick(_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -47,6 +53,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": op3_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
