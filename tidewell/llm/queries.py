@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, simhash, toxicity
+from . import decontam, line_dedup, mixing, simhash, toxicity
 from .common import pick
 
 
@@ -15,6 +15,30 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed: 150 % of all words, weights 5, 2, 1, at most twice a source."""
+    return mixing.mixed(_table(spark, sf_dir, "documents"))
+
+
+OP1_SQL = r"""
+WITH base AS (SELECT doc_id, source AS src, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS k FROM {docs}),
+s0 AS (SELECT src, sum(size)::BIGINT AS source_size FROM base GROUP BY src),
+s1 AS (SELECT *, row_number() OVER (ORDER BY src NULLS LAST) - 1 AS no FROM s0),
+s2 AS (SELECT *, CASE no % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w, 2.0::DOUBLE * source_size AS cap FROM s1),
+s3 AS (SELECT *, coalesce(sum(cap) OVER before, 0) AS capped, coalesce(sum(w) OVER before, 0) AS spent, sum(source_size) OVER () AS total, sum(w) OVER () AS weight
+       FROM s2 WINDOW before AS (ORDER BY cap / w, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s4 AS (SELECT *, (1.5::DOUBLE * total - capped) / (weight - spent) AS level FROM s3),
+s5 AS (SELECT *, (SELECT level FROM s4 WHERE level * w <= cap ORDER BY cap / w, no LIMIT 1) AS held FROM s4),
+s AS (SELECT src, source_size, least(cap, coalesce(held * w, cap)) AS target FROM s5),
+q AS (SELECT *, least(floor(target + 0.5), 2 * source_size)::BIGINT AS quota FROM s),
+d AS (SELECT base.doc_id, base.size, q.source_size, q.target, q.quota,
+             coalesce(sum(base.size) OVER (PARTITION BY q.src ORDER BY base.k, base.doc_id, base.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a
+      FROM base JOIN q ON base.src IS NOT DISTINCT FROM q.src)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(a + size, quota) - a) + greatest(0, least(a + size, quota - source_size) - a))::BIGINT AS taken FROM d
+"""
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose key is in at least ten documents are gone from every document."""
     out = line_dedup.drop_lines(pick(_table(spark, sf_dir, "documents"), "doc_id", "text"), min_docs=10)
@@ -52,6 +76,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op3_line_dedup": op3_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op8_toxicity": op8_toxicity,
@@ -59,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_mixing": OP1_SQL.format(docs="documents"),
     "op3_line_dedup": OP3_SQL,
 }
