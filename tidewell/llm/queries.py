@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, mixing, simhash, toxicity
+from . import decontam, line_dedup, mixing, secrets, simhash, toxicity
 from .common import pick
 
 
@@ -62,6 +62,41 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "item_id", F.col("item_words").cast("long").alias("item_words"), "n_windows", "covered")
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every whole text; owners are sources, repositories their languages."""
+    found = secrets.find(_table(spark, sf_dir, "documents"))
+    base = secrets.rendered("base")
+    return found.select(
+        "doc_id", secrets.of_kind("base", 0).alias("n_assign"), secrets.of_kind("base", 1).alias("n_access"), secrets.of_kind("base", 2).alias("n_hex"),
+        F.sha2(base.cast("binary"), 256).alias("base_sha256"), secrets.rendered("spans").alias("spans"), "n_live", "n_examples",
+    )
+
+
+def _op7_sql() -> str:
+    parts = []
+    for no, (kind, regex, group, least) in enumerate(secrets.KINDS):
+        rx = "'" + regex.replace("'", "''") + "'"
+        parts.append(f"""SELECT r, {no} AS no, '{kind}' AS kind, unnest(regexp_extract_all(t, {rx}, {group})) AS v, unnest(regexp_extract_all(t, {rx})) AS m, unnest(regexp_split_to_array(t, {rx})[:-2]) AS g, unnest(range(len(regexp_extract_all(t, {rx})))) AS i, {least} AS least FROM d WHERE regexp_matches(t, {rx})""")
+    union = " UNION ALL ".join(parts)
+    return f"""
+WITH d AS (SELECT doc_id, source, lang, coalesce(text, '') AS t, row_number() OVER () AS r FROM documents),
+u AS ({union}),
+p AS (SELECT *, (sum(length(g) + length(m)) OVER (PARTITION BY r, no ORDER BY i))::BIGINT AS e FROM u),
+c AS (SELECT r, no, kind, e - length(m) AS s, e, v FROM p WHERE length(v) >= least),
+b AS (SELECT * FROM c WHERE no < 3),
+x AS (SELECT * FROM c WHERE no = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND NOT EXISTS (SELECT 1 FROM b WHERE b.r = c.r AND b.s < c.e AND c.s < b.e)),
+a AS (SELECT * FROM b UNION ALL SELECT * FROM x),
+o AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners FROM a JOIN d USING (r) GROUP BY v),
+k AS (SELECT a.*, owners < {secrets.MANY_OWNERS} AS live FROM a JOIN o USING (v)),
+g AS (SELECT r, count(*) FILTER (no = 0) AS n0, count(*) FILTER (no = 1) AS n1, count(*) FILTER (no = 2) AS n2,
+             string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) FILTER (no < 3) AS base,
+             string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) FILTER (no < 3 OR live) AS spans,
+             count(*) FILTER (no < 3 AND live) AS n_live, count(*) FILTER (NOT live) AS n_examples FROM k GROUP BY r)
+SELECT doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_examples, 0)::BIGINT AS n_examples FROM d LEFT JOIN g USING (r)
+"""
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learned from the labelled rows that are not held out."""
     docs = pick(_table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -79,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op3_line_dedup": op3_line_dedup,
     "op5_decontamination": op5_decontamination,
+    "op7_secrets": op7_secrets,
     "op8_toxicity": op8_toxicity,
     "op10_simhash": op10_simhash,
 }
@@ -86,4 +122,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL.format(docs="documents"),
     "op3_line_dedup": OP3_SQL,
+    "op7_secrets": _op7_sql(),
 }
