@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, mixing, secrets, simhash, toxicity
+from . import decontam, line_dedup, media, mixing, secrets, simhash, toxicity, url_rules
 from .common import pick
 
 
@@ -56,6 +56,13 @@ FROM keyed LEFT JOIN often ON keyed.k = often.k GROUP BY r
 """
 
 
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text as an ISO media container, and what is read back from it."""
+    docs = pick(_table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    seen = media.inspect(media.store(docs).drop("text"))
+    return seen.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A row for each document and benchmark item that it holds, whatever its numbers and names."""
     out = decontam.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -105,6 +112,16 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out(5, 0).alias("held_out"), F.col("tox_score").alias("score"), (F.col("tox_score") >= 0.5).cast("int").alias("predicted"))
 
 
+#: host, path, verdict
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: the longest fitting rule's, else that of the mined token combinations."""
+    out = url_rules.filter_urls(pick(_table(spark, sf_dir, "pages"), "page_id", "url"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate class of every document."""
     return simhash.classes(_table(spark, sf_dir, "documents"), most=3, shingle=3)
@@ -113,9 +130,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op3_line_dedup": op3_line_dedup,
+    "op4_media": op4_media,
     "op5_decontamination": op5_decontamination,
     "op7_secrets": op7_secrets,
     "op8_toxicity": op8_toxicity,
+    "op9_url_rules": op9_url_rules,
     "op10_simhash": op10_simhash,
 }
 
