@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, line_dedup, media, mixing, secrets, simhash, toxicity, url_rules
+from . import decontam, html_extract, line_dedup, media, mixing, quality, secrets, simhash, toxicity, url_rules
 from .common import pick
 
 
@@ -39,6 +39,13 @@ SELECT doc_id, size, source_size, target,
 """
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, with weights learned from pages whose markup names it."""
+    pages = pick(_table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    out = html_extract.extract_all(pages, html_extract.fit(pages))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose key is in at least ten documents are gone from every document."""
     out = line_dedup.drop_lines(pick(_table(spark, sf_dir, "documents"), "doc_id", "text"), min_docs=10)
@@ -69,6 +76,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "item_id", F.col("item_words").cast("long").alias("item_words"), "n_windows", "covered")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learned from the labelled rows that are not held out."""
+    held_out = toxicity.held_out(3, 1)
+    labels = pick(_table(spark, sf_dir, "labels"), "doc_id", "quality").where(~held_out).withColumnRenamed("quality", "label")
+    scored = quality.classify(_table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every whole text; owners are sources, repositories their languages."""
     found = secrets.find(_table(spark, sf_dir, "documents"))
@@ -129,9 +144,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_html_extraction": op2_html_extraction,
     "op3_line_dedup": op3_line_dedup,
     "op4_media": op4_media,
     "op5_decontamination": op5_decontamination,
+    "op6_quality": op6_quality,
     "op7_secrets": op7_secrets,
     "op8_toxicity": op8_toxicity,
     "op9_url_rules": op9_url_rules,
