@@ -75,16 +75,23 @@ def spectra(strings: list[str]):
         yield row[i], (chars[i] << 12) | (chars[i + a] << 6) | chars[i + b], GAP**g / norm[row[i]]
 
 
-def kernel_rows(strings: list[str], weights: np.ndarray) -> np.ndarray:
-    """<string, column> for each string and each column of a (2^18, m) or (2^18,) weight table."""
+def kernel_rows(strings: list[str], weights: np.ndarray, index: np.ndarray | None = None) -> np.ndarray:
+    """<string, column> for each string and each column of a weight table.
+
+    ``weights`` has a row for each subsequence id; with ``index`` one for each
+    that is in use, and ``index`` tells which.
+    """
     out = np.zeros((len(strings), *weights.shape[1:]))
     for row, sub, w in spectra(strings):
         if weights.ndim == 1:
             out += np.bincount(row, weights[sub] * w, len(strings))
-        else:
-            first = np.flatnonzero(np.diff(row, prepend=-1))
-            if len(first):
-                out[row[first]] += np.add.reduceat(weights[sub] * w[:, None], first, axis=0)
+            continue
+        sub = sub if index is None else index[sub]
+        used = sub >= 0
+        row, sub, w = row[used], sub[used], w[used]
+        first = np.flatnonzero(np.diff(row, prepend=-1))
+        if len(first):
+            out[row[first]] += np.add.reduceat(weights[sub] * w[:, None], first, axis=0)
     return out
 
 
@@ -204,39 +211,39 @@ def train(examples: list[tuple[Counter, int, int]], max_landmarks: int = 192, ma
     shape = [p.strip("^$") for p in stems if len(p) > 3][: max_landmarks // 4]
     landmarks = list(dict.fromkeys([*shape, *bad[: max_landmarks // 2], *common, *[vocab[i] for i in order[: max_landmarks // 4]]]))[:max_landmarks]
 
-    columns = np.zeros((1 << 18, len(landmarks)))
+    subs = np.unique(np.concatenate([sub for _, sub, _ in spectra(landmarks)]))
+    index = np.full(1 << 18, -1)
+    index[subs] = np.arange(len(subs))
+    columns = np.zeros((len(subs), len(landmarks)))
     for row, sub, w in spectra(landmarks):
-        np.add.at(columns, (sub, row), w)
-    gram = kernel_rows(landmarks, columns)
+        np.add.at(columns, (index[sub], row), w)
+    gram = kernel_rows(landmarks, columns, index)
     gram = (gram + gram.T) / 2
     values, vectors = np.linalg.eigh(gram + 1e-6 * np.eye(len(gram)))
     root = vectors / np.sqrt(np.maximum(values, 1e-6))  # gram^-1/2 up to a rotation
 
     used = [vocab[i] for i in order[:max_clean]]
-    live = np.flatnonzero(columns.any(1))
-    tables = np.zeros((1 << 18, len(landmarks)))
-    tables[live] = columns[live] @ root
+    tables = columns @ root
     dense = np.zeros(1 << 18)
     for _ in range(3):
         strings = [*bad[:max_clean], *used]
         y = np.concatenate([np.ones(len(strings) - len(used)), -np.ones(len(used))])
-        x = np.concatenate([kernel_rows(strings[k : k + 2000], tables) for k in range(0, len(strings), 2000)])
+        x = np.concatenate([kernel_rows(strings[k : k + 2000], tables, index) for k in range(0, len(strings), 2000)])
         n = np.array([hit.get(s, 1) for s in strings], float)
         weight = np.where(y > 0, np.sqrt(n), 1.0)
         weight *= np.where(y > 0, len(y) / (2 * weight[y > 0].sum()), len(y) / (2 * (y < 0).sum()))
         w = _svm(x, y, weight, ridge=1e-4 * len(y))
-        dense, bias = tables @ w[:-1], float(w[-1])
+        dense[subs], bias = tables @ w[:-1], float(w[-1])
         at = score_words(vocab, dense, bias)
         # next time, the clean words that look worst are among the examples
         used = list(dict.fromkeys([*used, *[vocab[i] for i in np.argsort(-at, kind="stable")[:2000]]]))
     known = dict(zip(vocab, at.tolist())) | dict(zip(bad, score_words(bad, dense, bias).tolist()))
     x = np.array([features(ws, known) for ws in [*toxic, *clean]])
     curve = _logistic(x, np.array([1.0] * len(toxic) + [0.0] * len(clean)))
-    subs = np.flatnonzero(dense)
     return Model(subs, dense[subs], bias, curve)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_chars: int = 50_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 30_000) -> Model:
     """Train on a bounded sample: at most ``per_class`` labelled documents a class, in hash order of doc_id.
 
     ``labels`` has ``doc_id`` and ``label`` (0/1). Only documents of at most
@@ -257,15 +264,15 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_chars: in
     def run(batches):
         for b in batches:
             texts, ys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            ws = [list(words(t).elements()) for t in texts]
+            ws = [" ".join(words(t).elements()) for t in texts]
             keys = []
             for t in texts:
                 parts = t.lower().split()
                 keys.append(min((hash_of(" ".join(parts[i : i + 3])) for i in range(max(1, len(parts) - 2))), default=0))
-            yield pa.RecordBatch.from_arrays([pa.array(ws, pa.list_(pa.string())), pa.array(ys, pa.int32()), pa.array(keys, pa.int64())], names=["words", "label", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(ws, pa.string()), pa.array(ys, pa.int32()), pa.array(keys, pa.int64())], names=["words", "label", "key"])
 
-    got = rows.select("text", F.col("label").cast("int")).mapInArrow(run, "words array<string>, label int, key long").dropDuplicates(["label", "key"])
-    return train([(Counter(r["words"]), r["label"], r["key"]) for r in got.toLocalIterator()])
+    got = rows.select("text", F.col("label").cast("int")).mapInArrow(run, "words string, label int, key long").dropDuplicates(["label", "key"])
+    return train([(Counter(map(sys.intern, r["words"].split())), r["label"], r["key"]) for r in got.toLocalIterator()])
 
 
 def hash_of(s: str) -> int:
