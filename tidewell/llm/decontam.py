@@ -19,6 +19,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -32,6 +33,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW, COVER = 8, 13
 #: Bits of the window filter: a fixed size whatever the benchmark's.
 FILTER_BITS = 23
+#: So many texts are turned into words at a time.
+SLICE = 2048
 #: Units of measure that become a placeholder (fixed values).
 UNITS = "mm cm m km in inch inches ft feet foot yard yards mile miles mg g kg lb lbs oz ton tons ml l litre litres liter liters gallon gallons s sec second seconds min minute minutes h hour hours day days week weeks month months year years % percent $ usd eur dollar dollars cent cents euro euros degree degrees mph kmh w kw kwh v hz khz mhz ghz kb mb gb tb".split()
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -43,69 +46,67 @@ PLAIN, NUM, UNIT, NAME, SKIP = 0, 1, 2, 3, 4
 _NUMBER_WORDS, _UNIT_WORDS = frozenset(NUMBERS), frozenset(UNITS)
 
 
+def look(word: str) -> tuple[int, int, bool]:
+    """Kind, value hash and end-of-sentence mark of a word."""
+    ends = False
+    core = word
+    if not word.isalpha():
+        if word[:-1].isalpha() and word[-1] in ".,":
+            core, ends = word[:-1], word[-1] == "."
+        else:
+            core = _EDGE.sub("", word)
+            ends = word.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":")
+    low = core.lower()
+    value = xxhash.xxh64_intdigest(low.encode("utf-8", "replace"), 1)
+    if not low:
+        return SKIP, 0, ends
+    if low in _NUMBER_WORDS or not core[-1].isalpha() and _NUMBER.fullmatch(core):
+        return NUM, value, ends
+    if low in _UNIT_WORDS:
+        return UNIT, value, ends
+    return (NAME if core[0].isupper() and len(core) > 1 and not core.isupper() else PLAIN), value, ends
+
+
 class Lexicon:
-    """Kind, value hash and end-of-sentence mark of each distinct word, in arrays that grow."""
+    """Kind, value hash and end-of-sentence mark of the distinct words seen so far, a bounded number of them."""
 
     def __init__(self, limit: int = 500_000):
         self.limit = limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.ids: dict[str, int] = {}
-        self.rows: list[tuple[int, int, bool]] = []
-        self.arrays = (np.zeros(0, np.int8), np.zeros(0, np.uint64), np.zeros(0, bool))
-
-    @staticmethod
-    def look(word: str) -> tuple[int, int, bool]:
-        core = _EDGE.sub("", word)
-        low = core.lower()
-        ends = word.rstrip("\"')]»”")[-1:] in (".", "!", "?", ":")
-        value = xxhash.xxh64_intdigest(low.encode("utf-8", "replace"), 1)
-        if not low:
-            return SKIP, 0, ends
-        if _NUMBER.fullmatch(core) or low in _NUMBER_WORDS:
-            return NUM, value, ends
-        if low in _UNIT_WORDS:
-            return UNIT, value, ends
-        name = core[0].isupper() and len(core) > 1 and not core.isupper()
-        return (NAME if name else PLAIN), value, ends
-
-    def read(self, ws: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if len(self.ids) > self.limit:
-            self.clear()
-        new = set(ws).difference(self.ids)
-        if new:
-            for w in new:
-                self.ids[w] = len(self.rows)
-                self.rows.append(self.look(w))
-            grown = list(zip(*self.rows[len(self.arrays[0]) :]))
-            self.arrays = tuple(np.concatenate([old, np.array(x, old.dtype)]) for old, x in zip(self.arrays, grown)) if len(new) > 2000 or not len(self.arrays[0]) else self.arrays
-        at = np.fromiter(map(self.ids.__getitem__, ws), np.int64, len(ws))
-        late = len(self.arrays[0])
-        if len(at) and at.max() >= late:  # few new words: not yet in the arrays
-            tail = list(zip(*self.rows[late:]))
-            full = tuple(np.concatenate([old, np.array(x, old.dtype)]) for old, x in zip(self.arrays, tail))
-            if len(self.rows) - late > 20_000:
-                self.arrays = full
-            return tuple(x[at] for x in full)
-        return tuple(x[at] for x in self.arrays)
-
-
-def read_template(text: str | None, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray]:
-    """(kind, value hash) of the words of a whole text; a name that begins a sentence or a line is a plain word."""
-    ws: list[str] = []
-    first: list[int] = []
-    for line in (text or "").split("\n"):
-        first.append(len(ws))
-        ws += line.split()
-    if not ws:
-        return np.zeros(0, np.int8), np.zeros(0, np.uint64)
-    kind, value, ends = lexicon.read(ws)
-    after = np.concatenate([[True], ends[:-1]])
-    after[[i for i in first if i < len(ws)]] = True
-    kind = np.where((kind == NAME) & after, PLAIN, kind)
+        self.known: dict[str, tuple[int, int, bool]] = {}
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(self.known) > self.limit:
+            self.known.clear()
+        known = self.known
+        rows = []
+        for w in words:
+            x = known.get(w)
+            if x is None:
+                x = known[w] = look(w)
+            rows.append(x)
+        kind, value, ends = zip(*rows) if rows else ((), (), ())
+        return np.array(kind, np.int8), np.array(value, np.uint64), np.array(ends, bool)
+
+
+def read_templates(texts: pa.Array, lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(kind, value hash) of the words of all texts in a row, and where each text begins (one more at the end).
+
+    A name that begins a sentence or a line is a plain word. White space is Unicode's.
+    """
+    lines = pc.split_pattern(pc.fill_null(texts, ""), "\n")
+    words = pc.utf8_split_whitespace(lines.flatten())
+    coded = words.flatten().dictionary_encode()
+    kinds, values, ends = lexicon.of(coded.dictionary.to_pylist())
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    line_at = words.offsets.to_numpy() - words.offsets[0].as_py()
+    text_at = line_at[lines.offsets.to_numpy() - lines.offsets[0].as_py()]
+    kind, value, ends = kinds[at], values[at], ends[at]
+    first = np.zeros(len(at) + 1, bool)
+    first[line_at] = True
+    after = np.concatenate([[True], ends[:-1]]) if len(ends) else ends
+    kind = np.where((kind == NAME) & (after | first[:-1]), PLAIN, kind)
     keep = kind != SKIP
-    return kind[keep], value[keep]
+    return kind[keep], value[keep], np.concatenate([[0], np.cumsum(keep)])[text_at]
 
 
 def windows(kind: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
@@ -119,9 +120,14 @@ def windows(kind: np.ndarray, value: np.ndarray, size: int) -> np.ndarray:
     total = np.concatenate([[0], np.cumsum(plain)])
     few = total[size:] - total[:-size] < min(3, size)
     out = np.full(n, size, np.uint64)
+    odd = np.flatnonzero(few)
+    rare = out[odd]
     for k in range(size):
-        out = (out ^ np.where(few, value[k : k + n], loose[k : k + n])) * np.uint64(0x9E3779B97F4A7C15)
+        out = (out ^ loose[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
         out ^= out >> np.uint64(29)
+        rare = (rare ^ value[odd + k]) * np.uint64(0x9E3779B97F4A7C15)
+        rare ^= rare >> np.uint64(29)
+    out[odd] = rare
     return out
 
 
@@ -138,17 +144,23 @@ def _window_rows(df: DataFrame, id_type: str, sizes: list[int], mask=None) -> Da
         lexicon = Lexicon()
         for b in batches:
             cols: list[list] = [[] for _ in range(7)]
-            for i, t, key in zip(*(c.to_pylist() for c in b.columns)):
-                kind, value = read_template(t, lexicon)
-                for size in sizes if seen is not None else [min(sizes[0], len(kind))]:
+            for low in range(0, b.num_rows, SLICE):
+                part = b.slice(low, SLICE)
+                kind, value, starts = read_templates(part.column(1), lexicon)
+                lens = np.diff(starts)
+                doc = np.repeat(np.arange(len(lens)), lens)
+                for size in sizes if seen is not None else sorted({min(sizes[0], n) for n in lens.tolist()}):
                     h = windows(kind, value, size)
-                    at = np.arange(len(h))
-                    if seen is not None:
+                    ok = doc[: len(h)] == doc[size - 1 : size - 1 + len(h)]
+                    if seen is None:
+                        ok &= np.minimum(sizes[0], lens)[doc[: len(h)]] == size
+                    else:
                         bit = (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-                        at = at[(seen[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1]
-                    for p in at.tolist():
+                        ok &= (seen[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+                    for p in np.flatnonzero(ok).tolist():
+                        d = int(doc[p])
                         slots = value[p : p + size][kind[p : p + size] != PLAIN].view(np.int64).tolist()
-                        for c, x in zip(cols, (i, key, int(h[p].view(np.int64)), p, size, len(kind), slots)):
+                        for c, x in zip(cols, (part.column(0)[d].as_py(), part.column(2)[d].as_py(), int(h[p].view(np.int64)), p - int(starts[d]), size, int(lens[d]), slots)):
                             c.append(x)
             kinds = [b.schema.types[0], pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["id", "key", "h", "pos", "len", "total", "slots"])
