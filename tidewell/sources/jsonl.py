@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import tagged
+
 SQL_TYPES = {"string": "string", "integer": "bigint", "string_list": "array<string>"}
 
 
@@ -121,7 +123,8 @@ def validate(lines: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame
     key, a null or a type that is not allowed, a blank key column, or ``|`` in
     a column of a composite key. Booleans and floats are no integers. Records
     have the declared columns, ``source``, ``source_record_id``, ``partition``,
-    ``line_number`` and ``payload`` (the line's JSON, keys as given).
+    ``line_number`` and ``payload`` (the line's JSON, keys as given); a declared
+    column of one of these names is to be read from the payload.
     """
     rows = lines.withColumn("v", F.try_parse_json("value"))
     is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
@@ -152,14 +155,13 @@ def validate(lines: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame
     record_id = F.concat_ws("|", *[F.col(k) for k in contract.primary_key])
     rows = rows.withColumns({"reason": reason, "source": F.lit(contract.name), "source_record_id": record_id, "payload": F.col("value")})
     base = ["source", "source_record_id", "partition", "line_number", "payload"]
-    good = rows.where("reason is null").select(*base, *contract.columns)
+    good = rows.where("reason is null").select(*base, *[c for c in contract.columns if c not in base])
     return good, rows.where("reason is not null").select(*base, "reason", "details")
 
 
-def version_free(payload: Column, version: str | None) -> Column:
-    """A payload's signature: its JSON as key-sorted entries, without the version column; 1 differs from "1", absent from null."""
-    v = F.parse_json(payload)
-    keys = F.array_sort(F.json_object_keys(payload))
-    if version:
-        keys = F.filter(keys, lambda k: k != version)
-    return F.concat_ws("\x1f", F.transform(keys, lambda k: F.concat(k, F.lit("="), F.coalesce(F.get_json_object(payload, F.concat(F.lit("$['"), k, F.lit("']"))), F.lit("null")))), F.schema_of_variant(v))
+def signature(contract: Contract) -> Column:
+    """What makes two payloads the same: which keys they have and every value, without the version column."""
+    names = [c for c in contract.columns if c != contract.version_field]
+    keys = F.array_sort(F.array_intersect(F.json_object_keys("payload"), F.array(*[F.lit(c) for c in names])))
+    values = [tagged(F.to_json(F.col(c)) if contract.columns[c].type == "string_list" else F.col(c)) for c in names]
+    return F.concat_ws("\x1f", F.array_join(keys, "\x1e"), *values)
