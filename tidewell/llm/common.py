@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: A run of code points that are not ASCII white space is a word.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,6 +26,13 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return flat.select(*[F.col(f"c{have.index(n)}").alias(n) for n in names])
 
 
+def slices(batches, rows: int = 512):
+    """Arrow batches of at most ``rows`` rows: what Python makes of one batch stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share; a default only where none is named."""
     sc = spark.sparkContext

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, pick
+from .common import broadcastable, materialize, pick
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -70,7 +70,7 @@ def look(word: str) -> tuple[int, int, bool]:
 class Lexicon:
     """Kind, value hash and end-of-sentence mark of the distinct words seen so far, a bounded number of them."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 200_000):
         self.limit = limit
         self.known: dict[str, tuple[int, int, bool]] = {}
 
@@ -236,5 +236,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, c
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     hits = contaminations(docs, benchmark, window, cover).select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")).distinct()
+    hits = broadcastable(materialize(hits), 500_000)  # two longs a row; more are joined by shuffle
     same = flat[f"c{names.index('doc_id')}"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(f"c{names.index('text')}") == F.col("hit_key"))
     return flat.join(hits, same, "left_anti").toDF(*names)

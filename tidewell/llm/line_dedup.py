@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick
+from .common import materialize, pick, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -124,7 +124,7 @@ def count_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """``h1, h2, n``: the hash of every line key found in at least ``min_docs`` documents, and in how many."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches, 2048):
             found = [np.unique(h.view("V16")) for h in (line_hashes(t)[1] for t in b.column(0).to_pylist())]
             keys, n = np.unique(np.concatenate(found), return_counts=True)
             h = keys.view(np.uint64).reshape(-1, 2)
@@ -197,7 +197,7 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, group_bytes: int = 32 << 20,
 
         def run(batches, packed=packed, last=last):
             shards = {s: [Shard.of(x) for x in pickle.loads(body)] for s, body in packed.value.items()}
-            for b in batches:
+            for b in slices(batches):
                 parts = [line_hashes(t) for t in b.column(text_at).to_pylist()]
                 ends = np.cumsum([len(p[0]) for p in parts])
                 h = np.concatenate([p[1] for p in parts])

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+from .common import slices
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: One sample is a 24 x 24 picture of 8-bit grey values.
@@ -211,7 +213,7 @@ def store(df: DataFrame, text: str = "text") -> DataFrame:
     at = names.index(text)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             media = [mux(pad((t or "").encode())) for t in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(media, pa.large_binary() if sum(map(len, media)) >= 1 << 31 else pa.binary())], names=[*b.schema.names, "media"])
 
@@ -234,7 +236,7 @@ def inspect(df: DataFrame, media: str = "media") -> DataFrame:
     fields = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, codec string, seconds double, n_samples long, keyframes array<struct<start:long,end:long>>, feature string, error string"
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for data in b.column(at).to_pylist():
                 try:

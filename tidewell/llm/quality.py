@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick
+from .common import materialize, pick, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -126,7 +126,7 @@ def described(docs: DataFrame) -> DataFrame:
     """``doc_id, x`` (array of statistics) of every document."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             x = [statistics(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
 
@@ -144,7 +144,7 @@ def fit(rows: DataFrame, labels: DataFrame) -> Model:
 
     def sums(batches):
         n, s, q = np.zeros(2), np.zeros((2, d)), np.zeros((2, d, d))
-        for b in batches:
+        for b in slices(batches):
             if not b.num_rows:
                 continue
             y = b.column(0).to_numpy(zero_copy_only=False).astype(int)
@@ -171,7 +171,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             x = np.array(b.column(1).to_pylist()).reshape(b.num_rows, -1)
             p = np.round(sent.value.score(x), 9) if b.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], names=["doc_id", "score"])

@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, pick
+from .common import broadcastable, components, materialize, pick, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -106,7 +106,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """All columns of ``docs`` (it must have ``text``) and ``fp`` long, the fingerprint's 64 bits."""
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)
             keep = [i for i, n in enumerate(b.schema.names) if n != "text" or keep_text]
@@ -156,7 +156,7 @@ def links(distinct: DataFrame, most: int = 3) -> DataFrame:
     """
 
     def keys(batches):
-        for b in batches:
+        for b in slices(batches, 1 << 14):
             fp = b.column(0).to_numpy(zero_copy_only=False)
             u = fp.view(np.uint64)
             row, key = query_keys(u)
@@ -241,7 +241,10 @@ def keep_one(docs: DataFrame, most: int = 3, shingle: int = 3) -> DataFrame:
     flat = materialize(flat.withColumn("uid", F.monotonically_increasing_id()))
     fps = materialize(fingerprints(flat.select("uid", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text")), shingle))
     root = near_duplicates(fps, most)
-    first = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("low"))
-    known = materialize(first.join(root, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low"))
-    stay = known.groupBy("root").agg(F.min("low")["uid"].alias("uid")).select("uid")
-    return flat.join(stay, "uid", "left_semi").select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+    first = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("low"), F.count("*").alias("n"))
+    known = materialize(first.join(root, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low", "n"))
+    groups = known.groupBy("root").agg(F.min("low")["uid"].alias("stay"), F.sum("n").alias("size")).where("size > 1")
+    # only documents of groups of two and more are looked at again; their number decides between broadcast and shuffle
+    shared = known.join(groups, "root").select("fp", "stay")
+    gone = materialize(fps.join(shared, "fp").where("uid != stay").select("uid"))
+    return flat.join(broadcastable(gone, 500_000), "uid", "left_anti").select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick
+from .common import pick, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -40,14 +40,14 @@ GAP = 0.6
 PATTERNS = [(a, b, b - 2) for b in range(2, 5) for a in range(1, b)]
 LONG_WORD, WINDOW, STEP = 32, 24, 12
 _NOT_LETTERS = re.compile(r"[^\w\s]+|[\d_]+")
-_SPACED = re.compile(r"(?<!\S)\w(?:\s\w){3,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)[^\W\d_](?:\s[^\W\d_]){3,}(?!\w)")
 
 
 def words(text: str | None) -> Counter:
     """The words of a whole text and how often each occurs."""
-    plain = _NOT_LETTERS.sub("", (text or "").lower())
-    found = Counter(plain.split())
-    for m in _SPACED.finditer(plain):
+    low = (text or "").lower()
+    found = Counter(_NOT_LETTERS.sub("", low).split())
+    for m in _SPACED.finditer(low):
         found["".join(m[0].split())] += 1
     return found
 
@@ -262,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: in
     rows = docs.where(F.length("text") <= max_chars).join(F.broadcast(sample), "doc_id")
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts, ys = b.column(0).to_pylist(), b.column(1).to_pylist()
             ws = [" ".join(words(t).elements()) for t in texts]
             keys = []
@@ -294,10 +294,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep=lambda p: True
         model = sent.value
         table = model.table()
         known: dict[str, float] = {}
-        for b in batches:
+        for b in slices(batches):
             found = [words(t) for t in b.column(at).to_pylist()]
             new = list({w for ws in found for w in ws if w not in known})
-            if len(known) + len(new) > 2_000_000:
+            if len(known) + len(new) > 250_000:
                 known.clear()
                 new = list({w for ws in found for w in ws})
             known.update(zip(new, score_words(new, table, model.bias).tolist()))
