@@ -25,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick
+from .common import pick, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -229,17 +229,23 @@ def extract(page: str | None, weights: Weights) -> str:
 
 def fit(pages: DataFrame, max_pages: int = 2000) -> Weights:
     """Weights from at most ``max_pages`` pages, the first in hash order of their html; unlabelled ones among them do not count."""
-    some = pick(pages, "html").where("html is not null").select("html", F.xxhash64("html").alias("h")).dropDuplicates(["h"])
-    some = some.orderBy("h").limit(max_pages).select("html")
+    keyed = pick(pages, "html").where("html is not null").withColumn("h", F.xxhash64("html"))
+    chosen = keyed.select("h").distinct().orderBy("h").limit(max_pages)  # a proven bound for the broadcast
 
     def run(batches):
-        total: Counter = Counter()
-        for b in batches:
-            for page in b.column(0).to_pylist():
-                total.update(count(page) or {})
-        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in total], pa.string()), pa.array([y for _, y in total], pa.bool_()), pa.array(list(total.values()), pa.int64())], names=["f", "y", "n"])
-
-    rows = some.mapInArrow(run, "f string, y boolean, n long").groupBy("f", "y").agg(F.sum("n").alias("n")).collect()
+        seen: set[int] = set()
+        for b in slices(batches):
+            rows: list[tuple[int, str, bool, int]] = []
+            for page, h in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if h not in seen:
+                    seen.add(h)
+                    rows += [(h, f, y, n) for (f, y), n in (count(page) or {}).items()]
+            cols = zip(*rows) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.bool_(), pa.int64()))], names=["h", "f", "y", "n"])
+
+    counted = keyed.join(F.broadcast(chosen), "h").select("html", "h").mapInArrow(run, "h long, f string, y boolean, n long")
+    # copies of a page count once, in whatever partitions they are
+    rows = counted.dropDuplicates(["h", "f", "y"]).groupBy("f", "y").agg(F.sum("n").alias("n")).collect()
     return Weights(Counter({(r["f"], r["y"]): r["n"] for r in rows}))
 
 
@@ -250,7 +256,7 @@ def extract_all(pages: DataFrame, weights: Weights, html: str = "html") -> DataF
     sent = pages.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = [extract(t, sent.value) for t in b.column(at).to_pylist()]
             cols = list(b.columns)
             cols[at] = pa.array(texts, pa.string())
