@@ -635,3 +635,43 @@ def prepared_timeline(spark, sf_dir):
     typed = identity.map_events(rows, CODES, "event_type")[0].where("event_type is not null")
     typed = typed.withColumn("event_id", hashing.event_id(F.lit("app"), F.col("source_record_id"), F.col("event_type"), F.col("ts")))
     return timeline.calendar(timeline.order_timeline(typed)).select("client_id", "event_id", "event_type", "ordering_key", "position", "hour_of_day_local", "day_of_week_local", "lifetime_first")
+
+
+# --- frozen state, sinks, generated data: no SQL for these -----------------------------------------------------------
+
+
+@query()
+def o24_state_hash(spark, sf_dir):
+    """Frozen edges of the tables' values, and the hash that names the state."""
+    from .config import DEFAULT
+    from .preparation import Artifacts
+
+    values = _values(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(38,8)"))
+    edges = buckets.fit(values, {"A": ("quantile", 8), "N": ("equal_width", 8), "R": ("quantile", 8)}, SAMPLE, SEED)
+    state = Artifacts(DEFAULT, {}, edges, buckets.Edges(()))
+    return spark.createDataFrame([(n, i, str(e), state.sha256()) for n, x in edges.items() for i, e in enumerate(x.edges)], "field string, edge_no long, edge string, state_sha256 string")
+
+
+@query(ORACLES["prepared_timeline"])
+def o25_output_sink(spark, sf_dir):
+    """The prepared timeline written as JSON lines in order of client and position, and read back."""
+    from ..sources import storage
+
+    out = prepared_timeline(spark, sf_dir)
+    path = f"{storage.shared_dir(spark)}/prepared-{storage.uuid.uuid4().hex}"
+    out.repartitionByRange("client_id").sortWithinPartitions("client_id", "position").write.json(path)
+    return spark.read.schema(out.schema).json(path)
+
+
+@query()
+def o29_generated(spark, sf_dir):
+    """Raw records made from the events by rule: the same for the same tables, in any partitioning."""
+    from . import generate
+
+    return generate.payments(table(spark, sf_dir, "events"))
+
+
+@query(f"WITH {_SQL_VOCAB} SELECT id::BIGINT AS id, token FROM vo WHERE id < 5 OR block IN (1, 4)")
+def t04_canonical_ids(spark, sf_dir):
+    """Ids of the fixed blocks: special tokens, keys, RARE tokens."""
+    return _vocab(spark, sf_dir).where("id < 5 or block in (1, 4)").select("id", "token")
