@@ -111,6 +111,21 @@ def test_only_training_sets_build(spark, tmp_path):
         preparation.build(spark, fixtures.write(tmp_path, role="golden_input"))
 
 
+@pytest.mark.parametrize("split", ["64m", "200"])
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path, split):
+    lines = [f"{i} " + "x" * (i % 37) for i in range(300)]
+    lines[5] = lines[6] = ""
+    for name in ("a.jsonl", "b.jsonl"):
+        (tmp_path / "s").mkdir(exist_ok=True)
+        (tmp_path / "s" / name).write_text("\r\n".join(lines[:150]) + "\n" + "\n".join(lines[150:]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = sorted(tuple(r) for r in jsonl.read_lines(spark, f"file://{tmp_path}", "s").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted((n, i + 1, x) for n in ("a.jsonl", "b.jsonl") for i, x in enumerate(lines) if x)
+
+
 def test_layout(spark, tmp_path):
     root = fixtures.write(tmp_path)
     (tmp_path / "core_payments" / "x.csv").write_text("")

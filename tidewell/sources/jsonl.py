@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import tagged
@@ -94,15 +94,23 @@ def check_layout(spark: SparkSession, root: str, contracts: dict[str, Contract],
         raise ContractError(f"no directory for {sorted(missing)}")
 
 
-def read_lines(spark: SparkSession, root: str, source: str) -> DataFrame:
+def read_lines(spark: SparkSession, root: str, source: str, broadcast_blocks: int = 100_000) -> DataFrame:
     """``partition, line_number, value`` of every non-blank line; numbers count from 1 in each file.
 
-    Files are read whole (they are one month of one source), which alone gives
-    line numbers that do not depend on how the input is split.
+    Files are split like any other input. A row's number is that of the lines
+    in the file's earlier blocks (one count a block, summed up over the file)
+    and its place in its own block, so it does not depend on the split size.
     """
-    text = spark.read.text(f"{root}/{source}", wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    lines = text.select(F.regexp_extract("path", r"[^/]*$", 0).alias("partition"), F.posexplode(F.split("value", "\n")).alias("n", "value"))
-    return lines.select("partition", (F.col("n") + 1).cast("long").alias("line_number"), F.rtrim(F.col("value"), F.lit("\r")).alias("value")).where(F.trim("value") != "")
+    text = spark.read.option("lineSep", "\n").text(f"{root}/{source}")
+    rows = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), "value", F.monotonically_increasing_id().alias("seq"))
+    blocks = rows.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
+    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
+    if blocks.limit(broadcast_blocks + 1).count() <= broadcast_blocks:
+        blocks = F.broadcast(blocks)
+    numbered = rows.join(blocks, ["path", "block"])
+    out = numbered.select(F.regexp_extract("path", r"[^/]*$", 0).alias("partition"), (F.col("seq") + F.col("shift")).cast("long").alias("line_number"), F.rtrim(F.col("value"), F.lit("\r")).alias("value"))
+    return out.where(F.trim("value") != "")
 
 
 def _kind(v: Column, name: str) -> Column:
