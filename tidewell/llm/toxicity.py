@@ -165,7 +165,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
 
 
 def _stems(toxic: list[Counter], clean: list[Counter]) -> list[str]:
-    """Word beginnings (``^abc``) and whole words (``^abc$``) frequent in toxic and rare in clean documents."""
+    """Word beginnings (``^abc``) and whole words (``^abc$``) frequent in toxic and rare in clean documents.
+
+    A beginning has to stand out among all that are tried: by a likelihood
+    ratio beyond what the best of so many would reach by chance.
+    """
 
     def pieces(ws):
         return {f"^{w[:k]}" for w in ws for k in range(3, min(8, len(w)) + 1)} | {f"^{w}$" for w in ws if len(w) >= 3}
@@ -175,7 +179,14 @@ def _stems(toxic: list[Counter], clean: list[Counter]) -> list[str]:
     up = {p: n for p, n in up.items() if n >= least}
     down = Counter(p for ws in clean for p in pieces(ws) if p in up)
     rate = {p: (n / len(toxic)) / ((down[p] + 0.5) / (len(clean) + 1)) for p, n in up.items()}
-    good = [p for p in up if rate[p] >= 12]
+    share = len(toxic) / (len(toxic) + len(clean))
+    beyond = 2 * math.log(max(1, len(up))) + 6
+
+    def ratio(p: str) -> float:
+        a, b = up[p], down[p]
+        return 2 * (a * math.log(a / ((a + b) * share)) + (b * math.log(b / ((a + b) * (1 - share))) if b else 0.0))
+
+    good = [p for p in up if rate[p] >= 12 and ratio(p) >= beyond]
     chosen: list[str] = []
     for p in sorted(good, key=lambda p: (len(p), -up[p], p)):
         # a longer beginning adds nothing unless it is much surer than a shorter one that was taken
