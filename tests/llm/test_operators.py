@@ -560,3 +560,52 @@ def test_entry_lists_every_query(spark):
 
     names = set(e.queries())
     assert {f"op{n}_" for n in range(1, 11)} <= {re.match(r"op\d+_|", x)[0] for x in names} and "pipeline" in names and set(e.oracle_sql()) <= names
+
+
+def edited(rng, text, share):
+    ws = text.split()
+    for _ in range(max(1, round(share * len(ws)))):
+        ws[rng.randrange(len(ws))] = data.words(rng, 1)
+    return " ".join(ws)
+
+
+def similarity(a, b):
+    x, y = ({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_are_found_and_others_stay(spark):
+    rng = random.Random(13)
+    texts, want = [], set()
+    for k in range(120):
+        body = data.words(rng, rng.randint(60, 400))
+        want.add(len(texts))
+        texts.append(body)
+        copy = edited(rng, body, 0.012)
+        if similarity(body, copy) < 0.84:
+            want.add(len(texts))
+        texts.append(copy)
+        far = edited(rng, body, 0.12)
+        assert similarity(body, far) < 0.7
+        want.add(len(texts))
+        texts.append(far)
+    kept = {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()}
+    extra, lost = kept - want, want - kept
+    assert len(extra) <= 3 and len(lost) <= 3, (len(extra), len(lost))
+
+
+def test_a_large_group_of_near_copies_stays_one_class(spark):
+    rng = random.Random(14)
+    body = data.words(rng, 300)
+    texts = [edited(rng, body, 0.004) for _ in range(300)] + [data.words(rng, 300) for _ in range(20)]
+    kept = [r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()]
+    assert len([i for i in kept if i < 300]) == 1 and len([i for i in kept if i >= 300]) == 20
+
+
+def test_signatures_estimate_similarity():
+    rng = random.Random(15)
+    for share in (0.0, 0.01, 0.03, 0.1):
+        a = data.words(rng, 500)
+        b = edited(rng, a, share) if share else a
+        x, y = (np.frombuffer(simhash.sketch(t.encode())[2], np.uint8) for t in (a, b))
+        assert abs(((x == y).mean() - 1 / 256) / (1 - 1 / 256) - similarity(a, b)) < 0.11

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import broadcastable, materialize, pick
+from .common import broadcastable, materialize, pick, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,7 +34,7 @@ WINDOW, COVER = 8, 13
 #: Bits of the window filter: a fixed size whatever the benchmark's.
 FILTER_BITS = 23
 #: So many texts are turned into words at a time.
-SLICE = 2048
+SLICE = 1024
 #: Units of measure that become a placeholder (fixed values).
 UNITS = "mm cm m km in inch inches ft feet foot yard yards mile miles mg g kg lb lbs oz ton tons ml l litre litres liter liters gallon gallons s sec second seconds min minute minutes h hour hours day days week weeks month months year years % percent $ usd eur dollar dollars cent cents euro euros degree degrees mph kmh w kw kwh v hz khz mhz ghz kb mb gb tb".split()
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
@@ -70,7 +70,7 @@ def look(word: str) -> tuple[int, int, bool]:
 class Lexicon:
     """Kind, value hash and end-of-sentence mark of the distinct words seen so far, a bounded number of them."""
 
-    def __init__(self, limit: int = 200_000):
+    def __init__(self, limit: int = 100_000):
         self.limit = limit
         self.known: dict[str, tuple[int, int, bool]] = {}
 
@@ -144,8 +144,7 @@ def _window_rows(df: DataFrame, id_type: str, sizes: list[int], mask=None) -> Da
         lexicon = Lexicon()
         for b in batches:
             cols: list[list] = [[] for _ in range(7)]
-            for low in range(0, b.num_rows, SLICE):
-                part = b.slice(low, SLICE)
+            for part in slices([b], SLICE):
                 kind, value, starts = read_templates(part.column(1), lexicon)
                 lens = np.diff(starts)
                 doc = np.repeat(np.arange(len(lens)), lens)

@@ -118,8 +118,8 @@ def score_words(strings: list[str], table: np.ndarray, bias: float) -> np.ndarra
             pieces.append(s[k : k + WINDOW] if len(s) > LONG_WORD else s)
             owner.append(i)
     out = np.full(len(strings), -np.inf)
-    for at in range(0, len(pieces), 100_000):
-        np.maximum.at(out, owner[at : at + 100_000], kernel_rows(pieces[at : at + 100_000], table))
+    for at in range(0, len(pieces), 20_000):
+        np.maximum.at(out, owner[at : at + 20_000], kernel_rows(pieces[at : at + 20_000], table))
     return out + bias
 
 
@@ -308,7 +308,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep=lambda p: True
         for b in slices(batches):
             found = [words(t) for t in b.column(at).to_pylist()]
             new = list({w for ws in found for w in ws if w not in known})
-            if len(known) + len(new) > 250_000:
+            if len(known) + len(new) > 150_000:
                 known.clear()
                 new = list({w for ws in found for w in ws})
             known.update(zip(new, score_words(new, table, model.bias).tolist()))
