@@ -609,3 +609,36 @@ def test_signatures_estimate_similarity():
         b = edited(rng, a, share) if share else a
         x, y = (np.frombuffer(simhash.sketch(t.encode())[2], np.uint8) for t in (a, b))
         assert abs(((x == y).mean() - 1 / 256) / (1 - 1 / 256) - similarity(a, b)) < 0.11
+
+
+def similar_kept(texts):
+    """Smallest positions of the classes that exact similarities of 0.8 make."""
+    sets = [{" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.lower().split() for t in texts)]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i for i in range(len(texts)) if find(i) == i}
+
+
+def test_links_inside_a_large_family_with_a_template_are_all_found(spark):
+    rng = random.Random(16)
+    template = data.words(rng, 260)
+    texts = []
+    for k in range(150):  # below 0.8 to each other; every third one has a partner
+        own = data.words(rng, 40)
+        texts.append(f"{template} {own}")
+        if k % 3 == 0:
+            texts.append(f"{template} {own.rsplit(' ', 6)[0]} {data.words(rng, 6)}")
+    want = similar_kept(texts)
+    assert 100 <= len(want) <= 150
+    assert {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()} == want

@@ -15,15 +15,13 @@ Index and query rows meet by key, candidates are verified on all 64 bits, and
 only a spanning forest of each key's links is emitted, never all its pairs.
 Components of those links equal components of all links.
 
-``similar`` goes further, to documents whose five-word shingles overlap by a
-similarity (Jaccard) of 0.8 or more, which differ in some ten bits of 64. Eight
-further segments of 23 fingerprint bits, by other hashes, are decoded in the
-same way, each to the one or six codewords that its neighbourhood decodes to; a
-table's key joins the codewords of two segments, and four tables find a pair if
-in one of them both segments share a codeword. Candidates differ in at most 12
-of the 64 bits and are verified by the share of equal lanes of a min-hash
-signature over the five-word shingles. This search misses a few in a hundred of
-the pairs at 0.8, fewer of closer ones; links of up to three bits are all found.
+``keep_one`` goes further, to documents whose distinct five-word shingles have a
+similarity (Jaccard) of 0.8 or more. Links of up to three bits are candidates
+there, as are documents that agree in one of 42 bands of six min-hash lanes: a
+pair at 0.8 agrees in none with a chance of 0.738^42, three in a million,
+however it was edited. Every candidate is confirmed on the shingle sets
+themselves, and a pair of a bucket is left out only when its two are in one
+class of confirmed links already.
 """
 
 from __future__ import annotations
@@ -118,10 +116,8 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return majority(shingles(text, shingle)[0])
 
 
-#: Lanes of a min-hash signature, a byte each; further hashes for segments; the segments that each table joins.
-LANES, EXTRA, TABLES = 256, 3, ((0, 1), (2, 3), (4, 5), (6, 7))
-#: Most bits of 64 in which candidates for similarity differ.
-NEAR = 12
+#: Lanes of a min-hash signature, a byte each; bands of them that are keys, and the lanes of a band.
+LANES, BANDS, BAND = 256, 42, 6
 
 
 def mixed(h: np.ndarray, seed: int) -> np.ndarray:
@@ -132,35 +128,24 @@ def mixed(h: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def sketch(text: bytes) -> tuple[int, bytes, bytes]:
-    """(fingerprint, bits of the further segments, min-hash signature) of a text in UTF-8."""
+def sketch(text: bytes) -> tuple[int, int, bytes]:
+    """(fingerprint, hash of the set of distinct five-word shingles, min-hash signature) of a text in UTF-8."""
     three, five = shingles(text, 3, 5)
-    extra = np.array([majority(mixed(three, k + 1)) for k in range(EXTRA)], np.uint64)
     if not len(five):
-        return 0, extra.tobytes(), bytes(LANES)
+        return 0, 0, bytes(LANES)
     low = np.full(LANES, np.iinfo(np.uint64).max, np.uint64)
     lanes = np.random.default_rng(17).integers(1, 2**63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     distinct = np.unique(five)
     for at in range(0, len(distinct), 512):
         low = np.minimum(low, (mixed(distinct[at : at + 512], 99)[:, None] * lanes).min(0))
-    return majority(three), extra.tobytes(), ((mixed(low, 98)) >> np.uint64(56)).astype(np.uint8).tobytes()
-
-
-def segment_keys(extra: np.ndarray, x: int, y: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of all keys that join segments ``x`` and ``y``, from the further segments' bits (rows of EXTRA uint64)."""
-    bits = np.unpackbits(extra.view(np.uint8).reshape(len(extra), -1), axis=1, bitorder="little")[:, : 8 * 23].reshape(len(extra), 8, 23)[:, [x, y]]
-    blocks = (bits.astype(np.int64) << np.arange(23)).sum(2)
-    table = golay_table()
-    near = np.stack([table[blocks]] + [table[blocks ^ (1 << b)] for b in range(23)], 2).astype(np.int64)
-    near.sort(2)
-    # a segment has one or six codewords: the distinct ones first, -1 behind
-    new = np.ones(near.shape, bool)
-    new[:, :, 1:] = near[:, :, 1:] != near[:, :, :-1]
-    near = np.where(new, near, -1)
-    near = -np.sort(-near, axis=2)[:, :, :6]
-    both = (near[:, 0, :, None] << 12) | near[:, 1, None, :]
-    row, i, j = np.nonzero((near[:, 0, :, None] >= 0) & (near[:, 1, None, :] >= 0))
-    return row, both[row, i, j]
+    return majority(three), xxhash.xxh64_intdigest(distinct.tobytes(), 7), ((mixed(low, 98)) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def band_keys(sig: np.ndarray) -> np.ndarray:
+    """A key for each row and band of signatures (rows of LANES bytes); its last six bits are the band's number."""
+    lanes = sig[:, : BANDS * BAND].reshape(len(sig), BANDS, BAND).astype(np.uint64)
+    word = (lanes << (np.arange(BAND, dtype=np.uint64) * np.uint64(8))).sum(2, dtype=np.uint64) | (np.arange(BANDS, dtype=np.uint64) << np.uint64(48))
+    return ((mixed(word, 6) & ~np.uint64(63)) | np.arange(BANDS, dtype=np.uint64)).view(np.int64)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
@@ -288,64 +273,120 @@ def near_duplicates(fps: DataFrame, most: int = 3) -> DataFrame:
     return components(links(distinct, most)).select(F.col("node").alias("fp"), "root")
 
 
-def similar(nodes: DataFrame, roots: DataFrame, table: tuple[int, int], similarity: float = 0.8) -> DataFrame:
-    """``a, b``: links, found by one table, between classes (``root``) of which two members are similar.
-
-    ``nodes``: fp, extra, sig, one row a fingerprint; ``roots``: fp, root. Members
-    of a class are not compared with each other; within one key of very many
-    members a forest of candidates is verified instead of all pairs.
-    """
-    x, y = table
+def shared_bands(nodes: DataFrame) -> DataFrame:
+    """``key, node`` of the bands that two nodes or more agree in; ``nodes``: node, sig."""
 
     def keys(batches):
         for b in slices(batches, 2048):
-            fp, root = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            row, key = segment_keys(np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint64).reshape(-1, EXTRA), x, y)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row]), pa.array(root[row])], names=["key", "fp", "root"])
+            k = band_keys(np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, LANES))
+            yield pa.RecordBatch.from_arrays([pa.array(k.ravel()), pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), BANDS))], names=["key", "node"])
 
     def meet(batches):
-        told: set[int] = set()
-        for key, fp, root in _whole_keys(batches):
-            i, j = _candidates(key, fp.view(np.uint64), root, NEAR, lambda first, size: size > 1)
-            if len(i):
-                swap = fp[i] > fp[j]
+        for key, node in _whole_keys(batches):
+            same = np.diff(key) == 0
+            more = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+            yield pa.RecordBatch.from_arrays([pa.array(key[more]), pa.array(node[more])], names=["key", "node"])
+
+    dealt = nodes.select("node", "sig").mapInArrow(keys, "key long, node long").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(meet, "key long, node long")
+
+
+def candidates(shared: DataFrame, roots: DataFrame, stars: bool) -> DataFrame:
+    """``a, b, ra, rb``: pairs of nodes of different classes (``root``) that share a key.
+
+    With ``stars`` one node of each key with every other, so that large groups
+    become one class at little cost; else all pairs.
+    """
+
+    def meet(batches):
+        for key, node, root in _whole_keys(batches):
+            first = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+            size = np.diff(np.concatenate([first, [len(key)]]))
+            if stars:
+                order = np.lexsort((mixed(node.view(np.uint64) ^ key.view(np.uint64), 4), key))  # another hub for each key
+                hub = np.repeat(order[first], size)
+                found = iter([(hub, order)])
+            else:
+                several = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
+                found = _pairs(first[several], size[several])
+            held: list[np.ndarray] = []
+            for i, j in found:
+                other = root[i] != root[j]
+                i, j = i[other], j[other]
+                swap = node[i] > node[j]
                 i, j = np.where(swap, j, i), np.where(swap, i, j)
-                # a pair shares several keys, many of them in this task: it is told once (or again, once many were)
-                name = (mixed(fp[i].view(np.uint64), 5) ^ fp[j].view(np.uint64)).tolist()
-                one = [k for k, x in enumerate(name) if not (x in told or told.add(x))]
-                if len(told) > 200_000:
-                    told.clear()
-                i, j = i[one], j[one]
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (fp[i], fp[j], root[i], root[j])], names=["a", "b", "ra", "rb"])
+                held.append(np.stack([node[i], node[j], root[i], root[j]]))
+                if sum(h.shape[1] for h in held) > 100_000:
+                    yield told(held)
+                    held = []
+            if held:
+                yield told(held)
+
+    def told(held):
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in np.unique(np.concatenate(held, 1), axis=1)], names=["a", "b", "ra", "rb"])
+
+    dealt = shared.join(roots, "node").select("key", "node", "root").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(meet, "a long, b long, ra long, rb long").dropDuplicates(["a", "b"])
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: the classes (``ra, rb``) of the pairs whose sets of distinct five-word shingles are so similar."""
+
+    def sets(batches):
+        for b in slices(batches):
+            made = [np.unique(shingles(t or b"", 5)[0]).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["node", "s"])
 
     def verify(batches):
-        for b in slices(batches, 8192):
-            one, two = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, LANES) for k in (2, 3))
-            equal = (one == two).mean(1)
-            ok = (equal - 1 / 256) / (1 - 1 / 256) >= similarity  # lanes of different minima agree by chance in one of 256
-            yield b.select([0, 1]).filter(pa.array(ok)).rename_columns(["a", "b"]) if b.num_rows else b.select([0, 1])
-
-    rooted = nodes.select("fp", "extra").join(roots, "fp").select("fp", "root", "extra")
-    dealt = rooted.mapInArrow(keys, "key long, fp long, root long")
-    # dealt by the first segment's codeword: the up to six keys that a pair shares beside it are in one task
-    dealt = dealt.repartition(F.shiftright("key", 12)).sortWithinPartitions("key")
-    found = materialize(dealt.mapInArrow(meet, "a long, b long, ra long, rb long").dropDuplicates(["a", "b"]))
-    one = found.join(nodes.select(F.col("fp").alias("a"), F.col("sig").alias("sa")), "a")
-    two = one.join(nodes.select(F.col("fp").alias("b"), F.col("sig").alias("sb")), "b").select("ra", "rb", "sa", "sb")
+        for b in slices(batches):
+            ok = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                n, least = len(x) + len(y), min(len(x), len(y))
+                both = len(np.intersect1d(x, y, assume_unique=True)) if least >= similarity * (n - least) - 1e-9 else 0
+                ok.append(both >= similarity * (n - both) - 1e-9)
+            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_())).rename_columns(["a", "b"])
+
+    pairs = materialize(pairs)
+    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    uids = materialize(nodes.select("node", "uid").join(asked, "node"))
+    made = materialize(texts.select("uid", "text").join(broadcastable(uids, 500_000), "uid").select("node", "text").mapInArrow(sets, "node long, s binary"))
+    one = pairs.join(made.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+    two = one.join(made.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").select("ra", "rb", "sa", "sb")
     return two.mapInArrow(verify, "a long, b long").distinct()
 
 
+def similar_classes(fps: DataFrame, texts: DataFrame, most: int, similarity: float) -> DataFrame:
+    """``node, root`` of all nodes: classes of confirmed links; ``fps``: uid, node, fp, sig, ``texts``: uid, text."""
+    nodes = materialize(fps.groupBy("node").agg(F.min(F.struct("uid", "fp", "sig")).alias("s")).select("node", "s.*"))
+    root = nodes.select("node", F.col("node").alias("root"))
+
+    def grown(root: DataFrame, pairs: DataFrame) -> DataFrame:
+        wide = materialize(components(confirmed(pairs, nodes, texts, similarity)).select(F.col("node").alias("root"), F.col("root").alias("wide")))
+        return materialize(root.join(wide, "root", "left").select("node", F.coalesce("wide", "root").alias("root")))
+
+    # one node stands for each fingerprint: candidates are the others with it, and links to other fingerprints
+    rep = materialize(nodes.groupBy("fp").agg(F.min("node").alias("rep")))
+    far = links(rep.select("fp"), most).join(rep.toDF("a", "x"), "a").join(rep.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    equal = nodes.select("node", "fp").join(rep, "fp").where("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
+    root = grown(root, far.unionByName(equal).select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb")))
+    shared = materialize(shared_bands(nodes))
+    # large groups become one class by the stars of two bands, then of all; then all pairs between classes are left
+    root = grown(root, candidates(shared.where("key & 63 < 2"), root, True))
+    root = grown(root, candidates(shared, root, True))
+    return grown(root, candidates(shared, root, False))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """``uid, doc_id, fp, extra, sig`` of ``uid, doc_id, text`` rows."""
+    """``uid, doc_id, node, fp, sig`` of ``uid, doc_id, text`` rows; a node is a set of distinct five-word shingles."""
 
     def run(batches):
         for b in slices(batches):
             made = [sketch(t or b"") for t in b.column(2).cast(pa.binary()).to_pylist()]
-            fps = np.array([m[0] for m in made], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps), pa.array([m[1] for m in made], pa.binary()), pa.array([m[2] for m in made], pa.binary())], names=["uid", "doc_id", "fp", "extra", "sig"])
+            fps, sets = (np.array([m[k] for m in made], np.uint64).view(np.int64) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets), pa.array(fps), pa.array([m[2] for m in made], pa.binary())], names=["uid", "doc_id", "node", "fp", "sig"])
 
-    return docs.mapInArrow(run, f"uid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long, extra binary, sig binary")
+    return docs.mapInArrow(run, f"uid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, fp long, sig binary")
 
 
 def classes(docs: DataFrame, most: int = 3, shingle: int = 3) -> DataFrame:
@@ -369,9 +410,9 @@ def classes(docs: DataFrame, most: int = 3, shingle: int = 3) -> DataFrame:
 def keep_one(docs: DataFrame, most: int = 3, similarity: float | None = 0.8) -> DataFrame:
     """``docs`` without all but one document of each near-duplicate class.
 
-    Classes join documents whose three-word fingerprints differ in at most
-    ``most`` bits and, unless ``similarity`` is None, documents whose five-word
-    shingles are so similar (see the module). The document with the smallest
+    Classes join documents whose distinct five-word shingles have a similarity
+    of ``similarity`` or more or, where it is None, whose three-word fingerprints
+    differ in at most ``most`` bits. The document with the smallest
     doc_id stays (nulls last; ties: any one, and exactly one). Texts without
     words are copies of each other. Same columns, empty in, empty out.
     """
@@ -380,20 +421,16 @@ def keep_one(docs: DataFrame, most: int = 3, similarity: float | None = 0.8) ->
     at = {n: f"c{names.index(n)}" for n in ("doc_id", "text")}
     flat = materialize(flat.withColumn("uid", F.monotonically_increasing_id()))
     texts = flat.select("uid", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text"))
-    fps = materialize(fingerprints(texts) if similarity is None else sketches(texts))
-    root = materialize(near_duplicates(fps, most))
-    if similarity is not None:
-        # equal fingerprints are one node: any member's segments and signature stand for it
-        nodes = materialize(fps.groupBy("fp").agg(F.min(F.struct("extra", "sig")).alias("s")).select("fp", "s.*"))
-        root = materialize(nodes.select("fp").join(root, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")))
-        for table in TABLES:
-            # classes grow table by table, so a large group meets whole once and then is one class
-            wide = materialize(components(similar(nodes, root, table, similarity)).select(F.col("node").alias("root"), F.col("root").alias("wide")))
-            root = materialize(root.join(wide, "root", "left").select("fp", F.coalesce("wide", "root").alias("root")))
-    first = fps.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("low"), F.count("*").alias("n"))
-    known = materialize(first.join(root, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low", "n"))
+    if similarity is None:
+        fps = materialize(fingerprints(texts).withColumnRenamed("fp", "node"))
+        root = materialize(near_duplicates(fps.select(F.col("node").alias("fp")), most)).withColumnRenamed("fp", "node")
+    else:
+        fps = materialize(sketches(texts))
+        root = similar_classes(fps, texts, most, similarity)
+    first = fps.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("low"), F.count("*").alias("n"))
+    known = materialize(first.join(root, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "low", "n"))
     groups = known.groupBy("root").agg(F.min("low")["uid"].alias("stay"), F.sum("n").alias("size")).where("size > 1")
     # only documents of groups of two and more are looked at again; their number decides between broadcast and shuffle
-    shared = known.join(groups, "root").select("fp", "stay")
-    gone = materialize(fps.select("fp", "uid").join(shared, "fp").where("uid != stay").select("uid"))
+    shared = known.join(groups, "root").select("node", "stay")
+    gone = materialize(fps.select("node", "uid").join(shared, "node").where("uid != stay").select("uid"))
     return flat.join(broadcastable(gone, 500_000), "uid", "left_anti").select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
