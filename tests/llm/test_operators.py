@@ -642,3 +642,17 @@ def test_links_inside_a_large_family_with_a_template_are_all_found(spark):
     want = similar_kept(texts)
     assert 100 <= len(want) <= 150
     assert {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()} == want
+
+
+def test_appended_prepended_and_repeated_passages_are_found(spark):
+    rng = random.Random(17)
+    texts = []
+    for k in range(160):
+        n = rng.randint(100, 400)
+        body = data.words(rng, n)
+        more = data.words(rng, int(n * rng.uniform(0.1, 0.235)))
+        again = " ".join(body.split()[:30] * rng.randint(3, 12))
+        texts += [body, (f"{body} {more}", f"{more} {body}", f"{body} {again}")[k % 3]]
+    want = similar_kept(texts)
+    assert len(want) == 160
+    assert {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()} == want
