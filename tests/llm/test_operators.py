@@ -656,3 +656,14 @@ def test_appended_prepended_and_repeated_passages_are_found(spark):
     want = similar_kept(texts)
     assert len(want) == 160
     assert {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()} == want
+
+
+def test_documents_a_little_below_the_similarity_stay(spark):
+    rng = random.Random(18)
+    template = data.words(rng, 300)
+    texts = [f"{template} {data.words(rng, 42)}" for _ in range(150)]
+    # fingerprints weigh repeats: these are the same but for what comes once
+    passage = " ".join(data.words(rng, 12).split() * 40)
+    texts += [f"{passage} {data.words(rng, 20)}" for _ in range(10)]
+    assert similar_kept(texts) == set(range(160))
+    assert {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()} == set(range(160))
