@@ -667,3 +667,40 @@ def test_documents_a_little_below_the_similarity_stay(spark):
     texts += [f"{passage} {data.words(rng, 20)}" for _ in range(10)]
     assert similar_kept(texts) == set(range(160))
     assert {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()} == set(range(160))
+
+
+def test_toxicity_learns_rare_words_and_changed_beginnings():
+    rng = random.Random(19)
+    common = data.words(rng, 2000).split()
+    tail = [f"{data.words(rng, 1)}{x}" for x in ("zruqz", "wyttuv", "vuzzyr", "qyrruw", "xyttuz") for _ in range(70)]
+    examples = []
+    for i in range(1600):
+        ws = rng.choices(common, k=60)
+        if i % 2:
+            ws += rng.sample(tail, 2)
+        examples.append((Counter(ws), i % 2, i))
+    # each of the rare words is in some 0.6 % of the 700 toxic documents that are learned from; no beginning is shared
+    model = toxicity.train(examples[:1400])
+    table = model.table()
+
+    def score(ws):
+        known = dict(zip(ws, toxicity.score_words(list(ws), table, model.bias).tolist()))
+        return float(np.array(toxicity.features(ws, known)) @ model.curve) >= 0
+
+    right = [score(ws) == bool(y) for ws, y, _ in examples[1400:]]
+    assert np.mean(right) > 0.95
+
+
+def test_changed_beginnings_of_toxic_words_are_no_clean_examples():
+    rng = random.Random(20)
+    common = data.words(rng, 1500).split()
+    changed = [f"{w[:k]}{x}{w[k:]}" for w in ("grumbix", "vlottek") for k in (1, 2) for x in "abcdefghijklmnopqrstuvwxyz"]
+    examples = []
+    for i in range(1200):
+        ws = rng.choices(common, k=40)
+        if i % 2:
+            ws += [rng.choice(["grumbix", "vlottek"]), rng.choice(changed)]
+        examples.append((Counter(ws), i % 2, i))
+    model = toxicity.train(examples)
+    assert (toxicity.score_words(changed, model.table(), model.bias) > 0).mean() > 0.9
+    assert (toxicity.score_words(common, model.table(), model.bias) > 0).mean() < 0.02

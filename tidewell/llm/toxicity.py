@@ -7,10 +7,11 @@ a factor, within windows of five letters; word ends are letters too. It is a
 sum over subsequences, so a machine with weights on landmark words is one sparse
 weight vector over subsequences, and scoring a word needs a few lookups.
 
-Sentences of labelled documents are the training examples: a sentence of a
-toxic document counts as toxic by its witness words, those that begin like
-words frequent in toxic and rare in clean documents; all words of clean
-documents are clean. A sentence scores as its words do. A document's score, 0
+Words of labelled documents are the training examples. Toxic are those that
+begin like words frequent in toxic and rare in clean documents, and rarer words
+weighed by how much oftener words are found in so many toxic and no clean
+documents than the other way round. Clean are words of clean documents that are
+not mainly in toxic ones; other words are no examples. A document's score, 0
 to 1, is a logistic curve over its three worst word scores, and over how many
 words score as toxic, fitted on the training documents.
 """
@@ -195,27 +196,71 @@ def _stems(toxic: list[Counter], clean: list[Counter]) -> list[str]:
     return chosen
 
 
-def train(examples: list[tuple[Counter, int, int]], max_landmarks: int = 192, max_clean: int = 10_000) -> Model:
+def _witnesses(toxic: list[Counter], clean: list[Counter]) -> tuple[dict[str, float], set[str]]:
+    """Share, estimated, of real witnesses among words like each that is mainly in toxic documents; and the words that are mainly in toxic documents.
+
+    Words in k toxic and no clean documents are compared with those in k clean
+    and no toxic ones, as many documents each: what they are more by is no chance.
+    """
+    up, down = (Counter(w for ws in side for w in ws) for side in (toxic, clean))
+    mainly = {w for w, n in up.items() if n / len(toxic) > 2 * down[w] / len(clean)}
+    n = min(len(toxic), len(clean))
+    a, b = (Counter(w for ws in side[:n] for w in ws) for side in (toxic, clean))
+    here, there = (Counter(min(k, 10) for w, k in x.items() if w not in y) for x, y in ((a, b), (b, a)))
+    excess = {k: 1 - (there[k] + 1) / (m + 1) for k, m in here.items()}
+    return {w: excess.get(min(a[w], 10), 0.0) for w in mainly if w not in down and len(w) >= 3}, mainly
+
+
+def _constant(label: int) -> Model:
+    return Model(np.zeros(0, np.int64), np.zeros(0), -1.0, np.array([0, 0, 0, 0, 0, 3.0 if label else -3.0]))
+
+
+def _tells(toxic: list[Counter], clean: list[Counter], *most: int) -> bool:
+    """Whether machines trained on one half of the documents call more toxic than clean ones of the other half toxic, beyond chance."""
+    called = []
+    for k in (0, 1):
+        half = [(ws, y, i) for y, side in ((1, toxic), (0, clean)) for i, ws in enumerate(side)]
+        model = train([x for x in half if x[2] % 2 == k], *most, checked=True)
+        table = model.table()
+        for ws, y, _ in (x for x in half if x[2] % 2 != k):
+            known = dict(zip(ws, score_words(list(ws), table, model.bias).tolist()))
+            called.append((y, float(np.array(features(ws, known)) @ model.curve) >= 0))
+    y, p = np.array(called, float).T
+    spread = math.sqrt(p.mean() * (1 - p.mean()) * (1 / len(toxic) + 1 / len(clean)))
+    return p[y == 1].mean() - p[y == 0].mean() > 3 * spread
+
+
+def train(examples: list[tuple[Counter, int, int]], max_landmarks: int = 192, max_clean: int = 10_000, checked: bool = False) -> Model:
     """Fit on (words, label, key) of documents; one document stands for all with its key.
 
     With no toxic or no clean example every score is the same, on the side of
-    the label that there is.
+    the label that there is. Where no beginning stands out, the machine has to
+    tell each half of the documents by the other one (``checked``: it did), or
+    no document is toxic.
     """
     one = {}
     for ws, y, key in examples:
         one.setdefault((key, y), ws)
     toxic = [ws for (_, y), ws in sorted(one.items(), key=lambda x: x[0]) if y == 1]
     clean = [ws for (_, y), ws in sorted(one.items(), key=lambda x: x[0]) if y == 0]
-    stems = _stems(toxic, clean) if toxic and clean else []
-    if not stems:
-        return Model(np.zeros(0, np.int64), np.zeros(0), -1.0, np.array([0, 0, 0, 0, 0, 3.0 if toxic and not clean else -3.0]))
+    if not toxic or not clean:
+        return _constant(1 if toxic else 0)
+    stems = _stems(toxic, clean)
+    if not stems and not checked and not _tells(toxic, clean, max_landmarks, max_clean):
+        return _constant(0)
     freq = Counter(w for ws in toxic for w in ws)
     head = defaultdict(list)
     for p in stems:
         head[p[:4]].append(p)
-    hit = {w: n for w, n in freq.items() if any(f"^{w}$".startswith(p) for p in head.get(f"^{w}$"[:4], ()))}
+    hit: dict[str, float] = {w: n for w, n in freq.items() if any(f"^{w}$".startswith(p) for p in head.get(f"^{w}$"[:4], ()))}
+    share, mainly = _witnesses(toxic, clean)
+    hit |= {w: freq[w] * x * x for w, x in share.items() if x >= 0.5 and w not in hit}
+    if not hit:  # nothing stands out: documents as they are, each word by how often it is in toxic ones
+        hit = {w: float(freq[w]) for w in mainly}
+    vocab = sorted({w for ws in clean for w in ws} - set(hit) - mainly)
+    if not hit or not vocab:
+        return _constant(0)
     bad = sorted(hit, key=lambda w: (-hit[w], w))
-    vocab = sorted({w for ws in [*toxic, *clean] for w in ws} - set(hit))
     rng = np.random.default_rng(7)
     order = rng.permutation(len(vocab))
     common = [w for w, _ in Counter(w for ws in clean for w in ws if w not in hit).most_common(max_landmarks // 4)]
@@ -248,7 +293,8 @@ def train(examples: list[tuple[Counter, int, int]], max_landmarks: int = 192, ma
         at = score_words(vocab, dense, bias)
         # next time, the clean words that look worst are among the examples
         used = list(dict.fromkeys([*used, *[vocab[i] for i in np.argsort(-at, kind="stable")[:2000]]]))
-    known = dict(zip(vocab, at.tolist())) | dict(zip(bad, score_words(bad, dense, bias).tolist()))
+    every = list({w for ws in [*toxic, *clean] for w in ws})
+    known = dict(zip(every, score_words(every, dense, bias).tolist()))
     x = np.array([features(ws, known) for ws in [*toxic, *clean]])
     curve = _logistic(x, np.array([1.0] * len(toxic) + [0.0] * len(clean)))
     return Model(subs, dense[subs], bias, curve)
