@@ -704,3 +704,8 @@ def test_changed_beginnings_of_toxic_words_are_no_clean_examples():
     model = toxicity.train(examples)
     assert (toxicity.score_words(changed, model.table(), model.bias) > 0).mean() > 0.9
     assert (toxicity.score_words(common, model.table(), model.bias) > 0).mean() < 0.02
+
+
+@pytest.mark.parametrize("text", ["i . d . i . o . t", "i  d  i  o  t", "you i-- d.. i, o! t.", "I\td \n i _ o 7 t"])
+def test_letters_standing_alone_are_a_word(text):
+    assert toxicity.words(text)["idiot"] == 1 and toxicity.words("a s s")["ass"] == 1

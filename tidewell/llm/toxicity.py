@@ -1,7 +1,8 @@
 """Toxicity by a subsequence string kernel and a support vector machine on Nyström landmarks.
 
 Strings are words with their non-letters taken out (so ``i.d.i*o.t`` and
-``idiot###`` are ``idiot``; four or more letters standing alone are one word).
+``idiot###`` are ``idiot``; three or more letters standing alone, whatever signs
+and blanks are between them, are one word too).
 The kernel compares the three-letter subsequences of two words, a gap costing
 a factor, within windows of five letters; word ends are letters too. It is a
 sum over subsequences, so a machine with weights on landmark words is one sparse
@@ -41,13 +42,13 @@ GAP = 0.6
 PATTERNS = [(a, b, b - 2) for b in range(2, 5) for a in range(1, b)]
 LONG_WORD, WINDOW, STEP = 32, 24, 12
 _NOT_LETTERS = re.compile(r"[^\w\s]+|[\d_]+")
-_SPACED = re.compile(r"(?<!\S)[^\W\d_](?:\s[^\W\d_]){3,}(?!\w)")
+_SPACED = re.compile(r"(?<!\S)[^\W\d_](?:\s+[^\W\d_]){2,}(?!\w)")
 
 
 def words(text: str | None) -> Counter:
     """The words of a whole text and how often each occurs."""
-    low = (text or "").lower()
-    found = Counter(_NOT_LETTERS.sub("", low).split())
+    low = _NOT_LETTERS.sub("", (text or "").lower())
+    found = Counter(low.split())
     for m in _SPACED.finditer(low):
         found["".join(m[0].split())] += 1
     return found
