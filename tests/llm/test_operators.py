@@ -229,7 +229,7 @@ def test_slots_have_to_be_consistent(spark):
     same = item.replace("3", "30").replace("5", "50")
     mixed = "Take 1 red balls then add 2 blue balls then take 4 green balls then add 6 white balls now."
     got = {r.doc_id: r.covered for r in decontam.contaminations(frame(spark, [same, mixed]), bench, cover=1).collect()}
-    assert got[0] == 20 and got[1] < 13
+    assert got[0] == 20 and got.get(1, 0) < 13
 
 
 def test_short_items_and_tables_of_numbers(spark):

@@ -37,6 +37,23 @@ def slices(batches, rows: int = 512):
     trim()
 
 
+def sized_slices(batches, column: int, rows: int = 1024, limit: int = 4 << 20):
+    """Arrow batches of at most ``rows`` rows and, but for a single longer text, ``limit`` bytes in a column of texts."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            room = limit + (ends[at - 1] if at else 0)
+            to = max(at + 1, min(at + rows, int(np.searchsorted(ends, room, "right"))))
+            yield b.slice(at, to - at)
+            at = to
+    trim()
+
+
 def trim() -> None:
     """Return freed heap to the system, where the C library can."""
     import ctypes

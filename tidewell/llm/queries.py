@@ -71,9 +71,9 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row for each document and benchmark item that it holds, whatever its numbers and names."""
+    """A row for each document and class of benchmark items that it holds, whatever their numbers and names."""
     out = decontam.contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return out.select("doc_id", "item_id", F.col("item_words").cast("long").alias("item_words"), "n_windows", "covered")
+    return out.select("doc_id", "item_id", "n_items", F.col("item_words").cast("long").alias("item_words"), "n_windows", "covered")
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
