@@ -678,7 +678,7 @@ def test_toxicity_learns_rare_words_and_changed_beginnings():
         ws = rng.choices(common, k=60)
         if i % 2:
             ws += rng.sample(tail, 2)
-        examples.append((Counter(ws), i % 2, i))
+        examples.append(([ws[:30], ws[30:]], i % 2, i))
     # each of the rare words is in some 0.6 % of the 700 toxic documents that are learned from; no beginning is shared
     model = toxicity.train(examples[:1400])
     table = model.table()
@@ -687,7 +687,7 @@ def test_toxicity_learns_rare_words_and_changed_beginnings():
         known = dict(zip(ws, toxicity.score_words(list(ws), table, model.bias).tolist()))
         return float(np.array(toxicity.features(ws, known)) @ model.curve) >= 0
 
-    right = [score(ws) == bool(y) for ws, y, _ in examples[1400:]]
+    right = [score(Counter(a + b)) == bool(y) for (a, b), y, _ in examples[1400:]]
     assert np.mean(right) > 0.95
 
 
@@ -700,7 +700,7 @@ def test_changed_beginnings_of_toxic_words_are_no_clean_examples():
         ws = rng.choices(common, k=40)
         if i % 2:
             ws += [rng.choice(["grumbix", "vlottek"]), rng.choice(changed)]
-        examples.append((Counter(ws), i % 2, i))
+        examples.append(([ws[:30], ws[30:]], i % 2, i))
     model = toxicity.train(examples)
     assert (toxicity.score_words(changed, model.table(), model.bias) > 0).mean() > 0.9
     assert (toxicity.score_words(common, model.table(), model.bias) > 0).mean() < 0.02
@@ -709,3 +709,43 @@ def test_changed_beginnings_of_toxic_words_are_no_clean_examples():
 @pytest.mark.parametrize("text", ["i . d . i . o . t", "i  d  i  o  t", "you i-- d.. i, o! t.", "I\td \n i _ o 7 t"])
 def test_letters_standing_alone_are_a_word(text):
     assert toxicity.words(text)["idiot"] == 1 and toxicity.words("a s s")["ass"] == 1
+
+
+def test_sentences_of_a_text():
+    text = "One two. Three, four! i. d. i. o. t five?\nsix\n\n... \n- 7 -\nEnd"
+    assert toxicity.sentences(text) == [["one", "two"], ["three", "four"], ["i", "d", "o", "t", "five", "idiot"], ["six"], ["end"]]
+    assert toxicity.sentences(None) == toxicity.sentences("") == toxicity.sentences("12 34") == []
+
+
+def test_worst_words_of_sentences_against_brute_force():
+    rng = random.Random(22)
+    docs = [[data.words(rng, rng.randint(1, 6)).split() for _ in range(rng.randint(0, 4))] for _ in range(60)]
+    bags = toxicity.Bags(docs)
+    score = np.array([rng.choice([0.0, 0.5, 1.0]) for _ in bags.vocab])
+    of = dict(zip(bags.vocab, score))
+    words, top = bags.worst(score)
+    want = [max(s, key=lambda w: of[w]) for d in docs for s in d]
+    assert [bags.vocab[i] for i in words] == want and top.tolist() == [of[w] for w in want]
+    assert len(toxicity.Bags([[], []]).worst(np.zeros(0))[0]) == 0
+
+
+def test_toxic_sentences_tell_and_the_fit_does_not_depend_on_partitions(spark):
+    rng = random.Random(23)
+    bad = ["grumbix", "vlottek", "quazzel", "drobbok"]
+    texts, labels = [], []
+    for i in range(400):
+        sentences = [f"{data.words(rng, 9).capitalize()}." for _ in range(8)]
+        if i % 3 == 0:
+            sentences[rng.randrange(8)] = f"You {rng.choice(bad)} {data.words(rng, 4)}!"
+        texts.append(" ".join(sentences))
+        labels.append((i, int(i % 3 == 0)))
+    docs, known = frame(spark, texts), spark.createDataFrame(labels[:300], "doc_id long, label int")
+    docs = docs.unionByName(frame(spark, [t + " again" for t in texts[:50]], first=1000))
+    model = toxicity.fit(docs, known)
+    score = {r.doc_id: r.tox_score for r in toxicity.score(docs, model).collect()}
+    assert np.mean([(score[i] >= 0.5) == bool(y) for i, y in labels[300:]]) > 0.97
+    told = [f"You {w[:2]}x{w[2:]} {data.words(rng, 3)}." for w in bad] + [f"{data.words(rng, 12).capitalize()}." for _ in range(20)]
+    got = {r.doc_id: r.tox_score >= 0.5 for r in toxicity.score(frame(spark, told), model).collect()}
+    assert sum(got[i] for i in range(4)) >= 3 and sum(got[i] for i in range(4, 24)) <= 1
+    again = toxicity.fit(docs.repartition(7), known.repartition(3))
+    assert np.array_equal(model.subs, again.subs) and np.allclose(model.weights, again.weights) and np.allclose(model.curve, again.curve)

@@ -8,13 +8,17 @@ a factor, within windows of five letters; word ends are letters too. It is a
 sum over subsequences, so a machine with weights on landmark words is one sparse
 weight vector over subsequences, and scoring a word needs a few lookups.
 
-Words of labelled documents are the training examples. Toxic are those that
-begin like words frequent in toxic and rare in clean documents, and rarer words
-weighed by how much oftener words are found in so many toxic and no clean
-documents than the other way round. Clean are words of clean documents that are
-not mainly in toxic ones; other words are no examples. A document's score, 0
-to 1, is a logistic curve over its three worst word scores, and over how many
-words score as toxic, fitted on the training documents.
+Labelled sentences are the training examples, bags of words of which the worst
+one tells: a sentence scores as its worst word. Every sentence of a clean
+document is clean. Of a toxic document those are toxic that hold a witness: at
+first a word that begins like words frequent in toxic and rare in clean
+documents, or a rarer one, weighed by how much oftener words are found in so many
+toxic and no clean documents than the other way round; after each round of
+training, the word that the machine itself finds worst, if it finds it toxic.
+Other sentences of toxic documents are no examples. The machine is trained on the
+witnesses of toxic sentences and on the worst and further words of clean ones.
+A document's score, 0 to 1, is a logistic curve over its three worst word
+scores, and over how many words score as toxic, fitted on the training documents.
 """
 
 from __future__ import annotations
@@ -43,6 +47,8 @@ PATTERNS = [(a, b, b - 2) for b in range(2, 5) for a in range(1, b)]
 LONG_WORD, WINDOW, STEP = 32, 24, 12
 _NOT_LETTERS = re.compile(r"[^\w\s]+|[\d_]+")
 _SPACED = re.compile(r"(?<!\S)[^\W\d_](?:\s+[^\W\d_]){2,}(?!\w)")
+#: A sentence ends with its line, or with a stop after two letters (not within ``i. d. i. o. t``).
+_ENDS = re.compile(r"\n+|(?<=\w\w[.!?])\s+")
 
 
 def words(text: str | None) -> Counter:
@@ -54,6 +60,11 @@ def words(text: str | None) -> Counter:
     return found
 
 
+def sentences(text: str | None) -> list[list[str]]:
+    """The distinct words of each sentence that has any."""
+    return [ws for ws in (list(words(s)) for s in _ENDS.split(text or "")) if ws]
+
+
 def codes(chars: np.ndarray) -> np.ndarray:
     """Six-bit letter codes: a-z, the accented letters of Latin-1, the two word ends; others share codes."""
     c = chars.astype(np.int64)
@@ -216,14 +227,15 @@ def _constant(label: int) -> Model:
     return Model(np.zeros(0, np.int64), np.zeros(0), -1.0, np.array([0, 0, 0, 0, 0, 3.0 if label else -3.0]))
 
 
-def _tells(toxic: list[Counter], clean: list[Counter], *most: int) -> bool:
+def _tells(toxic: list[list[list[str]]], clean: list[list[list[str]]], *most: int) -> bool:
     """Whether machines trained on one half of the documents call more toxic than clean ones of the other half toxic, beyond chance."""
     called = []
     for k in (0, 1):
-        half = [(ws, y, i) for y, side in ((1, toxic), (0, clean)) for i, ws in enumerate(side)]
+        half = [(doc, y, i) for y, side in ((1, toxic), (0, clean)) for i, doc in enumerate(side)]
         model = train([x for x in half if x[2] % 2 == k], *most, checked=True)
         table = model.table()
-        for ws, y, _ in (x for x in half if x[2] % 2 != k):
+        for doc, y, _ in (x for x in half if x[2] % 2 != k):
+            ws = Counter(w for s in doc for w in s)
             known = dict(zip(ws, score_words(list(ws), table, model.bias).tolist()))
             called.append((y, float(np.array(features(ws, known)) @ model.curve) >= 0))
     y, p = np.array(called, float).T
@@ -231,8 +243,32 @@ def _tells(toxic: list[Counter], clean: list[Counter], *most: int) -> bool:
     return p[y == 1].mean() - p[y == 0].mean() > 3 * spread
 
 
-def train(examples: list[tuple[Counter, int, int]], max_landmarks: int = 192, max_clean: int = 10_000, checked: bool = False) -> Model:
-    """Fit on (words, label, key) of documents; one document stands for all with its key.
+class Bags:
+    """Sentences of documents as runs of word numbers."""
+
+    def __init__(self, docs: list[list[list[str]]]):
+        number: dict[str, int] = {}
+        flat = [number.setdefault(w, len(number)) for d in docs for s in d for w in s]
+        self.vocab = list(number)
+        self.words = np.array(flat, np.int64)
+        sizes = np.array([len(s) for d in docs for s in d], np.int64)
+        self.first = np.cumsum(sizes) - sizes
+        self.sizes = sizes
+
+    def worst(self, score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, its score) of each sentence's worst word; of equal ones the first."""
+        if not len(self.words):
+            return self.words, np.zeros(0)
+        z = score[self.words]
+        top = np.maximum.reduceat(z, self.first)
+        at = np.flatnonzero(z == np.repeat(top, self.sizes))
+        owner = np.repeat(np.arange(len(self.sizes)), self.sizes)[at]
+        _, one = np.unique(owner, return_index=True)
+        return self.words[at[one]], top
+
+
+def train(examples: list[tuple[list[list[str]], int, int]], max_landmarks: int = 192, max_clean: int = 10_000, checked: bool = False, rounds: int = 3) -> Model:
+    """Fit on (sentences, label, key) of documents; one document stands for all with its key.
 
     With no toxic or no clean example every score is the same, on the side of
     the label that there is. Where no beginning stands out, the machine has to
@@ -240,16 +276,16 @@ def train(examples: list[tuple[Counter, int, int]], max_landmarks: int = 192, ma
     no document is toxic.
     """
     one = {}
-    for ws, y, key in examples:
-        one.setdefault((key, y), ws)
-    toxic = [ws for (_, y), ws in sorted(one.items(), key=lambda x: x[0]) if y == 1]
-    clean = [ws for (_, y), ws in sorted(one.items(), key=lambda x: x[0]) if y == 0]
+    for doc, y, key in examples:
+        one.setdefault((key, y), doc)
+    sides = {label: [doc for (_, y), doc in sorted(one.items(), key=lambda x: x[0]) if y == label] for label in (1, 0)}
+    toxic, clean = ([Counter(w for s in doc for w in s) for doc in sides[label]] for label in (1, 0))
     if not toxic or not clean:
         return _constant(1 if toxic else 0)
     stems = _stems(toxic, clean)
-    if not stems and not checked and not _tells(toxic, clean, max_landmarks, max_clean):
+    if not stems and not checked and not _tells(sides[1], sides[0], max_landmarks, max_clean):
         return _constant(0)
-    freq = Counter(w for ws in toxic for w in ws)
+    freq = Counter(w for doc in sides[1] for s in doc for w in s)  # sentences of toxic documents
     head = defaultdict(list)
     for p in stems:
         head[p[:4]].append(p)
@@ -279,21 +315,31 @@ def train(examples: list[tuple[Counter, int, int]], max_landmarks: int = 192, ma
     values, vectors = np.linalg.eigh(gram + 1e-6 * np.eye(len(gram)))
     root = vectors / np.sqrt(np.maximum(values, 1e-6))  # gram^-1/2 up to a rotation
 
+    bags = {label: Bags(side) for label, side in sides.items()}
+    allowed = set(vocab)
     used = [vocab[i] for i in order[:max_clean]]
     tables = columns @ root
     dense = np.zeros(1 << 18)
-    for _ in range(3):
-        strings = [*bad[:max_clean], *used]
+    told = dict(hit)
+    for left in range(rounds, 0, -1):
+        strings = [*sorted(told, key=lambda w: (-told[w], w))[:max_clean], *used]
         y = np.concatenate([np.ones(len(strings) - len(used)), -np.ones(len(used))])
         x = np.concatenate([kernel_rows(strings[k : k + 2000], tables, index) for k in range(0, len(strings), 2000)])
-        n = np.array([hit.get(s, 1) for s in strings], float)
+        n = np.array([told.get(s, 1) for s in strings], float)
         weight = np.where(y > 0, np.sqrt(n), 1.0)
         weight *= np.where(y > 0, len(y) / (2 * weight[y > 0].sum()), len(y) / (2 * (y < 0).sum()))
         w = _svm(x, y, weight, ridge=1e-4 * len(y))
         dense[subs], bias = tables @ w[:-1], float(w[-1])
-        at = score_words(vocab, dense, bias)
-        # next time, the clean words that look worst are among the examples
-        used = list(dict.fromkeys([*used, *[vocab[i] for i in np.argsort(-at, kind="stable")[:2000]]]))
+        if left == 1:
+            break
+        # the worst words of clean sentences that look worst are among the next examples
+        worst, z = bags[0].worst(score_words(bags[0].vocab, dense, bias))
+        hard = [bags[0].vocab[i] for i in worst[np.argsort(-z, kind="stable")].tolist()]
+        used = list(dict.fromkeys([*used, *list(dict.fromkeys(w for w in hard if w in allowed))[:2000]]))
+        # toxic are now also the sentences that the machine finds toxic, by a word that clean documents do not have
+        worst, z = bags[1].worst(score_words(bags[1].vocab, dense, bias))
+        seen = Counter(bags[1].vocab[i] for i in worst[z > 0].tolist())
+        told = {w: n / 4 for w, n in seen.items() if n >= 4 and share.get(w, 0.0) >= 0.3} | hit
     every = list({w for ws in [*toxic, *clean] for w in ws})
     known = dict(zip(every, score_words(every, dense, bias).tolist()))
     x = np.array([features(ws, known) for ws in [*toxic, *clean]])
@@ -302,11 +348,13 @@ def train(examples: list[tuple[Counter, int, int]], max_landmarks: int = 192, ma
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: int = 30_000) -> Model:
-    """Train on a bounded sample: at most ``per_class`` labelled documents a class, in hash order of doc_id.
+    """Train on the sentences of a bounded sample: at most ``per_class`` labelled documents a class, in hash order of doc_id.
 
     ``labels`` has ``doc_id`` and ``label`` (0/1). Only documents of at most
     ``max_chars`` characters serve for training. Rows with a null doc_id, label
     or text are not used; a doc_id with several labels counts as toxic if one is.
+    Of documents with one key (copies with changes) the one of the least hash is
+    taken, so the model does not depend on partitions.
     """
     own = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
     short = docs.where(F.length("text") <= max_chars).select("doc_id", F.length("text").alias("n"))
@@ -322,15 +370,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: in
     def run(batches):
         for b in slices(batches):
             texts, ys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            ws = [" ".join(words(t).elements()) for t in texts]
+            found = ["\n".join(" ".join(s) for s in sentences(t)) for t in texts]
             keys = []
             for t in texts:
                 parts = t.lower().split()
                 keys.append(min((hash_of(" ".join(parts[i : i + 3])) for i in range(max(1, len(parts) - 2))), default=0))
-            yield pa.RecordBatch.from_arrays([pa.array(ws, pa.string()), pa.array(ys, pa.int32()), pa.array(keys, pa.int64())], names=["words", "label", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(ys, pa.int32()), pa.array(keys, pa.int64())], names=["found", "label", "key"])
 
-    got = rows.select("text", F.col("label").cast("int")).mapInArrow(run, "words string, label int, key long").dropDuplicates(["label", "key"])
-    return train([(Counter(map(sys.intern, r["words"].split())), r["label"], r["key"]) for r in got.toLocalIterator()])
+    got = rows.select("text", F.col("label").cast("int")).mapInArrow(run, "found string, label int, key long")
+    got = got.groupBy("label", "key").agg(F.min_by("found", F.struct(F.xxhash64("found"), "found")).alias("found"))
+    return train([([[*map(sys.intern, s.split())] for s in r["found"].split("\n") if s], r["label"], r["key"]) for r in got.toLocalIterator()])
 
 
 def hash_of(s: str) -> int:
