@@ -480,7 +480,12 @@ def test_keys_meet_for_all_errors_of_up_to_three_bits():
     row, key = simhash.query_keys(b)
     met = np.zeros(4000, bool)
     np.logical_or.at(met, row, (filed[row] == key[:, None]).any(1))
+    assert not met.all()  # codeword keys and exact keys find all together
+    for x, y in zip(simhash.exact_keys(a), simhash.exact_keys(b)):
+        met |= x == y
     assert met.all()
+    kinds = [np.unique(k >> 40).tolist() for k in [*simhash.exact_keys(a), *simhash.index_keys(a)]]
+    assert kinds == [[t] for t in range(14)] and set(np.unique(key >> 40)) == set(range(8, 14)) and np.bincount(row).max() <= 36
 
 
 def test_fingerprints_against_brute_force():
@@ -749,3 +754,17 @@ def test_toxic_sentences_tell_and_the_fit_does_not_depend_on_partitions(spark):
     assert sum(got[i] for i in range(4)) >= 3 and sum(got[i] for i in range(4, 24)) <= 1
     again = toxicity.fit(docs.repartition(7), known.repartition(3))
     assert np.array_equal(model.subs, again.subs) and np.allclose(model.weights, again.weights) and np.allclose(model.curve, again.curve)
+
+
+@pytest.mark.parametrize("part", [8, 2048])
+def test_a_family_around_the_similarity_against_brute_force(spark, monkeypatch, part):
+    """Bands of many documents, also divided into parts: every link counts, and nothing below the similarity."""
+    rng = random.Random(24)
+    body = data.words(rng, 150)
+    texts = [edited(rng, body, rng.uniform(0.005, 0.05)) for _ in range(160)] + [data.words(rng, 150) for _ in range(10)]
+    want = similar_kept(texts)
+    assert 20 < len(want) < 165
+    monkeypatch.setattr(simhash, "PART", part)
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "SMALL_BUCKET", 16)
+    assert {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()} == want

@@ -1,33 +1,39 @@
 """SimHash near-duplicates by Golay-code fuzzy hashing.
 
 Fingerprints of 64 bits link when at most three bits differ. The 64 bits are
-two halves of 32. Of three errors, one half has at most one; so each half in
-turn is the one searched, and there is no case left out:
-
-* its 23-bit part may hold the error: the part is decoded with the perfect
-  (23,12) Golay code. A word at distance one decodes to one of at most six
-  codewords that the query's own neighbourhood decodes to, so the index side
-  files a fingerprint under one codeword index and the query side asks for at
-  most six, both joined with the nine remaining bits taken as they are;
-* its 9-bit rest may hold the error: then the 23-bit part is equal and is the key.
-
-Index and query rows meet by key, candidates are verified on all 64 bits, and
-only a spanning forest of each key's links is emitted, never all its pairs.
-Components of those links equal components of all links.
+two parts of 23, which the perfect (23,12) Golay code decodes, and a rest of 18.
+A word at distance one decodes to one of at most six codewords that the query's
+own neighbourhood decodes to, so the index side files a fingerprint under one
+codeword index and the query side asks for at most six. Where three errors can
+be leaves no case out:
+
+* none in the rest: a part has at most one, and the key is its codeword index
+  with the rest;
+* one in the rest, so a half of the rest has none: the key is that half with a
+  part that has none or, where both parts have one, with the codeword index of the
+  first and the half of the second that has none;
+* more in the rest: a part has none and a half of the other one neither; they are the key.
+
+Keys have 30 to 35 bits. Index and query rows meet by key, candidates are
+verified on all 64 bits, and only a spanning forest of each key's links is
+emitted, never all its pairs. Components of those links equal components of all
+links.
 
 ``keep_one`` goes further, to documents whose distinct five-word shingles have a
 similarity (Jaccard) of 0.8 or more. Links of up to three bits are candidates
 there, as are documents that agree in one of 42 bands of six min-hash lanes: a
 pair at 0.8 agrees in none with a chance of 0.738^42, three in a million,
-however it was edited. Every candidate is confirmed on the shingle sets
-themselves, and a pair of a bucket is left out only when its two are in one
-class of confirmed links already.
+however it was edited. First one document of each band stands against the others,
+which makes one class of most that belong together; then every pair of a band is
+looked at whose two are still in different classes, whatever the band's size.
+All 256 lanes have to agree as a pair at 0.8 does but for one chance in 100,000,
+and what is left is confirmed on the shingle sets themselves. Sets are sent once
+for a block of pairs, not for each.
 """
 
 from __future__ import annotations
 
 import sys
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +42,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcastable, components, materialize, pick, slices
+from .common import broadcastable, components, materialize, pick, sized_slices, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -46,45 +52,64 @@ GOLAY_GENERATOR = 0b101011100011
 SMALL_BUCKET = 64
 
 
-@lru_cache(maxsize=1)
+_GOLAY: list[np.ndarray] = []
+
+
 def golay_table() -> np.ndarray:
-    """For each 23-bit word the index (0..4095) of the one codeword within three bits."""
-    words = np.zeros(4096, np.int64)
-    for bit in range(12):
-        words[(np.arange(4096) >> bit) & 1 == 1] ^= GOLAY_GENERATOR << bit
-    bits = 1 << np.arange(23)
-    errors = [0, *bits]
-    errors += [a | b for i, a in enumerate(bits) for b in bits[:i]]
-    errors += [a | b | c for i, a in enumerate(bits) for j, b in enumerate(bits[:i]) for c in bits[:j]]
-    table = np.empty(1 << 23, np.int16)
-    for e in errors:
-        table[words ^ int(e)] = np.arange(4096)
-    return table
+    """For each 23-bit word the index (0..4095) of the one codeword within three bits; made once a process."""
+    if not _GOLAY:
+        words = np.zeros(4096, np.int64)
+        for bit in range(12):
+            words[(np.arange(4096) >> bit) & 1 == 1] ^= GOLAY_GENERATOR << bit
+        bits = 1 << np.arange(23)
+        errors = [0, *bits]
+        errors += [a | b for i, a in enumerate(bits) for b in bits[:i]]
+        errors += [a | b | c for i, a in enumerate(bits) for j, b in enumerate(bits[:i]) for c in bits[:j]]
+        table = np.empty(1 << 23, np.int16)
+        for e in errors:
+            table[words ^ int(e)] = np.arange(4096)
+        _GOLAY.append(table)
+    return _GOLAY[0]
+
+
+def parts(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two parts of 23 bits and the rest of 18 of fingerprints (uint64)."""
+    cut = lambda at, n: ((fp >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64)
+    return cut(0, 23), cut(23, 23), cut(46, 18)
+
+
+def _halves(x: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray]:
+    return x & ((1 << low) - 1), x >> low
+
+
+def exact_keys(fp: np.ndarray) -> list[np.ndarray]:
+    """Eight keys of bits taken as they are: index and query at once."""
+    one, two, rest = parts(fp)
+    keys = [x << 9 | h for x in (one, two) for h in _halves(rest, 9)] + [x << 12 | h for x, y in ((one, two), (two, one)) for h in _halves(y, 12)]
+    return [np.int64(t) << 40 | k for t, k in enumerate(keys)]
 
 
 def index_keys(fp: np.ndarray) -> list[np.ndarray]:
-    """The four keys that a fingerprint (uint64 array) is filed under."""
-    out = []
-    for half in (0, 1):
-        h = ((fp >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        part, rest = h & 0x7FFFFF, h >> 23
-        out += [(half << 40) | (golay_table()[part].astype(np.int64) << 9) | rest, (half << 40) | (1 << 39) | part]
-    return out
+    """Six keys with a codeword index that a fingerprint (uint64 array) is filed under."""
+    one, two, rest = parts(fp)
+    code = [golay_table()[x].astype(np.int64) for x in (one, two)]
+    keys = [c << 18 | rest for c in code] + [code[0] << 21 | h << 9 | r for h in _halves(two, 12) for r in _halves(rest, 9)]
+    return [np.int64(8 + t) << 40 | k for t, k in enumerate(keys)]
 
 
 def query_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of all keys to ask for: at most seven a half."""
+    """(row, key) of all keys with a codeword index to ask for: at most six for each of ``index_keys``."""
     rows, keys = [], []
-    for half in (0, 1):
-        h = ((fp >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        part, rest = h & 0x7FFFFF, h >> 23
+    one, two, rest = parts(fp)
+    for part, others in ((one, [(8, rest)]), (two, [(9, rest)]), (one, [(10 + 2 * i + j, h << 9 | r) for i, h in enumerate(_halves(two, 12)) for j, r in enumerate(_halves(rest, 9))])):
         near = np.stack([golay_table()[part]] + [golay_table()[part ^ (1 << b)] for b in range(23)], 1).astype(np.int64)
         near.sort(1)
         new = np.ones(near.shape, bool)
         new[:, 1:] = near[:, 1:] != near[:, :-1]
         r, c = np.nonzero(new)
-        rows += [r, np.arange(len(fp))]
-        keys += [(half << 40) | (near[r, c] << 9) | rest[r], (half << 40) | (1 << 39) | part]
+        for t, other in others:
+            rows.append(r)
+            keys.append(np.int64(t) << 40 | near[r, c] << (18 if t < 10 else 21) | other[r])
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -242,11 +267,11 @@ def links(distinct: DataFrame, most: int = 3) -> DataFrame:
     """
 
     def keys(batches):
-        for b in slices(batches, 1 << 14):
+        for b in slices(batches, 1 << 13):
             fp = b.column(0).to_numpy(zero_copy_only=False)
             u = fp.view(np.uint64)
             row, key = query_keys(u)
-            for k in index_keys(u):
+            for k in [*exact_keys(u), *index_keys(u)]:
                 yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(fp), pa.array(np.zeros(len(fp), bool))], names=["key", "fp", "ask"])
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp[row]), pa.array(np.ones(len(row), bool))], names=["key", "fp", "ask"])
 
@@ -254,11 +279,11 @@ def links(distinct: DataFrame, most: int = 3) -> DataFrame:
         for key, fp, ask in _whole_keys(batches):
             fp = fp.view(np.uint64)
 
-            def mixed_roles(first, size, ask=ask):
+            def both_roles(first, size, key=key, ask=ask):
                 asked = np.add.reduceat(ask.astype(np.int64), first)
-                return (asked > 0) & (asked < size)
+                return (key[first] >> 40 < 8) | (asked > 0) & (asked < size)
 
-            i, j = _candidates(key, fp, fp, most, mixed_roles)
+            i, j = _candidates(key, fp, fp, most, both_roles)
             if len(i):
                 e = np.unique(np.stack([np.maximum(fp[i], fp[j]), np.minimum(fp[i], fp[j])], 1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(e[:, 0].copy().view(np.int64)), pa.array(e[:, 1].copy().view(np.int64))], names=["a", "b"])
@@ -291,90 +316,174 @@ def shared_bands(nodes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(meet, "key long, node long")
 
 
-def candidates(shared: DataFrame, roots: DataFrame, stars: bool) -> DataFrame:
-    """``a, b, ra, rb``: pairs of nodes of different classes (``root``) that share a key.
+#: Pairs of a star or a block share a set's journey: so many documents of a star, so many on each side of a block.
+STAR, BLOCK = 64, 64
+#: Bands of more documents are looked at in parts, each against each, a task for two.
+PART = 2048
+#: By how much the lanes' agreement of a pair at the similarity can be less: four standard deviations and a half.
+DOUBT = 0.1125
 
-    With ``stars`` one node of each key with every other, so that large groups
-    become one class at little cost; else all pairs.
-    """
+
+def stars(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``block, a, b, ra, rb``: one node of each key with every other that is of another class (``root``)."""
 
     def meet(batches):
         for key, node, root in _whole_keys(batches):
+            order = np.lexsort((mixed(node.view(np.uint64) ^ key.view(np.uint64), 4), key))  # another hub for each key
             first = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
             size = np.diff(np.concatenate([first, [len(key)]]))
-            if stars:
-                order = np.lexsort((mixed(node.view(np.uint64) ^ key.view(np.uint64), 4), key))  # another hub for each key
-                hub = np.repeat(order[first], size)
-                found = iter([(hub, order)])
-            else:
-                several = np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first)
-                found = _pairs(first[several], size[several])
+            hub = np.repeat(order[first], size)
+            place = np.arange(len(key)) - np.repeat(first, size)
+            other = root[hub] != root[order]
+            i, j, place = hub[other], order[other], place[other]
+            block = mixed(node[i].view(np.uint64) ^ (place // STAR).astype(np.uint64), 5).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (block, node[i], node[j], root[i], root[j])], names=["block", "a", "b", "ra", "rb"])
+
+    dealt = shared.join(roots, "node").select("key", "node", "root").repartition("key").sortWithinPartitions("key")
+    pairs = dealt.mapInArrow(meet, "block long, a long, b long, ra long, rb long")
+    # a pair that meets in several bands is looked at once
+    least, most = F.least("a", "b"), F.greatest("a", "b")
+    return pairs.groupBy(least.alias("x"), most.alias("y")).agg(F.min(F.struct("block", "a", "b", "ra", "rb")).alias("p")).select("p.*")
+
+
+def agreeing(shared: DataFrame, roots: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """``block, a, b, ra, rb``: all pairs of nodes of different classes that share a key and agree in enough lanes, each once.
+
+    Keys whose nodes are all of one class are done. A pair is told in the first
+    band that it shares, so it comes once without being compared with what
+    other bands tell.
+    """
+    least = (similarity - DOUBT) * (1 - 1 / 256) + 1 / 256
+
+    def undone(batches):
+        for key, node, root in _whole_keys(batches):
+            first = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1])
+            size = np.diff(np.concatenate([first, [len(key)]]))
+            several = np.repeat(np.minimum.reduceat(root, first) != np.maximum.reduceat(root, first), size)
+            part = (np.arange(len(key)) - np.repeat(first, size)) // PART
+            n = -(-np.repeat(size, size) // PART)
+            yield pa.RecordBatch.from_arrays([pa.array(x[several].astype(np.int64)) for x in (key, node, root, part, n)], names=["key", "node", "root", "part", "parts"])
+
+    def unlike(root, side, i, j):
+        """Those of the pairs that are of two classes, and in tasks of two parts from either side."""
+        use = (root[i] != root[j]) & ((side[i] != side[j]) | (side[i] == 2))
+        return i[use], j[use]
+
+    def near(i, j, key, lanes):
+        same = lanes[i] == lanes[j]
+        ok = same.mean(1) >= least
+        i, j, same = i[ok], j[ok], same[ok]
+        own = same[:, : BANDS * BAND].reshape(len(i), BANDS, BAND).all(2).argmax(1) == (key[i] & 63)
+        return i[own], j[own]
+
+    def found(task, side, key, root, lanes, first, size):
+        small = size <= SMALL_BUCKET
+        for i, j in _pairs(first[small], size[small]):
+            i, j = unlike(root, side, i, j)
+            for at in range(0, len(i), 1 << 14):
+                yield near(i[at : at + (1 << 14)], j[at : at + (1 << 14)], key, lanes)
+        for f, n in zip(first[~small].tolist(), size[~small].tolist()):
+            for i in range(f, f + n - 1):
+                rest = np.arange(i + 1, f + n)
+                yield near(*unlike(root, side, np.full(len(rest), i), rest), key, lanes)
+
+    def compare(batches):
+        for task, side, key, node, root, sig in _whole_keys(batches):
+            lanes = np.frombuffer(b"".join(sig), np.uint8).reshape(-1, LANES)
+            first = np.concatenate([[0], np.flatnonzero(np.diff(task)) + 1])
+            size = np.diff(np.concatenate([first, [len(task)]]))
+            place = np.arange(len(task)) - np.repeat(first, size)
             held: list[np.ndarray] = []
-            for i, j in found:
-                other = root[i] != root[j]
-                i, j = i[other], j[other]
-                swap = node[i] > node[j]
-                i, j = np.where(swap, j, i), np.where(swap, i, j)
-                held.append(np.stack([node[i], node[j], root[i], root[j]]))
-                if sum(h.shape[1] for h in held) > 100_000:
-                    yield told(held)
+            for i, j in found(task, side, key, root, lanes, first, size):
+                if len(i):
+                    block = mixed(task[i].view(np.uint64) ^ ((place[i] // BLOCK << 20) + place[j] // BLOCK).astype(np.uint64), 6).view(np.int64)
+                    held.append(np.stack([block, node[i], node[j], root[i], root[j]]))
+                if sum(h.shape[1] for h in held) > 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(held, 1)], names=["block", "a", "b", "ra", "rb"])
                     held = []
             if held:
-                yield told(held)
-
-    def told(held):
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in np.unique(np.concatenate(held, 1), axis=1)], names=["a", "b", "ra", "rb"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(held, 1)], names=["block", "a", "b", "ra", "rb"])
 
-    dealt = shared.join(roots, "node").select("key", "node", "root").repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(meet, "a long, b long, ra long, rb long").dropDuplicates(["a", "b"])
+    rows = shared.join(roots, "node").select("key", "node", "root").repartition("key").sortWithinPartitions("key")
+    rows = materialize(rows.mapInArrow(undone, "key long, node long, root long, part long, parts long"))
+    # a row goes to every task of its part and another one
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    side = F.when(F.col("part") == F.col("other"), 2).otherwise((F.col("part") > F.col("other")).cast("int")).cast("long")
+    rows = rows.select(F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("task"), side.alias("side"), "key", "node", "root")
+    dealt = rows.join(nodes.select("node", "sig"), "node").select("task", "side", "key", "node", "root", "sig").repartition("task").sortWithinPartitions("task", "side")
+    return dealt.mapInArrow(compare, "block long, a long, b long, ra long, rb long")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: the classes (``ra, rb``) of the pairs whose sets of distinct five-word shingles are so similar."""
+def shingle_sets(nodes: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, s``: the sorted hashes of the distinct five-word shingles of the nodes asked for."""
 
     def sets(batches):
-        for b in slices(batches):
+        for b in sized_slices(batches, 1, 512):
             made = [np.unique(shingles(t or b"", 5)[0]).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["node", "s"])
 
+    uids = materialize(nodes.select("node", "uid").join(asked, "node"))
+    return materialize(texts.select("uid", "text").join(broadcastable(uids, 500_000), "uid").select("node", "text").mapInArrow(sets, "node long, s binary"))
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: the classes (``ra, rb``) of the pairs whose sets of distinct five-word shingles are so similar.
+
+    All pairs of a ``block`` are looked at by one task, to which each set goes once.
+    """
+
     def verify(batches):
-        for b in slices(batches):
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        at, held = None, {}
+        for b in slices(batches, 1024):
+            ok: list[tuple[int, int]] = []
+            cols = [b.column(i).to_pylist() for i in range(6)]
+            for block, x, y, ra, rb, s in zip(*cols):
+                if block != at:
+                    at, held = block, {}
+                if s is not None:
+                    held[x] = np.frombuffer(s, np.uint64)
+                    continue
+                x, y = held[x], held[y]
                 n, least = len(x) + len(y), min(len(x), len(y))
-                both = len(np.intersect1d(x, y, assume_unique=True)) if least >= similarity * (n - least) - 1e-9 else 0
-                ok.append(both >= similarity * (n - both) - 1e-9)
-            yield b.select([0, 1]).filter(pa.array(ok, pa.bool_())).rename_columns(["a", "b"])
+                if least < similarity * (n - least) - 1e-9:
+                    continue
+                both = n - len(np.unique(np.concatenate([x, y])))
+                if both >= similarity * (n - both) - 1e-9:
+                    ok.append((ra, rb))
+            if ok:
+                a, b = zip(*set(ok))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     pairs = materialize(pairs)
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    uids = materialize(nodes.select("node", "uid").join(asked, "node"))
-    made = materialize(texts.select("uid", "text").join(broadcastable(uids, 500_000), "uid").select("node", "text").mapInArrow(sets, "node long, s binary"))
-    one = pairs.join(made.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
-    two = one.join(made.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b").select("ra", "rb", "sa", "sb")
-    return two.mapInArrow(verify, "a long, b long").distinct()
+    sent = pairs.select("block", F.col("a").alias("node")).unionByName(pairs.select("block", F.col("b").alias("node"))).distinct().join(sets, "node")
+    none = lambda t: F.lit(None).cast(t)
+    rows = sent.select("block", F.col("node").alias("x"), none("long").alias("y"), none("long").alias("ra"), none("long").alias("rb"), "s").unionByName(pairs.select("block", F.col("a").alias("x"), F.col("b").alias("y"), "ra", "rb", none("binary").alias("s")))
+    dealt = rows.repartition("block").sortWithinPartitions("block", F.col("y").asc_nulls_first())
+    return dealt.mapInArrow(verify, "a long, b long").distinct()
 
 
 def similar_classes(fps: DataFrame, texts: DataFrame, most: int, similarity: float) -> DataFrame:
     """``node, root`` of all nodes: classes of confirmed links; ``fps``: uid, node, fp, sig, ``texts``: uid, text."""
     nodes = materialize(fps.groupBy("node").agg(F.min(F.struct("uid", "fp", "sig")).alias("s")).select("node", "s.*"))
     root = nodes.select("node", F.col("node").alias("root"))
+    shared = materialize(shared_bands(nodes))
+    # one node stands for each fingerprint: candidates are the others with it, and links to other fingerprints
+    rep = materialize(nodes.groupBy("fp").agg(F.min("node").alias("rep")))
+    far = links(rep.select("fp"), most).join(rep.toDF("a", "x"), "a").join(rep.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    equal = nodes.select("node", "fp").join(rep, "fp").where("node != rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    met = materialize(far.unionByName(equal)).withColumns({"block": F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(256))), "ra": F.col("a"), "rb": F.col("b")})
+    asked = shared.select("node").unionByName(met.select(F.col("a").alias("node"))).unionByName(met.select(F.col("b").alias("node"))).distinct()
+    sets = shingle_sets(nodes, asked, texts)
 
     def grown(root: DataFrame, pairs: DataFrame) -> DataFrame:
-        wide = materialize(components(confirmed(pairs, nodes, texts, similarity)).select(F.col("node").alias("root"), F.col("root").alias("wide")))
+        wide = materialize(components(confirmed(pairs, sets, similarity)).select(F.col("node").alias("root"), F.col("root").alias("wide")))
         return materialize(root.join(wide, "root", "left").select("node", F.coalesce("wide", "root").alias("root")))
 
-    # one node stands for each fingerprint: candidates are the others with it, and links to other fingerprints
-    rep = materialize(nodes.groupBy("fp").agg(F.min("node").alias("rep")))
-    far = links(rep.select("fp"), most).join(rep.toDF("a", "x"), "a").join(rep.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    equal = nodes.select("node", "fp").join(rep, "fp").where("node != rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
-    root = grown(root, far.unionByName(equal).select("a", "b", F.col("a").alias("ra"), F.col("b").alias("rb")))
-    shared = materialize(shared_bands(nodes))
     # large groups become one class by the stars of two bands, then of all; then all pairs between classes are left
-    root = grown(root, candidates(shared.where("key & 63 < 2"), root, True))
-    root = grown(root, candidates(shared, root, True))
-    return grown(root, candidates(shared, root, False))
+    names = ["block", "a", "b", "ra", "rb"]
+    root = grown(root, met.select(*names).unionByName(stars(shared.where("key & 63 < 2"), root)))
+    root = grown(root, stars(shared, root))
+    return grown(root, agreeing(shared, root, nodes, similarity))
 
 
 def sketches(docs: DataFrame) -> DataFrame:
