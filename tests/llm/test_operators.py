@@ -112,7 +112,7 @@ def test_html_weights_come_from_labelled_pages(spark):
     pages = [f"<html><body><ul><li><a href=x>menu {i}</a></li></ul><article><h1>t {i}</h1><p>content words of page {i}</p></article><div>foot</div></body></html>" for i in range(20)]
     df = spark.createDataFrame([(i, "u", p) for i, p in enumerate([*pages, pages[0], None])], "page_id long, url string, html string")
     w = html_extract.fit(df)
-    assert w.features["content:1"] > 0 > w.features["link:1"] and w.tags["li"] < w.tags["p"] < 0
+    assert w.signs["el:p"] > 0 > w.signs["el:a"] and w.tags["li"] < w.tags["p"] < 0 and not {"el:article", "el:div"} & set(w.signs)
     out = html_extract.extract_all(df, w)
     assert out.columns == ["page_id", "url", "text"] and out.count() == 22
     assert out.where("page_id = 3").first().text == "t 3\ncontent words of page 3" and out.where("page_id = 21").first().text == ""

@@ -1,15 +1,18 @@
 """Main text of web pages as a maximum-scoring subsequence.
 
-A page is a sequence of words and tags. A word scores by where it stands (which
-elements enclose it, whether in a link, what the class names say), a tag scores
-negative; the weights are log-odds learned from labelled pages. One linear scan
-finds the contiguous run of tokens with the highest sum; within it, blocks that
-score negative themselves (an advert or a comment form amid the article) are
-left out.
+A page is a sequence of words and tags. A word scores by the elements that
+enclose it (their names, the words of their classes, ids and roles, whether they
+are links) and by the run of text that it stands in (how long, whether it has a
+full stop); a tag scores negative. The weights are log-odds learned from labelled
+pages. One linear scan finds the contiguous run of tokens with the highest sum;
+within it, blocks that score negative themselves (an advert or a comment form
+amid the article) are left out.
 
 Labelled pages are pages whose markup names the content (one ``article`` or
 ``main`` element): what stands in it, outside menus, forms and the like, is
-content. Pages without such markup are scored by the same weights.
+content. That an element is called so, and containers that say nothing (``div``,
+``section``), are no features, so what is learned holds for pages without such
+markup. Where a page does name its content, this counts by a fixed weight.
 """
 
 from __future__ import annotations
@@ -97,22 +100,119 @@ def _is_chrome(name: str, attrs: str, within_content: bool) -> bool:
     return False
 
 
-def walk(page: str | None):
-    """Blocks and tags of a page: ("tag", name) and ("words", text, context, block number).
-
-    The context of a text is (enclosing block element, in a link, in a content
-    element, in page furniture).
+#: Elements whose names are no features: the labels are made of the first two, the others stand everywhere.
+PLAIN = CONTENT | frozenset("html body div section span font center".split())
+#: An end tag does not end what encloses one of these, but for those that name a whole page or article.
+BARRIER = CONTENT | frozenset("nav aside footer form".split())
+WHOLE = frozenset("body html article main".split())
+_NAME_WORDS = re.compile(r"[a-z]+")
+
+
+def signs_of(name: str, attrs: str, within_content: bool) -> tuple[str, ...]:
+    """The features of an element: its name, and the words of its class, id and role (eight at most)."""
+    out = [] if name in PLAIN else ["header in article" if name == "header" and within_content else f"el:{name}"]
+    if "=" in attrs and name not in WHOLE:
+        said: dict[str, None] = {}
+        for key, value in _ATTR.findall(attrs):
+            key = key.lower()
+            if key in ("class", "id", "role"):
+                value = value.strip("\"'")
+                said |= dict.fromkeys(f"is:{w}" for w in _NAME_WORDS.findall(value.lower()))
+                if key != "role" and _CHROME_NAMES.search(value) or key == "role" and value.lower() in _CHROME_ROLES:
+                    said = {"is furniture": None, **said}
+        out += list(said)[:8]
+    return tuple(out)
+
+
+class Element:
+    """An open element, with what holds for the text in it."""
+
+    __slots__ = ("barrier", "chrome", "content", "fence", "name", "never", "parent", "score", "signs", "words")
+
+    def __init__(self, name: str, signs: tuple[str, ...], parent: Element | None, attrs: str, weigh):
+        content = parent.content if parent else False
+        self.name, self.signs, self.parent = name, signs, parent
+        self.never = name in NEVER or bool(parent and parent.never)
+        self.chrome = bool(parent and parent.chrome) or _is_chrome(name, attrs, content)
+        self.content = content or name in CONTENT
+        self.score = (parent.score if parent else 0.0) + weigh(signs)
+        self.words = [0, 0]
+        self.fence = self.barrier = False
+
+
+class Open:
+    """The stack of open elements. Every tag costs what it opens and ends, however deep the stack is."""
+
+    def __init__(self, weigh, ended):
+        self.stack: list[Element] = []
+        self.weigh, self.ended = weigh, ended
+        self.fences: list[Counter] = [Counter()]
+        self.barriers: list[Counter] = [Counter()]
+        self.whole: Counter = Counter()
+
+    def top(self) -> Element | None:
+        return self.stack[-1] if self.stack else None
+
+    def _pop(self) -> Element:
+        e = self.stack.pop()
+        self.fences[-1][e.name] -= 1
+        self.barriers[-1][e.name] -= 1
+        if e.fence:
+            self.fences.pop()
+        if e.barrier:
+            self.barriers.pop()
+        if e.name in WHOLE:
+            self.whole[e.name] -= 1
+        self.ended(e, self.top())
+        return e
+
+    def _end(self, names) -> None:
+        while self._pop().name not in names:
+            pass
+
+    def open(self, name: str, attrs: str) -> None:
+        ends = ENDS.get(name)
+        if ends and any(self.fences[-1][x] > 0 for x in ends):
+            self._end(ends)
+        if name in BLOCK and self.fences[-1]["p"] > 0:
+            self._end(("p",))  # a block ends an open paragraph, with the inline elements in it
+        parent = self.top()
+        e = Element(name, signs_of(name, attrs, bool(parent and parent.content)), parent, attrs, self.weigh)
+        if name in FENCE:
+            e.fence = True
+            self.fences.append(Counter())
+        if name in BARRIER:
+            e.barrier = True
+            self.barriers.append(Counter())
+        self.fences[-1][name] += 1
+        self.barriers[-1][name] += 1
+        if name in WHOLE:
+            self.whole[name] += 1
+        self.stack.append(e)
+
+    def close(self, name: str) -> None:
+        if self.barriers[-1][name] > 0 or name in WHOLE and self.whole[name] > 0:
+            self._end((name,))
+
+    def rest(self) -> None:
+        while self.stack:
+            self._pop()
+
+
+def walk(page: str | None, weigh=lambda signs: 0.0, ended=lambda e, parent: None):
+    """("tag", name, None, block), ("words", text, its element, block) and ("space", "", None, block) of a page, in order.
+
+    ``weigh`` gives the weight of an element's signs, which adds up over what
+    encloses it; ``ended`` is told of every element that ends, and of its parent.
     """
-    stack: list[tuple[str, bool, bool, bool, bool]] = []  # name, never, chrome, content, link
+    still = Open(weigh, ended)
     block = 0
     for kind, name, attrs in tokens(page or ""):
-        never, chrome, content, link = stack[-1][1:] if stack else (False, False, False, False)
+        top = still.top()
+        never = bool(top and top.never)
         if kind == "text":
-            if not never and name.strip():
-                around = next((x[0] for x in reversed(stack) if x[0] in BLOCK), "")
-                yield "words", name, (around, link, content, chrome), block
-            elif not never:
-                yield "space", "", None, block
+            if not never:
+                yield ("words", name, top, block) if name.strip() else ("space", "", None, block)
             continue
         if name in BLOCK:
             block += 1
@@ -120,56 +220,56 @@ def walk(page: str | None):
             yield "space", "", None, block
         if not never and name not in NEVER:
             yield "tag", name, None, block
-        if kind == "open":
-            if name in VOID:
-                continue
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in ENDS.get(name, ()):
-                    del stack[i:]
-                    break
-                if stack[i][0] in FENCE:
-                    break
-            if name in BLOCK and any(x[0] == "p" for x in stack):
-                # a block ends an open paragraph, with the inline elements in it
-                i = max(i for i, x in enumerate(stack) if x[0] == "p")
-                if not any(x[0] in FENCE for x in stack[i:]):
-                    del stack[i:]
-            never, chrome, content, link = stack[-1][1:] if stack else (False, False, False, False)
-            stack.append((name, never or name in NEVER, chrome or _is_chrome(name, attrs, content), content or name in CONTENT, link or name == "a"))
-        else:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-                if stack[i][0] in CONTENT | {"nav", "aside", "footer", "form"} and name not in ("body", "html", "article", "main"):
-                    break  # a stray end tag does not end what encloses it
-
-
-def features(context) -> list[str]:
-    around, link, content, chrome = context
-    return [f"in:{around}", f"link:{int(link)}", f"content:{int(content)}", f"chrome:{int(chrome)}"]
-
-
-#: Weights where no labelled page is at hand: words and tags as seen on ordinary pages.
-PRIOR = {"in:p": 1.0, "in:h1": 0.6, "in:h2": 0.5, "in:li": -0.3, "link:1": -1.2, "link:0": 0.2, "content:1": 2.0, "content:0": -0.4, "chrome:1": -5.0, "chrome:0": 0.3}
+        if kind == "close":
+            still.close(name)
+        elif name not in VOID:
+            still.open(name, attrs)
+    still.rest()
+
+
+def run_signs(text: str, words: int) -> tuple[str, str]:
+    """Features of a run of text: how many words it has, and whether a sentence ends in it."""
+    return f"words:{min(4, words.bit_length() // 2)}", f"stop:{int(any(x in text for x in '.!?'))}"
+
+
+#: Weights of what labelled pages do not tell: elements and names as seen on ordinary pages.
+PRIOR = {"el:p": 1.0, "el:h1": 0.6, "el:h2": 0.5, "el:li": -0.3, "el:a": -1.2, "el:header": -3.0, "is furniture": -5.0, "words:0": -0.3, "words:1": -0.2, "words:2": 0.1, "words:3": 0.4, "words:4": 0.8, "stop:1": 0.3, "stop:0": -0.2} | {f"el:{x}": -5.0 for x in CHROME}
 TAG_PRIOR = -0.4
+#: Of a page that names its content, for words in it and for words beside it.
+NAMED = (0.5, -4.0)
+#: What fewer words than this have is not learned.
+LEAST_SEEN = 50
+
+
+def names_content(page: str) -> bool:
+    return len(re.findall(r"<(?:article|main)[\s>]", page, re.I)) == 1
 
 
 def count(page: str | None) -> Counter | None:
     """(feature, is content) counts of a labelled page; None of a page that is not labelled."""
-    if not page or len(re.findall(r"<(?:article|main)[\s>]", page, re.I)) != 1:
+    if not page or not names_content(page):
         return None
     out: Counter = Counter()
     inside = False
-    for kind, name, context, _ in walk(page):
+
+    def ended(e: Element, parent: Element | None) -> None:
+        for k in (0, 1):
+            for sign in set(e.signs):
+                out[sign, bool(k)] += e.words[k]
+            if parent:
+                parent.words[k] += e.words[k]
+
+    for kind, name, element, _ in walk(page, ended=ended):
         if kind == "words":
             n = len(name.split())
-            inside = context[2] and not context[3]
-            out["words", inside] += n
-            for f in features(context):
-                out[f, inside] += n
+            inside = bool(element and element.content and not element.chrome)
+            out["all words", inside] += n
+            if element:
+                element.words[inside] += n
+            for sign in run_signs(name, n):
+                out[sign, inside] += n
         elif kind == "tag":
-            out["tags", inside] += 1
+            out["all tags", inside] += 1
             out[f"tag:{name}", inside] += 1
     return out
 
@@ -178,33 +278,35 @@ class Weights:
     """Log-odds of words' features and of tags, in favour of content."""
 
     def __init__(self, counts: Counter):
-        self.features = dict(PRIOR)
+        self.signs = dict(PRIOR)
         self.tags: dict[str, float] = {}
-        total = {k: (counts[k, True] + 1, counts[k, False] + 1) for k in ("words", "tags")}
-        if counts["words", True] and counts["words", False]:
-            for f in {f for f, _ in counts}:
-                if f in ("words", "tags"):
-                    continue
-                a, b = total["tags" if f.startswith("tag:") else "words"]
+        total = {k: (counts[k, True] + 1, counts[k, False] + 1) for k in ("all words", "all tags")}
+        if counts["all words", True] and counts["all words", False]:
+            for f in sorted({f for f, _ in counts} - set(total)):
+                a, b = total["all tags" if f.startswith("tag:") else "all words"]
                 x = math.log((counts[f, True] + 0.5) / (a + 1)) - math.log((counts[f, False] + 0.5) / (b + 1))
                 if f.startswith("tag:"):
                     self.tags[f[4:]] = min(-0.1, max(-3.0, x))
-                else:
-                    self.features[f] = max(-6.0, min(4.0, x))
+                elif counts[f, True] + counts[f, False] >= LEAST_SEEN:
+                    # short lines are common in menus and no less in articles: a run's own features decide only where elements say little
+                    self.signs[f] = max(-0.75, min(0.75, x)) if f.startswith(("words:", "stop:")) else max(-4.0, min(2.0, x))
 
-    def word(self, context) -> float:
-        return max(-4.0, min(2.0, sum(self.features.get(f, 0.0) for f in features(context))))
+    def of(self, signs) -> float:
+        return sum(self.signs.get(s, 0.0) for s in signs)
+
+    def word(self, element: Element | None, text: str, words: int, named: bool) -> float:
+        said = (element.score if element else 1.0) + self.of(run_signs(text, words))  # text without any markup is text
+        if named:
+            said += NAMED[0 if element and element.content else 1]
+        # a word counts against a run less than for it, so that an advert does not part an article; its block is left out
+        return max(-1.0, min(2.0, said))
 
     def tag(self, name: str) -> float:
         return self.tags.get(name, TAG_PRIOR)
 
 
-def extract(page: str | None, weights: Weights) -> str:
-    """The main text: blocks joined by newlines, white space within a block one space, character references decoded."""
-    items = list(walk(page))
-    scores = []
-    for kind, name, context, _ in items:
-        scores.append(weights.tag(name) if kind == "tag" else weights.word(context) * len(name.split()) if kind == "words" else 0.0)
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """The contiguous run of the highest sum, (begin, end), by one scan; the first of equal ones; empty where no sum is above 0."""
     best, start, run, span = 0.0, 0, 0.0, (0, 0)
     for i, s in enumerate(scores):
         if run <= 0:
@@ -212,23 +314,38 @@ def extract(page: str | None, weights: Weights) -> str:
         run += s
         if run > best:
             best, span = run, (start, i + 1)
+    return span
+
+
+def extract(page: str | None, weights: Weights) -> str:
+    """The main text: blocks joined by newlines, white space within a block one space, character references decoded.
+
+    The empty string for null, and for a page without a run that scores above 0.
+    """
+    named = names_content(page or "")
+    items = list(walk(page, weights.of))
+    scores = []
+    for kind, name, element, _ in items:
+        n = len(name.split()) if kind == "words" else 0
+        scores.append(weights.tag(name) if kind == "tag" else weights.word(element, name, n, named) * n)
+    begin, end = best_run(scores)
     blocks: dict[int, list] = {}
-    for (kind, name, context, block), s in zip(items[span[0] : span[1]], scores[span[0] : span[1]]):
+    for (kind, name, _, block), s in zip(items[begin:end], scores[begin:end]):
         if kind in ("words", "space"):
             held = blocks.setdefault(block, [0.0, []])
             held[0] += s
-            held[1].append((name or " ", s))
+            held[1].append(name or " ")
     out = []
     for _, (score, parts) in sorted(blocks.items()):
         if score > 0:
-            text = " ".join(htmllib.unescape("".join(p for p, _ in parts)).split())
+            text = " ".join(htmllib.unescape("".join(parts)).split())
             if text:
                 out.append(text)
     return "\n".join(out)
 
 
 def fit(pages: DataFrame, max_pages: int = 2000) -> Weights:
-    """Weights from at most ``max_pages`` pages, the first in hash order of their html; unlabelled ones among them do not count."""
+    """Weights from at most ``max_pages`` labelled and other pages, the first in hash order of their html; those without labels do not count."""
     keyed = pick(pages, "html").where("html is not null").withColumn("h", F.xxhash64("html"))
     chosen = keyed.select("h").distinct().orderBy("h").limit(max_pages)  # a proven bound for the broadcast
 
