@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -422,11 +423,27 @@ def test_mined_rules_against_brute_force(spark):
         has = [v for t, v in rows if set(ante) <= set(t)]
         assert math.isclose(confidence, has.count(verdict) / len(has)) and confidence >= 0.8 and "always" not in ante
     assert (("a", "b"), "block") in got and not any(v == "block" and {"a", "b"} < set(a) and c < got[("a", "b"), "block"] + url_rules.MIN_GAIN for (a, v), c in got.items())
+    # every combination that is frequent and sure enough and not beaten by a part of it
+    every = {}
+    for n in range(1, url_rules.MAX_TOKENS + 1):
+        for ante in itertools.combinations("abcdef", n):
+            has = [v for t, v in rows if set(ante) <= set(t)]
+            every |= {(ante, v): has.count(v) / len(has) for v in ("allow", "block") if has.count(v) >= max(0.02 * 300, url_rules.MIN_ROWS) and has.count(v) / len(has) >= 0.8}
+    want = {(a, v) for (a, v), c in every.items() if not any(c < every.get((a[:i] + a[i + 1 :], v), -1) + url_rules.MIN_GAIN for i in range(len(a)))}
+    assert set(got) == want
     urls = spark.createDataFrame([(["a", "b", "c"],), (["c"],), (["zzz"],)], "toks array<string>")
     out = {tuple(r.toks): r.mined for r in url_rules.judge(urls, mined).collect()}
     assert out[("a", "b", "c")] == "block" and out[("c",)] == out[("zzz",)] == "allow"
 
 
+def test_few_labels_give_few_rules(spark):
+    rows = [(sorted({f"t{(i * k) % 7}" for k in range(12)} | {f"only{i}"}), "block" if i % 2 else "allow") for i in range(8)]
+    got = url_rules.mine(spark.createDataFrame(rows, "toks array<string>, verdict string")).collect()
+    assert all(len(r.antecedent) <= url_rules.MAX_TOKENS and r.support * 8 >= url_rules.MIN_ROWS - 1e-9 for r in got)
+    tokens = url_rules.split_url(spark.createDataFrame([("http://m.free-bets.example.com/en/7/x1.html?q=2",), ("nothing",), (None,)], "url string")).select(url_rules.tokens(F.col("host"), F.col("path"), F.col("url")).alias("t"))
+    assert [r.t for r in tokens.collect()] == [sorted(["h0=com", "hh=example.com", "h2=free-bets", "h3=m", "w=free", "w=bets", "p1=en", "p=0", "p=x0.html", "x=html", "q=q"]), [], []]
+
+
 # --- 10 simhash ---
 
 

@@ -1,12 +1,13 @@
 """URL filters by association rules.
 
-URLs are sets of tokens (labels of the host with their place counted from its
-end, its suffix pairs, path segments, query keys, file extension, words). From
-labelled URLs, FP-growth mines token combinations together with the label
-tokens; combinations that predict ``block`` or ``allow`` with enough support and
-confidence, and more surely than any of their parts, become rules. A rule is
-filed in an inverted index under its rarest token; a URL's tokens fetch the
-rules, which are verified as subsets, and the surest one decides.
+URLs are sets of tokens (the host's last label, its last two, further labels
+with their place, words of labels that have several, path segments, query keys,
+file extension); nothing is said by two of them. From labelled URLs, FP-growth
+mines token combinations together with the label tokens; combinations that
+predict ``block`` or ``allow`` with enough support and confidence, and more surely
+than any of their parts, become rules. A rule is filed in an inverted index under
+its rarest token; a URL's tokens fetch the rules, which are verified as subsets,
+and the surest one decides.
 
 Only DataFrame functions and Spark's own FP-growth are used.
 """
@@ -22,6 +23,8 @@ from .common import broadcastable, materialize
 #: (host suffix, path prefix, verdict)
 Rule = tuple[str, str, str]
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_GAIN = 0.002, 0.8, 0.02
+#: A combination is in so many labelled rows at least, however few there are; and has at most so many tokens.
+MIN_ROWS, MAX_TOKENS = 5, 4
 MAX_LABELLED = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -44,16 +47,18 @@ def split_url(df: DataFrame, url: str = "url") -> DataFrame:
 def tokens(host: Column, path: Column, url: Column) -> Column:
     """The distinct tokens of a URL, sorted."""
     labels = F.reverse(F.split(host, r"\."))
-    placed = F.transform(labels, lambda x, i: F.concat(F.lit("h"), i.cast("string"), F.lit("="), x))
+    last = F.when(labels[0] != "", F.array(F.concat(F.lit("h0="), labels[0]))).otherwise(F.array())
     pair = F.when(F.size(labels) >= 2, F.array(F.concat(F.lit("hh="), labels[1], F.lit("."), labels[0]))).otherwise(F.array())
-    words = F.transform(F.regexp_extract_all(host, F.lit("[a-z0-9]+"), F.lit(0)), lambda x: F.concat(F.lit("w="), x))
+    placed = F.when(F.size(labels) > 2, F.transform(F.slice(labels, 3, 16), lambda x, i: F.concat(F.lit("h"), (i + 2).cast("string"), F.lit("="), x))).otherwise(F.array())
+    several = F.filter(labels, lambda x: x.rlike("[a-z0-9][^a-z0-9]+[a-z0-9]"))
+    words = F.transform(F.flatten(F.transform(several, lambda x: F.regexp_extract_all(x, F.lit("[a-z0-9]+"), F.lit(0)))), lambda x: F.concat(F.lit("w="), x))
     segments = F.filter(F.split(path, "/"), lambda x: x != "")
     first = F.when(F.size(segments) >= 1, F.array(F.concat(F.lit("p1="), segments[0]))).otherwise(F.array())
-    inner = F.transform(segments, lambda x: F.concat(F.lit("p="), F.regexp_replace(x, "[0-9]+", "0")))
+    inner = F.when(F.size(segments) > 1, F.transform(F.slice(segments, 2, 64), lambda x: F.concat(F.lit("p="), F.regexp_replace(x, "[0-9]+", "0")))).otherwise(F.array())
     ext = F.transform(F.regexp_extract_all(path, F.lit(r"\.([A-Za-z0-9]+)$"), F.lit(1)), lambda x: F.concat(F.lit("x="), x))
     keys = F.transform(F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit(r"[?&]([^=&#?]+)="), F.lit(1)), lambda x: F.concat(F.lit("q="), x))
     strings = lambda c: c.cast("array<string>")
-    return F.array_sort(F.array_distinct(F.concat(*[strings(c) for c in (placed, pair, words, first, inner, ext, keys)])))
+    return F.array_sort(F.array_distinct(F.concat(*[strings(c) for c in (last, pair, placed, words, first, inner, ext, keys)])))
 
 
 def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
@@ -65,27 +70,30 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_labelled: int = MAX_LABELLED, min_rows: int = MIN_ROWS, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """Rules ``antecedent, verdict, confidence, support`` from ``toks, verdict`` rows.
 
     Fits on at most ``max_labelled`` rows, those first in hash order of their
-    tokens. Support bounds what FP-growth sends to the driver: a token is
-    frequent in a ``min_support`` share of rows, so there are at most the mean
-    number of tokens a row over ``min_support`` of them. No labels, no rules.
+    tokens. A combination is frequent that a ``min_support`` share of the rows
+    has, and ``min_rows`` of them at least, so few labels give few rules and not
+    every combination of theirs; rules have at most ``max_tokens`` tokens.
+    Tokens that are rarer are in no rule and taken out before, as are those that
+    nearly every URL has; of rows that are then alike FP-growth makes one path.
+    No labels, no rules.
     """
     schema = "antecedent array<string>, verdict string, confidence double, support double"
     spark = labelled.sparkSession
     use = labelled.select("toks", "verdict").orderBy(F.xxhash64("toks", "verdict"), F.array_join("toks", " ")).limit(max_labelled)
-    items = materialize(use.select(F.concat("toks", F.array(F.concat(F.lit("="), "verdict"))).alias("items"), "verdict"))
+    items = materialize(use)
     n = items.count()
     if not n:
         return spark.createDataFrame([], schema)
-    # tokens that nearly every URL has say nothing and would double every combination
-    common = items.select(F.explode("items").alias("t")).where(~F.col("t").startswith("=")).groupBy("t").count().where(F.col("count") > 0.95 * n).select("t")
-    dull = common.agg(F.collect_set("t").alias("dull"))  # at most the mean number of tokens a row over 0.95
-    lean = items.crossJoin(F.broadcast(dull)).select(F.array_except("items", "dull").alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(lean)
-    found = model.associationRules.where(F.col("consequent")[0].startswith("=") & ~F.exists("antecedent", lambda t: t.startswith("=")))
+    share = min(1.0, max(min_support, min_rows / n))
+    # at most the mean number of tokens a row over the share, each a short string
+    seen = items.select(F.explode("toks").alias("t")).groupBy("t").count().where((F.col("count") >= share * n - 1e-6) & (F.col("count") <= 0.95 * n)).agg(F.collect_set("t").alias("some"))
+    lean = items.select(F.concat(F.array_intersect("toks", seen.scalar()), F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(materialize(lean))
+    found = model.associationRules.where(F.col("consequent")[0].startswith("=") & (F.size("antecedent") <= max_tokens) & ~F.exists("antecedent", lambda t: t.startswith("=")))
     rules = materialize(found.select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 2, 99).alias("verdict"), "confidence", "support"))
     # prune: a rule has to be surer than each rule on a part of its tokens that says the same
     parts = rules.select(F.explode("antecedent").alias("drop"), "antecedent", "verdict", "confidence").withColumn("part", F.array_except("antecedent", F.array("drop")))
