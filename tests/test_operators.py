@@ -304,21 +304,98 @@ def test_metrics_of_nothing_are_null(spark):
 
 
 def test_vocabulary_and_encoding(spark):
-    df = spark.createDataFrame([(1, ["EVT", "key:a", "value:a:x", "key:b", "value:b:1"]), (2, ["EVT", "key:a", "value:a:x", "key:b", "value:b:2"])], "id int, tokens array<string>")
+    df = spark.createDataFrame([(1, ["[EVT]", "key:a", "value:a:x", "key:b", "value:b:1"]), (2, ["[EVT]", "key:a", "value:a:x", "key:b", "value:b:2"]), (3, ["[EVT]", "key:a", "value:a:odd"])], "id int, tokens array<string>")
     v = tokens.vocabulary(df, ["a"], [], 2)
-    names = [r.token for r in v.orderBy("id").collect()]
-    assert names == ["PAD", "UNK", "MASK", "EVT", "USR", "key:a", "key:b", "value:b:1", "value:b:2", "value:a:x", "value:a:RARE"]
-    other = spark.createDataFrame([(3, ["EVT", "value:a:new", "value:b:9"])], "row int, tokens array<string>")
+    names = [r.token for r in v.where("id is not null").orderBy("id").collect()]
+    assert names == [*tokens.SPECIAL, "key:a", "key:b", "value:b:1", "value:b:2", "value:a:MISSING", "value:a:x", "value:a:RARE"]
+    assert [r.token for r in v.where("id is null").collect()] == ["value:a:odd"]
+    other = spark.createDataFrame([(3, ["[EVT]", "value:a:new", "value:a:odd", "value:a:MISSING", "value:b:2"])], "row int, tokens array<string>")
     coded = tokens.encode(other, v, ["a"], ["row"])
-    assert [r.id for r in coded.orderBy("pos").collect()] == [3, 10, 1]
-    assert tokens.decode(coded, v, ["row"]).first().tokens == ["EVT", "value:a:RARE", "UNK"]
+    assert [(r.id, r.fate) for r in coded.orderBy("pos").collect()] == [(3, "known"), (1, "unk"), (11, "rare"), (9, "known"), (8, "known")]
+    assert tokens.decode(coded, v, ["row"]).first().tokens == ["[EVT]", "[UNK]", "value:a:RARE", "value:a:MISSING", "value:b:2"]
 
 
-def test_limit_drops_a_dangling_key(spark):
-    assert one(spark, tokens.limited(F.array(*[F.lit(x) for x in ("EVT", "key:a", "value:a:1", "key:b", "value:b:1")]), 4).alias("x")).x == ["EVT", "key:a", "value:a:1"]
+def test_a_value_outside_its_domain_stops_the_encoding(spark):
+    df = spark.createDataFrame([(1, ["[EVT]", "key:b", "value:b:bucket_9", "value:b:7"])], "row int, tokens array<string>")
+    v = tokens.vocabulary(df, ["a"], ["key:b", "value:b:bucket_0"], 1)
+    assert "value:b:bucket_9" not in {r.token for r in v.collect()}
+    with pytest.raises(Exception, match="no token of the vocabulary"):
+        tokens.encode(df, v, ["a"], ["row"]).collect()
+    got = {r.token: (r.id, r.fate) for r in tokens.encode(df, v, ["a"], ["row"], strict=False).collect()}
+    assert got["value:b:bucket_9"] == (None, "violation") and got["key:b"] == (5, "known")
+
+
+def test_ids_do_not_depend_on_partitions(spark):
+    df = spark.createDataFrame([(i, ["key:k", f"value:k:{i % 300}"]) for i in range(900)], "id int, tokens array<string>")
+    a = sorted(tuple(r) for r in tokens.vocabulary(df, ["k"], [], 2).collect())
+    assert a == sorted(tuple(r) for r in tokens.vocabulary(df.repartition(9), ["k"], [], 2).collect())
+    ids = [r.id for r in tokens.vocabulary(df, ["k"], [], 2).orderBy("block", "token").collect() if r.block]
+    assert ids == list(range(5, 5 + len(ids)))
+
+
+SLOTS = [tokens.Slot("t", required=True), tokens.Slot("l", multivalue=True), tokens.Slot("x"), tokens.Slot("m", multivalue=True), tokens.Slot("r", required=True, multivalue=True)]
+
+
+def plain_limit(row, most):
+    """The rule step by step, one value at a time."""
+    blocks = [[s, list(row[s.name]) if s.multivalue and row[s.name] else [row[s.name] or "MISSING"] if not s.multivalue else ["MISSING"]] for s in SLOTS]
+    size = lambda: 1 + sum(1 + len(v) for _, v in blocks)
+    for s, v in reversed(blocks):
+        while s.multivalue and not s.required and len(v) > 1 and size() > most:
+            v.pop()
+    for b in list(reversed(blocks)):
+        if size() > most and not b[0].required:
+            blocks.remove(b)
+    return None if size() > most else " ".join(["[EVT]", *(t for s, v in blocks for t in [f"key:{s.name}", *(f"value:{s.name}:{x}" for x in v)])])
+
+
+def test_limit_against_plain_steps(spark):
+    import random
+
+    rng = random.Random(5)
+    some = lambda p, k: None if rng.random() < 0.1 else [f"{p}{i}" for i in range(rng.randint(0, k))]
+    rows = [(i, rng.choice(["a", None]), some("l", 5), rng.choice(["x", None]), some("m", 4), some("r", 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, t string, l array<string>, x string, m array<string>, r array<string>")
+    for most in (24, 14, 11, 9):
+        want = {r[0]: plain_limit(dict(zip(("id", "t", "l", "x", "m", "r"), r)), most) for r in rows}
+        fit = [i for i, w in want.items() if w is not None]
+        got = {r.id: r.s for r in df.where(F.col("id").isin(fit)).select("id", F.array_join(tokens.limited(SLOTS, most), " ").alias("s")).collect()}
+        assert got == {i: want[i] for i in fit} and fit
+
+
+def test_required_fields_that_do_not_fit_are_an_error(spark):
+    df = spark.createDataFrame([("a", ["1"], "x", ["1"], ["1", "2", "3"])], "t string, l array<string>, x string, m array<string>, r array<string>")
+    assert df.select(tokens.limited(SLOTS, 7).alias("s")).first().s == ["[EVT]", "key:t", "value:t:a", "key:r", "value:r:1", "value:r:2", "value:r:3"]
+    with pytest.raises(Exception, match="do not fit in 6"):
+        df.select(tokens.limited(SLOTS, 6)).collect()
+
+
+def test_the_default_policy_fits_the_limit():
+    from tidewell.plans.config import DEFAULT
+
+    most = max(3 + sum(1 + (f.most_values if f.multivalue else 1) for f in model.values() if f.vocabulary != "excluded") for model in DEFAULT.sections.values())
+    assert most <= tokens.EVENT_LIMIT
+
+
+def test_masking_takes_tokens_of_the_same_field(spark):
+    df = spark.createDataFrame([(i, ["[EVT]", "key:event_type", "value:event_type:T", "key:c", f"value:c:{i % 7}", "key:o", f"value:o:{i % 400}"]) for i in range(1500)], "row int, tokens array<string>")
+    v = tokens.vocabulary(df, ["o"], ["key:event_type", "key:c", "key:o", "value:event_type:T", *(f"value:c:{i}" for i in range(7)), "value:c:MISSING"], 4)
+    names = {r.id: r.token for r in v.where("id is not null").collect()}
+    fresh = df.unionByName(spark.createDataFrame([(9999, ["key:o", "value:o:new"])], df.schema))
+    rows = tokens.masked(tokens.encode(fresh, v, ["o"], ["row"]), v, F.col("row").cast("string"), 3, 0.5).collect()
+    chosen = [r for r in rows if r.action != "keep"]
+    assert all(r.token.startswith(("value:c:", "value:o:")) and r.label == r.id != 1 for r in chosen)
+    assert all(r.label is None and r.masked_id == r.id for r in rows if r.action == "keep")
+    assert all(r.masked_id == {"mask": 2, "same": r.id}.get(r.action, r.masked_id) for r in chosen)
+    swapped = [r for r in chosen if r.action == "random"]
+    assert all(names[r.masked_id].split(":")[1] == r.token.split(":")[1] and not names[r.masked_id].endswith("MISSING") for r in swapped) and any(names[r.masked_id] == "value:o:RARE" for r in swapped)
+    share = {a: sum(r.action == a for r in chosen) / len(chosen) for a in ("mask", "random", "same")}
+    assert abs(len(chosen) / 3000 - 0.5) < 0.05 and abs(share["mask"] - 0.8) < 0.05 and abs(share["random"] - 0.1) < 0.04
 
 
 def test_window_keeps_the_latest_whole_events(spark):
     df = ntz(spark.createDataFrame([("A", 0, 5, "2024-01-01 00:00:00"), ("A", 1, 5, "2024-01-01 00:00:10"), ("A", 2, 5, "2024-01-01 00:00:30")], "client_id string, position long, n_tokens int, ts string"), "ts")
     cut = tokens.window(df, 12)
     assert sorted((r.position, r.delta) for r in tokens.deltas_after(cut).collect()) == [(1, "WINDOW_START"), (2, "20")]
+    edges = buckets.Edges((Decimal(10), Decimal(20)))
+    assert sorted((r.position, r.delta) for r in tokens.deltas_after(df, edges).collect()) == [(0, "FIRST_EVENT"), (1, "bucket_1"), (2, "bucket_2")]

@@ -513,31 +513,51 @@ def o28_partition_invariance(spark, sf_dir):
 
 # --- T01-T11 tokens --------------------------------------------------------------------------------------------------
 
+PRUNED, MIN = ["amount", "k"], 20
+_ALWAYS = ["key:event_type", "key:amount", "key:k", *(f"value:event_type:{t}" for t in ("CLICK", "ERROR", "PURCHASE", "SIGNUP", "VIEW"))]
+_EDGES = (60, 3600, 21600, 86400)
+
 
 def _tokens(spark, sf_dir) -> DataFrame:
-    """Each event as tokens: its type, a hundredth of its value, its screen."""
-    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("client_id"), "event_id", "ts", F.upper("event_type").alias("event_type"), F.concat(F.lit("v"), F.floor(F.col("value")).cast("string")).alias("amount"), F.regexp_extract("props", "[0-9]+", 0).alias("k"))
+    """Each event as tokens: its type, a hundredth of its value (a number of its own for some), its screen; ``train`` up to the cutoff."""
+    amount = F.when(F.col("event_id") % 53 == 0, F.concat(F.lit("x"), F.col("event_id").cast("string"))).when(F.col("event_id") % 59 == 0, None).otherwise(F.concat(F.lit("v"), F.floor(F.col("value")).cast("string")))
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("client_id"), "event_id", "ts", F.upper("event_type").alias("event_type"), amount.alias("amount"), F.regexp_extract("props", "[0-9]+", 0).alias("k"))
     e = e.withColumn("position", (F.row_number().over(Window.partitionBy("client_id").orderBy("ts", "event_id")) - 1).cast("long"))
-    return e.withColumn("tokens", tokens.sequence("EVT", {"amount": False, "k": False}, "event_type"))
+    return e.withColumn("train", F.col("ts") <= F.lit(CUT).cast("timestamp_ntz")).withColumn("tokens", tokens.sequence("[EVT]", {"amount": False, "k": False}, "event_type"))
 
 
-PRUNED, MIN = ["amount", "k"], 20
-_SQL_TOKENS = """ev AS (SELECT user_id AS client_id, event_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS position,
-   ['EVT', 'key:event_type', 'value:event_type:' || upper(event_type), 'key:amount', 'value:amount:v' || floor(value)::BIGINT, 'key:k', 'value:k:' || regexp_extract(props, '[0-9]+', 0)] AS tokens FROM events),
-tk AS (SELECT client_id, event_id, generate_subscripts(tokens, 1) - 1 AS pos, unnest(tokens) AS token FROM ev)"""
-_SQL_VOCAB = f"""{_SQL_TOKENS}, n AS (SELECT token, count(*) AS n, split_part(token, ':', 2) AS f FROM tk GROUP BY token),
-k AS (SELECT token, CASE WHEN token LIKE 'key:%' THEN 1 WHEN f IN ('amount', 'k') THEN 3 ELSE 2 END AS block FROM n WHERE token LIKE 'key:%' OR (token LIKE 'value:%' AND (f NOT IN ('amount', 'k') OR n >= {MIN}))
-      UNION SELECT 'value:amount:RARE', 4 UNION SELECT 'value:k:RARE', 4),
-vo AS (SELECT unnest({tokens.SPECIAL}) AS token, 0 AS block, unnest(range(5)) AS id UNION ALL SELECT token, block, row_number() OVER (ORDER BY block, token) + 4 FROM k)"""
+_SQL_TOKENS = f"""ev AS (SELECT user_id AS client_id, event_id, ts, ts <= TIMESTAMP '{CUT}' AS train, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS position,
+   ['[EVT]', 'key:event_type', 'value:event_type:' || upper(event_type), 'key:amount', 'value:amount:' || CASE WHEN event_id % 53 = 0 THEN 'x' || event_id WHEN event_id % 59 = 0 THEN 'MISSING' ELSE 'v' || floor(value)::BIGINT END, 'key:k', 'value:k:' || regexp_extract(props, '[0-9]+', 0)] AS tokens FROM events),
+tk AS (SELECT client_id, event_id, train, generate_subscripts(tokens, 1) - 1 AS pos, unnest(tokens) AS token FROM ev)"""
+
+
+def _sql_vocab(always: list[str]) -> str:
+    fixed = " ".join(f"UNION SELECT '{t}', {1 if t.startswith('key:') else 2}" for t in always)
+    return f"""{_SQL_TOKENS}, n AS (SELECT token, count(*) AS n FROM tk WHERE train AND (token LIKE 'value:amount:%' OR token LIKE 'value:k:%') GROUP BY token),
+k AS (SELECT token, CASE WHEN n >= {MIN} OR token LIKE '%:MISSING' THEN 3 ELSE 5 END AS block FROM n {fixed}
+      UNION SELECT 'value:amount:MISSING', 3 UNION SELECT 'value:k:MISSING', 3 UNION SELECT 'value:amount:RARE', 4 UNION SELECT 'value:k:RARE', 4),
+vo AS (SELECT unnest({tokens.SPECIAL}) AS token, 0 AS block, unnest(range(5)) AS id UNION ALL SELECT token, block, CASE WHEN block < 5 THEN row_number() OVER (ORDER BY block, token) + 4 END FROM k)"""
+
+
+_SQL_VOCAB = _sql_vocab(_ALWAYS)
+
+
+def _sql_encoded(vocab: str) -> str:
+    return f"""{vocab}, en AS (SELECT tk.*, CASE WHEN a.id IS NOT NULL THEN 'known' WHEN a.block = 5 THEN 'rare' WHEN split_part(tk.token, ':', 2) IN ('amount', 'k') AND tk.token LIKE 'value:%' THEN 'unk' ELSE 'violation' END AS fate,
+   CASE WHEN a.id IS NOT NULL THEN a.id WHEN a.block = 5 THEN b.id WHEN split_part(tk.token, ':', 2) IN ('amount', 'k') AND tk.token LIKE 'value:%' THEN 1 END AS id
+   FROM tk LEFT JOIN vo a ON tk.token = a.token LEFT JOIN vo b ON b.token = 'value:' || split_part(tk.token, ':', 2) || ':RARE')"""
+
+
+_SQL_ENCODED = _sql_encoded(_SQL_VOCAB)
 
 
 @query("""
-SELECT c_custkey, array_to_string(['USR', 'key:segment', 'value:segment:' || c_mktsegment, 'key:nation', 'value:nation:' || c_nationkey], ' ') AS tokens FROM customer
+SELECT c_custkey, array_to_string(['[USR]', 'key:segment', 'value:segment:' || c_mktsegment, 'key:nation', 'value:nation:' || c_nationkey], ' ') AS tokens FROM customer
 """)
 def t01_profile_tokens(spark, sf_dir):
     """A client's profile as tokens."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").alias("nation"))
-    return c.select("c_custkey", F.array_join(tokens.sequence("USR", {"segment": False, "nation": False}), " ").alias("tokens"))
+    return c.select("c_custkey", F.array_join(tokens.sequence("[USR]", {"segment": False, "nation": False}), " ").alias("tokens"))
 
 
 @query(f"WITH {_SQL_TOKENS} SELECT event_id, array_to_string(tokens, ' ') AS tokens FROM ev")
@@ -546,55 +566,74 @@ def t02_event_tokens(spark, sf_dir):
     return _tokens(spark, sf_dir).select("event_id", F.array_join("tokens", " ").alias("tokens"))
 
 
-def _vocab(spark, sf_dir) -> DataFrame:
-    return tokens.vocabulary(_tokens(spark, sf_dir), PRUNED, [], MIN)
+def _vocab(spark, sf_dir, always=tuple(_ALWAYS)) -> DataFrame:
+    return tokens.vocabulary(_tokens(spark, sf_dir).where("train"), PRUNED, list(always), MIN)
+
+
+def _encoded(spark, sf_dir, vocab: DataFrame) -> DataFrame:
+    return tokens.encode(_tokens(spark, sf_dir), vocab, PRUNED, ["event_id"])
 
 
 @query(f"WITH {_SQL_VOCAB} SELECT token, block::INTEGER AS block, id::BIGINT AS id FROM vo")
 def t03_vocabulary(spark, sf_dir):
-    """The vocabulary with canonical ids: frequent open values, all closed ones."""
+    """The vocabulary of the training events with canonical ids: all closed values, frequent open ones; rare ones without an id."""
     return _vocab(spark, sf_dir).select("token", "block", "id")
 
 
-@query(f"""WITH {_SQL_VOCAB} SELECT event_id, pos::BIGINT AS pos, coalesce(a.id, b.id, 1)::BIGINT AS id FROM tk LEFT JOIN vo a USING (token)
-LEFT JOIN vo b ON a.id IS NULL AND tk.token LIKE 'value:%' AND b.token = 'value:' || split_part(tk.token, ':', 2) || ':RARE'""")
+@query(f"WITH {_SQL_ENCODED} SELECT event_id, pos::BIGINT AS pos, id::BIGINT AS id, fate FROM en")
 def t05_encode(spark, sf_dir):
-    """Token ids; values that are not frequent are RARE."""
-    return tokens.encode(_tokens(spark, sf_dir), _vocab(spark, sf_dir), PRUNED, ["event_id"]).select("event_id", "pos", "id")
+    """Token ids of all events: open values that were rare are RARE, those that are new UNK."""
+    return _encoded(spark, sf_dir, _vocab(spark, sf_dir)).select("event_id", "pos", "id", "fate")
 
 
-@query(f"WITH {_SQL_TOKENS} SELECT event_id, array_to_string(tokens[1:5], ' ') AS tokens FROM ev")
+@query("""
+WITH e AS (SELECT event_id, upper(event_type) AS t, regexp_extract(props, '[0-9]+', 0) AS k, (event_id % 6 + 1)::INT AS n, (event_id % 3 + 1)::INT AS m, unnest([12, 9, 6]) AS most FROM events),
+a AS (SELECT *, greatest(0, 9 + n + m - most) AS over0 FROM e),
+b AS (SELECT *, least(m - 1, over0) AS cut_m FROM a), c AS (SELECT *, least(n - 1, over0 - cut_m) AS cut_n FROM b),
+d AS (SELECT *, over0 - cut_m - cut_n AS over1 FROM c), f AS (SELECT *, over1 > 0 AS no_m, over1 - CASE WHEN over1 > 0 THEN 1 + m - cut_m ELSE 0 END AS over2 FROM d),
+g AS (SELECT *, over2 > 0 AS no_k, over2 - CASE WHEN over2 > 0 THEN 2 ELSE 0 END AS over3 FROM f), h AS (SELECT *, over3 > 0 AS no_n FROM g)
+SELECT event_id, most::INTEGER AS most, array_to_string(['[EVT]', 'key:event_type', 'value:event_type:' || t, 'key:odd', 'value:odd:' || (event_id % 2)]
+  || CASE WHEN no_n THEN [] ELSE ['key:screens'] || list_transform(range(n - cut_n), lambda i: 'value:screens:s' || i) END
+  || CASE WHEN no_k THEN [] ELSE ['key:k', 'value:k:' || k] END
+  || CASE WHEN no_m THEN [] ELSE ['key:tags'] || list_transform(range(m - cut_m), lambda i: 'value:tags:t' || i) END, ' ') AS tokens FROM h
+""")
 def t06_event_limit(spark, sf_dir):
-    """Events cut to six tokens, a key without its value not counted."""
-    return _tokens(spark, sf_dir).select("event_id", F.array_join(tokens.limited(F.col("tokens"), 6), " ").alias("tokens"))
+    """Events within 12, 9 and 6 tokens: lists are cut first, then the least important fields go; two fields are required."""
+    names = lambda p, n: F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit(p), i.cast("string")))
+    n, m = (F.col("event_id") % 6 + 1).cast("int"), (F.col("event_id") % 3 + 1).cast("int")
+    e = table(spark, sf_dir, "events").select("event_id", F.upper("event_type").alias("event_type"), (F.col("event_id") % 2).alias("odd"), names("s", n).alias("screens"), F.regexp_extract("props", "[0-9]+", 0).alias("k"), names("t", m).alias("tags"))
+    slots = [tokens.Slot("event_type", required=True), tokens.Slot("odd", required=True), tokens.Slot("screens", multivalue=True), tokens.Slot("k"), tokens.Slot("tags", multivalue=True)]
+    out = F.array(*[F.struct(F.lit(most).alias("most"), F.array_join(tokens.limited(slots, most), " ").alias("tokens")) for most in (12, 9, 6)])
+    return e.select("event_id", F.explode(out).alias("x")).select("event_id", "x.most", "x.tokens")
 
 
 _SQL_WINDOW = f"{_SQL_TOKENS}, w AS (SELECT *, sum(len(tokens)) OVER (PARTITION BY client_id ORDER BY position DESC) AS s FROM ev), kept AS (SELECT * FROM w WHERE s <= 100)"
 
 
-def _window(spark, sf_dir) -> DataFrame:
-    return tokens.window(_tokens(spark, sf_dir).withColumn("n_tokens", F.size("tokens")), 100)
+def _window(events: DataFrame) -> DataFrame:
+    return tokens.window(events.withColumn("n_tokens", F.size("tokens")), 100)
 
 
 @query(f"WITH {_SQL_WINDOW} SELECT client_id, event_id, position FROM kept")
 def t07_window(spark, sf_dir):
     """The latest whole events of each client within 100 tokens."""
-    return _window(spark, sf_dir).select("client_id", "event_id", "position")
+    return _window(_tokens(spark, sf_dir)).select("client_id", "event_id", "position")
 
 
-@query(f"""WITH {_SQL_WINDOW}, d AS (SELECT *, lag(ts) OVER (PARTITION BY client_id ORDER BY position) AS before FROM kept)
-SELECT event_id, CASE WHEN before IS NOT NULL THEN ((epoch_us(ts) - epoch_us(before)) // 1000000)::VARCHAR WHEN position = 0 THEN 'FIRST_EVENT' ELSE 'WINDOW_START' END AS delta FROM d""")
+@query(f"""WITH {_SQL_WINDOW}, d AS (SELECT *, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY client_id ORDER BY position))) // 1000000 AS gap FROM kept)
+SELECT event_id, gap::BIGINT AS delta_seconds, CASE WHEN gap IS NOT NULL THEN 'bucket_' || len(list_filter({list(_EDGES)}, lambda e: e <= gap)) WHEN position = 0 THEN 'FIRST_EVENT' ELSE 'WINDOW_START' END AS delta FROM d""")
 def t08_window_deltas(spark, sf_dir):
-    """Deltas after the cut to a window."""
-    return tokens.deltas_after(_window(spark, sf_dir)).select("event_id", "delta")
+    """Deltas after the cut to a window, in their frozen buckets."""
+    from decimal import Decimal
 
+    return tokens.deltas_after(_window(_tokens(spark, sf_dir)), buckets.Edges(tuple(Decimal(e) for e in _EDGES))).select("event_id", "delta_seconds", "delta")
 
-@query(f"""WITH {_SQL_VOCAB}, i AS (SELECT event_id, list(coalesce(a.id, b.id, 1) ORDER BY pos) AS ids FROM tk LEFT JOIN vo a USING (token)
-LEFT JOIN vo b ON a.id IS NULL AND tk.token LIKE 'value:%' AND b.token = 'value:' || split_part(tk.token, ':', 2) || ':RARE' GROUP BY event_id)
+
+@query(f"""WITH {_SQL_ENCODED}, i AS (SELECT event_id, list(id ORDER BY pos) AS ids FROM en GROUP BY event_id)
 SELECT event_id, array_to_string(ids || [0, 0, 0], ',') AS ids, '1,1,1,1,1,1,1,0,0,0' AS mask FROM i""")
 def t09_padding(spark, sf_dir):
     """Id lists padded to ten, and their attention masks."""
-    ids = tokens.encode(_tokens(spark, sf_dir), _vocab(spark, sf_dir), PRUNED, ["event_id"]).groupBy("event_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("ids"))
+    ids = _encoded(spark, sf_dir, _vocab(spark, sf_dir)).groupBy("event_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]).alias("ids"))
     full, mask = tokens.padded(F.col("ids"), 10)
     return ids.select("event_id", F.array_join(full, ",").alias("ids"), F.array_join(mask, ",").alias("mask"))
 
@@ -603,21 +642,44 @@ def _sql_unit(salt: str) -> str:
     return f"({_sql_priority(f"'{salt}' || event_id || '|' || pos", SEED)}::DOUBLE / 18446744073709551616.0)"
 
 
-@query(f"""WITH {_SQL_TOKENS} SELECT event_id, pos::BIGINT AS pos, CASE WHEN token LIKE 'value:%' AND {_sql_unit('pick')} < 0.15 THEN
-CASE WHEN {_sql_unit('kind')} < 0.8 THEN 'mask' WHEN {_sql_unit('kind')} < 0.9 THEN 'random' ELSE 'same' END ELSE 'keep' END AS action FROM tk""")
+@query(f"""WITH {_SQL_ENCODED}, p AS (SELECT split_part(token, ':', 2) AS f, list(id ORDER BY id) AS pool FROM vo WHERE token LIKE 'value:%' AND id IS NOT NULL AND token NOT LIKE '%:MISSING' GROUP BY 1),
+c AS (SELECT en.*, pool, CASE WHEN token LIKE 'value:%' AND token NOT LIKE 'value:event_type:%' AND fate <> 'unk' AND {_sql_unit('pick')} < 0.15 THEN
+  CASE WHEN {_sql_unit('kind')} < 0.8 THEN 'mask' WHEN {_sql_unit('kind')} < 0.9 THEN 'random' ELSE 'same' END ELSE 'keep' END AS action FROM en LEFT JOIN p ON token LIKE 'value:%' AND f = split_part(token, ':', 2))
+SELECT event_id, pos::BIGINT AS pos, action, CASE action WHEN 'mask' THEN 2 WHEN 'random' THEN pool[floor({_sql_unit('swap')} * len(pool))::INT + 1] ELSE id END::BIGINT AS masked_id, CASE WHEN action <> 'keep' THEN id END::BIGINT AS label FROM c""")
 def t10_masking(spark, sf_dir):
-    """Which value tokens are masked, by hash and never by chance."""
-    rows = _tokens(spark, sf_dir).select("event_id", F.posexplode("tokens").alias("pos", "token")).withColumn("pos", F.col("pos").cast("long"))
-    return tokens.masked(rows, F.col("event_id").cast("string"), SEED).select("event_id", "pos", "action")
+    """Masked ids and labels, by hash and never by chance."""
+    v = _vocab(spark, sf_dir)
+    return tokens.masked(_encoded(spark, sf_dir, v), v, F.col("event_id").cast("string"), SEED).select("event_id", "pos", "action", "masked_id", "label")
 
 
-@query(f"""WITH {_SQL_VOCAB}, i AS (SELECT event_id, pos, coalesce(a.token, b.token, 'UNK') AS t FROM tk LEFT JOIN vo a USING (token)
-LEFT JOIN vo b ON a.id IS NULL AND tk.token LIKE 'value:%' AND b.token = 'value:' || split_part(tk.token, ':', 2) || ':RARE') SELECT event_id, string_agg(t, ' ' ORDER BY pos) AS tokens FROM i GROUP BY event_id""")
+@query(f"""WITH {_SQL_ENCODED} SELECT event_id, string_agg(vo.token, ' ' ORDER BY pos) AS tokens FROM en JOIN vo ON en.id = vo.id GROUP BY event_id""")
 def t11_decode(spark, sf_dir):
     """Ids back as tokens."""
     v = _vocab(spark, sf_dir)
-    out = tokens.decode(tokens.encode(_tokens(spark, sf_dir), v, PRUNED, ["event_id"]), v, ["event_id"])
-    return out.select("event_id", F.array_join("tokens", " ").alias("tokens"))
+    return tokens.decode(_encoded(spark, sf_dir, v), v, ["event_id"]).select("event_id", F.array_join("tokens", " ").alias("tokens"))
+
+
+_LESS = [t for t in _ALWAYS if not t.endswith("ERROR")]
+
+
+@query(f"""WITH {_sql_encoded(_sql_vocab(_LESS))}, w AS (SELECT *, sum(len(tokens)) OVER (PARTITION BY client_id ORDER BY position DESC) AS s FROM ev),
+c AS (SELECT client_id, count(*) AS a, count(*) FILTER (s <= 100) AS k, coalesce(sum(len(tokens)) FILTER (s <= 100), 0) AS n FROM w GROUP BY client_id),
+o AS (SELECT split_part(token, ':', 2) AS label, count(*) AS total, count(*) FILTER (fate = 'unk') AS unk, count(*) FILTER (fate = 'rare') AS rare FROM en WHERE token LIKE 'value:amount:%' OR token LIKE 'value:k:%' GROUP BY 1),
+m AS (SELECT 'unk_rate' AS metric, label, unk AS hits, total FROM o UNION ALL SELECT 'rare_rate', label, rare, total FROM o
+  UNION ALL SELECT 'closed_set_violation_rate', '', count(*) FILTER (fate = 'violation'), count(*) FROM en WHERE NOT (token LIKE 'value:amount:%' OR token LIKE 'value:k:%')
+  UNION ALL SELECT 'truncation_rate', '', count(*) FILTER (k < a), count(*) FROM c UNION ALL SELECT 'window_start_rate', '', count(*) FILTER (k < a AND k > 0), count(*) FILTER (k > 0) FROM c
+  UNION ALL SELECT 'pad_ratio', '', sum(greatest(0, 100 - n)), count(*) * 100 FROM c)
+SELECT metric, label, hits::BIGINT AS hits, total::BIGINT AS total, hits::DOUBLE / total AS rate, CASE metric WHEN 'unk_rate' THEN CASE WHEN hits / total > 0.05 THEN 'critical' WHEN hits / total > 0.01 THEN 'warning' ELSE 'normal' END
+  WHEN 'closed_set_violation_rate' THEN CASE WHEN hits > 0 THEN 'critical' ELSE 'normal' END WHEN 'truncation_rate' THEN CASE WHEN hits / total > 0.5 THEN 'critical' WHEN hits / total > 0.2 THEN 'warning' ELSE 'normal' END
+  WHEN 'pad_ratio' THEN CASE WHEN hits / total > 0.6 THEN 'critical' WHEN hits / total > 0.3 THEN 'warning' ELSE 'normal' END END AS level FROM m""")
+def t11_monitoring(spark, sf_dir):
+    """Rates of the token stage, with a type that is outside its domain."""
+    events = _tokens(spark, sf_dir)
+    encoded = tokens.encode(events, _vocab(spark, sf_dir, _LESS), PRUNED, ["event_id"], strict=False)
+    kept = _window(events).groupBy("client_id").agg(F.count("*").alias("kept"), F.sum("n_tokens").alias("n"))
+    clients = events.groupBy("client_id").agg(F.count("*").alias("all_events")).join(kept, "client_id", "left")
+    windows = clients.select("client_id", "all_events", F.coalesce("kept", F.lit(0)).alias("kept_events"), F.coalesce("n", F.lit(0)).alias("n_ids"))
+    return tokens.monitoring(encoded, PRUNED, windows, 100)
 
 
 # --- flagship --------------------------------------------------------------------------------------------------------
