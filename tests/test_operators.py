@@ -378,8 +378,8 @@ def test_the_default_policy_fits_the_limit():
 
 
 def test_masking_takes_tokens_of_the_same_field(spark):
-    df = spark.createDataFrame([(i, ["[EVT]", "key:event_type", "value:event_type:T", "key:c", f"value:c:{i % 7}", "key:o", f"value:o:{i % 400}"]) for i in range(1500)], "row int, tokens array<string>")
-    v = tokens.vocabulary(df, ["o"], ["key:event_type", "key:c", "key:o", "value:event_type:T", *(f"value:c:{i}" for i in range(7)), "value:c:MISSING"], 4)
+    df = spark.createDataFrame([(i, ["[EVT]", "key:event_type", "value:event_type:T", "key:c", f"value:c:{i % 7}", "key:o", f"value:o:{i % 10 if i % 3 else i}"]) for i in range(1500)], "row int, tokens array<string>")
+    v = tokens.vocabulary(df, ["o"], ["key:event_type", "key:c", "key:o", "value:event_type:T", *(f"value:c:{i}" for i in range(7)), "value:c:MISSING"], 20)
     names = {r.id: r.token for r in v.where("id is not null").collect()}
     fresh = df.unionByName(spark.createDataFrame([(9999, ["key:o", "value:o:new"])], df.schema))
     rows = tokens.masked(tokens.encode(fresh, v, ["o"], ["row"]), v, F.col("row").cast("string"), 3, 0.5).collect()
