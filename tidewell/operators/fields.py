@@ -76,8 +76,7 @@ def categories(records: DataFrame, rules: dict[str, Category]) -> DataFrame:
 
 def numeric(records: DataFrame, name: str, **rule) -> DataFrame:
     """``name`` as an exact decimal, null if invalid, and ``name__reason``."""
-    value, reason = numbers.validated(F.col(name).cast("string"), **rule)
-    return records.withColumns({f"{name}__reason": reason, name: value})
+    return numbers.validated(records, F.col(name), name, **rule)
 
 
 def apply_policies(records: DataFrame, excluded: list[str], multivalue: dict[str, tuple[bool, int]]) -> DataFrame:

@@ -207,9 +207,8 @@ def o06c_business_dedup(spark, sf_dir):
     """One record for each business fact, the one with the smallest id; and how many there were."""
     good, _ = dedup.exact(_copies(spark, sf_dir), ["source", "source_record_id"], _signature(), ["line"], "version")
     facts = ["user_id", "ts", "event_type", "value"]
-    kept = dedup.business(good, facts)
-    n = good.groupBy(*facts).agg(F.count("*").alias("n_facts"))
-    return kept.join(n, facts).select("source_record_id", "n_facts")
+    n = Window.partitionBy(*facts)
+    return dedup.business(good.withColumn("n_facts", F.count("*").over(n)), facts).select("source_record_id", "n_facts")
 
 
 # --- O07 event types, O08 sessions -----------------------------------------------------------------------------------

@@ -113,11 +113,6 @@ def read_lines(spark: SparkSession, root: str, source: str, broadcast_blocks: in
     return out.where(F.trim("value") != "")
 
 
-def _kind(v: Column, name: str) -> Column:
-    """The JSON kind of a key's value: null where the key is absent, VOID where it is null."""
-    return F.schema_of_variant(F.try_variant_get(v, f"$['{name}']", "variant"))
-
-
 def _fits(kind: Column, spec: ColumnSpec) -> Column:
     ok = {"string": kind == "STRING", "integer": (kind == "BIGINT") | kind.rlike(r"^DECIMAL\(\d+,0\)$") & (kind != "DECIMAL(1,0)"), "string_list": kind.isin("ARRAY<STRING>", "ARRAY<VOID>")}[spec.type]
     return ok | (kind == "VOID") if spec.nullable else ok
@@ -137,9 +132,11 @@ def validate(lines: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame
     rows = lines.withColumn("v", F.try_parse_json("value"))
     is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
     rows = rows.withColumn("__obj", is_object)
-    keys = F.when(is_object, F.json_object_keys(F.to_json("v")))
-    kinds = {c: F.when(is_object, _kind(F.col("v"), c)) for c in contract.columns}
-    rows = rows.withColumns({"__keys": keys, **{f"__k_{c}": k for c, k in kinds.items()}})
+    keys = F.when(F.col("__obj"), F.json_object_keys("value"))
+    # the variant of each column once; its kind and its value come from that
+    parts = {f"__v_{c}": F.when(F.col("__obj"), F.try_variant_get("v", f"$['{c}']", "variant")) for c in contract.columns}
+    rows = rows.withColumns({"__keys": keys, **parts})
+    rows = rows.withColumns({f"__k_{c}": F.schema_of_variant(f"__v_{c}") for c in contract.columns})
     checks = [F.when(F.size(F.array_except("__keys", F.array(*[F.lit(c) for c in contract.columns]))) > 0, "unknown_field")]
     for c, spec in contract.columns.items():
         k = F.col(f"__k_{c}")
@@ -148,7 +145,7 @@ def validate(lines: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame
         if not spec.nullable:
             checks.append(F.when(k == "VOID", f"null:{c}"))
         checks.append(F.when(k.isNotNull() & (k != "VOID") & ~_fits(k, spec), f"type:{c}"))
-    values = {c: F.try_variant_get("v", f"$['{c}']", SQL_TYPES[s.type]) for c, s in contract.columns.items()}
+    values = {c: F.try_variant_get(f"__v_{c}", "$", SQL_TYPES[s.type]) for c, s in contract.columns.items()}
     rows = rows.withColumns(values)
     for k in contract.primary_key:
         checks.append(F.when(F.trim(F.col(k)) == "", f"blank_key:{k}"))
