@@ -45,6 +45,8 @@ GAP = 0.6
 #: Offsets of the second and third letter and the number of letters skipped.
 PATTERNS = [(a, b, b - 2) for b in range(2, 5) for a in range(1, b)]
 LONG_WORD, WINDOW, STEP = 32, 24, 12
+#: So many clean words that look worst after a round, and how many times more than others they count in the next.
+NEAR, NEAR_WEIGHT = 200, 8.0
 _NOT_LETTERS = re.compile(r"[^\w\s]+|[\d_]+")
 _SPACED = re.compile(r"(?<!\S)[^\W\d_](?:\s+[^\W\d_]){2,}(?!\w)")
 #: A sentence ends with its line, or with a stop after two letters (not within ``i. d. i. o. t``).
@@ -321,13 +323,14 @@ def train(examples: list[tuple[list[list[str]], int, int]], max_landmarks: int =
     tables = columns @ root
     dense = np.zeros(1 << 18)
     told = dict(hit)
+    near: set[str] = set()
     for left in range(rounds, 0, -1):
         strings = [*sorted(told, key=lambda w: (-told[w], w))[:max_clean], *used]
         y = np.concatenate([np.ones(len(strings) - len(used)), -np.ones(len(used))])
         x = np.concatenate([kernel_rows(strings[k : k + 2000], tables, index) for k in range(0, len(strings), 2000)])
         n = np.array([told.get(s, 1) for s in strings], float)
-        weight = np.where(y > 0, np.sqrt(n), 1.0)
-        weight *= np.where(y > 0, len(y) / (2 * weight[y > 0].sum()), len(y) / (2 * (y < 0).sum()))
+        weight = np.where(y > 0, np.sqrt(n), np.array([NEAR_WEIGHT if w in near else 1.0 for w in strings]))
+        weight *= np.where(y > 0, len(y) / (2 * weight[y > 0].sum()), len(y) / (2 * weight[y < 0].sum()))
         w = _svm(x, y, weight, ridge=1e-4 * len(y))
         dense[subs], bias = tables @ w[:-1], float(w[-1])
         if left == 1:
@@ -335,7 +338,9 @@ def train(examples: list[tuple[list[list[str]], int, int]], max_landmarks: int =
         # the worst words of clean sentences that look worst are among the next examples
         worst, z = bags[0].worst(score_words(bags[0].vocab, dense, bias))
         hard = [bags[0].vocab[i] for i in worst[np.argsort(-z, kind="stable")].tolist()]
-        used = list(dict.fromkeys([*used, *list(dict.fromkeys(w for w in hard if w in allowed))[:2000]]))
+        hard = list(dict.fromkeys(w for w in hard if w in allowed))[:2000]
+        near.update(hard[:NEAR])
+        used = list(dict.fromkeys([*used, *hard]))
         # toxic are now also the sentences that the machine finds toxic, by a word that clean documents do not have
         worst, z = bags[1].worst(score_words(bags[1].vocab, dense, bias))
         seen = Counter(bags[1].vocab[i] for i in worst[z > 0].tolist())
