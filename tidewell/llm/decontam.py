@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 import sys
+from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -50,6 +51,7 @@ FILTER_BITS = 23
 #: Units of measure that become a placeholder (fixed values).
 UNITS = "mm cm m km in inch inches ft feet foot yard yards mile miles mg g kg lb lbs oz ton tons ml l litre litres liter liters gallon gallons s sec second seconds min minute minutes h hour hours day days week weeks month months year years % percent $ usd eur dollar dollars cent cents euro euros degree degrees mph kmh w kw kwh v hz khz mhz ghz kb mb gb tb".split()
 NUMBERS = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
+_DIGIT = re.compile(r"\d")
 _SIGNS = "+-*/=^<>×÷"
 _EDGE = re.compile(r"^[^\w$€£%+-]+|[^\w%$]+$")
 _PARTS = re.compile(rf"[$€£]?\d(?:[\d.,:]*\d)?|[^\W\d_]+|[{re.escape(_SIGNS)}%]")
@@ -69,12 +71,15 @@ def _value(word: str) -> int:
 
 def look(word: str) -> list[tuple[int, int]]:
     """(kind, value hash) of the parts of a word: none of mere punctuation, several of ``5kg`` or ``12+7``."""
-    core = word
-    if not word.isalpha():
+    core, letters = word, word.isalpha()
+    if not letters:
+        core = word[:-1]
+        letters = core.isalpha() and word[-1] in ".,;:!?)"
+    if not letters:
         if word and all(c in _SIGNS for c in word):
             return [(PLAIN, _value(word))]
         core = _EDGE.sub("", word)
-        if core[-2:].lower() in ("'s", "’s"):
+        if core[-2:] in ("'s", "’s", "'S", "’S"):
             core = core[:-2]
     low = core.lower()
     if not low:
@@ -83,33 +88,38 @@ def look(word: str) -> list[tuple[int, int]]:
         return [(SPELLED, _value(low))]
     if low in _UNIT_WORDS:
         return [(AFTER if len(low) < 3 and low.isalpha() else UNIT, _value(low))]
-    if any(c.isdecimal() for c in low):
+    if not letters and _DIGIT.search(low):
         parts = _PARTS.findall(low)
         return [(NUM if p[-1].isdecimal() else UNIT if p in _UNIT_WORDS else PLAIN, _value(p)) for p in parts]
-    return [(NAME if core[0].isupper() and len(core) > 1 and not core.isupper() else PLAIN, _value(low))]
+    return [(NAME if core != low and core[0].isupper() and len(core) > 1 and not core.isupper() else PLAIN, _value(low))]
 
 
 class Lexicon:
     """The parts of the distinct words seen so far, a bounded number of them."""
 
-    def __init__(self, limit: int = 100_000):
+    def __init__(self, limit: int = 200_000):
         self.limit = limit
-        self.known: dict[str, list[tuple[int, int]]] = {}
+        self.clear()
 
-    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(where each word's parts begin, one more at the end; kinds; values)."""
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.first, self.kinds, self.values = array("q", [0]), array("b"), array("Q")
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(the number of each word; where each number's parts begin, one more at the end; kinds; values)."""
         if len(self.known) > self.limit:
-            self.known.clear()
+            self.clear()
         known = self.known
-        rows = []
         for w in words:
-            x = known.get(w)
-            if x is None:
-                x = known[w] = look(w)
-            rows.append(x)
-        first = np.concatenate([[0], np.cumsum([len(x) for x in rows], dtype=np.int64)]).astype(np.int64)
-        flat = [p for x in rows for p in x]
-        return first, np.array([k for k, _ in flat], np.int8), np.array([v for _, v in flat], np.uint64)
+            if w not in known:
+                known[w] = len(known)
+                for k, v in look(w):
+                    self.kinds.append(k)
+                    self.values.append(v)
+                self.first.append(len(self.kinds))
+        number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        # copies: the arrays grow with the next words
+        return number, np.array(self.first), np.array(self.kinds, np.int8), np.array(self.values, np.uint64)
 
 
 class Reading:
@@ -177,8 +187,8 @@ def read(texts: pa.Array, lexicon: Lexicon) -> tuple[Reading, Reading, np.ndarra
     """All texts with names as words and with names as slots, and the latter's number of each template word of the former."""
     words = pc.utf8_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
     coded = words.flatten().dictionary_encode()
-    first, kinds, values = lexicon.of(coded.dictionary.to_pylist())
-    at = coded.indices.to_numpy(zero_copy_only=False)
+    number, first, kinds, values = lexicon.of(coded.dictionary.to_pylist())
+    at = number[coded.indices.to_numpy(zero_copy_only=False)]
     parts = first[at + 1] - first[at] if len(at) else np.zeros(0, np.int64)
     text_of_word = np.repeat(np.arange(len(texts)), np.diff(words.offsets.to_numpy()))
     number = np.cumsum(parts > 0)
