@@ -326,6 +326,13 @@ def test_owners_decide_on_bare_tokens(spark):
     assert sorted(tuple(r) for r in got) == [(0, "", 0, 1), (1, "", 0, 1), (2, "", 0, 1), (3, "", 0, 1), (9, "bare:4:40", 0, 0), (9, "bare:4:40", 0, 0)]
 
 
+def test_many_repositories_of_few_owners_are_an_example(spark):
+    value, own = "Ab3d" * 9, "Xy7z" * 9
+    rows = [(i, f"see {value} there", f"lang{i}", f"owner{i % 2}", 0) for i in range(secrets.MANY_REPOS)] + [(90 + i, f"see {own} there", f"lang{i}", "owner1", 0) for i in range(secrets.MANY_REPOS - 1)]
+    got = {r.doc_id: (r.s, r.n_examples) for r in secrets.find(spark.createDataFrame(rows, data.DOC)).select("doc_id", secrets.rendered("spans").alias("s"), "n_examples").collect()}
+    assert all(got[i] == ("", 1) for i in range(secrets.MANY_REPOS)) and all(got[90 + i] == ("bare:4:40", 0) for i in range(secrets.MANY_REPOS - 1))
+
+
 # --- 8 toxicity ---
 
 
@@ -785,3 +792,16 @@ def test_a_family_around_the_similarity_against_brute_force(spark, monkeypatch,
     monkeypatch.setattr(simhash, "BLOCK", 8)
     monkeypatch.setattr(simhash, "SMALL_BUCKET", 16)
     assert {r.doc_id for r in simhash.keep_one(frame(spark, texts)).collect()} == want
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    rng = random.Random(25)
+    texts = [None if rng.random() < 0.1 else "é" * rng.choice([0, 1, 50, 3000]) for _ in range(400)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[:150]), pa.array(range(150))], names=["t", "i"]), pa.RecordBatch.from_arrays([pa.array(texts[150:]), pa.array(range(150, 400))], names=["t", "i"])]
+    parts = list(common.sized_slices(batches, 0, 40, 5000))
+    assert [i for p in parts for i in p.column(1).to_pylist()] == list(range(400))
+    sizes = [[len((t or "").encode()) for t in p.column(0).to_pylist()] for p in parts]
+    assert all(len(s) <= 40 and (sum(s) <= 5000 or len(s) == 1) for s in sizes)
+    assert list(common.sized_slices([batches[0].slice(0, 0)], 0)) == []

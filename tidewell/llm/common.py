@@ -64,20 +64,46 @@ def trim() -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a default only where none is named."""
+    """The folder that driver and executors share, named in ``spark.checkpoint.dir``.
+
+    Where it is unset a local run takes one under /tmp; on a cluster it is an
+    error, as no folder of one machine would do.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file:///tmp/checkpoints/tidewell")
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or "file:///tmp/checkpoints/tidewell")
     return sc.getCheckpointDir().rstrip("/")
 
 
+#: Paths of the tables that were written, in order.
+_TABLES: list[str] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """How many tables there are by now, for ``discard``."""
+    return len(_TABLES)
+
+
+def discard(spark: SparkSession, since: int, keep: int = 0) -> None:
+    """Delete the tables written since a mark, but for the last ``keep``. Nothing may still be read from them."""
+    last = len(_TABLES) - keep
+    for path in _TABLES[since:last]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    del _TABLES[since:last]
+
+
 def broadcastable(df: DataFrame, rows: int) -> DataFrame:
     """A broadcast hint, but only when the table was counted to hold at most ``rows`` rows.
 
@@ -115,11 +141,14 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     def state(e: DataFrame):
         return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
 
+    spark = edges.sparkSession
+    since = mark()
     cur = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     before = state(cur)
     if before[0]:
         for _ in range(max_rounds):
             cur = materialize(star(star(cur, True), False))
+            discard(spark, since, keep=1)
             now = state(cur)
             if now == before:
                 break

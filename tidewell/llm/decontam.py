@@ -37,7 +37,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcastable, materialize, pick, sized_slices
+from .common import broadcastable, discard, mark, materialize, pick, sized_slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -447,7 +447,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: int = COVER) ->
     """``docs`` without contaminated documents; same columns. Clean rows, also repeated ones, all stay."""
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    hits = contaminations(docs, benchmark, cover).select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")).distinct()
-    hits = broadcastable(materialize(hits), 500_000)  # two longs a row; more are joined by shuffle
+    since = mark()
+    hits = materialize(contaminations(docs, benchmark, cover).select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")).distinct())
+    discard(docs.sparkSession, since, keep=1)
+    hits = broadcastable(hits, 500_000)  # two longs a row; more are joined by shuffle
     same = flat[f"c{names.index('doc_id')}"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(f"c{names.index('text')}") == F.col("hit_key"))
     return flat.join(hits, same, "left_anti").toDF(*names)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import sized_slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -207,15 +207,19 @@ def feature(track: Track) -> str:
     return f"codec={track.codec};type={track.handler};size={track.width}x{track.height};seconds={track.seconds():.3f};samples={len(track.sizes)};keyframes={keys}"
 
 
+#: So many bytes of texts are stored or read at a time, or one longer text.
+SLICE_BYTES = 32 << 20
+
+
 def store(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with a binary column ``media``: each whole text (null: empty) as a container."""
     names = df.columns
     at = names.index(text)
 
     def run(batches):
-        for b in slices(batches):
+        for b in sized_slices(batches, at, 512, SLICE_BYTES):
             media = [mux(pad((t or "").encode())) for t in b.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(media, pa.large_binary() if sum(map(len, media)) >= 1 << 31 else pa.binary())], names=[*b.schema.names, "media"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(media, pa.binary())], names=[*b.schema.names, "media"])
 
     from pyspark.sql import types as T
 
@@ -236,7 +240,7 @@ def inspect(df: DataFrame, media: str = "media") -> DataFrame:
     fields = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, codec string, seconds double, n_samples long, keyframes array<struct<start:long,end:long>>, feature string, error string"
 
     def run(batches):
-        for b in slices(batches):
+        for b in sized_slices(batches, at, 512, SLICE_BYTES):
             rows = []
             for data in b.column(at).to_pylist():
                 try:

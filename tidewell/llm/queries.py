@@ -108,8 +108,8 @@ c AS (SELECT r, no, kind, e - length(m) AS s, e, v FROM p WHERE length(v) >= lea
 b AS (SELECT * FROM c WHERE no < 3),
 x AS (SELECT * FROM c WHERE no = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND NOT EXISTS (SELECT 1 FROM b WHERE b.r = c.r AND b.s < c.e AND c.s < b.e)),
 a AS (SELECT * FROM b UNION ALL SELECT * FROM x),
-o AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners FROM a JOIN d USING (r) GROUP BY v),
-k AS (SELECT a.*, owners < {secrets.MANY_OWNERS} AS live FROM a JOIN o USING (v)),
+o AS (SELECT v, count(DISTINCT coalesce(source, chr(0))) AS owners, count(DISTINCT (coalesce(source, chr(0)), coalesce(lang, chr(0)))) AS repos FROM a JOIN d USING (r) GROUP BY v),
+k AS (SELECT a.*, owners < {secrets.MANY_OWNERS} AND repos < {secrets.MANY_REPOS} AS live FROM a JOIN o USING (v)),
 g AS (SELECT r, count(*) FILTER (no = 0) AS n0, count(*) FILTER (no = 1) AS n1, count(*) FILTER (no = 2) AS n2,
              string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) FILTER (no < 3) AS base,
              string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, no) FILTER (no < 3 OR live) AS spans,

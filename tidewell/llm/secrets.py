@@ -5,8 +5,8 @@ in every whole text. A fourth kind, ``bare``, is a long run of letters, digits
 and signs with both a letter and a digit that touches no base span: a candidate,
 nothing more. All candidates are hashed, and for each hash the distinct
 repositories and distinct owners that hold it are counted over the whole corpus.
-A value that many owners share is a widely copied example; a value of few owners
-looks live. Bare candidates become spans only when they look live; base spans
+A value that many owners share, or that is in many repositories, is a widely
+copied example; a value of few owners in few repositories looks live. Bare candidates become spans only when they look live; base spans
 stay whatever the counts, which only tell examples from live-looking ones.
 
 Only DataFrame and SQL functions: positions come from the lengths of what a
@@ -29,8 +29,8 @@ KINDS = [
     ("hex", r"[0-9a-f]{24,}", 0, 24),
     ("bare", r"[A-Za-z0-9+/_=-]{28,}", 0, 28),
 ]
-#: A value that as many owners hold is an example.
-MANY_OWNERS = 3
+#: A value that as many owners hold, or that is in as many repositories, is an example.
+MANY_OWNERS, MANY_REPOS = 3, 6
 
 
 def spans(text: Column, no: int) -> Column:
@@ -73,7 +73,7 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return per_owner.groupBy("h").agg(F.count("*").alias("n_owners"), F.sum("r").alias("n_repos"))
 
 
-def find(docs: DataFrame, owner: str = "source", repository: str = "lang", many: int = MANY_OWNERS) -> DataFrame:
+def find(docs: DataFrame, owner: str = "source", repository: str = "lang", many: int = MANY_OWNERS, many_repos: int = MANY_REPOS) -> DataFrame:
     """One row per document: ``doc_id, base, spans, n_live, n_examples``.
 
     ``base`` and ``spans`` are arrays of (start, no, end, h, mixed), sorted by
@@ -84,7 +84,7 @@ def find(docs: DataFrame, owner: str = "source", repository: str = "lang", many:
     rows = materialize(scan(docs, owner, repository))
     cands = rows.select("doc_id", "key", "owner", "repo", F.explode(F.concat("base", "bare")).alias("s")).select("doc_id", "key", "owner", "repo", "s", F.col("s.h").alias("h"))
     known = cands.drop("owner", "repo").distinct().join(ownership(cands), "h")
-    live = F.col("n_owners") < many
+    live = (F.col("n_owners") < many) & (F.col("n_repos") < many_repos)
     added = F.array_sort(F.collect_set(F.when(live & (F.col("s.no") == 3), F.col("s"))))
     per = known.groupBy("doc_id", "key").agg(added.alias("added"), F.count_if(live & (F.col("s.no") < 3)).alias("n_live"), F.count_if(~live).alias("n_examples"))
     per = per.withColumnsRenamed({"doc_id": "id2", "key": "key2"})

@@ -42,7 +42,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcastable, components, materialize, pick, sized_slices, slices
+from .common import broadcastable, components, discard, mark, materialize, pick, sized_slices, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -529,6 +529,7 @@ def keep_one(docs: DataFrame, most: int = 3, similarity: float | None = 0.8) ->
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = {n: f"c{names.index(n)}" for n in ("doc_id", "text")}
     flat = materialize(flat.withColumn("uid", F.monotonically_increasing_id()))
+    since = mark()
     texts = flat.select("uid", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text"))
     if similarity is None:
         fps = materialize(fingerprints(texts).withColumnRenamed("fp", "node"))
@@ -542,4 +543,5 @@ def keep_one(docs: DataFrame, most: int = 3, similarity: float | None = 0.8) ->
     # only documents of groups of two and more are looked at again; their number decides between broadcast and shuffle
     shared = known.join(groups, "root").select("node", "stay")
     gone = materialize(fps.select("node", "uid").join(shared, "node").where("uid != stay").select("uid"))
+    discard(docs.sparkSession, since, keep=1)
     return flat.join(broadcastable(gone, 500_000), "uid", "left_anti").select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
