@@ -202,6 +202,26 @@ def test_categories(spark):
     assert got == [("EUR", ["EUR", "KZT"]), ("EUR", None), ("KZT", None), (None, None), (None, None)]
 
 
+def test_strict_categories_reject_and_list_items_are_normalised(spark):
+    rule = fields.Category({"978": "EUR"}, ("KZT", "EUR"), strict=True)
+    df = spark.createDataFrame([(1, "978", ["ＫＺＴ"]), (2, "GBP", ["kzt"]), (3, None, ["x", "eur"]), (4, " ", None)], "id int, c string, l array<string>")
+    good, bad = fields.checked_categories(df, {"c": rule, "l": rule})
+    assert sorted((r.id, r.c, r.l) for r in good.collect()) == [(1, "EUR", ["KZT"]), (4, None, None)]
+    assert sorted((r.id, r.reason, r.details) for r in bad.collect()) == [(2, "source_contract_violation", ["domain:c"]), (3, "source_contract_violation", ["domain:l"])]
+    loose = fields.Category({}, ("KZT",))
+    assert fields.checked_categories(df, {"c": loose})[1].count() == 0
+
+
+def test_clip_counters(spark):
+    rows = [("f", f"k{i}", Decimal(i)) for i in range(10, 20)]
+    e = buckets.fit(spark.createDataFrame(rows, "field string, key string, value decimal(38,8)"), {"f": ("quantile", 4), "none": ("equal_width", 4)})
+    assert (e["f"].least, e["f"].most, e["f"].n_values, e["f"].asked) == (10, 19, 10, 4) and e["none"].least is None
+    df = spark.createDataFrame([(Decimal(9), None), (Decimal(10), None), (Decimal(19), Decimal(1)), (Decimal(25), None), (None, None)], "f decimal(38,8), none decimal(38,8)")
+    got = {r.field: (r.assigned, r.clipped_low, r.clipped_high, r.missing) for r in buckets.clip_counts(df, e).collect()}
+    assert got == {"f": (4, 1, 1, 1), "none": (1, 0, 0, 4)}
+    assert [r[0] for r in df.select(e["f"].column(F.col("f"))).collect()][0] == "bucket_0"
+
+
 def test_policies(spark):
     df = spark.createDataFrame([(list("zyxwvutsrqp"), list("cba"), 1)], "u array<string>, o array<string>, secret int")
     got = fields.apply_policies(df, ["secret"], {"u": (False, 8), "o": (True, 2)}).first()

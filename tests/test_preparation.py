@@ -29,6 +29,7 @@ def encoded(spark, root, artifacts):
         "profiles": {r.client_id: r for r in e.profiles.collect()},
         "quarantine": {(r.source, r.source_record_id, r.reason, r.detail) for r in e.quarantine.collect()},
         "metrics": {(r.label, r.metric): (r.hits, r.total) for r in e.metrics.collect()},
+        "levels": {(r.label, r.metric): r.level for r in e.metrics.collect()},
         "raw": e,
     }
 
@@ -63,7 +64,7 @@ def test_missing_values(encoded):
 def test_rates_are_used_for_three_days(encoded):
     e = encoded["events"]
     assert fields(e["P10"])["amount_base_bucket"] != "MISSING" and fields(e["P11"])["amount_base_bucket"] == "MISSING"
-    assert encoded["metrics"]["core_payments", "fx_missing_rate"][0] == 2
+    assert encoded["metrics"][None, "fx_missing_rate"][0] == 2
 
 
 def test_excluded_fields_are_gone(encoded):
@@ -106,6 +107,94 @@ def test_frozen_state(spark, root, artifacts, encoded, tmp_path):
     assert spark.read.json(f"file://{tmp_path}/out/quarantine").count() == 9
 
 
+def test_metrics_of_the_run(encoded):
+    m = encoded["metrics"]
+    from tidewell.operators.checks import RATES
+
+    assert {n for _, n in m} == set(RATES)
+    assert m[None, "late_arriving_rate"][1] == m[None, "calendar_timezone_fallback_rate"][1] + 2 or m[None, "late_arriving_rate"][1] > 30
+    assert m[None, "schema_violation_rate"][0] == 6 and m[None, "schema_violation_rate"][1] == len(encoded["events"]) + 3
+    assert m[None, "unknown_event_type_rate"][0] == 1 and m[None, "timestamp_error_rate"][0] == 1 and m[None, "dedup_conflict_rate"][0] == 0
+    assert m[None, "dedup_conflict_rate"][1] == 2  # P7 and P9 come twice
+    assert m[None, "numeric_nan_rate"][0] == 1 and m["age_bucket", "numeric_business_range_error_rate"][0] == 1 and m["amount_base_bucket", "numeric_business_range_error_rate"][0] == 1
+    assert m["direction", "missing_rate"][0] == 2 and m["screens", "missing_rate"] == (0, 3)
+    assert m[None, "profile_missing_rate"] == (1, 3) and m[None, "session_anomaly_rate"] == (0, 3) and m[None, "bucket_domain_violation_rate"][0] == 0
+    assert m[None, "numeric_clip_rate"][0] == 0 and m[None, "numeric_clip_rate"][1] > 20
+    assert encoded["levels"][None, "unknown_event_type_rate"] == "critical" and encoded["levels"][None, "cutoff_violation_rate"] == "normal"
+
+
+def test_the_state_has_22_sections_and_each_change_is_seen(artifacts):
+    from dataclasses import replace
+    from decimal import Decimal
+
+    assert len(artifacts.document()) == 22
+    edges = {n: replace(e, edges=(*e.edges, Decimal(10**12))) if n == "age_bucket" else e for n, e in artifacts.edges.items()}
+    others = [
+        replace(artifacts, edges=edges), replace(artifacts, identity={}), replace(artifacts, delta=replace(artifacts.delta, edges=())),
+        *(replace(artifacts, policy=DEFAULT.at(**c)) for c in ({"seed": 1}, {"cutoff": "2026-01-30 23:59:59"}, {"fx_days": 1}, {"session_gap_seconds": 1}, {"placeholders": ()}, {"topup_direction": "OUT"}, {"default_bucket": ("quantile", 8)}, {"horizon_days": 1}, {"zones": {}})),
+    ]
+    assert len({artifacts.sha256(), *(x.sha256() for x in others)}) == 1 + len(others)
+
+
+def test_documents_of_a_build_and_of_an_output(spark, artifacts, encoded, tmp_path):
+    from tidewell.plans import documents
+
+    built = documents.artifacts(artifacts, "t", "2026-02-01T00:00:00Z")
+    assert len(built) == 22 + 14 + 1 and json.loads(built["preprocessing_state_sha256.json"]) == artifacts.sha256()
+    storage.freeze(spark, artifacts, f"file://{tmp_path}/a", built)
+    docs = documents.prepared(artifacts, encoded["raw"], "t")
+    manifest = json.loads(docs["contract.json"])
+    assert len(manifest) == 19 and len(docs) == 15
+    storage.write_outputs(encoded["raw"], f"file://{tmp_path}/out", docs)
+    for item in manifest.values():
+        if item["file"].endswith(".json"):
+            doc = json.loads((tmp_path / "out" / item["file"]).read_text())
+            assert item.get("key") is None or item["key"] in doc
+        else:
+            lines = [json.loads(x) for f in sorted((tmp_path / "out" / item["file"]).glob("part-*")) for x in f.read_text().splitlines()]
+            assert lines and all(item.get("key") is None or item["key"] in x for x in lines)
+    first = next(json.loads(x) for f in sorted((tmp_path / "out" / "prepared_events").glob("part-*")) for x in f.read_text().splitlines())
+    assert set(first) == {"client_id", "event_id", "event_type", "timestamp_utc", "calendar_timezone", "ordering_key", "fields", "calendar_time_features", "lifetime_first"} and isinstance(first["fields"], dict)
+    assert documents.code_state()["sha256"] == documents.code_state()["sha256"] and len(documents.code_state()["files"]) > 20
+
+
+def test_golden_names_the_first_difference(spark, root, artifacts, encoded, tmp_path):
+    from dataclasses import replace
+
+    from pyspark.sql import functions as F
+
+    from tidewell.plans import golden
+
+    path = f"file://{tmp_path}/golden"
+    raw = encoded["raw"]
+    with pytest.raises(golden.GoldenMismatch, match="no frozen"):
+        golden.compare(spark, raw, artifacts, path)
+    golden.freeze(spark, raw, artifacts, path, "1", "t")
+    golden.compare(spark, raw, artifacts, path)
+    with pytest.raises(golden.GoldenMismatch, match="already"):
+        golden.freeze(spark, raw, artifacts, path, "1", "t")
+    changed = replace(raw, events=raw.events.withColumn("lifetime_first", F.lit(False)), profiles=raw.profiles.where("client_id != 'C000001'"))
+    found = golden.differences(spark, changed, artifacts, path)
+    assert found == {"prepared_events": "row ('C000000', 0): lifetime_first is false for true", "prepared_profile": "row ('C000001',): * is None for a row"}
+    with pytest.raises(golden.GoldenMismatch, match="preprocessing_state_sha256"):
+        golden.compare(spark, raw, replace(artifacts, policy=DEFAULT.at(seed=1)), path)
+
+
+def test_the_output_contract_sees_every_kind_of_break(spark):
+    from pyspark.sql import functions as F
+
+    from tidewell.operators import checks
+
+    rows = spark.createDataFrame([("A", "bucket_1", ["X"], None, "id"), ("A", "bucket_9", ["X", "Z"], None, None), ("B", None, None, 1.5, None), ("B", "bucket_0", None, None, None)], "event_type string, b string, l array<string>, f double, secret string")
+    sections = {"A": {"b": checks.Declared(("bucket_0", "bucket_1"), True), "l": checks.Declared(("X", "Y"), multivalue=True)}, "B": {"f": checks.Declared(), "gone": checks.Declared()}}
+    got = {r.check: r.violations for r in checks.field_violations(rows, sections, ["secret"]).collect()}
+    assert got == {"domain:A.b": 1, "domain:A.l": 1, "undeclared:b": 1, "undeclared:l": 0, "undeclared:f": 0, "float:f": 1, "absent:gone": 4, "excluded:secret": 1}
+    n = checks.checked_values(rows, {k: {f: d for f, d in v.items() if f != "gone"} for k, v in sections.items()}).first()
+    assert (n.fields_checked, n.bucket_values, n.closed_set_values) == (6, 2, 3)
+    p = spark.createDataFrame([("c", "2024-01-01 00:00:00"), ("c", None), ("d", "2025-01-01 00:00:00"), (None, "2024-01-01 00:00:00")], "client_id string, profile_ts string").withColumn("profile_ts", F.col("profile_ts").cast("timestamp_ntz"))
+    assert {r.check: r.violations for r in checks.profile_violations(p, "2024-06-01 00:00:00").collect()} == {"profile_repeated": 1, "profile_no_client": 1, "profile_no_time": 1, "profile_after_cutoff": 1}
+
+
 def test_only_training_sets_build(spark, tmp_path):
     with pytest.raises(PolicyError, match="training set"):
         preparation.build(spark, fixtures.write(tmp_path, role="golden_input"))

@@ -27,6 +27,16 @@ def nfkc(c: Column, unicode: bool = True) -> Column:
     return F.when(c.rlike(r"[^\x00-\x7F]"), _nfkc(c)).otherwise(c) if unicode else c
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfkc_items(s: pd.Series) -> pd.Series:
+    return s.map(lambda xs: None if xs is None else [None if x is None else unicodedata.normalize("NFKC", x) for x in xs])
+
+
+def nfkc_items(c: Column) -> Column:
+    """Unicode NFKC of a list's items; only lists with an item beyond ASCII go through Arrow."""
+    return F.when(F.exists(c, lambda x: x.rlike(r"[^\x00-\x7F]")), _nfkc_items(c)).otherwise(c)
+
+
 def is_missing(c: Column, placeholders: list[str]) -> Column:
     """Null, blank, or one of the placeholders, compared without case."""
     folded = F.lower(strip(c))

@@ -49,9 +49,14 @@ def equal_width_edges(least: Decimal, most: Decimal, k: int) -> list[Decimal]:
 
 @dataclass(frozen=True)
 class Edges:
-    """Frozen inner edges of one field."""
+    """Frozen inner edges of one field, and what they were fitted on: the least and the greatest training value, how many, by which method."""
 
     edges: tuple[Decimal, ...]
+    least: Decimal | None = None
+    most: Decimal | None = None
+    n_values: int = 0
+    method: str = "quantile"
+    asked: int = 0
 
     def domain(self) -> list[str]:
         return [f"bucket_{i}" for i in range(len(self.edges) + 1)]
@@ -65,20 +70,32 @@ class Edges:
         return F.when(value.isNull(), "MISSING").otherwise(F.concat(F.lit("bucket_"), F.size(at).cast("string")))
 
 
+def clip_counts(df: DataFrame, edges: dict[str, Edges]) -> DataFrame:
+    """``field, assigned, clipped_low, clipped_high, missing`` of each field: a value beyond the training range keeps the outer
+    bucket's label and is counted. One aggregation."""
+    parts = []
+    for n, e in edges.items():
+        v = F.col(n).cast("decimal(38,8)")
+        below = F.count_if(v < F.lit(str(e.least)).cast("decimal(38,8)")) if e.least is not None else F.lit(0).cast("long")
+        above = F.count_if(v > F.lit(str(e.most)).cast("decimal(38,8)")) if e.most is not None else F.lit(0).cast("long")
+        parts.append(F.struct(F.lit(n).alias("field"), F.count(n).alias("assigned"), below.alias("clipped_low"), above.alias("clipped_high"), F.count_if(F.col(n).isNull()).alias("missing")))
+    return df.agg(F.array(*parts).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+
+
 def fit(values: DataFrame, methods: dict[str, tuple[str, int]], k: int = 50_000, seed: int = 0) -> dict[str, Edges]:
     """Edges of each field from (field, key, value) rows: ``methods`` is field -> (quantile | equal_width, buckets).
 
-    What comes to the driver is at most one edge a bucket, and two extremes a field.
+    What comes to the driver is at most one edge a bucket, and two extremes and a count a field.
     """
     picked = sample(values.where("value is not null"), k, seed)
     counts = {f: n for f, (m, n) in methods.items() if m == "quantile"}
-    out = {f: Edges(()) for f in methods}
+    seen = {r["field"]: r for r in picked.groupBy("field").agg(F.min("value").alias("a"), F.max("value").alias("b"), F.count("*").alias("n")).collect()}
+    inner: dict[str, tuple] = {f: () for f in methods}
     if counts:
         rows = quantile_edges(picked.where(F.col("field").isin(list(counts))), counts).collect()
         for f in counts:
-            out[f] = Edges(tuple(r["edge"] for r in sorted((r for r in rows if r["field"] == f), key=lambda r: r["edge_no"])))
-    wide = [f for f, (m, _) in methods.items() if m == "equal_width"]
-    if wide:
-        for r in picked.where(F.col("field").isin(wide)).groupBy("field").agg(F.min("value").alias("a"), F.max("value").alias("b")).collect():
-            out[r["field"]] = Edges(tuple(equal_width_edges(Decimal(r["a"]), Decimal(r["b"]), methods[r["field"]][1])))
-    return out
+            inner[f] = tuple(r["edge"] for r in sorted((r for r in rows if r["field"] == f), key=lambda r: r["edge_no"]))
+    for f, (m, n) in methods.items():
+        if m == "equal_width" and f in seen:
+            inner[f] = tuple(equal_width_edges(Decimal(seen[f]["a"]), Decimal(seen[f]["b"]), n))
+    return {f: Edges(inner[f], *((Decimal(seen[f]["a"]), Decimal(seen[f]["b"]), seen[f]["n"]) if f in seen else (None, None, 0)), m, n) for f, (m, n) in methods.items()}

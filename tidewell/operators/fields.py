@@ -14,13 +14,17 @@ MISSING = "MISSING"
 
 @dataclass(frozen=True)
 class Category:
-    """How a categorical field is normalised: aliases after trim, NFKC and upper case; a closed domain if there is one."""
+    """How a categorical field is normalised: aliases after trim, NFKC and upper case; a closed domain if there is one.
+
+    A value outside the domain is missing or, with ``strict``, a reason to reject the record (``checked_categories``).
+    """
 
     aliases: dict[str, str] = field(default_factory=dict)
     domain: tuple[str, ...] | None = None
     trim: bool = True
     unicode: bool = True
     case: str = "upper"
+    strict: bool = False
 
 
 def project(records: DataFrame, fields: dict[str, str], placeholders: list[str], keep: list[str]) -> DataFrame:
@@ -43,37 +47,63 @@ def project(records: DataFrame, fields: dict[str, str], placeholders: list[str],
     return records.select(*keep, *out)
 
 
-def category(c: Column, rule: Category) -> Column:
-    """The canonical value, null for missing or outside the domain."""
+def canonical(c: Column, rule: Category) -> Column:
+    """The canonical form, whether in the domain or not; null for missing."""
     x = text.strip(c) if rule.trim else c
     x = text.nfkc(x, rule.unicode)
     x = F.upper(x) if rule.case == "upper" else F.lower(x) if rule.case == "lower" else x
     aliased = x
     for a, t in rule.aliases.items():
         aliased = F.when(x == a, t).otherwise(aliased)
-    kept = F.when(aliased.isin(*rule.domain), aliased) if rule.domain else aliased
-    return F.when((kept != "") & (kept != MISSING), kept)
+    return F.when((aliased != "") & (aliased != MISSING), aliased)
 
 
-def _item(rule: Category):
-    return lambda x: category(x, rule)
+def category(c: Column, rule: Category) -> Column:
+    """The canonical value, null for missing or outside the domain."""
+    x = canonical(c, rule)
+    return F.when(x.isin(*rule.domain), x) if rule.domain else x
+
+
+def _items(c: Column, rule: Category, kept) -> Column:
+    """What ``kept`` makes of a list's items; null ones go. Python cannot run inside a lambda, so NFKC goes over the whole list first."""
+    plain = Category(rule.aliases, rule.domain, rule.trim, False, rule.case)
+    return F.filter(F.transform(text.nfkc_items(c) if rule.unicode else c, lambda x: kept(x, plain)), lambda x: x.isNotNull())
+
+
+def _is_list(records: DataFrame, name: str) -> bool:
+    return records.schema[name].dataType.typeName() == "array"
 
 
 def categories(records: DataFrame, rules: dict[str, Category]) -> DataFrame:
     """Every field of ``rules`` in its canonical form; of a list each item, missing ones dropped, an empty list missing."""
     out = {}
     for name, rule in rules.items():
-        c = F.col(name)
-        if records.schema[name].dataType.typeName() == "array":
-            # Python cannot run inside a lambda, so items are normalised without NFKC when they are ASCII
-            plain = Category(rule.aliases, rule.domain, rule.trim, False, rule.case)
-            items = F.filter(F.transform(c, _item(plain)), lambda x: x.isNotNull())
+        if _is_list(records, name):
+            items = _items(F.col(name), rule, category)
             out[name] = F.when(F.size(items) > 0, items)
         else:
-            out[name] = category(c, rule)
+            out[name] = category(F.col(name), rule)
     return records.withColumns(out)
 
 
+def checked_categories(records: DataFrame, rules: dict[str, Category]) -> tuple[DataFrame, DataFrame]:
+    """(records in canonical form, rejects): a value outside the domain of a strict field rejects its record, with every such field in ``details``."""
+    broken = []
+    for name, rule in rules.items():
+        if rule.strict and rule.domain:
+            if _is_list(records, name):
+                # items outside the domain are what the domain leaves of them
+                items = F.coalesce(_items(F.col(name), rule, canonical), F.array().cast("array<string>"))
+                outside = F.size(F.array_except(items, F.array(*[F.lit(d) for d in rule.domain]))) > 0
+            else:
+                x = canonical(F.col(name), rule)
+                outside = x.isNotNull() & ~x.isin(*rule.domain)
+            broken.append(F.when(outside, f"domain:{name}"))
+    rows = records.withColumn("details", F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>"))
+    bad = rows.where(F.size("details") > 0).withColumn("reason", F.lit("source_contract_violation"))
+    return categories(rows.where(F.size("details") == 0).drop("details"), rules), bad
+
+
 def numeric(records: DataFrame, name: str, **rule) -> DataFrame:
     """``name`` as an exact decimal, null if invalid, and ``name__reason``."""
     return numbers.validated(records, F.col(name), name, **rule)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import hashing, numbers, times
 from ..operators import buckets, checks, dedup, fields, fx, identity, profiles, sessions, timeline, timestamps
 from ..sources import jsonl, storage
+from . import metrics
 from .config import DEFAULT, Field, Policy, PolicyError, check
 
 
@@ -55,7 +56,7 @@ class Prepared:
     events: DataFrame
     profiles: DataFrame
     rejects: DataFrame
-    n_read: DataFrame
+    tallies: metrics.Tallies
 
 
 @dataclass(frozen=True)
@@ -69,11 +70,10 @@ class Artifacts:
     extra: dict = field(default_factory=dict)
 
     def document(self) -> dict:
-        return {
-            "policy": self.policy.state(), "identity": self.identity,
-            "edges": {n: list(e.edges) for n, e in self.edges.items()}, "delta_edges": list(self.delta.edges),
-            "domains": {n: [*e.domain(), fields.MISSING] for n, e in self.edges.items()},
-        }
+        """The state in its 22 sections."""
+        from .documents import state
+
+        return state(self)
 
     def sha256(self) -> str:
         return hashlib.sha256(canonical(self.document())).hexdigest()
@@ -89,6 +89,7 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
     jsonl.check_layout(spark, root, policy.contracts)
     ids = _dictionary_frame(spark, dictionary)
     rejected: list[DataFrame] = []
+    tallies = metrics.Tallies(spark)
 
     def out(bad: DataFrame, source: str) -> None:
         detail = F.array_join("details", ",") if "details" in bad.columns else F.lit(None).cast("string")
@@ -96,14 +97,16 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
 
     identified: dict[str, DataFrame] = {}
     for name, c in policy.contracts.items():
-        good, bad = jsonl.validate(jsonl.read_lines(spark, root, name), c)
+        # each source is read and checked once; all that follows starts from this table
+        checked = storage.stored(jsonl.checked(jsonl.read_lines(spark, root, name), c))
+        tallies.rows(checked, name)
+        good, bad = jsonl.divided(checked)
         out(bad, name)
         # a contract's own column may be called source, as the plan's is: the declared one is kept under another name
         if c.client_field:
             good, bad = identity.resolve_identity(good, ids, "source", c.client_field)
             out(bad, name)
-        # each source is read and checked once; all that follows starts from this table
-        identified[name] = storage.stored(good)
+        identified[name] = good
     profile_source = next(n for n, c in policy.contracts.items() if c.kind == "profile")
     snaps = identified[profile_source]
     home = policy.contracts[profile_source]
@@ -123,7 +126,9 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
             kw["default_zone"] = c.default_zone or "UTC"
         good, bad = timestamps.normalize(identified[name], c.time_field, c.time_kind, **kw)
         out(bad, name)
+        tallies.times(identified[name], good, name)
         good = timestamps.up_to(good, policy.cutoff).withColumn("source_priority", F.lit(c.priority))
+        tallies.copies(good, name)
         good, bad = dedup.exact(good, ["source_record_id"], jsonl.signature(c), ["partition", "line_number"], c.version_field)
         out(bad, name)
         if policy.fingerprints[name]:
@@ -136,9 +141,11 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
         code = {"core_payments": "op_code", "card_processing": "op", "app_logs": "action"}.get(name) or next(x for x in policy.contracts[name].columns if "code" in x)
         good, bad = identity.map_events(timed[name], codes, code)
         out(bad, name)
+        tallies.mapped(timed[name])
         if name == policy.session_source:
             acts = good.where("event_type is null")
             s = sessions.sessionize(acts, list(policy.session_starts), policy.session_gap_seconds, action=code, carry=["platform", "app_version", "calendar_zone", "zone_fallback", "is_late", "source", "source_priority"])
+            tallies.sessions(s, policy)
             typed.append(s.withColumn("event_type", F.lit("APP_SESSION")))
         typed.append(good.where("event_type is not null"))
 
@@ -170,11 +177,8 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
     rejects = rejected[0]
     for r in rejected[1:]:
         rejects = rejects.unionByName(r)
-    counts = None
-    for name in policy.contracts:
-        n = jsonl.read_lines(spark, root, name).select(F.lit(name).alias("source"))
-        counts = n if counts is None else counts.unionByName(n)
-    return Prepared(wide, prof, rejects, counts.groupBy("source").agg(F.count("*").alias("records_read")))
+    tallies.prepared(wide, prof, rejects, policy)
+    return Prepared(wide, prof, rejects, tallies)
 
 
 def _normalised(rows: DataFrame, model: dict[str, Field], policy: Policy, keep: list[str]) -> DataFrame:
@@ -206,7 +210,7 @@ def _profiles(snaps: DataFrame, events: DataFrame, policy: Policy) -> DataFrame:
     }
     p = p.withColumns({n: _in_range(c, model[n]) for n, c in raw.items()})
     p = fields.apply_policies(p, [], {n: (f.ordered, f.most_values) for n, f in model.items() if f.multivalue})
-    return p.select("client_id", "profile_ts", "profile_missing", "raw_reference", *model)
+    return p.select("client_id", "profile_ts", "profile_missing", "raw_reference", *model, *[c for c in p.columns if c.endswith("__reason")])
 
 
 def _values(prepared: Prepared, policy: Policy) -> DataFrame:
@@ -255,8 +259,7 @@ def encode(spark: SparkSession, root: str, artifacts: Artifacts, expected_sha256
     policy = check(artifacts.policy)
     p = prepare(spark, root, policy, artifacts.identity)
     events = timeline.calendar(timeline.order_timeline(_bucketed(p.events, artifacts)))
-    domains = {n: artifacts.edges[n].domain() for n in artifacts.edges if n in events.columns} | {"event_type": list(policy.event_types)}
-    checks.require(checks.violations(events, policy.cutoff, domains))
+    checks.require(contract(events, _bucketed(p.profiles, artifacts), artifacts))
     lists = {n for s in [*policy.sections.values(), policy.profile] for n, f in s.items() if f.multivalue}
     sections = {t: [n for n, f in model.items() if f.vocabulary != "excluded"] for t, model in policy.sections.items()}
     shown = F.lit(None).cast("string")
@@ -266,8 +269,29 @@ def encode(spark: SparkSession, root: str, artifacts: Artifacts, expected_sha256
     prof = _bucketed(p.profiles, artifacts)
     prof = prof.select("client_id", F.col("profile_ts"), _document(sorted(policy.profile), lists).alias("fields"))
     letters = checks.quarantine(p.rejects, ["partition", "line_number"], "detail")
-    rate = {"calendar_timezone_fallback": (F.col("zone_fallback"), F.lit(True)), "late_arriving": (F.col("is_late"), F.lit(True)), "fx_missing": (F.col("fx_missing"), F.col("amount_base_bucket").isNotNull() | F.col("fx_missing"))}
-    return Encoded(out, prof, letters, checks.metrics(p.events, rate, "source"))
+    p.tallies.bucketed(p.events, p.profiles, artifacts.edges)
+    return Encoded(out, prof, letters, p.tallies.report())
+
+
+def declared(artifacts: Artifacts) -> tuple[dict[str, dict[str, checks.Declared]], dict[str, dict[str, checks.Declared]]]:
+    """What the output may hold, by event type and for profiles: every field with its domain."""
+
+    def of(n: str, f: Field) -> checks.Declared:
+        bucket = f.vocabulary == "bucket_closed_set"
+        return checks.Declared(tuple(artifacts.edges[n].domain()) if bucket else f.domain, bucket, f.multivalue)
+
+    kept = lambda model: {n: of(n, f) for n, f in model.items() if f.vocabulary != "excluded"}
+    return {t: kept(model) for t, model in artifacts.policy.sections.items()}, {"PROFILE": kept(artifacts.policy.profile)}
+
+
+def contract(events: DataFrame, profiles_: DataFrame, artifacts: Artifacts) -> DataFrame:
+    """``check, violations`` of all post-conditions of prepared events and profiles."""
+    policy = artifacts.policy
+    sections, profile = declared(artifacts)
+    excluded = sorted({n for s in policy.sections.values() for n, f in s.items() if f.vocabulary == "excluded"})
+    out = checks.violations(events, policy.cutoff, {"event_type": list(policy.event_types)})
+    out = out.unionByName(checks.field_violations(events, sections, excluded))
+    return out.unionByName(checks.profile_violations(profiles_, policy.cutoff)).unionByName(checks.field_violations(profiles_, profile, [], None))
 
 
 def _document(names: list[str], lists: set[str]) -> Column:

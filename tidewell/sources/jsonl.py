@@ -118,8 +118,20 @@ def _fits(kind: Column, spec: ColumnSpec) -> Column:
     return ok | (kind == "VOID") if spec.nullable else ok
 
 
+BASE = ["source", "source_record_id", "partition", "line_number", "payload"]
+
+
 def validate(lines: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """(typed records, rejects with ``reason`` and ``details``).
+    """(typed records, rejects with ``reason`` and ``details``): ``checked`` in two."""
+    return divided(checked(lines, contract))
+
+
+def divided(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return rows.where("reason is null").drop("reason", "details"), rows.where("reason is not null").select(*BASE, "reason", "details")
+
+
+def checked(lines: DataFrame, contract: Contract) -> DataFrame:
+    """All lines as records with ``reason``, null for those that keep the contract, and ``details``.
 
     ``lines`` has partition, line_number, value. A line is rejected when it is
     no JSON object, has another schema version, an unknown key, no required
@@ -159,9 +171,7 @@ def validate(lines: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame
         reason = F.when(F.col("__obj") & other, "incompatible_schema_version").otherwise(reason)
     record_id = F.concat_ws("|", *[F.col(k) for k in contract.primary_key])
     rows = rows.withColumns({"reason": reason, "source": F.lit(contract.name), "source_record_id": record_id, "payload": F.col("value")})
-    base = ["source", "source_record_id", "partition", "line_number", "payload"]
-    good = rows.where("reason is null").select(*base, *[c for c in contract.columns if c not in base])
-    return good, rows.where("reason is not null").select(*base, "reason", "details")
+    return rows.select(*BASE, *[c for c in contract.columns if c not in BASE], "reason", "details")
 
 
 def signature(contract: Contract) -> Column:

@@ -11,10 +11,16 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, which driver and executors share; a default where none is."""
+    """The folder named in ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where it is unset a local run takes one under /tmp; on a cluster it is an error.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or "file:///tmp/checkpoints/tidewell")
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or "file:///tmp/checkpoints/tidewell")
     return sc.getCheckpointDir().rstrip("/")
 
 
@@ -40,23 +46,59 @@ def read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
-def write_outputs(encoded, path: str) -> None:
-    """Prepared events and profiles in order of client and position, and the dead letters by source, as JSON lines."""
-    encoded.events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).repartitionByRange("client_id").sortWithinPartitions("client_id", "position").write.mode("overwrite").json(f"{path}/prepared_events")
-    encoded.profiles.withColumn("profile_ts", F.date_format("profile_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).repartitionByRange("client_id").sortWithinPartitions("client_id").write.mode("overwrite").json(f"{path}/prepared_profile")
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def event_lines(events: DataFrame) -> DataFrame:
+    """Prepared events as the records that a reader gets: nested fields and calendar features, the instant as text."""
+    return events.select(
+        "client_id", "position", "event_id", "event_type", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("timestamp_utc"), F.col("calendar_zone").alias("calendar_timezone"), "ordering_key", F.parse_json("fields").alias("fields"),
+        F.struct("hour_of_day_local", "day_of_week_local").alias("calendar_time_features"), "lifetime_first",
+    )
+
+
+def profile_lines(profiles: DataFrame) -> DataFrame:
+    return profiles.select("client_id", F.date_format("profile_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("profile_time_utc"), F.parse_json("fields").alias("fields"))
+
+
+def write_outputs(encoded, path: str, documents: dict | None = None) -> None:
+    """Prepared events and profiles in order of client and position, the dead letters by source and the metrics, as JSON
+    lines; and each of ``documents`` (``plans.documents.prepared``) as a file of its own."""
+    spark = encoded.events.sparkSession
+    lines = event_lines(encoded.events).repartitionByRange("client_id").sortWithinPartitions("client_id", "position")
+    lines.select(F.to_json(F.struct(*[c for c in lines.columns if c != "position"])).alias("value")).write.mode("overwrite").text(f"{path}/prepared_events")
+    rows = profile_lines(encoded.profiles).repartitionByRange("client_id").sortWithinPartitions("client_id")
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("overwrite").text(f"{path}/prepared_profile")
     encoded.quarantine.sortWithinPartitions("raw_reference").write.mode("overwrite").partitionBy("source").json(f"{path}/quarantine")
     encoded.metrics.write.mode("overwrite").json(f"{path}/metrics")
+    for name, doc in (documents or {}).items():
+        write_text(spark, f"{path}/{name}", doc)
 
 
-def freeze(spark: SparkSession, artifacts, path: str) -> str:
-    """Write edges, identity and hash; the policy itself is code and is checked through the hash. Returns the hash."""
+def _edges_document(e) -> dict:
+    text = lambda x: None if x is None else format(x, "f")
+    return {"edges": [format(x, "f") for x in e.edges], "least": text(e.least), "most": text(e.most), "n_values": e.n_values, "method": e.method, "asked": e.asked}
+
+
+def freeze(spark: SparkSession, artifacts, path: str, documents: dict | None = None) -> str:
+    """Write edges, identity and hash, and each of ``documents`` (``plans.documents.artifacts``); the policy itself is code
+    and is checked through the hash. Returns the hash."""
     doc = {
-        "edges": {n: [format(e, "f") for e in x.edges] for n, x in artifacts.edges.items()},
-        "delta": [format(e, "f") for e in artifacts.delta.edges],
+        "edges": {n: _edges_document(x) for n, x in artifacts.edges.items()},
+        "delta": _edges_document(artifacts.delta),
         "identity": artifacts.identity,
         "sha256": artifacts.sha256(),
     }
     write_text(spark, f"{path}/state.json", json.dumps(doc, sort_keys=True, ensure_ascii=False))
+    for name, text in (documents or {}).items():
+        write_text(spark, f"{path}/{name}", text)
     return doc["sha256"]
 
 
@@ -65,9 +107,12 @@ def thaw(spark: SparkSession, path: str, policy):
     from ..operators.buckets import Edges
     from ..plans.preparation import Artifacts, StateMismatch
 
+    def edges(d: dict) -> Edges:
+        number = lambda x: None if x is None else Decimal(x)
+        return Edges(tuple(Decimal(e) for e in d["edges"]), number(d["least"]), number(d["most"]), d["n_values"], d["method"], d["asked"])
+
     doc = json.loads(read_text(spark, f"{path}/state.json"))
-    edges = {n: Edges(tuple(Decimal(e) for e in x)) for n, x in doc["edges"].items()}
-    out = Artifacts(policy, doc["identity"], edges, Edges(tuple(Decimal(e) for e in doc["delta"])))
+    out = Artifacts(policy, doc["identity"], {n: edges(x) for n, x in doc["edges"].items()}, edges(doc["delta"]))
     if out.sha256() != doc["sha256"]:
         raise StateMismatch("the policy is not the one that this state was built with")
     return out
