@@ -400,6 +400,21 @@ def o17_bucketize(spark, sf_dir):
     return labelled.groupBy("field", "label").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
+@query(f"""
+WITH {_SQL_SAMPLE}, x AS (SELECT field, min(value) AS lo, max(value) AS hi FROM s GROUP BY field)
+SELECT v.field, count(*)::BIGINT AS assigned, count(*) FILTER (value < lo)::BIGINT AS clipped_low, count(*) FILTER (value > hi)::BIGINT AS clipped_high, 0::BIGINT AS missing FROM v JOIN x USING (field) GROUP BY v.field
+""")
+def o17_clip_counters(spark, sf_dir):
+    """Values beyond the range that edges were fitted on, field by field."""
+    values = _values(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(38,8)"))
+    edges = buckets.fit(values, {f: ("quantile", 16) for f in "ANR"}, SAMPLE, SEED)
+    out = None
+    for f, e in edges.items():
+        one = buckets.clip_counts(values.where(F.col("field") == f).select(F.col("value").alias(f)), {f: e})
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # --- O18-O20 timeline, calendar, deltas ------------------------------------------------------------------------------
 
 
@@ -458,6 +473,20 @@ def o21_contract(spark, sf_dir):
     return checks.violations(timeline.order_timeline(_events(spark, sf_dir)), CUT, {"event_type": _TYPES})
 
 
+@query("""
+WITH c AS (SELECT count(*) FILTER (event_type = 'purchase' AND round(value) > 80) AS a, count(*) FILTER (event_type = 'view' AND event_id % 7 = 3) AS b, count(*) FILTER (event_type <> 'purchase' AND event_id % 11 = 0) AS u, count(*) FILTER (event_id % 13 = 0) AS x FROM events)
+SELECT unnest(['domain:PURCHASE.level', 'domain:VIEW.tags', 'undeclared:level', 'undeclared:tags', 'float:value', 'excluded:secret']) AS "check", unnest([a, b, u, 0, (SELECT count(*) FROM events), x])::BIGINT AS violations FROM c
+""")
+def o21_field_contract(spark, sf_dir):
+    """How often fields break the output contract: domains, also of list items, undeclared and excluded fields, floating numbers."""
+    e = table(spark, sf_dir, "events").withColumn("event_type", F.upper("event_type"))
+    level = F.concat(F.lit("bucket_"), F.round("value").cast("int").cast("string"))
+    tag = F.when(F.col("event_id") % 7 == 3, F.array(F.lit("X"), F.lit("Q"))).otherwise(F.array(F.lit("X")))
+    rows = e.select("event_type", F.when((F.col("event_type") == "PURCHASE") | (F.col("event_id") % 11 == 0), level).alias("level"), F.when(F.col("event_type") == "VIEW", tag).alias("tags"), "value", F.when(F.col("event_id") % 13 == 0, "s").alias("secret"))
+    sections = {"PURCHASE": {"level": checks.Declared(tuple(f"bucket_{i}" for i in range(-1000, 81)), True), "value": checks.Declared()}, "VIEW": {"tags": checks.Declared(("X", "Y"), multivalue=True), "value": checks.Declared()}, **{t: {"value": checks.Declared()} for t in ("CLICK", "SIGNUP", "ERROR")}}
+    return checks.field_violations(rows, sections, ["secret"])
+
+
 @query("""
 WITH q AS (SELECT 'app' AS source, event_id::VARCHAR AS rid, event_id, 'unknown_event_type' AS reason FROM events WHERE event_type = 'error'
   UNION ALL SELECT 'app', event_id::VARCHAR, event_id, 'unresolved_client_id' FROM events LEFT JOIN customer ON user_id = c_custkey AND c_nationkey < 20 WHERE c_custkey IS NULL)
@@ -482,6 +511,29 @@ def o23_metrics(spark, sf_dir):
     return checks.metrics(table(spark, sf_dir, "events"), {"high": (F.col("value") > 90, F.lit(True)), "high_even": (F.col("value") > 90, even), "never": (F.lit(True), F.lit(False))}, "event_type")
 
 
+def _sql_report() -> str:
+    rates = ", ".join(f"('{m}', '{r.total}', {'NULL' if r.warning is None else r.warning}::DOUBLE, {'NULL' if r.critical is None else r.critical}::DOUBLE, {r.label is not None})" for m, r in checks.RATES.items())
+    return f"""
+WITH r(metric, denominator, warning, critical, labelled) AS (VALUES {rates}),
+h AS (SELECT 'late_arriving_rate' AS metric, event_type AS label, count(*) FILTER (value > 95) AS n FROM events GROUP BY event_type UNION ALL SELECT 'late_arriving_rate', NULL, count(*) FILTER (value > 95) FROM events
+  UNION ALL SELECT 'unknown_event_type_rate', NULL, count(*) FILTER (event_type = 'error') FROM events UNION ALL SELECT 'schema_violation_rate', NULL, count(*) FILTER (event_id % 500 = 0) FROM events),
+t AS (SELECT 'records_read' AS denominator, event_type AS label, count(*) AS n FROM events GROUP BY event_type UNION ALL SELECT 'records_read', NULL, count(*) FROM events UNION ALL SELECT 'records_mapped', NULL, count(*) FROM events UNION ALL SELECT 'events_validated', NULL, count(*) FROM events),
+x AS (SELECT r.*, NULL AS label FROM r UNION ALL SELECT r.*, t.label FROM r JOIN t USING (denominator) WHERE labelled AND t.label IS NOT NULL),
+y AS (SELECT x.metric, x.label, coalesce(h.n, 0)::BIGINT AS hits, x.denominator, coalesce(t.n, 0)::BIGINT AS total, warning, critical FROM x LEFT JOIN h ON h.metric = x.metric AND h.label IS NOT DISTINCT FROM x.label LEFT JOIN t ON t.denominator = x.denominator AND t.label IS NOT DISTINCT FROM x.label)
+SELECT metric, label, hits, denominator, total, hits::DOUBLE / nullif(total, 0) AS rate, CASE WHEN total = 0 OR warning IS NULL THEN NULL WHEN hits::DOUBLE / total > critical THEN 'critical' WHEN hits::DOUBLE / total > warning THEN 'warning' ELSE 'normal' END AS level FROM y"""
+
+
+@query(_sql_report())
+def o23_report(spark, sf_dir):
+    """All sixteen rates with their denominators, labels and levels; of what was not tried the rate is null."""
+    e = table(spark, sf_dir, "events")
+    one = lambda m, hit, by: e.groupBy(by.cast("string").alias("label")).agg(F.count_if(hit).alias("n")).select(F.lit(m).alias("metric"), "label", "n")
+    none = F.lit(None)
+    hits = one("late_arriving_rate", F.col("value") > 95, F.col("event_type")).unionByName(one("late_arriving_rate", F.col("value") > 95, none)).unionByName(one("unknown_event_type_rate", F.col("event_type") == "error", none)).unionByName(one("schema_violation_rate", F.col("event_id") % 500 == 0, none))
+    totals = one("records_read", F.lit(True), F.col("event_type")).unionByName(one("records_read", F.lit(True), none)).unionByName(one("records_mapped", F.lit(True), none)).unionByName(one("events_validated", F.lit(True), none))
+    return checks.report(hits, totals.withColumnRenamed("metric", "total"))
+
+
 @query("""
 SELECT event_id, event_type, CASE WHEN event_id % 50 = 0 THEN 'got' ELSE 'want' END AS side FROM events WHERE event_id % 50 = 0
 UNION ALL SELECT event_id, CASE WHEN event_id % 50 = 0 THEN 'other' ELSE event_type END, 'want' FROM events WHERE event_id % 50 = 0
@@ -698,19 +750,27 @@ def prepared_timeline(spark, sf_dir):
     return timeline.calendar(timeline.order_timeline(typed)).select("client_id", "event_id", "event_type", "ordering_key", "position", "hour_of_day_local", "day_of_week_local", "lifetime_first")
 
 
-# --- frozen state, sinks, generated data: no SQL for these -----------------------------------------------------------
+# --- frozen state, sinks, generated data -----------------------------------------------------------
 
 
-@query()
+@query(f"""
+WITH {_SQL_EDGES}, e AS (SELECT field, value, row_number() OVER (PARTITION BY field ORDER BY value) AS i FROM d),
+j AS (SELECT field, '[' || string_agg('"' || value || '.00000000"', ',' ORDER BY i) || ']' AS edges, '[' || string_agg('"bucket_' || (i - 1) || '"', ',' ORDER BY i) || ',"bucket_' || count(*) || '","MISSING"]' AS labels FROM e GROUP BY field),
+x AS (SELECT '{{' || string_agg('"' || field || '":' || edges, ',' ORDER BY field) || '}}' AS edges, '{{' || string_agg('"' || field || '":' || labels, ',' ORDER BY field) || '}}' AS labels FROM j)
+SELECT unnest(['bucket_edges', 'bucket_field_domains']) AS section, unnest([length(edges), length(labels)])::BIGINT AS n_chars, unnest([sha256(edges), sha256(labels)]) AS sha256 FROM x
+""")
 def o24_state_hash(spark, sf_dir):
-    """Frozen edges of the tables' values, and the hash that names the state."""
+    """Sections of the state that the tables decide, by length and hash of their canonical text."""
+    import hashlib
+
+    from . import documents
     from .config import DEFAULT
     from .preparation import Artifacts
 
     values = _values(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(38,8)"))
-    edges = buckets.fit(values, {"A": ("quantile", 8), "N": ("equal_width", 8), "R": ("quantile", 8)}, SAMPLE, SEED)
-    state = Artifacts(DEFAULT, {}, edges, buckets.Edges(()))
-    return spark.createDataFrame([(n, i, str(e), state.sha256()) for n, x in edges.items() for i, e in enumerate(x.edges)], "field string, edge_no long, edge string, state_sha256 string")
+    built = Artifacts(DEFAULT, {}, buckets.fit(values, {f: ("quantile", 16) for f in "ANR"}, SAMPLE, SEED), buckets.Edges(()))
+    texts = {n: documents.canonical(built.document()[n]) for n in ("bucket_edges", "bucket_field_domains")}
+    return spark.createDataFrame([(n, len(t), hashlib.sha256(t.encode()).hexdigest()) for n, t in texts.items()], "section string, n_chars long, sha256 string")
 
 
 @query(ORACLES["prepared_timeline"])
@@ -724,9 +784,24 @@ def o25_output_sink(spark, sf_dir):
     return spark.read.schema(out.schema).json(path)
 
 
-@query()
+def _sql_generated() -> str:
+    from .generate import DEFECTS
+
+    found = ", ".join(f"CASE WHEN event_id % {n} = 0 THEN '{d}' END" for d, n in DEFECTS.items())
+    return f"""
+WITH a AS (SELECT *, list_filter([{found}], lambda x: x IS NOT NULL) AS d, round(value * 100)::BIGINT AS cents FROM events),
+b AS (SELECT *, CASE WHEN 'missing_null' IN d THEN NULL WHEN 'numeric_unparsable' IN d THEN 'abc' WHEN 'numeric_nan' IN d THEN 'NaN' WHEN 'clip_low' IN d THEN '0,01' WHEN 'clip_high' IN d THEN '5 000 000 000,00' ELSE (cents // 100) || ',' || lpad((cents % 100)::VARCHAR, 2, '0') END AS amount,
+  'G-' || lpad(event_id::VARCHAR, 8, '0') AS rid, 1 AS version FROM a),
+c AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE 'dup_exact' IN d UNION ALL SELECT * REPLACE (rid || '-b' AS rid) FROM b WHERE 'dup_business' IN d UNION ALL SELECT * REPLACE ('1,00' AS amount, 2 AS version) FROM b WHERE 'dup_conflicting' IN d)
+SELECT rid AS source_record_id, array_to_string(d, ',') AS defects, '{{"source_record_id":"' || rid || '","client_ref":"' || lpad(user_id::VARCHAR, 6, '0') || '","branch_region":"ALMATY","operation_time":"'
+  || strftime(CASE WHEN 'future_timestamp' IN d THEN ts + INTERVAL 4 YEAR ELSE ts END, '%d.%m.%Y %H:%M') || '","op_code":"' || CASE WHEN 'unknown_event_code' IN d THEN 'XYZ' ELSE 'TRF' END || '"' || coalesce(',"amount":"' || amount || '"', '')
+  || ',"currency":"' || CASE WHEN 'fx_foreign' IN d THEN '840' ELSE 'KZT' END || '"' || CASE WHEN 'missing_key' IN d THEN '' WHEN 'missing_placeholder' IN d THEN ',"direction":"N/A"' ELSE ',"direction":"IN"' END
+  || ',"counterparty_ref":"KZ' || lpad(event_id::VARCHAR, 12, '0') || '","payload_version":' || version || ',"loaded_at":"' || strftime(ts + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%SZ') || '"' || CASE WHEN amount IS NULL THEN ',"amount":null' ELSE '' END || '}}' AS payload FROM c"""
+
+
+@query(_sql_generated())
 def o29_generated(spark, sf_dir):
-    """Raw records made from the events by rule: the same for the same tables, in any partitioning."""
+    """Raw records with defects made from the events by rule: the same for the same tables, in any partitioning."""
     from . import generate
 
     return generate.payments(table(spark, sf_dir, "events"))
