@@ -137,7 +137,7 @@ def brute_lines(texts, least):
     return ["\n".join(x for x in (t or "").split("\n") if key(x) not in drop) for t in texts]
 
 
-@pytest.mark.parametrize("kw", [{}, {"group_bytes": 1500, "keys_a_shard": 4}])
+@pytest.mark.parametrize("kw", [{}, {"group_bytes": 0, "keys_a_shard": 4}, {"group_bytes": 0, "keys_a_shard": 4, "load": 20}, {"group_bytes": 0}])
 def test_lines_against_brute_force(spark, kw):
     rng = random.Random(2)
     pool = [data.words(rng, 3) for _ in range(40)] + ["É x", "é x", " Tab\t", "TAB", "\x1f", ""]

@@ -8,9 +8,11 @@ arrays, a key sits at the first level where it is alone) that numbers them
 array under those numbers. Documents probe the arrays: no line is joined or
 shuffled a second time.
 
-Shards are broadcast in groups of at most ``group_bytes``; when the index is
-larger than one group, the documents are probed once a group, so memory stays
-bounded and no key is left out.
+An index of at most ``group_bytes`` is broadcast, and documents probe it where
+they are. Of a larger one each shard goes to the tasks that its probes are dealt
+to: line hashes travel once, whatever the index's size, the lines themselves
+never, and only what is to be dropped comes back to its document. A shard whose
+keys are found very often is sent to several tasks.
 """
 
 from __future__ import annotations
@@ -24,8 +26,9 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialize, pick, slices
+from .common import discard, mark, materialize, pick, sized_slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -124,7 +127,7 @@ def count_lines(docs: DataFrame, min_docs: int) -> DataFrame:
     """``h1, h2, n``: the hash of every line key found in at least ``min_docs`` documents, and in how many."""
 
     def run(batches):
-        for b in slices(batches, 2048):
+        for b in sized_slices(batches, 0, 2048, 16 << 20):
             found = [np.unique(h.view("V16")) for h in (line_hashes(t)[1] for t in b.column(0).to_pylist())]
             keys, n = np.unique(np.concatenate(found), return_counts=True)
             h = keys.view(np.uint64).reshape(-1, 2)
@@ -137,7 +140,7 @@ def count_lines(docs: DataFrame, min_docs: int) -> DataFrame:
 
 
 def build_index(counted: DataFrame, keys_a_shard: int = 250_000) -> DataFrame:
-    """``shard, bytes, body``: the pickled shards, each built by the task that holds its keys."""
+    """``shard, bytes, load, body``: the pickled shards, each built by the task that holds its keys, and how often these are found."""
     import pickle
 
     n = counted.count()
@@ -156,14 +159,126 @@ def build_index(counted: DataFrame, keys_a_shard: int = 250_000) -> DataFrame:
         body = pickle.dumps([x.plain() for x in bodies])
         import pandas as pd
 
-        return pd.DataFrame({"shard": [int(key[0])], "bytes": [len(body)], "body": [body]})
+        return pd.DataFrame({"shard": [int(key[0])], "bytes": [len(body)], "load": [int(pdf["n"].sum())], "body": [body]})
 
     bits = int(math.log2(shards))
     shard = F.shiftrightunsigned("h2", 64 - bits).cast("long") if bits else F.lit(0).cast("long")
-    return counted.withColumn("shard", shard).groupBy("shard").applyInPandas(build, "shard long, bytes long, body binary")
+    return counted.withColumn("shard", shard).groupBy("shard").applyInPandas(build, "shard long, bytes long, load long, body binary")
 
 
-def drop_lines(docs: DataFrame, min_docs: int = 10, group_bytes: int = 32 << 20, keys_a_shard: int = 250_000) -> DataFrame:
+#: A shard goes to one more task for so many lines that have one of its keys.
+LOAD = 2_000_000
+
+
+def shard_of(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h[:, 1] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+
+
+def counts_in(bodies: list[Shard], h: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(h), np.int64)
+    for shard in bodies:
+        out = np.maximum(out, shard.count(h[:, 0], h[:, 1]))
+    return out
+
+
+def kept(b: pa.RecordBatch, at: int, parts: list, flags: list[np.ndarray]) -> tuple[list, list[str]]:
+    """A batch's columns with the lines that are flagged taken out of its texts, and the numbers of lines."""
+    cols = list(b.columns)
+    texts = ["\n".join([x for x, gone in zip(lines, f.tolist()) if not gone]) if f.any() else "\n".join(lines) for (lines, _), f in zip(parts, flags)]
+    cols[at] = pa.array(texts, pa.string())
+    return [*cols, pa.array([len(p[0]) for p in parts], pa.int64()), pa.array([int(f.sum()) for f in flags], pa.int64())], [*b.schema.names, "n_lines", "n_dropped"]
+
+
+def _with_counts(flat: DataFrame) -> T.StructType:
+    return T.StructType([*flat.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+
+
+def probe_in_place(flat: DataFrame, at: int, index: DataFrame, bits: int, min_docs: int) -> DataFrame:
+    """Documents probe a broadcast index; ``flat``: the text is column ``at``."""
+    import pickle
+
+    packed = flat.sparkSession.sparkContext.broadcast({r["shard"]: bytes(r["body"]) for r in index.collect()})
+
+    def run(batches):
+        shards = {s: [Shard.of(x) for x in pickle.loads(body)] for s, body in packed.value.items()}
+        for b in sized_slices(batches, at, 512, 16 << 20):
+            parts = [line_hashes(t) for t in b.column(at).to_pylist()]
+            ends = np.cumsum([len(p[0]) for p in parts])
+            h = np.concatenate([p[1] for p in parts])
+            where = shard_of(h, bits)
+            drop = np.zeros(len(h), bool)
+            for s, bodies in shards.items():
+                own = np.flatnonzero((where == s) & (h != 0).any(1))
+                drop[own] = counts_in(bodies, h[own]) >= min_docs
+            cols, names = kept(b, at, parts, np.split(drop, ends[:-1]))
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return flat.mapInArrow(run, _with_counts(flat))
+
+
+def probe_by_shard(flat: DataFrame, at: int, index: DataFrame, bits: int, min_docs: int, load: int) -> DataFrame:
+    """Probes are dealt to the tasks of their shards; ``flat`` has a ``uid`` beside the text in column ``at``."""
+    import pickle
+
+    # a number a shard on the driver: tasks of shard s are first[s] .. first[s + 1] - 1
+    copies = np.ones(1 << bits, np.int64)
+    for r in index.select("shard", "load").collect():
+        copies[r["shard"]] = 1 + r["load"] // load
+    first = np.concatenate([[0], np.cumsum(copies)])
+    tasks = flat.sparkSession.sparkContext.broadcast(first)
+    text = flat.columns[at]
+
+    def probes(batches):
+        first = tasks.value
+        for b in sized_slices(batches, 1, 2048, 16 << 20):
+            parts = [line_hashes(t)[1] for t in b.column(1).to_pylist()]
+            n = np.array([len(p) for p in parts])
+            h = np.concatenate(parts)
+            uid = np.repeat(b.column(0).to_numpy(zero_copy_only=False), n)
+            line = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+            some = (h != 0).any(1)
+            h, uid, line = h[some], uid[some], line[some]
+            s = shard_of(h, bits)
+            task = first[s] + mix(uid.view(np.uint64), 11).view(np.int64) % (first[s + 1] - first[s])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (task, uid, line.astype(np.int32), h[:, 0].copy().view(np.int64), h[:, 1].copy().view(np.int64))], names=["task", "uid", "line", "h1", "h2"])
+
+    def meet(batches):
+        at_task, bodies = None, []
+        for b in batches:
+            task, uid, line, h1, h2 = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            begins = np.concatenate([[0], np.flatnonzero(np.diff(task)) + 1, [len(task)]]) if len(task) else np.zeros(1, np.int64)
+            for s, e in zip(begins[:-1].tolist(), begins[1:].tolist()):
+                if task[s] != at_task:
+                    at_task, bodies = task[s], []
+                if line[s] < 0:
+                    bodies = [Shard.of(x) for x in pickle.loads(b.column(5)[s].as_py())]
+                    s += 1
+                if not bodies or s == e:
+                    continue  # no key of the shard reaches the threshold
+                hit = counts_in(bodies, np.stack([h1[s:e], h2[s:e]], 1).view(np.uint64)) >= min_docs
+                yield pa.RecordBatch.from_arrays([pa.array(uid[s:e][hit]), pa.array(line[s:e][hit])], names=["uid", "line"])
+
+    asked = flat.select("uid", text).mapInArrow(probes, "task long, uid long, line int, h1 long, h2 long").withColumn("body", F.lit(None).cast("binary"))
+    here = flat.sparkSession.createDataFrame([(s, int(first[s]), int(first[s + 1] - 1)) for s in range(1 << bits)], "shard long, first long, last long")
+    zero = lambda n, t: F.lit(0).cast(t).alias(n)
+    sent = index.select("shard", "body").join(here, "shard").select(F.explode(F.sequence("first", "last")).alias("task"), zero("uid", "long"), F.lit(-1).alias("line"), zero("h1", "long"), zero("h2", "long"), "body")
+    hits = asked.unionByName(sent).repartition("task").sortWithinPartitions("task", "line").mapInArrow(meet, "uid long, line int")
+    marks = hits.groupBy("uid").agg(F.collect_list("line").alias("gone"))  # no more than the document has lines
+
+    def run(batches):
+        for b in sized_slices(batches, at, 512, 16 << 20):
+            parts = [line_hashes(t) for t in b.column(at).to_pylist()]
+            flags = [np.zeros(len(p[0]), bool) for p in parts]
+            for f, gone in zip(flags, b.column(b.num_columns - 1).to_pylist()):
+                f[gone or []] = True
+            cols, names = kept(b.select(list(range(b.num_columns - 1))), at, parts, flags)
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    whole = flat.join(marks, "uid", "left").select(*flat.columns, "gone")
+    return whole.mapInArrow(run, _with_counts(flat))
+
+
+def drop_lines(docs: DataFrame, min_docs: int = 10, group_bytes: int = 32 << 20, keys_a_shard: int = 250_000, load: int = LOAD) -> DataFrame:
     """``docs`` with every line removed whose key is in at least ``min_docs`` documents.
 
     A key is the line stripped of ASCII white space with A-Z lower-cased; empty
@@ -171,57 +286,19 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, group_bytes: int = 32 << 20,
     plus ``n_lines``, ``n_dropped`` (longs). A null or empty text is one empty
     line and becomes the empty string; repeated rows are documents of their
     own; an empty table gives no rows. Keys are told apart by 128 hash bits.
+    The result does not depend on ``group_bytes``, which decides how an index is probed.
     """
-    import pickle
-
-    index = materialize(build_index(materialize(count_lines(pick(docs, "text"), min_docs)), keys_a_shard))
-    sizes = sorted((r["shard"], r["bytes"]) for r in index.select("shard", "bytes").collect())
-    n_shards = 1 << max(0, math.ceil(math.log2(1 + max((s for s, _ in sizes), default=0))))
-    groups: list[list[int]] = [[]]
-    held = 0
-    for s, size in sizes:
-        if groups[-1] and held + size > group_bytes:
-            groups.append([])
-            held = 0
-        groups[-1].append(s)
-        held += size
-
     spark = docs.sparkSession
+    since = mark()
+    index = materialize(build_index(materialize(count_lines(pick(docs, "text"), min_docs)), keys_a_shard))
+    size = index.agg(F.sum("bytes").alias("bytes"), F.max("shard").alias("last")).first()
+    bits = max(0, math.ceil(math.log2(1 + (size["last"] or 0))))
     names = docs.columns
-    text_at = names.index("text")
-    cur = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("gone", F.lit(None).cast("binary"))
-    for g, group in enumerate(groups):
-        rows = index.where(F.col("shard").isin(group)).collect() if group else []
-        packed = spark.sparkContext.broadcast({r["shard"]: bytes(r["body"]) for r in rows})
-        last = g == len(groups) - 1
-
-        def run(batches, packed=packed, last=last):
-            shards = {s: [Shard.of(x) for x in pickle.loads(body)] for s, body in packed.value.items()}
-            for b in slices(batches):
-                parts = [line_hashes(t) for t in b.column(text_at).to_pylist()]
-                ends = np.cumsum([len(p[0]) for p in parts])
-                h = np.concatenate([p[1] for p in parts])
-                bits = int(math.log2(n_shards))
-                at = (h[:, 1] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-                drop = np.zeros(len(h), bool)
-                for s, bodies in shards.items():
-                    own = np.flatnonzero((at == s) & (h != 0).any(1))
-                    for shard in bodies:
-                        drop[own] |= shard.count(h[own, 0], h[own, 1]) >= min_docs
-                old = b.column(b.num_columns - 1).to_pylist()
-                flags = [d if o is None else d | (np.unpackbits(np.frombuffer(o, np.uint8), count=len(d)) == 1) for d, o in zip(np.split(drop, ends[:-1]), old)]
-                cols = list(b.columns)
-                if last:
-                    texts = ["\n".join([x for x, gone in zip(lines, f.tolist()) if not gone]) if f.any() else "\n".join(lines) for (lines, _), f in zip(parts, flags)]
-                    cols[text_at] = pa.array(texts, pa.string())
-                    cols[-1:] = [pa.array([len(p[0]) for p in parts], pa.int64()), pa.array([int(f.sum()) for f in flags], pa.int64())]
-                    yield pa.RecordBatch.from_arrays(cols, names=[*b.schema.names[:-1], "n_lines", "n_dropped"])
-                else:
-                    cols[-1] = pa.array([np.packbits(f).tobytes() for f in flags], pa.binary())
-                    yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
-
-        schema = cur.drop("gone").schema.add("n_lines", "long").add("n_dropped", "long") if last else cur.schema
-        cur = cur.mapInArrow(run, schema)
-        if not last:
-            cur = materialize(cur)
-    return cur.toDF(*names, "n_lines", "n_dropped")
+    at = names.index("text")
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    if (size["bytes"] or 0) <= group_bytes:
+        out = probe_in_place(flat, at, index, bits, min_docs)
+        discard(spark, since)  # the index is in a broadcast by now
+    else:
+        out = probe_by_shard(materialize(flat.withColumn("uid", F.monotonically_increasing_id())), at, index, bits, min_docs, load).drop("uid")
+    return out.toDF(*names, "n_lines", "n_dropped")
