@@ -177,7 +177,6 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
     rejects = rejected[0]
     for r in rejected[1:]:
         rejects = rejects.unionByName(r)
-    tallies.prepared(wide, prof, rejects, policy)
     return Prepared(wide, prof, rejects, tallies)
 
 
@@ -258,7 +257,9 @@ def encode(spark: SparkSession, root: str, artifacts: Artifacts, expected_sha256
         raise StateMismatch("the state differs from the one the artifacts were built with")
     policy = check(artifacts.policy)
     p = prepare(spark, root, policy, artifacts.identity)
-    events = timeline.calendar(timeline.order_timeline(_bucketed(p.events, artifacts)))
+    # read by the contract's checks, the outputs and the report: each is made once
+    rejects = storage.stored(p.rejects)
+    events = storage.stored(timeline.calendar(timeline.order_timeline(_bucketed(p.events, artifacts))))
     checks.require(contract(events, _bucketed(p.profiles, artifacts), artifacts))
     lists = {n for s in [*policy.sections.values(), policy.profile] for n, f in s.items() if f.multivalue}
     sections = {t: [n for n, f in model.items() if f.vocabulary != "excluded"] for t, model in policy.sections.items()}
@@ -268,9 +269,10 @@ def encode(spark: SparkSession, root: str, artifacts: Artifacts, expected_sha256
     out = events.select("client_id", "event_id", "event_type", "ts", "calendar_zone", "ordering_key", "position", shown.alias("fields"), "hour_of_day_local", "day_of_week_local", "lifetime_first")
     prof = _bucketed(p.profiles, artifacts)
     prof = prof.select("client_id", F.col("profile_ts"), _document(sorted(policy.profile), lists).alias("fields"))
-    letters = checks.quarantine(p.rejects, ["partition", "line_number"], "detail")
+    letters = checks.quarantine(rejects, ["partition", "line_number"], "detail")
+    p.tallies.prepared(p.events, p.profiles, rejects, policy)
     p.tallies.bucketed(p.events, p.profiles, artifacts.edges)
-    return Encoded(out, prof, letters, p.tallies.report())
+    return Encoded(out, prof, letters, storage.stored(p.tallies.report().coalesce(1)))
 
 
 def declared(artifacts: Artifacts) -> tuple[dict[str, dict[str, checks.Declared]], dict[str, dict[str, checks.Declared]]]:
