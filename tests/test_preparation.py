@@ -1,6 +1,7 @@
 """The whole plan over a small raw data set."""
 
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -124,7 +125,6 @@ def test_metrics_of_the_run(encoded):
 
 
 def test_the_state_has_22_sections_and_each_change_is_seen(artifacts):
-    from dataclasses import replace
     from decimal import Decimal
 
     assert len(artifacts.document()) == 22
@@ -159,7 +159,6 @@ def test_documents_of_a_build_and_of_an_output(spark, artifacts, encoded, tmp_pa
 
 
 def test_golden_names_the_first_difference(spark, root, artifacts, encoded, tmp_path):
-    from dataclasses import replace
 
     from pyspark.sql import functions as F
 
@@ -237,6 +236,16 @@ def test_layout(spark, tmp_path):
         ({"codes": {}}, "event sources"),
         ({"codes": DEFAULT.codes | {"app_logs": {"x": "NEW"}}}, "unapproved"),
         ({"session_starts": ("push_received",)}, "session"),
+        ({"session_actions": ("LOGIN",)}, "no actions"),
+        ({"session_actions": (*DEFAULT.session_actions, "swipe")}, "without a code"),
+        ({"session_actions": (*DEFAULT.session_actions, "push_received")}, "events of their own"),
+        ({"codes": DEFAULT.codes | {"card_processing": {"PUR": None}}}, "only session actions"),
+        ({"session_gap_seconds": 0}, "gap"),
+        ({"profile": DEFAULT.profile | {"region": replace(DEFAULT.profile["region"], source="nothing")}}, "no column nothing"),
+        ({"sections": DEFAULT.sections | {"CARD_BLOCK": {"block_reason": replace(DEFAULT.sections["CARD_BLOCK"]["block_reason"], source="nothing")}}}, "no event source"),
+        ({"profile": {n: f for n, f in DEFAULT.profile.items() if n != "account_age_bucket"}}, "life-long"),
+        ({"version": "1"}, "version"),
+        ({"delta_buckets": 1}, "ranges"),
         ({"sections": {}}, "section"),
         ({"aliases": {"nothing": {}}}, "unknown field"),
         ({"aliases": {"currency": {"A": "B", "B": "KZT"}}}, "alias of an alias"),
@@ -266,7 +275,6 @@ def test_policy_checks(change, why):
     ],
 )
 def test_contract_checks(change, why):
-    from dataclasses import replace
 
     with pytest.raises(jsonl.ContractError, match=why):
         replace(DEFAULT.contracts["profile_snapshots"], **change)

@@ -61,6 +61,7 @@ class Policy:
     default_bucket: tuple[str, int] = ("quantile", 32)
     delta_buckets: int = 32
     session_source: str = "app_logs"
+    session_actions: tuple[str, ...] = ("LOGIN", "screen_open", "button_click", "form_submit")
     session_starts: tuple[str, ...] = ("LOGIN",)
     session_gap_seconds: int = 1800
     base_currency: str = "KZT"
@@ -181,6 +182,10 @@ DEFAULT = Policy(
 )
 
 
+#: Profile fields that are computed from all events of a client (fixed values).
+LIFE_LONG = {"account_age_bucket", "first_seen_age_bucket", "first_topup_age_bucket", "lifetime_event_count_bucket", "lifetime_transaction_count_bucket", "lifetime_product_count_bucket"}
+
+
 def check(p: Policy) -> Policy:
     """Raise ``PolicyError`` on the first contradiction; else return the policy."""
 
@@ -211,6 +216,12 @@ def check(p: Policy) -> Policy:
     need(p.session_source in events and "APP_SESSION" in p.event_types, "sessions need an event source and an approved type")
     actions = {c for c, t in p.codes[p.session_source].items() if t is None}
     need(set(p.session_starts) <= actions, "a session starts with one of its actions")
+    lost, promoted = set(p.session_actions) - set(p.codes[p.session_source]), {c for c in p.session_actions if p.codes[p.session_source].get(c)}
+    need(not lost, f"actions without a code: {sorted(lost)}")
+    need(not promoted, f"actions that are events of their own: {sorted(promoted)}")
+    need(set(p.session_actions) == actions, f"codes without a type that are no actions: {sorted(actions - set(p.session_actions))}")
+    need(all(t for n, codes in p.codes.items() if n != p.session_source for t in codes.values()), "only session actions have no event type")
+    need(p.session_gap_seconds > 0, "a session's gap is positive")
     need(set(p.sections) == set(p.event_types), "there is a section for exactly the approved event types")
     shared: dict[str, tuple] = {}
     for section, fields in [*p.sections.items(), ("PROFILE", p.profile)]:
@@ -232,6 +243,18 @@ def check(p: Policy) -> Policy:
         need(bool(known), f"aliases of an unknown field {n}")
         need(not set(table) & set(table.values()), f"{n}: an alias of an alias")
         need(all(f.domain is None or set(table.values()) <= set(f.domain) for f in known), f"{n}: an alias outside the domain")
+    home = next((c for c in p.contracts.values() if c.kind == "profile"), None)
+    need(home is not None, "there is a profile source")
+    made = {"duration_seconds", "screens_count", "first_screen", "last_screen", "screens"}
+    known = {c for n in events for c in p.contracts[n].columns} | made
+    for section, fields in p.sections.items():
+        for n, f in fields.items():
+            need(f.computed or f.source in known, f"{section}.{n}: no event source has a column {f.source}")
+    for n, f in p.profile.items():
+        need(f.computed or f.source in home.columns, f"PROFILE.{n}: the profile source has no column {f.source}")
+    need({n for n, f in p.profile.items() if f.computed} == LIFE_LONG, "the six life-long fields of the profile, and only they, are computed")
+    need(bool(re.fullmatch(r"\d+\.\d+\.\d+", p.version)), "a policy has a version of three numbers")
+    need(p.sample_size > 0 and p.fx_days >= 0 and p.horizon_days >= 0 and p.delta_buckets >= 2, "sizes and days of the run are in their ranges")
     need(set(p.buckets) <= set(p.bucket_fields()), "buckets of a field that is none")
     need(all(m in ("quantile", "equal_width") and k >= 2 for m, k in [*p.buckets.values(), p.default_bucket]), "a field has at least two buckets, by quantiles or equal width")
     need(p.fx_source in p.contracts and bool(p.fx_providers), "rates need a source and an approved provider")

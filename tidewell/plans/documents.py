@@ -64,7 +64,7 @@ def state(artifacts) -> dict[str, dict]:
         "timestamp_policy": {"sources": times, "horizon_days": p.horizon_days},
         "calendar_timezone_policy": {"zones": p.zones},
         "dedup_config": {"fingerprints": p.fingerprints, "versions": {n: c.version_field for n, c in p.contracts.items()}},
-        "sessionization_config": {"source": p.session_source, "starts": p.session_starts, "gap_seconds": p.session_gap_seconds},
+        "sessionization_config": {"source": p.session_source, "actions": p.session_actions, "starts": p.session_starts, "gap_seconds": p.session_gap_seconds},
         "fx_config": {"base": p.base_currency, "source": p.fx_source, "providers": p.fx_providers, "days": p.fx_days},
         "bucket_edges": {n: list(e.edges) for n, e in artifacts.edges.items()},
         "time_delta_edges": {"edges": list(artifacts.delta.edges), "reserved": ["FIRST_EVENT", "WINDOW_START"], "asked": artifacts.delta.asked},
