@@ -24,7 +24,7 @@ from .common import WORD, broadcastable, materialize, pick
 #: Fractional part of the golden ratio, the step of the points (fixed value).
 PHI = 0.6180339887498949
 WEIGHTS = (5, 2, 1)
-#: Equal cells of the unit interval through which points find their source.
+#: Equal cells of the unit interval through which points find their source: so many at least, and four a source.
 CELLS = 1024
 CHUNK = 8192
 #: Sources beyond which the source table is shuffled and no longer broadcast.
@@ -84,11 +84,12 @@ def schedule(spark, sources: DataFrame, slot_words: int) -> DataFrame:
     cum = sources.where("quota > 0").withColumn("hi", F.sum("target").over(upto) / F.sum("target").over(everyone))
     cum = cum.withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("no")), F.lit(0.0))).withColumn("hi", F.when(F.lead("no").over(Window.orderBy("no")).isNull(), 1.0).otherwise(F.col("hi")))
     cum = cum.withColumn("need", F.ceil(F.col("quota") / slot_words).cast("long"))
-    # through cells: an equi-join; a large source has many cells, a small one shares a cell
-    cells = cum.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * CELLS), F.least(F.lit(CELLS - 1), F.floor(F.col("hi") * CELLS)))))
+    # through cells: an equi-join; a large source has many cells, a small one shares a cell with few others on average
+    n_cells = max(CELLS, 4 * sources.count())
+    cells = cum.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") * n_cells), F.least(F.lit(n_cells - 1), F.floor(F.col("hi") * n_cells)))))
     cells = broadcastable(materialize(cells.select("no", "lo", "hi", "need", "cell")), MAX_BROADCAST_SOURCES + CELLS)
     points = spark.range(n).select(F.col("id").alias("slot"), ((F.col("id") + 1) * PHI).alias("u")).withColumn("u", F.col("u") - F.floor("u"))
-    points = points.withColumn("cell", F.floor(F.col("u") * CELLS)).withColumn("chunk", F.floor(F.col("slot") / CHUNK))
+    points = points.withColumn("cell", F.floor(F.col("u") * n_cells)).withColumn("chunk", F.floor(F.col("slot") / CHUNK))
     drawn = points.join(cells, "cell").where("u >= lo AND u < hi").select("slot", "chunk", "no", "need")
     sums = drawn.groupBy("no", "chunk").agg(F.count("*").alias("n"))
     base = sums.withColumn("base", F.coalesce(F.sum("n").over(Window.partitionBy("no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
