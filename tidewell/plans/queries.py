@@ -80,8 +80,7 @@ SELECT event_id AS line_number, CASE WHEN NOT ok THEN 'not_an_object' ELSE d END
 def o01_contract(spark, sf_dir):
     """Lines checked against a contract: every violation of every line."""
     made = table(spark, sf_dir, "events").select(F.lit("events").alias("partition"), F.col("event_id").alias("line_number"), F.expr(_line_sql().replace("VARCHAR", "STRING")).alias("value"))
-    good, bad = jsonl.validate(made, PROPS)
-    return bad.select("line_number", F.array_join("details", ",").alias("details"), F.lit(True).alias("rejected")).unionByName(good.select("line_number", F.lit("").alias("details"), F.lit(False).alias("rejected")))
+    return jsonl.checked(made, PROPS).select("line_number", F.array_join("details", ",").alias("details"), F.col("reason").isNotNull().alias("rejected"))
 
 
 # --- O02 identity ----------------------------------------------------------------------------------------------------
@@ -807,6 +806,28 @@ def o29_generated(spark, sf_dir):
     return generate.payments(table(spark, sf_dir, "events"))
 
 
+@query("SELECT time_bucket(INTERVAL 6 HOUR, ts) AS begins, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL")
+def s01_stream_windows(spark, sf_dir):
+    """Events read as a stream and counted in windows of six hours; the state after all of them."""
+    from ..sources import storage
+    from ..streaming import stream
+
+    path = f"{storage.shared_dir(spark)}/stream-{storage.uuid.uuid4().hex}"
+    # the zone is written out, so that the session's does not matter
+    rows = table(spark, sf_dir, "events").select("ts", "event_type")
+    rows.write.parquet(f"{path}/in")  # a stream reads a folder; the table may be one file
+    events = spark.readStream.schema(rows.schema).parquet(f"{path}/in").select("event_type", F.to_timestamp(F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("Z")), "yyyy-MM-dd HH:mm:ss.SSSSSSX").alias("ts"))
+    counted = stream.counts(events, "1 hour", "6 hours", ["event_type"])
+    rows = counted.select(F.timestamp_seconds(F.unix_seconds("window.start")).alias("begins"), "event_type", "n")
+
+    def keep(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows")
+
+    rows.writeStream.outputMode("complete").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return spark.read.schema(rows.schema).parquet(f"{path}/rows").select(F.timestamp_add("SECOND", F.unix_seconds("begins").cast("int"), epoch).alias("begins"), "event_type", "n")
+
+
 @query(f"WITH {_SQL_VOCAB} SELECT id::BIGINT AS id, token FROM vo WHERE id < 5 OR block IN (1, 4)")
 def t04_canonical_ids(spark, sf_dir):
     """Ids of the fixed blocks: special tokens, keys, RARE tokens."""
