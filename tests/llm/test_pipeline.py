@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm import data
 from tests.llm.test_operators import brute_classes, brute_fingerprint, brute_lines
+from tidewell.llm import queries as llm_queries
 
 
 @pytest.fixture(scope="module")
@@ -60,7 +61,15 @@ def test_stages(spark, corpus):
     assert docs.where("n_chars != length(text)").count() == 0
     out = corpus_pipeline.STAGES[-1][1](spark, docs, root)
     assert {r.doc_id for r in out.collect()} == set(kept["decontamination"])
+    import duckdb
+
+    c = duckdb.connect()
+    c.register("kept_rows", docs.toPandas())
+    shown = lambda r: (r[0], r[1], r[2], round(r[3], 6), r[4])
+    assert sorted(shown(r) for r in out.select("doc_id", "size", "source_size", "target", "taken").collect()) == sorted(shown(r) for r in c.execute(llm_queries.OP1_SQL.format(docs="kept_rows")).fetchall())
+    before = spark.conf.get(corpus_pipeline._BATCH)
     whole = sorted(map(tuple, corpus_pipeline.run(spark, root).collect()))
+    assert spark.conf.get(corpus_pipeline._BATCH) == before
     assert whole == sorted(map(tuple, out.collect()))
 
 
