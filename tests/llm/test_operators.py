@@ -493,6 +493,17 @@ def test_golay_table_decodes_every_word():
         assert len(near) in (1, 6)
 
 
+def test_the_golay_table_is_not_sent():
+    from pyspark import cloudpickle
+
+    assert len(simhash.golay_table()) == 1 << 23
+    sent = cloudpickle.dumps(simhash.query_keys)
+    assert len(sent) < 100_000
+    again = cloudpickle.loads(sent)
+    fps = np.arange(50, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert all(np.array_equal(x, y) for x, y in zip(again(fps), simhash.query_keys(fps)))
+
+
 def test_keys_meet_for_all_errors_of_up_to_three_bits():
     rng = np.random.default_rng(2)
     a = rng.integers(0, 2**64, 4000, dtype=np.uint64)

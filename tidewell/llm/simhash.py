@@ -52,24 +52,36 @@ GOLAY_GENERATOR = 0b101011100011
 SMALL_BUCKET = 64
 
 
-_GOLAY: list[np.ndarray] = []
+class _Golay:
+    """The decoding table, made once a process; it is not sent with the functions that use it."""
+
+    def __init__(self):
+        self.made: np.ndarray | None = None
+
+    def __reduce__(self):
+        return _Golay, ()
+
+    def table(self) -> np.ndarray:
+        if self.made is None:
+            words = np.zeros(4096, np.int64)
+            for bit in range(12):
+                words[(np.arange(4096) >> bit) & 1 == 1] ^= GOLAY_GENERATOR << bit
+            bits = 1 << np.arange(23)
+            errors = [0, *bits]
+            errors += [a | b for i, a in enumerate(bits) for b in bits[:i]]
+            errors += [a | b | c for i, a in enumerate(bits) for j, b in enumerate(bits[:i]) for c in bits[:j]]
+            self.made = np.empty(1 << 23, np.int16)
+            for e in errors:
+                self.made[words ^ int(e)] = np.arange(4096)
+        return self.made
+
+
+_GOLAY = _Golay()
 
 
 def golay_table() -> np.ndarray:
-    """For each 23-bit word the index (0..4095) of the one codeword within three bits; made once a process."""
-    if not _GOLAY:
-        words = np.zeros(4096, np.int64)
-        for bit in range(12):
-            words[(np.arange(4096) >> bit) & 1 == 1] ^= GOLAY_GENERATOR << bit
-        bits = 1 << np.arange(23)
-        errors = [0, *bits]
-        errors += [a | b for i, a in enumerate(bits) for b in bits[:i]]
-        errors += [a | b | c for i, a in enumerate(bits) for j, b in enumerate(bits[:i]) for c in bits[:j]]
-        table = np.empty(1 << 23, np.int16)
-        for e in errors:
-            table[words ^ int(e)] = np.arange(4096)
-        _GOLAY.append(table)
-    return _GOLAY[0]
+    """For each 23-bit word the index (0..4095) of the one codeword within three bits."""
+    return _GOLAY.table()
 
 
 def parts(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
