@@ -54,6 +54,15 @@ def sized_slices(batches, column: int, rows: int = 1024, limit: int = 4 << 20):
     trim()
 
 
+def sent(spark: SparkSession, model):
+    """A broadcast of a model that workers without this package can read, with ``received``."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(model))
+
+
+def received(broadcast):
+    return cloudpickle.loads(broadcast.value)
+
+
 def trim() -> None:
     """Return freed heap to the system, where the C library can."""
     import ctypes

@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, slices
+from .common import pick, received, sent, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -370,11 +370,12 @@ def extract_all(pages: DataFrame, weights: Weights, html: str = "html") -> DataF
     """``pages`` with ``text`` in place of ``html``. Null and empty html give the empty string; repeated rows each a result."""
     names = pages.columns
     at = names.index(html)
-    sent = pages.sparkSession.sparkContext.broadcast(weights)
+    packed = sent(pages.sparkSession, weights)
 
     def run(batches):
+        weights = received(packed)
         for b in slices(batches):
-            texts = [extract(t, sent.value) for t in b.column(at).to_pylist()]
+            texts = [extract(t, weights) for t in b.column(at).to_pylist()]
             cols = list(b.columns)
             cols[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)

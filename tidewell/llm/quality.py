@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, slices
+from .common import materialize, pick, received, sent, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -170,12 +170,13 @@ def fit(rows: DataFrame, labels: DataFrame) -> Model:
 
 def score(rows: DataFrame, model: Model) -> DataFrame:
     """``doc_id, score`` of every row (doc_id, x)."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    packed = sent(rows.sparkSession, model)
 
     def run(batches):
+        model = received(packed)
         for b in slices(batches):
             x = np.array(b.column(1).to_pylist()).reshape(b.num_rows, -1)
-            p = np.round(sent.value.score(x), 9) if b.num_rows else np.zeros(0)
+            p = np.round(model.score(x), 9) if b.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], names=["doc_id", "score"])
 
     return rows.select("doc_id", "x").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick, slices
+from .common import pick, received, sent, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -400,10 +400,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep=lambda p: True
     """
     names = docs.columns
     at = names.index(text)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    packed = sent(docs.sparkSession, model)
 
     def run(batches):
-        model = sent.value
+        model = received(packed)
         table = model.table()
         known: dict[str, float] = {}
         for b in slices(batches):
