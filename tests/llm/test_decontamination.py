@@ -88,6 +88,29 @@ def test_shared_boilerplate_names_no_pair_but_counts(spark):
     assert len(decontam.contaminations(frame(spark, docs[:1]), short, common=100).collect()) == 8
 
 
+@pytest.mark.parametrize("at_end", [False, True])
+def test_windows_of_very_many_classes_name_all_their_pairs(spark, monkeypatch, at_end):
+    rng = random.Random(8)
+    lead = "Please read the following 3 texts with care and then answer Tom in 5 words below it"
+    put = lambda own: f"{own} {lead}" if at_end else f"{lead} {own}"
+    items = [put(data.words(rng, 9 + i % 4)) for i in range(80)] + [data.words(rng, 20) for _ in range(5)]
+    items += [f"please answer the next question as well as you can {data.words(rng, 9)}" for _ in range(70)]  # too short to tell
+    asked = lead.replace("3", "8").replace("Tom", "Eve")
+    docs = [f"{data.words(rng, 9)} {asked} {data.words(rng, 9)}", items[3], items[82], data.words(rng, 60)]
+    docs += [f"{data.words(rng, 9)} {items[90].rsplit(' ', 9)[0]} {data.words(rng, 9)}", put(items[7].replace(lead, "")).replace("3", "6"), asked.replace("words", "other words")]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = frame(spark, docs)
+    rows = rows.unionByName(rows.where("doc_id = 0").selectExpr("cast(null as long) doc_id", *rows.columns[1:]))
+    told = lambda df: sorted(((-1 if r.doc_id is None else r.doc_id, *r[1:]) for r in df.collect()))
+    got = told(decontam.contaminations(rows, bench))
+    pairs = {(r[0], r[2]) for r in got}
+    assert {(d, i) for d in (-1, 0, 1, 5) for i in range(80)} | {(2, 82)} <= pairs and not {d for d, _ in pairs} & {3, 4}
+    kept = {r.doc_id for r in decontam.decontaminate(rows, bench).collect()}
+    assert kept == set(range(7)) - {d for d, _ in pairs}
+    monkeypatch.setattr(decontam, "COMMON", 10**6)  # each pair by itself
+    assert got == told(decontam.contaminations(rows, bench))
+
+
 def plain_windows(ws, size=8):
     return {" ".join(ws[i : i + size]): i for i in range(len(ws) - size + 1)}
 

@@ -42,7 +42,7 @@ from .common import broadcastable, discard, mark, materialize, pick, sized_slice
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW, LEAST_PLAIN, COVER = 8, 3, 13
-#: A window of more classes than this is boilerplate: it counts for a pair that another window names.
+#: Classes that share windows of more classes than this are looked at together, by what they share; no result depends on it.
 COMMON = 64
 #: Parts of one match are shifted against each other by at most so many words.
 SHIFT = 8
@@ -391,20 +391,58 @@ def item_classes(benchmark: DataFrame) -> DataFrame:
     return rows.join(whole, "class").select("item_id", "class_item_id", "class_items")
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame, cover: int = COVER, common: int = COMMON) -> DataFrame:
-    """``doc_id, key, item_id, n_items, item_words, n_windows, covered`` of every contaminated pair of a document and a class of items.
+def judged(runs: DataFrame, cover: int) -> DataFrame:
+    """``runs`` with ``n_windows, covered`` in place of ``ws, reach``, without those of which too little agrees."""
+    kept = [c for c in runs.columns if c not in ("ws", "reach")]
 
-    ``docs``: doc_id, text; ``benchmark``: item_id, text. ``item_id`` is the
-    smallest of the class, ``n_items`` its size (``item_classes`` tells the
-    members). ``key`` (a hash of the text) tells apart texts with the same
-    doc_id. Rows with a null or empty text match nothing; null ids are kept as
-    ids; repeated rows give one result; an empty table on either side gives no
-    rows. Items of fewer words than a window are one window, which documents of
-    any length are searched for. A window of more than ``common`` classes does
-    not name a pair but counts for pairs that other windows name; classes that
-    have no other windows are named by all of theirs.
+    def run(batches):
+        for b in batches:
+            told = []
+            ws, words, reach = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("ws", "item_words", "reach"))
+            for w, n, r in zip(ws, words, reach):
+                told.append(judge([(x["pos"], x["first"], x["last"], tuple(x["slots"]), tuple(x["names"]), tuple(x["values"])) for x in w], n, min(cover, r), cover))
+            keep = [b.column(b.schema.get_field_index(c)) for c in kept]
+            out = pa.RecordBatch.from_arrays([*keep, pa.array([n for _, n in told], pa.int64()), pa.array([c for c, _ in told], pa.int64())], names=[*kept, "n_windows", "covered"])
+            yield out.filter(pc.greater(out.column(len(kept) + 1), 0))
+
+    return runs.mapInArrow(run, runs.select(*kept).schema.add("n_windows", "long").add("covered", "long"))
+
+
+def common_parts(rest: DataFrame, cover: int) -> DataFrame:
+    """``part, class, item_words, reach, windows`` of the classes of which the windows in ``rest`` cover enough to tell.
+
+    Classes of one part are told alike by these windows: they stand at the same
+    distances from the first one, and their slots are the same by rank.
+    ``item_words`` and ``reach`` are cut to what makes a difference.
     """
+
+    def run(batches):
+        for b in batches:
+            cols: list[list] = [[] for _ in range(5)]
+            for cls, words, reach, ws in zip(*(c.to_pylist() for c in b.columns)):
+                reach, words = min(cover, reach), min(words, 2 * SHIFT)
+                ws = sorted((w["f"], w["l"], tuple(w["slots"]), tuple(w["names"]), w["h"]) for w in ws)
+                if len({x for f, l, *_ in ws for x in range(f, l + 1)}) < reach:
+                    continue
+                rank = {s: k for k, s in enumerate(sorted({s for w in ws for s in w[2]}))}
+                low = ws[0][0]
+                made = [(h, f - low, l - low, [rank[s] for s in slots], [rank[s] for s in names]) for f, l, slots, names, h in ws]
+                part = xxhash.xxh64_intdigest(repr((words, reach, made)).encode()) >> 1
+                for c, x in zip(cols, (part, cls, words, reach, [dict(zip(("h", "f", "l", "slots", "names"), m)) for m in made])):
+                    c.append(x)
+            ints = pa.list_(pa.int32())
+            window = pa.struct([("h", pa.int64()), ("f", pa.int32()), ("l", pa.int32()), ("slots", ints), ("names", ints)])
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(window)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["part", "class", "item_words", "reach", "windows"])
+
+    whole = rest.groupBy("class", "item_words", "reach").agg(F.collect_set(F.struct("h", "f", "l", "slots", "names")).alias("ws"))
+    return whole.mapInArrow(run, "part long, class long, item_words int, reach int, windows array<struct<h: long, f: int, l: int, slots: array<int>, names: array<int>>>")
+
+
+def _agreeing(docs: DataFrame, benchmark: DataFrame, cover: int, common: int | None):
+    """(contaminated pairs; pairs of a document and a part; the classes of parts; pairs that are no longer a part's); the last three None without parts."""
     kind_of = lambda df, c: df.schema[c].dataType.simpleString()
+    most = COMMON if common is None else common
     items = pick(benchmark, "item_id", "text")
     rows = materialize(item_windows(items, kind_of(items, "item_id")))
     whole = rows.groupBy("class").agg(F.min_by(F.struct("first", "last"), F.struct(F.col("item_id").isNull(), "item_id")).alias("at"), F.min("item_id").alias("item_id"), F.count_distinct(F.struct("item_id")).alias("n_items"))
@@ -412,35 +450,56 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, cover: int = COVER, co
     shared = distinct.select("h", "class").distinct().groupBy("h").agg(F.count("*").alias("classes"))
     parts = distinct.join(shared, "h").join(whole, "class").withColumns({"f": F.col("at.first")[F.col("t0")], "l": F.col("at.last")[F.col("t1") - 1], "item_words": F.element_at("at.last", -1) + 1})
     reach = parts.groupBy("class").agg(F.size(F.array_distinct(F.flatten(F.collect_set(F.sequence("f", "l"))))).alias("reach"), F.min("classes").alias("rarest"))
-    bench = materialize(parts.join(reach, "class").withColumn("names_it", (F.col("classes") <= common) | (F.col("rarest") > common)).drop("at", "t0", "t1", "classes", "rarest"))
+    names_it = (F.col("classes") <= most) | (F.lit(common is not None) & (F.col("rarest") > most))
+    bench = materialize(parts.join(reach, "class").withColumn("names_it", names_it).drop("at", "t0", "t1", "classes", "rarest"))
     short = sorted((r["sort"], r["size"]) for r in bench.where(F.col("size") < WINDOW).select("sort", "size").distinct().collect())  # at most three times the window's words
     mask = docs.sparkSession.sparkContext.broadcast(window_filter(bench))
     texts = pick(docs, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     found = materialize(document_windows(texts, kind_of(texts, "doc_id"), short, mask))
     window = [F.struct("pos", F.col("f").alias("first"), F.col("l").alias("last"), "slots", "names", "values").alias("w")]
     pair = ["doc_id", "key", "class", "item_id", "n_items", "item_words", "reach"]
+
+    def gathered(met: DataFrame) -> DataFrame:
+        """No more windows than the document has words."""
+        return judged(met.groupBy(*[c for c in met.columns if c != "w"]).agg(F.collect_set("w").alias("ws")), cover)
+
     met = found.join(bench.where("names_it"), "h").where(F.size("slots") == F.size("values")).select(*pair, *window)
     rest = bench.where("not names_it")
-    if not rest.isEmpty():
-        met = materialize(met)
-        named = met.select("doc_id", "key", "class").distinct().withColumnsRenamed({"doc_id": "d", "key": "k", "class": "c"})
-        asked = found.join(named, found["doc_id"].eqNullSafe(F.col("d")) & (found["key"] == F.col("k"))).join(rest, (F.col("c") == rest["class"]) & (found["h"] == rest["h"]))
-        met = met.unionByName(asked.where(F.size("slots") == F.size("values")).select(*pair, *window))
-    # no more windows than the document has words
-    runs = met.groupBy(*pair).agg(F.collect_set("w").alias("ws"))
-
-    def run(batches):
-        for b in batches:
-            told = []
-            ws, words, reach = (b.column(b.schema.get_field_index(c)).to_pylist() for c in ("ws", "item_words", "reach"))
-            for w, n, r in zip(ws, words, reach):
-                told.append(judge([(x["pos"], x["first"], x["last"], tuple(x["slots"]), tuple(x["names"]), tuple(x["values"])) for x in w], n, min(cover, r), cover))
-            keep = [b.column(b.schema.get_field_index(c)) for c in ("doc_id", "key", "item_id", "n_items", "item_words")]
-            out = pa.RecordBatch.from_arrays([*keep, pa.array([n for _, n in told], pa.int64()), pa.array([c for c, _ in told], pa.int64())], names=["doc_id", "key", "item_id", "n_items", "item_words", "n_windows", "covered"])
-            yield out.filter(pc.greater(out.column(6), 0))
+    if rest.isEmpty():
+        return gathered(met).drop("class"), None, None, None
+    met = materialize(met)
+    named = met.select("doc_id", "key", "class").distinct().withColumnsRenamed({"doc_id": "d", "key": "k", "class": "c"})
+    asked = found.join(named, found["doc_id"].eqNullSafe(F.col("d")) & (found["key"] == F.col("k"))).join(rest, (F.col("c") == rest["class"]) & (found["h"] == rest["h"]))
+    pairs = gathered(met.unionByName(asked.where(F.size("slots") == F.size("values")).select(*pair, *window))).drop("class")
+    if common is not None:
+        return pairs, None, None, None
+    # what no other window names is told by the common ones, once for all classes that have them alike
+    told = materialize(common_parts(rest, cover))
+    alike = told.groupBy("part").agg(*[F.first(c).alias(c) for c in ("item_words", "reach", "windows")]).select("part", "item_words", "reach", F.inline("windows"))
+    by_part = found.join(alike, "h").where(F.size("slots") == F.size("values")).select("doc_id", "key", "part", "item_words", "reach", *window)
+    return pairs, materialize(gathered(by_part).drop("item_words")), told.select("part", "class").join(bench.select("class", "item_id", "n_items", "item_words").distinct(), "class"), named
+
+
+def contaminations(docs: DataFrame, benchmark: DataFrame, cover: int = COVER, common: int | None = None) -> DataFrame:
+    """``doc_id, key, item_id, n_items, item_words, n_windows, covered`` of every contaminated pair of a document and a class of items.
 
-    schema = runs.select("doc_id", "key", "item_id", "n_items", "item_words").schema.add("n_windows", "long").add("covered", "long")
-    return runs.mapInArrow(run, schema)
+    ``docs``: doc_id, text; ``benchmark``: item_id, text. ``item_id`` is the
+    smallest of the class, ``n_items`` its size (``item_classes`` tells the
+    members). ``key`` (a hash of the text) tells apart texts with the same
+    doc_id. Rows with a null or empty text match nothing; null ids are kept as
+    ids; repeated rows give one result; an empty table on either side gives no
+    rows. Items of fewer words than a window are one window, which documents of
+    any length are searched for. Every window names pairs, whatever the number
+    of classes that have it. With ``common``, one of more classes does not name
+    a pair but counts for pairs that other windows name; classes that have no
+    other windows are then named by all of theirs.
+    """
+    pairs, by_part, classes, named = _agreeing(docs, benchmark, cover, common)
+    if by_part is None:
+        return pairs
+    known = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")) & (F.col("class") == F.col("c"))
+    more = by_part.join(classes, "part").join(named, known, "left_anti")
+    return pairs.unionByName(more.select(*pairs.columns))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: int = COVER) -> DataFrame:
@@ -448,7 +507,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: int = COVER) ->
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     since = mark()
-    hits = materialize(contaminations(docs, benchmark, cover).select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")).distinct())
+    pairs, by_part, classes, named = _agreeing(docs, benchmark, cover, None)
+    found = pairs.select("doc_id", "key")
+    if by_part is not None:  # a part tells when one of its classes at least is not judged with windows of its own
+        sizes = classes.groupBy("part").agg(F.count("*").alias("n"))
+        own = named.join(classes.select("part", F.col("class").alias("c")), "c").groupBy("d", "k", F.col("part").alias("p")).agg(F.count("*").alias("n_own"))
+        known = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")) & (F.col("part") == F.col("p"))
+        found = found.unionByName(by_part.join(sizes, "part").join(own, known, "left").where("coalesce(n_own, 0) < n").select("doc_id", "key"))
+    hits = materialize(found.select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")).distinct())
     discard(docs.sparkSession, since, keep=1)
     hits = broadcastable(hits, 500_000)  # two longs a row; more are joined by shuffle
     same = flat[f"c{names.index('doc_id')}"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(f"c{names.index('text')}") == F.col("hit_key"))
