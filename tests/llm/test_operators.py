@@ -642,6 +642,28 @@ def test_a_large_group_of_near_copies_stays_one_class(spark):
     assert len([i for i in kept if i < 300]) == 1 and len([i for i in kept if i >= 300]) == 20
 
 
+def test_of_repeated_rows_one_stays_and_no_text_is_written(spark, monkeypatch):
+    rng = random.Random(26)
+    texts = [data.words(rng, 120) for _ in range(12)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)] + [(i, texts[i], "en", f"s{k}", k) for i in (2, 5) for k in range(3)]
+    rows += [(None, texts[7], "en", "s", 0)] * 2 + [(None, data.words(rng, 60), "en", "s", 0)] * 3 + [(20 - k, f"{texts[3]} {texts[4]} end{k}", "en", "s", 0) for k in range(3)] * 2
+    written = []
+
+    def noted(df, write=common.materialize):
+        written.append(df.columns)
+        return write(df)
+
+    monkeypatch.setattr(simhash, "materialize", noted)
+    docs = spark.createDataFrame(rows, data.DOC)
+    want = [(False, i, t) for i, t in enumerate(texts)] + [(True, None, rows[20][1])]
+    for similarity, near in ((0.8, [(False, 18, f"{texts[3]} {texts[4]} end2")]), (None, [])):
+        kept = simhash.keep_one(docs if near else docs.where("doc_id is null or doc_id < 18"), similarity=similarity)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id is None, r.doc_id, r.text) for r in kept.collect()) == sorted(want + near, key=lambda r: (r[0], r[1] or 0))
+    # a copy of the corpus would double the disk that the stage takes
+    assert written and not any({"text", "c1"} & set(w) for w in written)
+
+
 def test_signatures_estimate_similarity():
     rng = random.Random(15)
     for share in (0.0, 0.01, 0.03, 0.1):

@@ -426,6 +426,11 @@ def agreeing(shared: DataFrame, roots: DataFrame, nodes: DataFrame, similarity:
     return dealt.mapInArrow(compare, "block long, a long, b long, ra long, rb long")
 
 
+def _same(doc_id: str, key: str):
+    """The condition that a row (doc_id, key) is the document named by two other columns."""
+    return F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col("key") == F.col(key))
+
+
 def shingle_sets(nodes: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFrame:
     """``node, s``: the sorted hashes of the distinct five-word shingles of the nodes asked for."""
 
@@ -434,8 +439,9 @@ def shingle_sets(nodes: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFr
             made = [np.unique(shingles(t or b"", 5)[0]).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["node", "s"])
 
-    uids = materialize(nodes.select("node", "uid").join(asked, "node"))
-    return materialize(texts.select("uid", "text").join(broadcastable(uids, 500_000), "uid").select("node", "text").mapInArrow(sets, "node long, s binary"))
+    wanted = materialize(nodes.select("node", F.col("doc_id").alias("id"), F.col("key").alias("k")).join(asked, "node"))
+    made = materialize(texts.join(broadcastable(wanted, 500_000), _same("id", "k")).select("node", "text").mapInArrow(sets, "node long, s binary"))
+    return made if made.count() == wanted.count() else made.dropDuplicates(["node"])  # repeated rows
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -475,8 +481,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def similar_classes(fps: DataFrame, texts: DataFrame, most: int, similarity: float) -> DataFrame:
-    """``node, root`` of all nodes: classes of confirmed links; ``fps``: uid, node, fp, sig, ``texts``: uid, text."""
-    nodes = materialize(fps.groupBy("node").agg(F.min(F.struct("uid", "fp", "sig")).alias("s")).select("node", "s.*"))
+    """``node, root`` of all nodes: classes of confirmed links; ``fps``: key, doc_id, node, fp, sig, ``texts``: key, doc_id, text."""
+    nodes = materialize(fps.groupBy("node").agg(F.min(F.struct("key", "doc_id", "fp", "sig")).alias("s")).select("node", "s.*"))
     root = nodes.select("node", F.col("node").alias("root"))
     shared = materialize(shared_bands(nodes))
     # one node stands for each fingerprint: candidates are the others with it, and links to other fingerprints
@@ -499,15 +505,15 @@ def similar_classes(fps: DataFrame, texts: DataFrame, most: int, similarity: flo
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``uid, doc_id, node, fp, sig`` of ``uid, doc_id, text`` rows; a node is a set of distinct five-word shingles."""
+    """``key, doc_id, node, fp, sig`` of ``key, doc_id, text`` rows; a node is a set of distinct five-word shingles."""
 
     def run(batches):
         for b in slices(batches):
             made = [sketch(t or b"") for t in b.column(2).cast(pa.binary()).to_pylist()]
             fps, sets = (np.array([m[k] for m in made], np.uint64).view(np.int64) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets), pa.array(fps), pa.array([m[2] for m in made], pa.binary())], names=["uid", "doc_id", "node", "fp", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets), pa.array(fps), pa.array([m[2] for m in made], pa.binary())], names=["key", "doc_id", "node", "fp", "sig"])
 
-    return docs.mapInArrow(run, f"uid long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, fp long, sig binary")
+    return docs.mapInArrow(run, f"key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, node long, fp long, sig binary")
 
 
 def classes(docs: DataFrame, most: int = 3, shingle: int = 3) -> DataFrame:
@@ -536,24 +542,33 @@ def keep_one(docs: DataFrame, most: int = 3, similarity: float | None = 0.8) ->
     differ in at most ``most`` bits. The document with the smallest
     doc_id stays (nulls last; ties: any one, and exactly one). Texts without
     words are copies of each other. Same columns, empty in, empty out.
+
+    ``docs`` is read several times and has to give the same rows each time, in
+    any order, as a table does; no copy of it is written. A document is named
+    by its doc_id and a hash of its text, so of rows that agree in both one stays.
     """
     names = docs.columns
     flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
     at = {n: f"c{names.index(n)}" for n in ("doc_id", "text")}
-    flat = materialize(flat.withColumn("uid", F.monotonically_increasing_id()))
+    keyed = flat.withColumns({"doc_id": F.col(at["doc_id"]), "key": F.xxhash64(at["text"])})
+    texts = keyed.select("key", "doc_id", F.col(at["text"]).alias("text"))
     since = mark()
-    texts = flat.select("uid", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text"))
     if similarity is None:
         fps = materialize(fingerprints(texts).withColumnRenamed("fp", "node"))
         root = materialize(near_duplicates(fps.select(F.col("node").alias("fp")), most)).withColumnRenamed("fp", "node")
     else:
         fps = materialize(sketches(texts))
         root = similar_classes(fps, texts, most, similarity)
-    first = fps.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("low"), F.count("*").alias("n"))
+    first = fps.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("low"), F.count("*").alias("n"))
     known = materialize(first.join(root, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "low", "n"))
-    groups = known.groupBy("root").agg(F.min("low")["uid"].alias("stay"), F.sum("n").alias("size")).where("size > 1")
+    groups = known.groupBy("root").agg(F.min("low").alias("low"), F.sum("n").alias("size")).where("size > 1")
     # only documents of groups of two and more are looked at again; their number decides between broadcast and shuffle
-    shared = known.join(groups, "root").select("node", "stay")
-    gone = materialize(fps.select("node", "uid").join(shared, "node").where("uid != stay").select("uid"))
+    shared = known.select("node", "root").join(groups, "root").select("node", F.col("low.doc_id").alias("id"), F.col("low.key").alias("k"))
+    members = fps.select("node", "doc_id", "key").join(shared, "node").groupBy("doc_id", "key").agg(F.max(_same("id", "k")).alias("stays"), F.count("*").alias("n"))
+    told = materialize(members.where("not stays or n > 1").select(F.col("doc_id").alias("id"), F.col("key").alias("k"), "stays"))
     discard(docs.sparkSession, since, keep=1)
-    return flat.join(broadcastable(gone, 500_000), "uid", "left_anti").select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
+    gone, repeated = (broadcastable(told.where(x).select("id", "k"), 500_000) for x in ("not stays", "stays"))
+    out = keyed.join(gone, _same("id", "k"), "left_anti")
+    if not repeated.isEmpty():  # rows that agree in doc_id and text
+        out = out.join(repeated, _same("id", "k"), "left_anti").unionByName(out.join(repeated, _same("id", "k"), "left_semi").dropDuplicates(["doc_id", "key"]))
+    return out.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)])
