@@ -642,6 +642,34 @@ def test_a_large_group_of_near_copies_stays_one_class(spark):
     assert len([i for i in kept if i < 300]) == 1 and len([i for i in kept if i >= 300]) == 20
 
 
+def test_components_make_no_round_only_to_see_that_nothing_changes(spark, monkeypatch):
+    written = []
+
+    def noted(df, write=common.materialize):
+        written.append(df.columns)
+        return write(df)
+
+    monkeypatch.setattr(common, "materialize", noted)
+    chain, late = [(i, i + 1) for i in range(1, 9)], [(3, 1), (3, 2)]  # the second: each b hangs on nothing, but 3 on two
+    for edges, most in (([(9, 1), (1, 8), (7, 1), (5, 4), (5, 4), (6, 6), (None, 1)], 1), ([(2, 1), (3, 2)], 2), (late, 2), (chain, 4), ([], 1)):
+        written.clear()
+        got = {r.node: r["root"] for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+        assert got == {n: 4 if n in (4, 5) and len(edges) == 7 else 1 for e in edges for n in e if None not in e and e[0] != e[1]}
+        assert len(written) <= most
+
+
+def test_the_driver_gives_back_what_training_and_classes_took(spark, monkeypatch):
+    done = []
+    monkeypatch.setattr(toxicity, "trim", lambda: done.append("fit"), raising=False)
+    rows = [(i, f"plain words number{i} and nothing else" + (" you idiot" if i % 2 else ""), "en", "s", 0) for i in range(40)]
+    docs = spark.createDataFrame(rows, data.DOC)
+    toxicity.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, label int"))
+    assert done == ["fit"]
+    monkeypatch.setattr(simhash, "release", lambda s: done.append("classes"), raising=False)
+    simhash.keep_one(docs)
+    assert done[1:].count("classes") >= 3
+
+
 def test_of_repeated_rows_one_stays_and_no_text_is_written(spark, monkeypatch):
     rng = random.Random(26)
     texts = [data.words(rng, 120) for _ in range(12)]

@@ -72,6 +72,20 @@ def trim() -> None:
         free(0)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver forget plans that nothing uses any more.
+
+    The relations that were broadcast for them and the files of their shuffles
+    stay until the driver's JVM collects its garbage, which it puts off while it
+    can grow.
+    """
+    import gc
+
+    gc.collect()  # Python holds the JVM's plans
+    spark._jvm.System.gc()
+    trim()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, named in ``spark.checkpoint.dir``.
 
@@ -127,9 +141,10 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 
     ``edges`` has long columns ``a`` and ``b``. Returns ``node, root`` for every
     node that has an edge. Alternates large-star and small-star steps until the
-    edge set is a star forest; each step is two aggregations over edges, its
-    result is written to the shared folder, and only an edge count and a
-    checksum come to the driver. A hub's neighbours are never gathered: stars
+    edge set is a star forest, which is asked before each round, so none is made
+    only to see that nothing changes; each step is two aggregations over edges, its
+    result is written to the shared folder, and only a count comes to the
+    driver. A hub's neighbours are never gathered: stars
     need no more than the minimum over them, and the joins are left to
     adaptive execution, which splits a hub's partition.
 
@@ -147,21 +162,20 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
             out = hung.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
         return out.where("a != b").distinct()
 
-    def state(e: DataFrame):
-        return e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def done(e: DataFrame) -> bool:
+        """Whether every node hangs on one other node at most, and on none that hangs itself."""
+        ends = e.select(F.col("a").alias("node"), F.lit(1).alias("hangs")).unionByName(e.select(F.col("b").alias("node"), F.lit(0).alias("hangs")))
+        each = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.min("hangs").alias("least"))
+        return not each.agg(F.count_if((F.col("hangs") > F.lit(1)) | (F.col("hangs") > F.col("least")))).first()[0]
 
     spark = edges.sparkSession
     since = mark()
     cur = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
-    before = state(cur)
-    if before[0]:
-        for _ in range(max_rounds):
-            cur = materialize(star(star(cur, True), False))
-            discard(spark, since, keep=1)
-            now = state(cur)
-            if now == before:
-                break
-            before = now
-        else:
+    rounds = 0
+    while not done(cur):
+        if rounds == max_rounds:
             raise RuntimeError(f"no star forest after {max_rounds} rounds")
+        cur = materialize(star(star(cur, True), False))
+        discard(spark, since, keep=1)
+        rounds += 1
     return cur.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(cur.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -42,7 +42,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcastable, components, discard, mark, materialize, pick, sized_slices, slices
+from .common import broadcastable, components, discard, mark, materialize, pick, release, sized_slices, slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -494,8 +494,12 @@ def similar_classes(fps: DataFrame, texts: DataFrame, most: int, similarity: flo
     sets = shingle_sets(nodes, asked, texts)
 
     def grown(root: DataFrame, pairs: DataFrame) -> DataFrame:
-        wide = materialize(components(confirmed(pairs, sets, similarity)).select(F.col("node").alias("root"), F.col("root").alias("wide")))
-        return materialize(root.join(wide, "root", "left").select("node", F.coalesce("wide", "root").alias("root")))
+        links = confirmed(pairs, sets, similarity)
+        release(fps.sparkSession)
+        wide = components(links).select(F.col("node").alias("root"), F.col("root").alias("wide"))
+        out = materialize(root.join(wide, "root", "left").select("node", F.coalesce("wide", "root").alias("root")))
+        release(fps.sparkSession)
+        return out
 
     # large groups become one class by the stars of two bands, then of all; then all pairs between classes are left
     names = ["block", "a", "b", "ra", "rb"]

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import pick, received, sent, slices
+from .common import pick, received, sent, slices, trim
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -139,8 +139,7 @@ def score_words(strings: list[str], table: np.ndarray, bias: float) -> np.ndarra
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, rounds: int = 30) -> np.ndarray:
-    """Linear machine with squared hinge loss, by Newton steps on the rows inside the margin."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    """Linear machine with squared hinge loss, by Newton steps on the rows inside the margin; the last column of ``x`` is 1."""
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-6
@@ -150,8 +149,9 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float, rounds:
         if before is not None and (inside == before).all():
             break
         before = inside
-        xs = x[inside] * weight[inside, None]
-        w = np.linalg.solve(xs.T @ x[inside] + penalty, xs.T @ y[inside])
+        near = x[inside]
+        xs = near * weight[inside, None]
+        w = np.linalg.solve(xs.T @ near + penalty, xs.T @ y[inside])
     return w
 
 
@@ -327,7 +327,9 @@ def train(examples: list[tuple[list[list[str]], int, int]], max_landmarks: int =
     for left in range(rounds, 0, -1):
         strings = [*sorted(told, key=lambda w: (-told[w], w))[:max_clean], *used]
         y = np.concatenate([np.ones(len(strings) - len(used)), -np.ones(len(used))])
-        x = np.concatenate([kernel_rows(strings[k : k + 2000], tables, index) for k in range(0, len(strings), 2000)])
+        x = np.ones((len(strings), tables.shape[1] + 1))
+        for k in range(0, len(strings), 2000):
+            x[k : k + 2000, :-1] = kernel_rows(strings[k : k + 2000], tables, index)
         n = np.array([told.get(s, 1) for s in strings], float)
         weight = np.where(y > 0, np.sqrt(n), np.array([NEAR_WEIGHT if w in near else 1.0 for w in strings]))
         weight *= np.where(y > 0, len(y) / (2 * weight[y > 0].sum()), len(y) / (2 * weight[y < 0].sum()))
@@ -384,7 +386,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2500, max_chars: in
 
     got = rows.select("text", F.col("label").cast("int")).mapInArrow(run, "found string, label int, key long")
     got = got.groupBy("label", "key").agg(F.min_by("found", F.struct(F.xxhash64("found"), "found")).alias("found"))
-    return train([([[*map(sys.intern, s.split())] for s in r["found"].split("\n") if s], r["label"], r["key"]) for r in got.toLocalIterator()])
+    model = train([([[*map(sys.intern, s.split())] for s in r["found"].split("\n") if s], r["label"], r["key"]) for r in got.toLocalIterator()])
+    trim()  # the driver lives on, and what training took of it is several times what it took before
+    return model
 
 
 def hash_of(s: str) -> int:
