@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import threading
 import uuid
 
 from pyspark import cloudpickle
@@ -101,30 +102,36 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
-#: Paths of the tables that were written, in order.
-_TABLES: list[str] = []
+class _Written(threading.local):
+    """Paths of the tables that a thread wrote, in order: calls on other threads neither count nor delete them."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+_TABLES = _Written()
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends here."""
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _TABLES.append(path)
+    _TABLES.paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def mark() -> int:
-    """How many tables there are by now, for ``discard``."""
-    return len(_TABLES)
+    """How many tables this thread has by now, for ``discard``."""
+    return len(_TABLES.paths)
 
 
 def discard(spark: SparkSession, since: int, keep: int = 0) -> None:
-    """Delete the tables written since a mark, but for the last ``keep``. Nothing may still be read from them."""
-    last = len(_TABLES) - keep
-    for path in _TABLES[since:last]:
+    """Delete the tables that this thread wrote since a mark, but for the last ``keep``. Nothing may still be read from them."""
+    last = len(_TABLES.paths) - keep
+    for path in _TABLES.paths[since:last]:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    del _TABLES[since:last]
+    del _TABLES.paths[since:last]
 
 
 def broadcastable(df: DataFrame, rows: int) -> DataFrame:

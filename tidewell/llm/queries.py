@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_extract, line_dedup, media, mixing, quality, secrets, simhash, toxicity, url_rules
+from . import decontam, divergence, html_extract, line_dedup, media, mixing, parity_join, quality, secrets, simhash, toxicity, url_rules, whitening
 from .common import pick
 
 
@@ -142,6 +142,60 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(_table(spark, sf_dir, "documents"), most=3, shingle=3)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four whitened components of every vector, fitted on all distinct ones."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), most=4)
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are apart, and the terms that tell each from its language."""
+    return divergence.audit(_table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+w AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+g AS (SELECT DISTINCT lang, source FROM d),
+kept AS (SELECT lang, term, count(*) AS of_lang FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS kept, sum(of_lang)::BIGINT AS n FROM kept GROUP BY lang),
+s AS (SELECT lang, source, sum(n)::BIGINT AS n FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(s.n, 0) + 2 * v.kept) AS p,
+             1 + (1000000000::HUGEINT * (k.of_lang + 2)) // (v.n + 2 * v.kept) AS q
+      FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN s USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+          LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+o AS (SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+      UNION ALL SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM o WHERE part = 'pair' OR rank <= 10
+"""
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose distinct three-word shingles have a similarity of 0.9 or more."""
+    return parity_join.classes(_table(spark, sf_dir, "documents"), similarity=(90, 100), shingle=3)
+
+
+OP13_SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+e AS (SELECT r, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM d WHERE len(w) > 0)),
+t AS (SELECT r, list_sort(list(DISTINCT s)) AS t FROM e GROUP BY r),
+n AS (SELECT r, len(t) AS n, min(r) OVER (PARTITION BY t) AS node FROM t),
+u AS (SELECT DISTINCT e.r AS node, e.s, n.n FROM e JOIN n ON n.r = e.r AND n.node = e.r),
+p AS (SELECT a.node AS x, b.node AS y, a.n + b.n AS size, count(*) AS common FROM u a JOIN u b ON a.s = b.s AND a.node < b.node AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT x, y FROM p WHERE 100 * common >= 90 * (size - common) UNION ALL SELECT y, x FROM p WHERE 100 * common >= 90 * (size - common)),
+far AS (SELECT DISTINCT x AS a, x AS b FROM l UNION SELECT far.a, l.y FROM far JOIN l ON far.b = l.x),
+root AS (SELECT a AS node, min(b) AS root FROM far GROUP BY a),
+m AS (SELECT n.r, n.n, coalesce(root.root, n.node) AS root FROM n LEFT JOIN root USING (node)),
+low AS (SELECT m.root, min(d.doc_id) AS component_id FROM m JOIN d USING (r) GROUP BY m.root)
+SELECT d.doc_id, coalesce(m.n, 0)::BIGINT AS n_shingles, CASE WHEN m.r IS NULL THEN d.doc_id ELSE low.component_id END AS component_id
+FROM d LEFT JOIN m USING (r) LEFT JOIN low ON low.root = m.root
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_html_extraction": op2_html_extraction,
@@ -153,10 +207,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_url_rules": op9_url_rules,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
+    "op12_divergence": op12_divergence,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mixing": OP1_SQL.format(docs="documents"),
     "op3_line_dedup": OP3_SQL,
     "op7_secrets": _op7_sql(),
+    "op12_divergence": OP12_SQL,
+    "op13_jaccard_join": OP13_SQL,
 }
