@@ -9,9 +9,8 @@ one band or of neighbours. Within a band at most k tokens differ, so of k + g
 Sets of few tokens, whose words would be nearly empty, have larger g. A
 set is filed under the sketch of its own band and asks with that of the band below.
 
-Keys of one set alone are dropped by a count. First the least and the greatest
-set of each key stand against the others, which makes one class of most that
-belong together; then every pair of a key is looked at whose two are still in
+Keys of one set alone are dropped by a count. First the least set of each key
+stands against the others, which makes one class of most that belong together; then every pair of a key is looked at whose two are still in
 different classes, in parts whose number grows with the key, if their
 sketches differ in few enough bits. What is left is decided on the sets themselves.
 """
@@ -40,8 +39,8 @@ PART = 1024
 STAR, BLOCK = 64, 64
 #: Words that a key takes by the number of tokens that may differ, one beyond (sets of under some 50 tokens).
 WORDS = {1: 4, 2: 3, 3: 2, 4: 2}
-#: Shared keys that are sent to all tasks at most; more are joined by a shuffle.
-SHARED = 500_000
+#: Rows of one or two numbers that are sent to all tasks at most (some 150 MB); more are joined by a shuffle.
+SHARED = 4_000_000
 
 
 class Bands:
@@ -153,10 +152,14 @@ def keys(nodes: DataFrame, bands: Bands) -> DataFrame:
 
 
 def shared_keys(made: DataFrame) -> DataFrame:
-    """``key, node, ask, many, least, greatest``: rows of the keys that two sets have, not both only asking."""
-    ends = F.count("*").alias("many"), F.min("node").alias("least"), F.max("node").alias("greatest"), F.min("ask").alias("asked")
-    counted = materialize(made.groupBy("key").agg(*ends).where("many > 1 and not asked").drop("asked"))
-    return materialize(made.join(broadcastable(counted, SHARED), "key"))
+    """``key, node, ask, many, hub``: rows of the keys that two sets have, not both only asking, with the least set of the key.
+
+    Keys alone are counted, as nearly all of them belong to one set; the few others are looked up again.
+    """
+    often = materialize(made.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"))
+    rows = materialize(made.join(broadcastable(often, SHARED), "key"))
+    ends = rows.groupBy("key").agg(F.min("node").alias("hub"), F.min("ask").alias("asked")).where("not asked").drop("asked")
+    return materialize(rows.join(broadcastable(materialize(ends), SHARED), "key"))
 
 
 def _pair_block(a, b):
@@ -165,13 +168,27 @@ def _pair_block(a, b):
 
 
 def star_pairs(shared: DataFrame) -> DataFrame:
-    """``block, a, b, ra, rb``: the least and the greatest set of each key with every other one of it, each pair once."""
-    hubs = shared.select("node", "many", F.explode(F.array("least", "greatest")).alias("hub")).where("node != hub")
-    pairs = hubs.groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max("many").alias("many"))
+    """``block, a, b, ra, rb``: the least set of each key with every other one of it, each pair once."""
+    pairs = shared.where("node != hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max("many").alias("many"))
     return pairs.select(_pair_block("a", "b").alias("block"), "a", "b", F.col("a").alias("ra"), F.col("b").alias("rb"))
 
 
-def open_pairs(shared: DataFrame, roots: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
+def folds(whole: DataFrame, bands: Bands) -> DataFrame:
+    """``node, n, own, low``: sizes and folded sketches of whole sets (``node, s``)."""
+
+    def run(batches):
+        for b in sized_slices(batches, 1, 1024):
+            made = []
+            for s in b.column(1).to_pylist():
+                s = np.frombuffer(s, np.uint64)
+                made.append((len(s), *[folded(parity(s, n)).tobytes() if band is not None and (n := bands.words(band)) else None for band in (bands.of(len(s)), bands.below(len(s)))]))
+            n, own, low = zip(*made)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(own, pa.binary()), pa.array(low, pa.binary())], names=["node", "n", "own", "low"])
+
+    return whole.mapInArrow(run, "node long, n long, own binary, low binary")
+
+
+def open_pairs(shared: DataFrame, roots: DataFrame, told: DataFrame, bands: Bands) -> DataFrame:
     """``block, a, b, ra, rb``: all pairs of sets of different classes that share a key and whose sketches are near enough, each once."""
     rows = shared.select("key", "node", "ask", "many").join(roots, "node")
     undone = rows.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one != other").select("key")
@@ -182,14 +199,8 @@ def open_pairs(shared: DataFrame, roots: DataFrame, nodes: DataFrame, bands: Ban
     task = F.xxhash64("key", F.least("part", "to"), F.greatest("part", "to"))
     side = F.when(F.col("part") == F.col("to"), 2).otherwise((F.col("part") > F.col("to")).cast("int")).cast("long")
     rows = rows.select(task.alias("task"), side.alias("side"), "node", "root", F.col("ask").cast("long").alias("ask"))
-    told = nodes.select("node", "n", "own", "low")
     rows = rows.join(told, "node").select("task", "side", "node", "root", "ask", "n", F.when(F.col("ask") == 1, F.col("low")).otherwise(F.col("own")).alias("sketch"))
 
-    def fold(batches):
-        for b in sized_slices(batches, 6, 4096):
-            made = [folded(np.frombuffer(s, np.uint64)).tobytes() for s in b.column(6).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(made, pa.binary())], names=[*b.schema.names[:6], "sketch"])
-
     def near(i, j, side, root, ask, n, lanes):
         ok = (root[i] != root[j]) & ((side[i] != side[j]) | (side[i] == 2)) & ((ask[i] == 0) | (ask[j] == 0))
         ok &= np.minimum(n[i], n[j]) * bands.den >= np.maximum(n[i], n[j]) * bands.num
@@ -232,8 +243,7 @@ def open_pairs(shared: DataFrame, roots: DataFrame, nodes: DataFrame, bands: Ban
                 if held:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.concatenate(held, 1)], names=names)
 
-    schema = "task long, side long, node long, root long, ask long, n long, sketch binary"
-    dealt = rows.where("sketch is not null").mapInArrow(fold, schema).repartition("task").sortWithinPartitions("task")
+    dealt = rows.where("sketch is not null").repartition("task").sortWithinPartitions("task")
     pairs = dealt.mapInArrow(compare, "task long, a long, b long, ra long, rb long")
     pairs = pairs.groupBy("a", "b").agg(F.min("task").alias("task"), F.min("ra").alias("ra"), F.min("rb").alias("rb"))
     cell = lambda c: F.pmod(F.xxhash64(c, F.lit(5)), F.lit(PART // BLOCK))
@@ -279,7 +289,8 @@ def confirmed(pairs: DataFrame, whole: DataFrame, bands: Bands) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     none = lambda t: F.lit(None).cast(t)
-    sent = pairs.select("block", F.explode(F.array("a", "b")).alias("node")).distinct().join(whole, "node")
+    asked = materialize(pairs.select("block", F.explode(F.array("a", "b")).alias("node")).distinct())
+    sent = whole.join(broadcastable(asked, SHARED), "node")
     rows = sent.select("block", F.col("node").alias("x"), none("long").alias("y"), none("long").alias("ra"), none("long").alias("rb"), "s")
     rows = rows.unionByName(pairs.select("block", F.col("a").alias("x"), F.col("b").alias("y"), "ra", "rb", none("binary").alias("s")))
     dealt = rows.repartition("block").sortWithinPartitions("block", F.col("y").asc_nulls_first())
@@ -288,7 +299,9 @@ def confirmed(pairs: DataFrame, whole: DataFrame, bands: Bands) -> DataFrame:
 
 def similar_roots(rows: DataFrame, texts: DataFrame, bands: Bands, shingle: int) -> DataFrame:
     """``node, root`` of the nodes that are similar to another one, directly or over others."""
-    nodes = materialize(rows.where("node is not null").dropDuplicates(["node"]))
+    # one row of each set has its sketches looked at; only its number is compared with others
+    first = materialize(rows.where("node is not null").groupBy("node").agg(F.min("row").alias("row")).select("row"))
+    nodes = rows.join(broadcastable(first, SHARED), "row", "left_semi")
     shared = shared_keys(keys(nodes, bands))
     root = materialize(shared.select("node").distinct().withColumn("root", F.col("node")))
     whole = whole_sets(root.select("node"), nodes, texts, shingle)
@@ -298,7 +311,7 @@ def similar_roots(rows: DataFrame, texts: DataFrame, bands: Bands, shingle: int)
         return materialize(root.join(wide, "root", "left").select("node", F.coalesce("wide", "root").alias("root")))
 
     root = grown(root, star_pairs(shared))
-    return grown(root, open_pairs(shared, root, nodes, bands))
+    return grown(root, open_pairs(shared, root, materialize(folds(whole, bands)), bands))
 
 
 def classes(docs: DataFrame, similarity: tuple[int, int] = (90, 100), shingle: int = 3) -> DataFrame:
@@ -313,7 +326,7 @@ def classes(docs: DataFrame, similarity: tuple[int, int] = (90, 100), shingle: i
     """
     bands = Bands(*similarity)
     texts = pick(docs, "doc_id", "text").select(F.xxhash64("text").alias("key"), "doc_id", "text")
-    rows = materialize(sets(texts, bands, shingle))
+    rows = materialize(sets(texts, bands, shingle).withColumn("row", F.monotonically_increasing_id()))
     since = mark()
     root = similar_roots(rows, texts, bands, shingle)
     low = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
