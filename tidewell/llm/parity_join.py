@@ -9,8 +9,9 @@ one band or of neighbours. Within a band at most k tokens differ, so of k + g
 Sets of few tokens, whose words would be nearly empty, have larger g. A
 set is filed under the sketch of its own band and asks with that of the band below.
 
-Keys of one set alone are dropped by a count. First the least set of each key
-stands against the others, which makes one class of most that belong together; then every pair of a key is looked at whose two are still in
+Keys of one set alone are dropped by a count. First each set stands against
+the least one of its keys, then the greatest set of each key against what is
+still of another class, which makes one class of most that belong together; then every pair of a key is looked at whose two are still in
 different classes, in parts whose number grows with the key, if their
 sketches differ in few enough bits. What is left is decided on the sets themselves.
 """
@@ -152,13 +153,13 @@ def keys(nodes: DataFrame, bands: Bands) -> DataFrame:
 
 
 def shared_keys(made: DataFrame) -> DataFrame:
-    """``key, node, ask, many, hub``: rows of the keys that two sets have, not both only asking, with the least set of the key.
+    """``key, node, ask, many, hub, far``: rows of the keys that two sets have, not both only asking, with the key's least and greatest set.
 
     Keys alone are counted, as nearly all of them belong to one set; the few others are looked up again.
     """
     often = materialize(made.groupBy("key").agg(F.count("*").alias("many")).where("many > 1"))
     rows = materialize(made.join(broadcastable(often, SHARED), "key"))
-    ends = rows.groupBy("key").agg(F.min("node").alias("hub"), F.min("ask").alias("asked")).where("not asked").drop("asked")
+    ends = rows.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far"), F.min("ask").alias("asked")).where("not asked").drop("asked")
     return materialize(rows.join(broadcastable(materialize(ends), SHARED), "key"))
 
 
@@ -168,11 +169,19 @@ def _pair_block(a, b):
 
 
 def star_pairs(shared: DataFrame) -> DataFrame:
-    """``block, a, b, ra, rb``: the least set of each key with every other one of it, each pair once."""
-    pairs = shared.where("node != hub").groupBy(F.col("hub").alias("a"), F.col("node").alias("b")).agg(F.max("many").alias("many"))
+    """``block, a, b, ra, rb``: each set with one other, the least that is the least of a key of both: one journey of a set is enough for most."""
+    pairs = shared.where("node != hub").groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a"), F.max("many").alias("many"))
     return pairs.select(_pair_block("a", "b").alias("block"), "a", "b", F.col("a").alias("ra"), F.col("b").alias("rb"))
 
 
+def far_pairs(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``block, a, b, ra, rb``: the greatest set of each key with every other one of it that is still of another class, each pair once."""
+    rows = shared.where("node != far").select("node", "far", "many").distinct()
+    rows = rows.join(roots, "node").join(roots.toDF("far", "ra"), "far").where("root != ra")
+    pairs = rows.groupBy(F.col("far").alias("a"), F.col("node").alias("b")).agg(F.max("many").alias("many"), F.min("ra").alias("ra"), F.min("root").alias("rb"))
+    return pairs.select(_pair_block("a", "b").alias("block"), "a", "b", "ra", "rb")
+
+
 def folds(whole: DataFrame, bands: Bands) -> DataFrame:
     """``node, n, own, low``: sizes and folded sketches of whole sets (``node, s``)."""
 
@@ -311,6 +320,7 @@ def similar_roots(rows: DataFrame, texts: DataFrame, bands: Bands, shingle: int)
         return materialize(root.join(wide, "root", "left").select("node", F.coalesce("wide", "root").alias("root")))
 
     root = grown(root, star_pairs(shared))
+    root = grown(root, far_pairs(shared, root))
     return grown(root, open_pairs(shared, root, materialize(folds(whole, bands)), bands))
 
 
