@@ -26,6 +26,8 @@ MIN_SUPPORT, MIN_CONFIDENCE, MIN_GAIN = 0.002, 0.8, 0.02
 #: A combination is in so many labelled rows at least, however few there are; and has at most so many tokens.
 MIN_ROWS, MAX_TOKENS = 5, 4
 MAX_LABELLED = 200_000
+#: FP-growth mines rows of at most so many tokens.
+SHORT = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,12 +51,12 @@ def tokens(host: Column, path: Column, url: Column) -> Column:
     labels = F.reverse(F.split(host, r"\."))
     last = F.when(labels[0] != "", F.array(F.concat(F.lit("h0="), labels[0]))).otherwise(F.array())
     pair = F.when(F.size(labels) >= 2, F.array(F.concat(F.lit("hh="), labels[1], F.lit("."), labels[0]))).otherwise(F.array())
-    placed = F.when(F.size(labels) > 2, F.transform(F.slice(labels, 3, 16), lambda x, i: F.concat(F.lit("h"), (i + 2).cast("string"), F.lit("="), x))).otherwise(F.array())
+    placed = F.when(F.size(labels) > 2, F.transform(F.slice(labels, F.lit(3), F.size(labels) - 2), lambda x, i: F.concat(F.lit("h"), (i + 2).cast("string"), F.lit("="), x))).otherwise(F.array())
     several = F.filter(labels, lambda x: x.rlike("[a-z0-9][^a-z0-9]+[a-z0-9]"))
     words = F.transform(F.flatten(F.transform(several, lambda x: F.regexp_extract_all(x, F.lit("[a-z0-9]+"), F.lit(0)))), lambda x: F.concat(F.lit("w="), x))
     segments = F.filter(F.split(path, "/"), lambda x: x != "")
     first = F.when(F.size(segments) >= 1, F.array(F.concat(F.lit("p1="), segments[0]))).otherwise(F.array())
-    inner = F.when(F.size(segments) > 1, F.transform(F.slice(segments, 2, 64), lambda x: F.concat(F.lit("p="), F.regexp_replace(x, "[0-9]+", "0")))).otherwise(F.array())
+    inner = F.when(F.size(segments) > 1, F.transform(F.slice(segments, F.lit(2), F.size(segments) - 1), lambda x: F.concat(F.lit("p="), F.regexp_replace(x, "[0-9]+", "0")))).otherwise(F.array())
     ext = F.transform(F.regexp_extract_all(path, F.lit(r"\.([A-Za-z0-9]+)$"), F.lit(1)), lambda x: F.concat(F.lit("x="), x))
     keys = F.transform(F.regexp_extract_all(F.coalesce(url, F.lit("")), F.lit(r"[?&]([^=&#?]+)="), F.lit(1)), lambda x: F.concat(F.lit("q="), x))
     strings = lambda c: c.cast("array<string>")
@@ -70,18 +72,61 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
     return out
 
 
+def alike(items: DataFrame) -> DataFrame:
+    """``t, rep, count``: each token with the least one of those that are in exactly the same rows (``toks, verdict``), and in how many.
+
+    Two sums over hashes of the rows name the rows that a token is in; equal rows have equal tokens.
+    """
+    row = items.select("toks", F.xxhash64("toks", "verdict").cast("decimal(38,0)").alias("x"), F.xxhash64("verdict", "toks").cast("decimal(38,0)").alias("y"))
+    each = row.select(F.explode("toks").alias("t"), "x", "y").groupBy("t").agg(F.count("*").alias("count"), F.sum("x").alias("x"), F.sum("y").alias("y"))
+    reps = each.groupBy("count", "x", "y").agg(F.min("t").alias("rep"))
+    return each.join(reps, ["count", "x", "y"]).select("t", "rep", "count")
+
+
+def grown(items: DataFrame, n: int, share: float, min_confidence: float, max_tokens: int) -> DataFrame:
+    """``antecedent, verdict, confidence, support`` by FP-growth over ``items`` (tokens and ``=verdict``)."""
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(items)
+    found = model.associationRules.where(F.col("consequent")[0].startswith("=") & (F.size("antecedent") <= max_tokens) & ~F.exists("antecedent", lambda t: t.startswith("=")))
+    return found.select(F.array_sort("antecedent").alias("antecedent"), F.substr(F.col("consequent")[0], F.lit(2)).alias("verdict"), "confidence", "support")
+
+
+def levelled(items: DataFrame, n: int, share: float, min_confidence: float, max_tokens: int) -> DataFrame:
+    """The same token by token, so that no combination of over ``max_tokens`` tokens is ever made.
+
+    A frequent combination of a row grows by the row's later tokens; what is
+    not frequent with its verdict goes before the next step.
+    """
+    rows = items.select(F.xxhash64("items").alias("r"), F.element_at("items", -1).alias("v"), F.slice("items", F.lit(1), F.size("items") - 1).alias("toks")).groupBy("r", "v", "toks").agg(F.count("*").alias("m"))
+    rows = materialize(rows)
+    cur = rows.select("r", "v", "m", "toks", F.explode("toks").alias("t")).withColumn("antecedent", F.array("t"))
+    out = None
+    for size in range(1, max_tokens + 1):
+        had = cur.groupBy("antecedent").agg(F.sum("m").alias("n"))
+        often = materialize(cur.groupBy("antecedent", "v").agg(F.sum("m").alias("k")).where(F.col("k") >= share * n - 1e-6).join(had, "antecedent"))
+        told = often.select("antecedent", F.substr("v", F.lit(2)).alias("verdict"), (F.col("k") / F.col("n")).alias("confidence"), (F.col("k") / F.lit(n)).alias("support")).where(F.col("confidence") >= min_confidence)
+        out = told if out is None else out.unionByName(told)
+        if size < max_tokens:
+            kept = materialize(cur.join(broadcastable(often.select("antecedent").distinct(), 100_000), "antecedent", "left_semi"))
+            later = F.filter("toks", lambda x: x > F.col("t"))
+            cur = kept.select("r", "v", "m", "toks", "antecedent", F.explode(later).alias("t")).withColumn("antecedent", F.concat("antecedent", F.array("t")))
+    return out
+
+
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_labelled: int = MAX_LABELLED, min_rows: int = MIN_ROWS, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """Rules ``antecedent, verdict, confidence, support`` from ``toks, verdict`` rows.
+    """Rules ``antecedent, verdict, confidence, support, alike`` from ``toks, verdict`` rows.
 
     Fits on at most ``max_labelled`` rows, those first in hash order of their
     tokens. A combination is frequent that a ``min_support`` share of the rows
     has, and ``min_rows`` of them at least, so few labels give few rules and not
     every combination of theirs; rules have at most ``max_tokens`` tokens.
     Tokens that are rarer are in no rule and taken out before, as are those that
-    nearly every URL has; of rows that are then alike FP-growth makes one path.
-    No labels, no rules.
+    nearly every URL has. Tokens that are in the same rows, as those of a
+    template, count as one; ``alike`` has for each token of a rule those that it stands
+    for. FP-growth tells every combination of a row, which ends soon for rows of up to
+    ``SHORT`` such tokens; where a row has more the combinations are grown token by
+    token, up to ``max_tokens``. No labels, no rules.
     """
-    schema = "antecedent array<string>, verdict string, confidence double, support double"
+    schema = "antecedent array<string>, verdict string, confidence double, support double, alike array<array<string>>"
     spark = labelled.sparkSession
     use = labelled.select("toks", "verdict").orderBy(F.xxhash64("toks", "verdict"), F.array_join("toks", " ")).limit(max_labelled)
     items = materialize(use)
@@ -90,16 +135,19 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         return spark.createDataFrame([], schema)
     share = min(1.0, max(min_support, min_rows / n))
     # at most the mean number of tokens a row over the share, each a short string
-    seen = items.select(F.explode("toks").alias("t")).groupBy("t").count().where((F.col("count") >= share * n - 1e-6) & (F.col("count") <= 0.95 * n)).agg(F.collect_set("t").alias("some"))
-    lean = items.select(F.concat(F.array_intersect("toks", seen.scalar()), F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=min_confidence).fit(materialize(lean))
-    found = model.associationRules.where(F.col("consequent")[0].startswith("=") & (F.size("antecedent") <= max_tokens) & ~F.exists("antecedent", lambda t: t.startswith("=")))
-    rules = materialize(found.select(F.array_sort("antecedent").alias("antecedent"), F.substring(F.col("consequent")[0], 2, 99).alias("verdict"), "confidence", "support"))
+    same = materialize(alike(items).where((F.col("count") >= share * n - 1e-6) & (F.col("count") <= 0.95 * n)))
+    seen = same.where("t = rep").agg(F.coalesce(F.collect_set("t"), F.array().cast("array<string>")).alias("some"))
+    lean = materialize(items.select(F.concat(F.array_intersect("toks", seen.scalar()), F.array(F.concat(F.lit("="), "verdict"))).alias("items")))
+    longest = lean.agg(F.max(F.size("items"))).first()[0] - 1
+    rules = materialize((grown if longest <= SHORT else levelled)(lean, n, share, min_confidence, max_tokens))
     # prune: a rule has to be surer than each rule on a part of its tokens that says the same
     parts = rules.select(F.explode("antecedent").alias("drop"), "antecedent", "verdict", "confidence").withColumn("part", F.array_except("antecedent", F.array("drop")))
     small = rules.select(F.col("antecedent").alias("part"), "verdict", F.col("confidence").alias("had"))
     beaten = parts.join(small, ["part", "verdict"]).where(F.col("confidence") < F.col("had") + MIN_GAIN).select("antecedent", "verdict").distinct()
-    return rules.join(beaten, ["antecedent", "verdict"], "left_anti")
+    left = rules.join(beaten, ["antecedent", "verdict"], "left_anti")
+    groups = same.groupBy("rep").agg(F.array_sort(F.collect_list("t")).alias("alike"))
+    named = left.select("antecedent", "verdict", F.posexplode("antecedent").alias("at", "rep")).join(groups, "rep").groupBy("antecedent", "verdict").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "alike"))), lambda x: x["alike"]).alias("alike"))
+    return left.join(named, ["antecedent", "verdict"])
 
 
 def index(rules: DataFrame, urls: DataFrame) -> DataFrame:
@@ -118,8 +166,16 @@ def judge(urls: DataFrame, rules: DataFrame, default: str = "allow") -> DataFram
     without a rule the verdict is ``default``.
     """
     distinct = urls.select("toks").distinct().withColumn("id", F.xxhash64("toks"))
-    posted = broadcastable(materialize(index(rules, urls)), 20_000)
-    asked = distinct.select("id", "toks", F.explode("toks").alias("token")).join(posted, "token").where(F.size(F.array_except("antecedent", "toks")) == 0)
+    posted = broadcastable(materialize(index(rules, urls).drop("alike")), 20_000)
+    said = distinct.select("id", F.explode("toks").alias("token"))
+    # a token counts as the one that stands for it
+    stands = rules.select(F.explode(F.arrays_zip("antecedent", "alike")).alias("x")).select(F.col("x.antecedent").alias("rep"), F.explode("x.alike").alias("token")).distinct().where("rep != token")
+    stands = materialize(stands)
+    own = distinct.select("id", "toks")
+    if not stands.isEmpty():
+        said = said.join(broadcastable(stands, 100_000), "token", "left").select("id", F.coalesce("rep", "token").alias("token")).distinct()
+        own = said.groupBy("id").agg(F.collect_set("token").alias("toks"))
+    asked = said.join(posted, "token").join(own, "id").where(F.size(F.array_except("antecedent", "toks")) == 0)
     best = asked.groupBy("id").agg(F.max_by("verdict", F.struct("confidence", F.size("antecedent"), "support", "verdict")).alias("mined"))
     return distinct.join(best, "id", "left").select("toks", F.coalesce("mined", F.lit(default)).alias("mined"))
 
