@@ -33,6 +33,9 @@ GOP = 12
 #: Boxes whose content is boxes (fixed values).
 CONTAINERS = frozenset("moov trak edts mdia minf dinf stbl mvex moof traf mfra udta".split())
 
+#: Boxes within boxes, at most; a file nests about seven.
+DEPTH = 32
+
 
 class MediaError(ValueError):
     """The bytes are not a well-formed container."""
@@ -117,9 +120,13 @@ class Track:
         return self.duration / self.timescale if self.timescale else 0.0
 
 
-def boxes(data: memoryview, at: int, end: int, path: str = ""):
-    """(path, first byte of the content, end) of every box in [at, end), depth first."""
-    while at < end:
+def boxes(data: memoryview):
+    """(path, first byte of the content, end) of every box, depth first."""
+    open_ = [(0, len(data), "")]
+    while open_:
+        at, end, path = open_.pop()
+        if at == end:
+            continue
         if end - at < 8:
             raise MediaError(f"{end - at} stray bytes in {path or 'the file'}")
         size, kind = struct.unpack_from(">I4s", data, at)
@@ -135,61 +142,89 @@ def boxes(data: memoryview, at: int, end: int, path: str = ""):
             raise MediaError(f"a box of {size} bytes in {end - at}")
         name = kind.decode("latin-1")
         yield f"{path}/{name}", body, at + size
+        open_.append((at + size, end, path))
         if name in CONTAINERS:
-            yield from boxes(data, body, at + size, f"{path}/{name}")
-        at += size
+            if path.count("/") >= DEPTH:
+                raise MediaError(f"boxes nested deeper than {DEPTH}")
+            open_.append((body, at + size, f"{path}/{name}"))
+
+
+def _numbers(view: memoryview, at: int, end: int, code: str, many: int) -> tuple[int, ...]:
+    """So many big-endian numbers, which have to lie in their box."""
+    if many * struct.calcsize(f">{code}") > end - at:
+        raise MediaError(f"a table of {many} numbers in {max(0, end - at)} bytes")
+    return struct.unpack_from(f">{many}{code}", view, at)
+
+
+def _sizes(view: memoryview, kind: str, at: int, end: int) -> list[int]:
+    """Sample sizes; together they are no more than the file, so a number in the table cannot ask for memory."""
+    one, n = _numbers(view, at + 4, end, "I", 2)
+    if kind == "stz2":
+        bits = one & 0xFF
+        if bits not in (4, 8, 16):
+            raise MediaError(f"sample sizes of {bits} bits")
+        if bits == 4:
+            packed = _numbers(view, at + 12, end, "B", (n + 1) // 2)
+            return [x for b in packed for x in (b >> 4, b & 15)][:n]
+        return list(_numbers(view, at + 12, end, "B" if bits == 8 else "H", n))
+    if one and one * n > len(view):
+        raise MediaError(f"{n} samples of {one} bytes in {len(view)}")
+    return [one] * n if one else list(_numbers(view, at + 12, end, "I", n))
 
 
 def parse(data: bytes) -> list[Track]:
-    """The tracks of a container. Raises ``MediaError`` on bytes that are none."""
+    """The tracks of a container. Raises ``MediaError`` on bytes that are none, whatever they are, and on fragmented files."""
     view = memoryview(data)
     tracks: list[Track] = []
     tables: list[dict] = []
-    try:
-        for path, at, end in boxes(view, 0, len(view)):
-            kind = path.rsplit("/", 1)[1]
-            if kind == "trak":
-                tracks.append(Track())
-                tables.append({})
-                continue
-            if not tracks or not path.startswith("/moov/trak"):
-                continue
-            t, table = tracks[-1], tables[-1]
-            if kind == "mdhd":
-                wide = view[at] == 1
-                t.timescale, t.duration = struct.unpack_from(">IQ", view, at + 20) if wide else struct.unpack_from(">II", view, at + 12)
-            elif kind == "tkhd":
-                t.width, t.height = (x >> 16 for x in struct.unpack_from(">II", view, end - 8))
-            elif kind == "hdlr":
-                t.handler = bytes(view[at + 8 : at + 12]).decode("latin-1")
-            elif kind == "stsd":
-                t.codec = bytes(view[at + 12 : at + 16]).decode("latin-1")
-            elif kind in ("stts", "stss", "stsc", "stco", "co64"):
-                n = struct.unpack_from(">I", view, at + 4)[0]
-                width, code = {"stts": (2, "I"), "stss": (1, "I"), "stsc": (3, "I"), "stco": (1, "I"), "co64": (1, "Q")}[kind]
-                table["offsets" if kind in ("stco", "co64") else kind] = struct.unpack_from(f">{n * width}{code}", view, at + 8)
-            elif kind == "stsz":
-                one, n = struct.unpack_from(">II", view, at + 4)
-                t.sizes = [one] * n if one else list(struct.unpack_from(f">{n}I", view, at + 12))
-    except struct.error as e:
-        raise MediaError(str(e)) from e
+    for path, at, end in boxes(view):
+        kind = path.rsplit("/", 1)[1]
+        if kind in ("moof", "mvex"):
+            raise MediaError("fragments are not decoded")
+        if kind == "trak":
+            tracks.append(Track())
+            tables.append({})
+            continue
+        if not tracks or not path.startswith("/moov/trak"):
+            continue
+        t, table = tracks[-1], tables[-1]
+        if kind == "mdhd":
+            wide = _numbers(view, at, end, "B", 1)[0] == 1
+            t.timescale = _numbers(view, at + (20 if wide else 12), end, "I", 1)[0]
+            t.duration = _numbers(view, at + (24 if wide else 16), end, "Q" if wide else "I", 1)[0]
+        elif kind == "tkhd":
+            t.width, t.height = (x >> 16 for x in _numbers(view, max(at, end - 8), end, "I", 2))
+        elif kind == "hdlr":
+            t.handler = bytes(_numbers(view, at + 8, end, "B", 4)).decode("latin-1")
+        elif kind == "stsd":
+            t.codec = bytes(_numbers(view, at + 12, end, "B", 4)).decode("latin-1")
+        elif kind in ("stts", "stss", "stsc", "stco", "co64"):
+            n = _numbers(view, at + 4, end, "I", 1)[0]
+            width, code = {"stts": (2, "I"), "stss": (1, "I"), "stsc": (3, "I"), "stco": (1, "I"), "co64": (1, "Q")}[kind]
+            table["offsets" if kind in ("stco", "co64") else kind] = _numbers(view, at + 8, end, code, n * width)
+        elif kind in ("stsz", "stz2"):
+            t.sizes = _sizes(view, kind, at, end)
     for t, table in zip(tracks, tables):
+        if sum(t.sizes) > len(view):
+            raise MediaError(f"samples of {sum(t.sizes)} bytes in {len(view)}")
         runs = table.get("stsc", ())
         chunks = table.get("offsets", ())
-        per = [(runs[k], runs[k + 1], runs[k + 3] if k + 3 < len(runs) else len(chunks) + 1) for k in range(0, len(runs), 3)]
+        firsts = [*runs[::3], len(chunks) + 1]
+        if runs and (firsts[0] != 1 or any(a >= b for a, b in zip(firsts, firsts[1:]))):
+            raise MediaError("runs of chunks out of order, or of chunks that are not there")
         i = 0
-        for first, many, until in per:
-            for c in range(first, until):
+        for k in range(len(runs) // 3):
+            for c in range(firsts[k], firsts[k + 1]):
                 at = chunks[c - 1]
-                for _ in range(many):
-                    if i >= len(t.sizes):
-                        break
+                for size in t.sizes[i : i + runs[3 * k + 1]]:
                     t.offsets.append(at)
-                    at += t.sizes[i]
-                    i += 1
+                    at += size
+                i = len(t.offsets)
         if i != len(t.sizes):
             raise MediaError(f"{len(t.sizes)} samples, {i} of them in chunks")
         t.sync = list(table.get("stss", ()))
+        if any(not 1 <= s <= i for s in t.sync):
+            raise MediaError("a key frame that is no sample")
     return tracks
 
 
