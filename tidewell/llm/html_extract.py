@@ -109,7 +109,7 @@ _NAME_WORDS = re.compile(r"[a-z]+")
 
 
 def signs_of(name: str, attrs: str, within_content: bool) -> tuple[str, ...]:
-    """The features of an element: its name, and the words of its class, id and role (eight at most)."""
+    """The features of an element: its name, and the words of its class, id and role."""
     out = [] if name in PLAIN else ["header in article" if name == "header" and within_content else f"el:{name}"]
     if "=" in attrs and name not in WHOLE:
         said: dict[str, None] = {}
@@ -120,7 +120,7 @@ def signs_of(name: str, attrs: str, within_content: bool) -> tuple[str, ...]:
                 said |= dict.fromkeys(f"is:{w}" for w in _NAME_WORDS.findall(value.lower()))
                 if key != "role" and _CHROME_NAMES.search(value) or key == "role" and value.lower() in _CHROME_ROLES:
                     said = {"is furniture": None, **said}
-        out += list(said)[:8]
+        out += said
     return tuple(out)
 
 
