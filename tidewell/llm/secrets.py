@@ -29,6 +29,8 @@ KINDS = [
     ("hex", r"[0-9a-f]{24,}", 0, 24),
     ("bare", r"[A-Za-z0-9+/_=-]{28,}", 0, 28),
 ]
+#: Matches of a text that are walked together.
+BLOCK = 64
 #: A value that as many owners hold, or that is in as many repositories, is an example.
 MANY_OWNERS, MANY_REPOS = 3, 6
 
@@ -41,15 +43,24 @@ def spans(text: Column, no: int) -> Column:
     values = F.regexp_extract_all(text, F.lit(regex), F.lit(1)) if group else matches
     # one more gap than matches: the last has no hit and ends the walk
     pieces = F.arrays_zip(F.split(text, regex, -1).alias("gap"), matches.alias("hit"))
+    length = lambda x: F.length(x["gap"]) + F.coalesce(F.length(x["hit"]), F.lit(0))
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        more = F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"))))
+        end = acc["at"] + length(x)
+        more = F.concat(acc["out"], F.array(F.struct((acc["at"] + F.length(x["gap"])).alias("start"), end.alias("end"))))
         return F.struct(end.alias("at"), F.when(x["hit"].isNull(), acc["out"]).otherwise(more).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(pairs).alias("out"))
-    walk = F.aggregate(pieces, zero, step, lambda acc: acc["out"])
+    def walked(p: Column) -> Column:
+        """Block by block of matches, each from where it begins: an array that grows is copied within a block only."""
+        blocks = F.sequence(F.lit(0), F.floor((F.size(p) - 1) / BLOCK).cast("int"))
+        of = lambda c: F.slice(p, c * BLOCK + 1, F.lit(BLOCK))
+        sizes = F.transform(blocks, lambda c: F.aggregate(of(c), F.lit(0), lambda n, x: n + length(x)))
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+        begins = F.aggregate(sizes, empty, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["all"], F.array(acc["at"])).alias("all")))["all"]
+        zero = lambda at: F.struct(at.alias("at"), F.array().cast(pairs).alias("out"))
+        return F.flatten(F.zip_with(begins, blocks, lambda at, c: F.aggregate(of(c), zero(at), step, lambda acc: acc["out"])))
+
+    walk = F.transform(F.array(pieces), walked)[0]
     both = F.zip_with(walk, values, lambda s, v: F.struct(s["start"].alias("start"), F.lit(no).alias("no"), s["end"].alias("end"), v.alias("value")))
     long = F.filter(both, lambda s: F.length(s["value"]) >= least)
     hashed = F.transform(long, lambda s: F.struct(s["start"].alias("start"), s["no"].alias("no"), s["end"].alias("end"), F.sha2(s["value"].cast("binary"), 256).alias("h"), (s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")).alias("mixed")))
