@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Odd 64-bit constant that spreads a small seed over all bits (golden ratio, fixed value).
@@ -37,3 +37,17 @@ def priority(key: Column, seed: int) -> Column:
 def tagged(value: Column) -> Column:
     """A text form in which null differs from the empty string and from any value."""
     return F.when(value.isNull(), F.lit("n")).otherwise(F.concat(F.lit("v"), value.cast("string")))
+
+
+def table_digest(rows: DataFrame) -> tuple[str, int]:
+    """(SHA-256 like name of a table's content, number of rows), the same in any order and partitioning.
+
+    The digests of the rows are added up modulo 2^256, so tasks add up their
+    own and a row comes to the driver. A row's digest frames each column, null
+    apart from any text; repeated rows count as often as they are there.
+    """
+    row = digest_hex(*[tagged(F.col(c)) for c in rows.columns])
+    parts = [F.sum(F.conv(F.substring("__d", 8 * i + 1, 8), 16, 10).cast("decimal(38,0)")).alias(f"p{i}") for i in range(8)]
+    got = rows.select(row.alias("__d")).agg(F.count("*").alias("n"), *parts).first()
+    total = sum(int(got[f"p{i}"] or 0) << (32 * (7 - i)) for i in range(8))
+    return f"{total % (1 << 256):064x}", got["n"]

@@ -10,17 +10,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing
+from ..sources.storage import stored
+from .identity import small
+
+
+#: Steps of the priority histogram for each doubling of the priority.
+STEPS = 1024
 
 
 def sample(values: DataFrame, k: int, seed: int = 0, *, field: str = "field", key: str = "key") -> DataFrame:
     """For each field the ``k`` rows of least priority (a hash of the key and the seed), ties by key.
 
-    It depends on content only, not on partitions. The rank limit reaches
-    below the shuffle, so a task sends at most ``k`` rows a field.
+    It depends on content only, not on partitions. A first pass counts the
+    rows of each field by the logarithm of their priority, at most 64 * STEPS
+    counts a field whatever its size; they tell below which step the sample
+    lies. Only the rows up to that step, hardly more than ``k``, are ranked.
+    ``values`` is read twice.
     """
     rows = values.withColumn("__p", hashing.priority(F.col(key).cast("string"), seed))
-    ranked = rows.withColumn("__n", F.row_number().over(Window.partitionBy(field).orderBy("__p", F.col(key).cast("string"))))
-    return ranked.where(F.col("__n") <= k).drop("__p", "__n")
+    rows = rows.withColumn("__step", F.floor(F.log2(F.col("__p").cast("double") + F.lit(2.0**63 + 1)) * STEPS).cast("int"))
+    near = rows.join(small(stored(cut_steps(rows, k, field).coalesce(1))), F.col(field).eqNullSafe(F.col("__f")) & (F.col("__step") <= F.col("__cut")), "left_semi")
+    ranked = near.withColumn("__n", F.row_number().over(Window.partitionBy(field).orderBy("__p", F.col(key).cast("string"))))
+    return ranked.where(F.col("__n") <= k).drop("__p", "__n", "__step")
+
+
+def cut_steps(rows: DataFrame, k: int, field: str) -> DataFrame:
+    """``__f, __cut``: of each field the step (``__step``) that its ``k``-th row is in, its last one where it has fewer."""
+    counted = rows.groupBy(field, "__step").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(field).orderBy("__step").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return counted.withColumn("__before", before).where(F.col("__before") < k).groupBy(F.col(field).alias("__f")).agg(F.max("__step").alias("__cut"))
 
 
 def quantile_edges(values: DataFrame, counts: dict[str, int], *, field: str = "field", value: str = "value") -> DataFrame:

@@ -229,3 +229,34 @@ def trace(stages: dict[str, DataFrame], clients: list[str], client: str = "clien
         some = df.where(F.col(client).isin(clients)).select(F.lit(name).alias("stage"), F.col(client).alias("client"), F.to_json(F.struct(*df.columns)).alias("row"))
         out = some if out is None else out.unionByName(some)
     return out
+
+
+def ledger(lines: DataFrame, line: list[str], rejects: DataFrame, cut: DataFrame, merges: list[tuple[str, DataFrame, DataFrame, list[str]]], kept: DataFrame) -> DataFrame:
+    """One row for each of ``lines``: the ``line`` columns, ``fate, reason, superseded_by, event_id``.
+
+    ``rejects`` (line, reason) are ``rejected``, ``cut`` rows are ``cut``;
+    ``merges`` are steps (fate, rows before, rows after, key) that leave one
+    row a key: every other row of the key is superseded by the line of that one;
+    ``kept`` (line, fate, event_id) is what the rest became. A line without any of these is
+    ``lost``. Where a step's result does not say which line it has from which, the key does:
+    the table after it has each key once, so copies without number join one row.
+    """
+    none = F.lit(None).cast("string")
+    shown = F.concat_ws("#", *[F.col(c).cast("string") for c in line])
+    told = [
+        rejects.select(*line, F.lit("rejected").alias("fate"), F.col("reason"), none.alias("superseded_by"), none.alias("event_id")),
+        cut.select(*line, F.lit("cut").alias("fate"), none.alias("reason"), none.alias("superseded_by"), none.alias("event_id")),
+        kept.select(*line, "fate", none.alias("reason"), none.alias("superseded_by"), "event_id"),
+    ]
+    for fate, before, after, key in merges:
+        by = after.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(key)], shown.alias("__by"))
+        same = None
+        for i, k in enumerate(key):
+            c = F.col(k).eqNullSafe(F.col(f"__k{i}"))
+            same = c if same is None else same & c
+        gone = before.join(by, same).where(shown != F.col("__by"))
+        told.append(gone.select(*line, F.lit(fate).alias("fate"), none.alias("reason"), F.col("__by").alias("superseded_by"), none.alias("event_id")))
+    every = told[0]
+    for t in told[1:]:
+        every = every.unionByName(t)
+    return lines.select(*line).join(every, line, "left").withColumn("fate", F.coalesce("fate", F.lit("lost")))

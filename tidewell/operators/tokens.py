@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import priority
 from ..sources.storage import stored
+from . import ranges
 from .buckets import Edges
 from .identity import small
 
@@ -61,26 +62,27 @@ def limited(slots: list[Slot], most: int = EVENT_LIMIT, head: str = "[EVT]") ->
     least important first. A key never stays without a value, a required field
     is never cut. An event whose required fields do not fit is an error.
     """
-    blocks = F.array(*[F.struct(key_token(s.name).alias("key"), _values(s.name, F.col(s.name), s.multivalue).alias("values"), F.lit(s.required).alias("required"), F.lit(s.multivalue).alias("list")) for s in slots])
-    kind = "array<struct<key:string,values:array<string>,required:boolean,list:boolean>>"
-    total = F.aggregate(blocks, F.lit(1), lambda n, b: n + 1 + F.size(b["values"]))
-    start = lambda over, of: F.struct(over.alias("over"), of.alias("of"), F.array().cast(kind).alias("out"))
-
-    def trim(acc: Column, b: Column) -> Column:
-        cut = F.when(b["list"] & ~b["required"], F.least(F.size(b["values"]) - 1, acc["over"])).otherwise(0)
-        kept = F.struct(b["key"].alias("key"), F.slice(b["values"], F.lit(1), F.size(b["values"]) - cut).alias("values"), b["required"].alias("required"), b["list"].alias("list"))
-        return F.struct((acc["over"] - cut).alias("over"), acc["of"].alias("of"), F.concat(F.array(kept), acc["out"]).alias("out"))
-
-    def drop(acc: Column, b: Column) -> Column:
-        goes = (acc["over"] > 0) & ~b["required"]
-        return F.struct(F.when(goes, acc["over"] - 1 - F.size(b["values"])).otherwise(acc["over"]).alias("over"), acc["of"].alias("of"), F.when(goes, acc["out"]).otherwise(F.concat(F.array(b), acc["out"])).alias("out"))
-
-    # the blocks from the last slot to the first, twice; either walk turns them round
-    trimmed = F.aggregate(F.reverse(blocks), start(F.greatest(F.lit(0), total - most), F.lit(0)), trim)
-    done = F.transform(F.array(trimmed), lambda t: F.aggregate(F.reverse(t["out"]), start(t["over"], F.lit(0)), drop))[0]
-    flat = lambda d: F.concat(F.array(F.lit(head)), F.flatten(F.transform(d["out"], lambda b: F.concat(F.array(b["key"]), b["values"]))))
-    told = F.transform(F.array(done), lambda d: F.when(d["over"] <= 0, flat(d)).otherwise(F.raise_error(F.lit(f"the required fields of an event do not fit in {most} tokens")).cast("array<string>")))
-    return told[0]
+    values = {s.name: _values(s.name, F.col(s.name), s.multivalue) for s in slots}
+    size = {s.name: F.size(values[s.name]) if s.multivalue else F.lit(1) for s in slots}
+    zero = F.lit(0)
+    over = F.lit(1 + len(slots) - most) + sum(size.values(), zero)
+    kept = dict(values)
+    spare = zero  # what lists of less importance can give
+    for s in reversed(slots):
+        if s.multivalue and not s.required:
+            own = size[s.name] - 1
+            kept[s.name] = F.slice(values[s.name], F.lit(1), size[s.name] - F.greatest(zero, F.least(own, over - spare)))
+            spare = spare + own
+    # where that is not enough each list is down to one value, so a field that goes gives two tokens
+    left = over - spare
+    open_ = [s.name for s in reversed(slots) if not s.required]
+    empty = F.array().cast("array<string>")
+    parts = []
+    for s in slots:
+        block = F.concat(F.array(key_token(s.name)), kept[s.name])
+        parts.append(block if s.required else F.when(left > 2 * open_.index(s.name), empty).otherwise(block))
+    stop = F.raise_error(F.lit(f"the required fields of an event do not fit in {most} tokens")).cast("array<string>")
+    return F.when(left > 2 * len(open_), stop).otherwise(F.concat(F.array(F.lit(head)), *parts))
 
 
 def _field() -> Column:
@@ -149,18 +151,26 @@ def encode(token_lists: DataFrame, vocab: DataFrame, pruned: list[str], key: lis
     return rows.select(*key, F.col("pos").cast("long").alias("pos"), "token", number.alias("id"), "fate")
 
 
-def window(events: DataFrame, most: int = SEQUENCE_LIMIT, used: Column | None = None, client: str = "client_id", n_tokens: str = "n_tokens") -> DataFrame:
-    """The most recent whole events of each client that fit in ``most`` tokens beside the ``used`` ones (the profile's)."""
-    w = Window.partitionBy(client).orderBy(F.col("position").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return events.withColumn("__sum", F.sum(n_tokens).over(w) + (used if used is not None else F.lit(0))).where(F.col("__sum") <= most).drop("__sum")
+def window(events: DataFrame, most: int = SEQUENCE_LIMIT, used: Column | None = None, client: str = "client_id", n_tokens: str = "n_tokens", heavy: int = ranges.HEAVY) -> DataFrame:
+    """The most recent whole events of each client that fit in ``most`` tokens beside the ``used`` ones (the profile's).
+
+    Clients of more than ``heavy`` events are summed up by several tasks.
+    """
+    last = Window.partitionBy(client).orderBy(F.col("position").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    plain = lambda rows: rows.withColumn("__sum", F.sum(n_tokens).over(last))
+    scan = lambda rows: ranges.ranged(rows, client, ["position"]).summed(n_tokens, "__sum", backward=True).done()
+    rows = ranges.by_weight(events, client, plain, scan, heavy)
+    return rows.where(F.col("__sum") + (used if used is not None else F.lit(0)) <= most).drop("__sum")
 
 
-def deltas_after(events: DataFrame, edges: Edges | None = None, client: str = "client_id", first: Column | None = None) -> DataFrame:
+def deltas_after(events: DataFrame, edges: Edges | None = None, client: str = "client_id", first: Column | None = None, heavy: int = ranges.HEAVY) -> DataFrame:
     """``delta_seconds`` since the event before *among the rows left*, and ``delta``: its frozen bucket (without ``edges`` the
     seconds), or FIRST_EVENT where an event is its client's first of all (``first``; the one at position 0), or
-    WINDOW_START where earlier ones were cut."""
-    w = Window.partitionBy(client).orderBy("position")
-    rows = events.withColumn("delta_seconds", F.timestamp_diff("SECOND", F.lag("ts").over(w), F.col("ts")).cast("long"))
+    WINDOW_START where earlier ones were cut. Clients of more than ``heavy`` events are looked at by several tasks."""
+    plain = lambda rows: rows.withColumn("__before", F.lag("ts").over(Window.partitionBy(client).orderBy("position")))
+    scan = lambda rows: ranges.ranged(rows, client, ["position"]).before("ts", "__before").done()
+    rows = ranges.by_weight(events, client, plain, scan, heavy)
+    rows = rows.withColumn("delta_seconds", F.timestamp_diff("SECOND", F.col("__before"), F.col("ts")).cast("long")).drop("__before")
     shown = edges.column(F.col("delta_seconds").cast("decimal(38,8)")) if edges else F.col("delta_seconds").cast("string")
     begins = first if first is not None else F.col("position") == 0
     return rows.withColumn("delta", F.when(F.col("delta_seconds").isNotNull(), shown).when(begins, "FIRST_EVENT").otherwise("WINDOW_START"))
@@ -204,7 +214,7 @@ def decode(encoded: DataFrame, vocab: DataFrame, key: list[str]) -> DataFrame:
     return named.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("tokens"))
 
 
-def _judged(rows: DataFrame) -> DataFrame:
+def judged(rows: DataFrame) -> DataFrame:
     level = F.lit(None).cast("string")
     for metric, (warn, stop) in THRESHOLDS.items():
         level = F.when(F.col("metric") == metric, F.when(F.col("rate") > stop, "critical").when(F.col("rate") > warn, "warning").otherwise("normal")).otherwise(level)
@@ -229,4 +239,4 @@ def monitoring(encoded: DataFrame, pruned: list[str], windows: DataFrame, length
         F.struct(F.lit("window_start_rate").alias("metric"), F.count_if(cut & (F.col("kept_events") > 0)).alias("hits"), F.count_if(F.col("kept_events") > 0).alias("total")),
         F.struct(F.lit("pad_ratio").alias("metric"), F.coalesce(F.sum(F.greatest(F.lit(0), length - F.col("n_ids"))), F.lit(0)).cast("long").alias("hits"), (F.count("*") * length).alias("total")),
     ).alias("m")).select(F.explode("m").alias("m")).select("m.metric", F.lit("").alias("label"), "m.hits", "m.total")
-    return _judged(open_.unionByName(closed).unionByName(three))
+    return judged(open_.unionByName(closed).unionByName(three))

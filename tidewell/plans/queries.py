@@ -392,10 +392,11 @@ SELECT v.field, 'bucket_' || len(list_filter(edges, lambda x: x <= value))::VARC
 """)
 def o17_bucketize(spark, sf_dir):
     """Every value's left-closed bucket, counted."""
-    # three fields of fifteen edges each: a table of three rows
-    e = _edges(spark, sf_dir).groupBy("field").agg(F.array_sort(F.collect_list("edge")).alias("edges"))
-    at = F.size(F.filter("edges", lambda x: x <= F.col("value")))
-    labelled = _values(spark, sf_dir).join(F.broadcast(e), "field").select("field", F.concat(F.lit("bucket_"), at.cast("string")).alias("label"), "value")
+    values = _values(spark, sf_dir)
+    label = F.lit(None).cast("string")
+    for f, e in buckets.fit(values, {f: ("quantile", 16) for f in "ANR"}, SAMPLE, SEED).items():
+        label = F.when(F.col("field") == f, e.column(F.col("value").cast("decimal(38,8)"))).otherwise(label)
+    labelled = values.select("field", label.alias("label"), "value")
     return labelled.groupBy("field", "label").agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
@@ -459,6 +460,41 @@ def o20_delta_edges(spark, sf_dir):
     return buckets.quantile_edges(buckets.sample(d, 1000, SEED), {"delta": 32}).select("field", "edge")
 
 
+#: One client has half of all events; no task may hold them.
+_SQL_HOT = _SQL_EVENTS.replace("SELECT user_id AS client_id,", "SELECT CASE WHEN event_id % 5 < 3 THEN 1 ELSE user_id END AS client_id,")
+
+
+def _hot_events(spark, sf_dir) -> DataFrame:
+    e = _events(spark, sf_dir)
+    number = F.expr("try_cast(substr(source_record_id, 2) as bigint)")
+    client = F.when(F.col("source_record_id").startswith("E") & (number % 5 < 3), 1).otherwise(F.col("client_id"))
+    return e.withColumn("client_id", client.cast("long")).withColumn("calendar_zone", F.when(F.col("client_id") % 2 == 0, "Asia/Almaty").otherwise("America/New_York"))
+
+
+@query(f"WITH {_SQL_HOT} SELECT client_id, event_id, position, coalesce(before = ts, false) AS tied, (epoch_us(ts) - epoch_us(before)) // 1000000 AS delta_seconds FROM t")
+def o18_hot_client(spark, sf_dir):
+    """Positions and deltas where one client has half of all events: it is put in order by ranges, as is every client of over 50."""
+    t = timeline.order_timeline(_hot_events(spark, sf_dir), heavy=50)
+    d = timeline.deltas(t, heavy=50).select("event_id", "delta_seconds")
+    return t.join(d, "event_id", "left").select("client_id", "event_id", "position", "tied", "delta_seconds")
+
+
+@query(f"""
+WITH a AS (SELECT event_id, event_type, ts, CASE WHEN event_id % 5 < 3 THEN 1 ELSE user_id END AS client_id FROM events),
+b AS (SELECT *, lag(ts) OVER w AS before FROM a WINDOW w AS (PARTITION BY client_id ORDER BY ts, event_id)),
+s AS (SELECT *, sum(CASE WHEN before IS NULL OR event_type = 'signup' OR epoch_us(ts) - epoch_us(before) > 60000000 THEN 1 ELSE 0 END) OVER (PARTITION BY client_id ORDER BY ts, event_id) AS no FROM b),
+f AS (SELECT client_id, no, event_type, min((ts, event_id)) AS k FROM s GROUP BY ALL),
+l AS (SELECT client_id, no, list(event_type ORDER BY k) AS screens FROM f GROUP BY ALL)
+SELECT s.client_id, s.no::BIGINT AS session_no, min(s.ts) AS begins, count(*)::BIGINT AS n_actions, ((max(epoch_us(ts)) - min(epoch_us(ts))) // 1000000)::BIGINT AS duration_seconds, any_value(array_to_string(screens, ',')) AS screens
+FROM s JOIN l USING (client_id, no) GROUP BY s.client_id, s.no
+""")
+def o08_hot_client(spark, sf_dir):
+    """Sessions where one client has half of all actions, cut by ranges."""
+    rows = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", F.when(F.col("event_id") % 5 < 3, 1).otherwise(F.col("user_id")).cast("long").alias("client_id"))
+    s = sessions.sessionize(rows, ["signup"], 60, action="event_type", screen="event_type", record_id="event_id", heavy=50)
+    return s.select("client_id", "session_no", F.col("ts").alias("begins"), "n_actions", "duration_seconds", F.array_join("screens", ",").alias("screens"))
+
+
 # --- O21-O23 contract, quarantine, metrics ---------------------------------------------------------------------------
 
 _TYPES = ["CLICK", "PURCHASE", "SIGNUP", "VIEW", "ORDER"]
@@ -610,6 +646,36 @@ def t01_profile_tokens(spark, sf_dir):
     return c.select("c_custkey", F.array_join(tokens.sequence("[USR]", {"segment": False, "nation": False}), " ").alias("tokens"))
 
 
+@query(f"""
+WITH b AS (SELECT 4 * event_id AS line, 'E' || event_id AS record, user_id AS client_id, ts, event_type, value, 1 AS version, event_id FROM events),
+l AS (SELECT * FROM b UNION ALL SELECT * REPLACE (line + 1 AS line) FROM b WHERE event_id % 7 = 0 UNION ALL SELECT * REPLACE (line + 2 AS line, record || '-b' AS record) FROM b WHERE event_id % 11 = 0
+      UNION ALL SELECT * REPLACE (line + 3 AS line, value + 1 AS value, 2 AS version) FROM b WHERE event_id % 13 = 0),
+w AS (SELECT *, first_value(line) OVER (PARTITION BY record ORDER BY version DESC, line) AS stays FROM l WHERE ts <= TIMESTAMP '{CUT}'),
+s AS (SELECT *, first_value(line) OVER (PARTITION BY client_id, ts, value ORDER BY record) AS one FROM w WHERE line = stays),
+f AS (SELECT line, CASE WHEN line <> one THEN 'same_fact' WHEN event_type = 'error' THEN 'rejected' ELSE 'event' END AS fate, CASE WHEN line = one AND event_type = 'error' THEN 'unknown_event_type' END AS reason,
+             CASE WHEN line <> one THEN 'p#' || one END AS superseded_by, CASE WHEN line = one AND event_type <> 'error' THEN substr({_sql_digest("'app'", "record", "upper(event_type)", "epoch_us(ts)::VARCHAR")}, 1, 32) END AS event_id FROM s)
+SELECT line AS line_number, 'cut' AS fate, NULL AS reason, NULL AS superseded_by, NULL AS event_id FROM l WHERE ts > TIMESTAMP '{CUT}'
+UNION ALL SELECT line, 'version', NULL, 'p#' || stays, NULL FROM w WHERE line <> stays UNION ALL SELECT * FROM f
+""")
+def o27_ledger(spark, sf_dir):
+    """What became of every line: of copies, newer versions, refiled facts, records after the cutoff and of unknown types."""
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    base = e.select(F.lit("p").alias("partition"), (F.col("event_id") * 4).alias("line_number"), F.concat(F.lit("E"), F.col("event_id").cast("string")).alias("record"), F.col("user_id").alias("client_id"), "ts", "event_type", "value", F.lit(1).alias("version"), "event_id")
+    again = lambda n: base.where(F.col("event_id") % n == 0)
+    read = base.unionByName(again(7).withColumn("line_number", F.col("line_number") + 1)).unionByName(again(11).withColumns({"line_number": F.col("line_number") + 2, "record": F.concat("record", F.lit("-b"))}))
+    read = read.unionByName(again(13).withColumns({"line_number": F.col("line_number") + 3, "value": F.col("value") + 1, "version": F.lit(2)})).drop("event_id")
+    within = timestamps.up_to(read, CUT)
+    single, conflicts = dedup.exact(within, ["record"], F.struct("client_id", "ts", "event_type", "value"), ["partition", "line_number"], "version")
+    fact = ["client_id", "ts", "value"]
+    facts = dedup.business(single.withColumn("source", F.lit("app")), fact, record_id="record")
+    mapped, unknown = identity.map_events(facts, {t: t.upper() for t in ("view", "click", "purchase", "signup")}, "event_type")
+    kept = mapped.select("partition", "line_number", F.lit("event").alias("fate"), hashing.event_id(F.lit("app"), F.col("record"), F.col("event_type"), F.col("ts")).alias("event_id"))
+    line = ["partition", "line_number"]
+    rejects = unknown.select(*line, "reason").unionByName(conflicts.select(*line, "reason"))
+    after = read.where(F.col("ts") > F.lit(CUT).cast("timestamp_ntz"))
+    return checks.ledger(read, line, rejects, after, [("version", within, single, ["record"]), ("same_fact", single, facts, fact)], kept).drop("partition")
+
+
 @query(f"WITH {_SQL_TOKENS} SELECT event_id, array_to_string(tokens, ' ') AS tokens FROM ev")
 def t02_event_tokens(spark, sf_dir):
     """Events as tokens."""
@@ -732,6 +798,47 @@ def t11_monitoring(spark, sf_dir):
     return tokens.monitoring(encoded, PRUNED, windows, 100)
 
 
+#: Profiles beside the events, and the vocabulary of both.
+_SEQ_ALWAYS = [*_ALWAYS, "key:segment", "key:nation", *(f"value:segment:{v}" for v in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", "MISSING"))]
+_SEQ_FIXED = " ".join(f"UNION SELECT '{t}', {1 if t.startswith('key:') else 2}" for t in _SEQ_ALWAYS)
+_SEQ_OPEN = ("amount", "k", "nation")
+_SQL_SEQUENCES = f"""{_SQL_TOKENS}, pf AS (SELECT c_custkey AS client_id, ['[USR]', 'key:segment', 'value:segment:' || c_mktsegment, 'key:nation', 'value:nation:' || c_nationkey] AS tokens FROM customer),
+n AS (SELECT token, count(*) AS n FROM (SELECT token FROM tk WHERE train UNION ALL SELECT unnest(tokens) FROM pf) WHERE token LIKE 'value:%' AND split_part(token, ':', 2) IN {_SEQ_OPEN} GROUP BY token),
+k AS (SELECT token, CASE WHEN n >= {MIN} OR token LIKE '%:MISSING' THEN 3 ELSE 5 END AS block FROM n {_SEQ_FIXED}
+      {" ".join(f"UNION SELECT 'value:{f}:MISSING', 3 UNION SELECT 'value:{f}:RARE', 4" for f in _SEQ_OPEN)}),
+vo AS (SELECT unnest({tokens.SPECIAL}) AS token, 0 AS block, unnest(range(5)) AS id UNION ALL SELECT token, block, CASE WHEN block < 5 THEN row_number() OVER (ORDER BY block, token) + 4 END FROM k),
+id AS (SELECT a.token, coalesce(a.id, b.id) AS id FROM vo a LEFT JOIN vo b ON b.token = 'value:' || split_part(a.token, ':', 2) || ':RARE'),
+ei AS (SELECT event_id, list(coalesce(id.id, 1) ORDER BY pos) AS ids FROM tk LEFT JOIN id USING (token) GROUP BY event_id),
+pt AS (SELECT client_id, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS token FROM pf), pi AS (SELECT client_id, list(id.id ORDER BY pos) AS ids FROM pt LEFT JOIN id USING (token) GROUP BY client_id),
+e AS (SELECT ev.client_id, event_id, ts, position, ei.ids, sum(len(ei.ids)) OVER (PARTITION BY ev.client_id ORDER BY position DESC) + coalesce(len(pi.ids), 1) AS s FROM ev JOIN ei USING (event_id) LEFT JOIN pi ON pi.client_id = ev.client_id),
+w AS (SELECT *, (epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY client_id ORDER BY position))) // 1000000 AS gap FROM e WHERE s <= 100),
+d AS (SELECT *, CASE WHEN gap IS NOT NULL THEN 'bucket_' || len(list_filter({list(_EDGES)}, lambda x: x <= gap)) WHEN position = 0 THEN 'FIRST_EVENT' ELSE 'WINDOW_START' END AS delta FROM w),
+g AS (SELECT client_id, count(*) AS n_events, flatten(list(ids ORDER BY position)) AS ids, string_agg(delta, ',' ORDER BY position) AS deltas FROM d GROUP BY client_id),
+a AS (SELECT client_id, count(*) AS all_events FROM ev GROUP BY client_id),
+o AS (SELECT coalesce(a.client_id, pi.client_id) AS client_id, coalesce(n_events, 0) AS n_events, coalesce(all_events, 0) AS all_events, coalesce(pi.ids, [4]) || coalesce(g.ids, []) AS ids, coalesce(deltas, '') AS deltas
+      FROM a FULL JOIN pi ON a.client_id = pi.client_id LEFT JOIN g ON g.client_id = a.client_id)"""
+
+
+def _sequences(spark, sf_dir) -> DataFrame:
+    from . import tokenizer as tz
+
+    e = _tokens(spark, sf_dir).withColumn("fields", F.to_json(F.struct("amount", F.col("k")), {"ignoreNullFields": "true"}))
+    e = e.select("client_id", "event_id", "event_type", "position", "ts", F.hour("ts").cast("long").alias("hour_of_day_local"), F.weekday("ts").cast("long").alias("day_of_week_local"), (F.col("position") == 0).alias("lifetime_first"), "fields", "train")
+    p = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("client_id"), F.to_json(F.struct(F.col("c_mktsegment").alias("segment"), F.col("c_nationkey").cast("string").alias("nation"))).alias("fields"))
+    layout = tz.Layout({t: ("amount", "k") for t in _TYPES[:-1] + ["ERROR"]}, ("segment", "nation"), {"segment": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")}, _SEQ_OPEN, tuple(str(x) for x in _EDGES), min_count=MIN, sequence_limit=100)
+    frozen = tz.fit(tz.Prepared(e.where("train").drop("train"), p, "0" * 64), layout)
+    return tz.encode(tz.Prepared(e.drop("train"), p, "0" * 64), frozen, pad_to=100)
+
+
+@query(f"""WITH {_SQL_SEQUENCES}
+SELECT client_id, n_events::BIGINT AS n_events, all_events::BIGINT AS all_events, len(ids)::BIGINT AS n_ids, array_to_string(ids || list_transform(range(100 - len(ids)), lambda x: 0), ',') AS input_ids,
+       array_to_string(list_transform(range(100), lambda x: CASE WHEN x < len(ids) THEN 1 ELSE 0 END), ',') AS attention_mask, deltas FROM o""")
+def t12_client_sequences(spark, sf_dir):
+    """Whole clients as model input: a vocabulary fitted on the training rows, profile and latest events within 100 ids, deltas of the window, padding, mask."""
+    s = _sequences(spark, sf_dir)
+    return s.select("client_id", "n_events", "all_events", "n_ids", F.array_join("input_ids", ",").alias("input_ids"), F.array_join("attention_mask", ",").alias("attention_mask"), F.array_join("delta", ",").alias("deltas"))
+
+
 # --- flagship --------------------------------------------------------------------------------------------------------
 
 
@@ -772,15 +879,22 @@ def o24_state_hash(spark, sf_dir):
     return spark.createDataFrame([(n, len(t), hashlib.sha256(t.encode()).hexdigest()) for n, t in texts.items()], "section string, n_chars long, sha256 string")
 
 
-@query(ORACLES["prepared_timeline"])
+@query(f"SELECT client_id, event_id, event_type, ordering_key, hour_of_day_local, day_of_week_local, lifetime_first, '{{\"k\":\"' || k || '\"}}' AS fields FROM ({ORACLES['prepared_timeline']}) JOIN (SELECT event_id::VARCHAR AS record, regexp_extract(props, '[0-9]+', 0) AS k FROM events) ON record = split_part(ordering_key, '|', 3)")
 def o25_output_sink(spark, sf_dir):
-    """The prepared timeline written as JSON lines in order of client and position, and read back."""
+    """The prepared timeline published by the writer of outputs, and the version that readers are shown read back after its parts were verified."""
     from ..sources import storage
+    from .preparation import Encoded
 
-    out = prepared_timeline(spark, sf_dir)
-    path = f"{storage.shared_dir(spark)}/prepared-{storage.uuid.uuid4().hex}"
-    out.repartitionByRange("client_id").sortWithinPartitions("client_id", "position").write.json(path)
-    return spark.read.schema(out.schema).json(path)
+    k = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("record"), "ts", F.to_json(F.struct(F.regexp_extract("props", "[0-9]+", 0).alias("k"))).alias("fields"))
+    events = prepared_timeline(spark, sf_dir).withColumn("record", F.split_part("ordering_key", F.lit("|"), F.lit(3))).join(k, "record").withColumn("calendar_zone", F.lit("Asia/Almaty"))
+    prof = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("client_id"), F.lit(CUT).cast("timestamp_ntz").alias("profile_ts"), F.to_json(F.struct("c_mktsegment")).alias("fields"))
+    letters = events.limit(0).select(F.lit("app").alias("source"), F.col("record").alias("raw_reference"), F.lit("").alias("reason"))
+    rates = events.groupBy("event_type").agg(F.count("*").alias("hits")).select(F.col("event_type").alias("metric"), "hits")
+    path = f"{storage.shared_dir(spark)}/published-{storage.uuid.uuid4().hex}"
+    storage.publish(Encoded(events, prof, letters, rates), path)
+    lines = spark.read.schema("client_id long, event_id string, event_type string, ordering_key string, calendar_time_features struct<hour_of_day_local:long,day_of_week_local:long>, lifetime_first boolean, fields string")
+    got = lines.json(f"{storage.current(spark, path, verify=True)}/prepared_events")
+    return got.select("client_id", "event_id", "event_type", "ordering_key", "calendar_time_features.*", "lifetime_first", "fields")
 
 
 def _sql_generated() -> str:
@@ -789,12 +903,12 @@ def _sql_generated() -> str:
     found = ", ".join(f"CASE WHEN event_id % {n} = 0 THEN '{d}' END" for d, n in DEFECTS.items())
     return f"""
 WITH a AS (SELECT *, list_filter([{found}], lambda x: x IS NOT NULL) AS d, round(value * 100)::BIGINT AS cents FROM events),
-b AS (SELECT *, CASE WHEN 'missing_null' IN d THEN NULL WHEN 'numeric_unparsable' IN d THEN 'abc' WHEN 'numeric_nan' IN d THEN 'NaN' WHEN 'clip_low' IN d THEN '0,01' WHEN 'clip_high' IN d THEN '5 000 000 000,00' ELSE (cents // 100) || ',' || lpad((cents % 100)::VARCHAR, 2, '0') END AS amount,
+b AS (SELECT *, CASE WHEN 'null_given' IN d THEN NULL WHEN 'no_number' IN d THEN 'abc' WHEN 'nan_text' IN d THEN 'NaN' WHEN 'below_training' IN d THEN '0,01' WHEN 'above_training' IN d THEN '5 000 000 000,00' ELSE (cents // 100) || ',' || lpad((cents % 100)::VARCHAR, 2, '0') END AS amount,
   'G-' || lpad(event_id::VARCHAR, 8, '0') AS rid, 1 AS version FROM a),
-c AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE 'dup_exact' IN d UNION ALL SELECT * REPLACE (rid || '-b' AS rid) FROM b WHERE 'dup_business' IN d UNION ALL SELECT * REPLACE ('1,00' AS amount, 2 AS version) FROM b WHERE 'dup_conflicting' IN d)
+c AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE 'sent_twice' IN d UNION ALL SELECT * REPLACE (rid || '-b' AS rid) FROM b WHERE 'same_fact' IN d UNION ALL SELECT * REPLACE ('1,00' AS amount, 2 AS version) FROM b WHERE 'two_versions' IN d)
 SELECT rid AS source_record_id, array_to_string(d, ',') AS defects, '{{"source_record_id":"' || rid || '","client_ref":"' || lpad(user_id::VARCHAR, 6, '0') || '","branch_region":"ALMATY","operation_time":"'
-  || strftime(CASE WHEN 'future_timestamp' IN d THEN ts + INTERVAL 4 YEAR ELSE ts END, '%d.%m.%Y %H:%M') || '","op_code":"' || CASE WHEN 'unknown_event_code' IN d THEN 'XYZ' ELSE 'TRF' END || '"' || coalesce(',"amount":"' || amount || '"', '')
-  || ',"currency":"' || CASE WHEN 'fx_foreign' IN d THEN '840' ELSE 'KZT' END || '"' || CASE WHEN 'missing_key' IN d THEN '' WHEN 'missing_placeholder' IN d THEN ',"direction":"N/A"' ELSE ',"direction":"IN"' END
+  || strftime(CASE WHEN 'years_ahead' IN d THEN ts + INTERVAL 4 YEAR ELSE ts END, '%d.%m.%Y %H:%M') || '","op_code":"' || CASE WHEN 'code_unknown' IN d THEN 'XYZ' ELSE 'TRF' END || '"' || coalesce(',"amount":"' || amount || '"', '')
+  || ',"currency":"' || CASE WHEN 'foreign_money' IN d THEN '840' ELSE 'KZT' END || '"' || CASE WHEN 'key_left_out' IN d THEN '' WHEN 'dash_or_na' IN d THEN ',"direction":"N/A"' ELSE ',"direction":"IN"' END
   || ',"counterparty_ref":"KZ' || lpad(event_id::VARCHAR, 12, '0') || '","payload_version":' || version || ',"loaded_at":"' || strftime(ts + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%SZ') || '"' || CASE WHEN amount IS NULL THEN ',"amount":null' ELSE '' END || '}}' AS payload FROM c"""
 
 
@@ -828,6 +942,51 @@ def s01_stream_windows(spark, sf_dir):
     return spark.read.schema(rows.schema).parquet(f"{path}/rows").select(F.timestamp_add("SECOND", F.unix_seconds("begins").cast("int"), epoch).alias("begins"), "event_type", "n")
 
 
+@query("""
+WITH a AS (SELECT user_id::VARCHAR AS client_id, event_id, ts, event_type, CASE WHEN event_id % 10 = 0 THEN value + 1 ELSE value END AS value FROM events),
+b AS (SELECT *, lag(ts) OVER w AS before FROM a WHERE event_type IN ('view', 'click', 'signup') WINDOW w AS (PARTITION BY client_id ORDER BY ts, event_id::VARCHAR)),
+s AS (SELECT *, sum(CASE WHEN before IS NULL OR event_type = 'signup' OR epoch_us(ts) - epoch_us(before) > 21600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY client_id ORDER BY ts, event_id::VARCHAR) AS no FROM b),
+e AS (SELECT client_id, min((ts, event_id::VARCHAR))[2] AS record, min(ts) AS ts, 'APP_SESSION' AS event_type, NULL::DOUBLE AS value, ((max(epoch_us(ts)) - min(epoch_us(ts))) // 1000000)::BIGINT AS duration_seconds, count(*)::BIGINT AS n_actions FROM s GROUP BY client_id, no
+      UNION ALL SELECT client_id, event_id::VARCHAR, ts, upper(event_type), value, NULL, NULL FROM a WHERE event_type NOT IN ('view', 'click', 'signup'))
+SELECT client_id, record, event_type, value, row_number() OVER w - 1 AS position, (epoch_us(ts) - epoch_us(lag(ts) OVER w)) // 1000000 AS delta_seconds, duration_seconds, n_actions
+FROM e WINDOW w AS (PARTITION BY client_id ORDER BY ts, record)
+""")
+def s02_stream_timeline(spark, sf_dir):
+    """Clients' timelines by a stream in four micro-batches: copies in two versions, sessions, positions, deltas, as the batch plan has them."""
+    from ..sources import storage
+    from ..streaming import timeline as streamed
+
+    path = f"{storage.shared_dir(spark)}/stream-{storage.uuid.uuid4().hex}"
+    act = F.col("event_type").isin("view", "click", "signup")
+    e = table(spark, sf_dir, "events")
+    rows = e.select(
+        F.col("user_id").cast("string").alias("client_id"), F.lit("app").alias("source"), F.col("event_id").cast("string").alias("source_record_id"), F.lit(10).alias("source_priority"), "ts", F.lit(1).cast("long").alias("version"),
+        F.when(~act, F.upper("event_type")).alias("event_type"), F.when(act, F.col("event_type")).alias("action"), F.lit(None).cast("string").alias("screen"), "value", (F.col("event_id") % 10 == 0).alias("again"),
+    )
+    # a tenth of the records comes again in a second version; a record of a day later than all lets everything settle
+    rows = rows.unionByName(rows.where("again").withColumns({"version": F.lit(2).cast("long"), "value": F.col("value") + 1}))
+    last = rows.agg(F.max("ts").alias("ts")).select(*[F.expr("ts + interval 30 days").alias("ts") if c == "ts" else (F.lit("~") if t == "string" and c == "client_id" else F.lit("END") if c in ("source_record_id", "event_type") else F.lit(None)).cast(t).alias(c) for c, t in rows.dtypes])
+    last = last.withColumns({"source": F.lit("app"), "source_priority": F.lit(10), "version": F.lit(1).cast("long")})
+    shown = lambda d: d.select(*[F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("at") if c == "ts" else F.col(c) for c in streamed.INPUT[:-1]], F.to_json(F.struct("value")).alias("payload"))
+    # a stream takes files by the time they were written: parts by time of the record, one after the other
+    edges = [r[0] for r in rows.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [0.25, 0.5, 0.75]).alias("q")).selectExpr("explode(q)").collect()]
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    part = sum((F.when(micros > x, 1).otherwise(0) for x in edges), F.lit(0))
+    folders = [shown(rows.where(part == i)) for i in range(4)] + [shown(last)]
+    for i, d in enumerate(folders):
+        d.coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(folders[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    stream = stream.withColumn("ts", F.to_timestamp("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"))
+    out = streamed.timelines(stream, "1 hour", ["signup"], GAP, remember_seconds=10**9)
+
+    def keep(batch: DataFrame, _: int) -> None:
+        batch.write.mode("append").parquet(f"{path}/rows")
+
+    streamed.run(out, path, keep)
+    got = spark.read.schema(out.schema).parquet(f"{path}/rows").where("client_id != '~'")
+    return got.select("client_id", F.col("source_record_id").alias("record"), "event_type", F.when(F.col("event_type") != "APP_SESSION", F.get_json_object("payload", "$.value").cast("double")).alias("value"), "position", "delta_seconds", "duration_seconds", "n_actions")
+
+
 @query(f"WITH {_SQL_VOCAB} SELECT id::BIGINT AS id, token FROM vo WHERE id < 5 OR block IN (1, 4)")
 def t04_canonical_ids(spark, sf_dir):
     """Ids of the fixed blocks: special tokens, keys, RARE tokens."""
