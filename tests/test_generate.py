@@ -54,17 +54,17 @@ def test_what_the_plan_makes_of_the_cases(spark, root):
         for case, r in rows:
             made.setdefault(case, []).append(r.get("source_record_id") or r.get("rec_id") or r.get("event_uid"))
     fields = lambda case: json.loads(events[made[case][0]].fields)
-    assert fields("missing_null")["amount_base_bucket"] == fields("numeric_nan")["amount_base_bucket"] == fields("numeric_inf")["amount_base_bucket"] == fields("fx_stale_gap")["amount_base_bucket"] == "MISSING"
-    assert fields("missing_placeholder")["direction"] == fields("missing_key")["direction"] == "MISSING" and fields("missing_empty")["currency"] == "MISSING"
-    assert fields("fx_foreign")["amount_base_bucket"] != "MISSING" != fields("fx_fallback")["amount_base_bucket"]
-    assert fields("clip_low")["amount_base_bucket"] == "bucket_0" and fields("clip_high")["amount_base_bucket"] == f"bucket_{len(artifacts.edges['amount_base_bucket'].edges)}"
-    assert letters[made["unknown_event_code"][0]] == "unknown_event_type" and made["future_timestamp"][0] not in events
+    assert fields("null_given")["amount_base_bucket"] == fields("nan_text")["amount_base_bucket"] == fields("infinite_text")["amount_base_bucket"] == fields("rate_too_old")["amount_base_bucket"] == "MISSING"
+    assert fields("dash_or_na")["direction"] == fields("key_left_out")["direction"] == "MISSING" and fields("blank_text")["currency"] == "MISSING"
+    assert fields("foreign_money")["amount_base_bucket"] != "MISSING" != fields("rate_of_friday")["amount_base_bucket"]
+    assert fields("below_training")["amount_base_bucket"] == "bucket_0" and fields("above_training")["amount_base_bucket"] == f"bucket_{len(artifacts.edges['amount_base_bucket'].edges)}"
+    assert letters[made["code_unknown"][0]] == "unknown_event_type" and made["years_ahead"][0] not in events
     assert "CPX-BUSINESS-a" in events and "CPX-BUSINESS-b" not in events and "CPX-EXACT" in events and "CPX-CONFLICT" in events
-    at_t, after_t = made["boundary_at_t"][0], [x for x in made["boundary_after_t"]]
+    at_t, after_t = made["on_the_cutoff"][0], [x for x in made["past_the_cutoff"]]
     assert at_t in events and not set(after_t) & set(events)
-    assert events[made["single_event"][0]].lifetime_first and events[made["historic_timezone"][0]].hour_of_day_local == 12
-    crossing = json.loads(events[made["session_crossing_t"][0]].fields)
-    assert len(crossing["screens"]) < 11 and events[made["session_crossing_t"][0]].event_type == "APP_SESSION"
+    assert events[made["only_event"][0]].lifetime_first and events[made["old_zone_rule"][0]].hour_of_day_local == 12
+    crossing = json.loads(events[made["session_cut_off"][0]].fields)
+    assert len(crossing["screens"]) < 11 and events[made["session_cut_off"][0]].event_type == "APP_SESSION"
     assert profiles["C000005"]["age_bucket"] == "MISSING" and profiles["C000004"]["products"] == [f"P{i:02}" for i in range(1, 9)]
     assert "C000003" in profiles and profiles["C000003"]["first_seen_age_bucket"] == "MISSING" and profiles["C000002"]["region"] == "MISSING"
     assert {r.metric: r.level for r in e.metrics.where("label is null").collect()}["cutoff_violation_rate"] == "normal"

@@ -282,3 +282,122 @@ def test_contract_checks(change, why):
 
 def test_default_policy_is_sound():
     assert check(DEFAULT) is DEFAULT
+
+
+def test_a_frozen_state_needs_no_policy_from_code(spark, root, artifacts, encoded, tmp_path):
+    import subprocess
+    import sys
+
+    sha = storage.freeze(spark, artifacts, f"file://{tmp_path}/a")
+    back = storage.thaw(spark, f"file://{tmp_path}/a")
+    assert back.sha256() == sha and back.policy == artifacts.policy and list(back.policy.profile) == list(artifacts.policy.profile)
+    code = f"""
+from pyspark.sql import SparkSession
+from tidewell.sources import storage
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.checkpoint.dir", "{tmp_path}/shared").getOrCreate()
+print("HASH", storage.thaw(spark, "file://{tmp_path}/a").sha256())
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=str(tmp_path.parent), env={**__import__("os").environ, "PYTHONPATH": ":".join(sys.path)})
+    assert f"HASH {sha}" in out.stdout
+    with pytest.raises(preparation.StateMismatch):
+        storage.thaw(spark, f"file://{tmp_path}/a", DEFAULT.at(seed=1))
+    spark.read.parquet(f"{tmp_path}/a/identity").limit(1).write.mode("append").parquet(f"{tmp_path}/a/identity")
+    with pytest.raises(preparation.StateMismatch):
+        storage.thaw(spark, f"file://{tmp_path}/a")
+
+
+@pytest.mark.parametrize(
+    ("change", "why"),
+    [
+        (lambda d: d.update(form=2), "form 2"),
+        (lambda d: d.pop("fx_config"), "without"),
+        (lambda d: d.update(more={}), "unknown parts"),
+        (lambda d: d["feature_schema"]["TRANSFER"]["currency"].update(priority=1), "priorities"),
+        (lambda d: d["feature_schema"]["TRANSFER"]["currency"].update(vocabulary="bucket_closed_set"), "numeric"),
+        (lambda d: d["feature_schema"]["PROFILE"].pop("account_age_bucket"), "priorities"),
+        (lambda d: d["feature_schema"].update(OTHER={}), "without an event type"),
+        (lambda d: d["source_contracts"]["core_payments"].update(kind="none"), "unknown kind"),
+        (lambda d: d["source_contracts"]["core_payments"].update(unheard_of=1), "unheard_of"),
+        (lambda d: d["source_contracts"]["core_payments"]["column_order"].pop(), "other columns"),
+        (lambda d: d["sessionization_config"].update(gap_seconds=0), "positive"),
+        (lambda d: d["run_policy"].update(version="1"), "three numbers"),
+        (lambda d: d["calendar_timezone_policy"]["zones"].update(X="Mars/Base"), "IANA"),
+        (lambda d: d["cutoff_policy"].update(cutoff="yesterday"), "instant"),
+    ],
+)
+def test_policy_documents_are_checked(change, why):
+    from tidewell.plans import documents
+
+    d = json.loads(documents.canonical(documents.policy_sections(DEFAULT)))
+    assert documents.policy_of(json.loads(json.dumps(d))) == DEFAULT
+    change(d)
+    with pytest.raises(PolicyError, match=why):
+        documents.policy_of(d)
+
+
+def test_the_order_of_fields_is_part_of_the_state(artifacts):
+    turned = DEFAULT.sections | {"TRANSFER": dict(reversed(DEFAULT.sections["TRANSFER"].items()))}
+    assert replace(artifacts, policy=DEFAULT.at(sections=turned)).sha256() != artifacts.sha256()
+
+
+def test_identity_is_a_table_of_any_form(spark, root, artifacts, tmp_path):
+    lines = [{"section": s, "ref": r, "client_id": c} for s, refs in fixtures.IDS.items() for r, c in refs.items()]
+    (tmp_path / "ids").mkdir()
+    for i in range(3):
+        (tmp_path / "ids" / f"{i}.json").write_text("".join(json.dumps(x) + "\n" for x in reversed(lines[i::3])))
+    one = preparation.read_identity(spark, f"file://{tmp_path}/ids", DEFAULT)
+    assert one.document() == artifacts.identity.document() and one.rows == len(lines)
+
+    def read(doc):
+        (tmp_path / "bad.json").write_text(doc)
+        return preparation.read_identity(spark, f"file://{tmp_path}/bad", DEFAULT)
+
+    names = list(fixtures.IDS)
+    whole = lambda **more: json.dumps(fixtures.IDS | more)
+    for doc, why in (
+        (json.dumps({names[0]: {}}), "sections"), (whole(**{names[0]: {"": "C000001"}}), "empty reference"), (whole(**{names[0]: {"x": "nobody"}}), "malformed"),
+        (whole(**{names[0]: {"x": "C000001", "y": "C000001"}}), "two references"), (whole().replace(f'"{names[0]}": {{', f'"{names[0]}": {{"x": "C000008", "x": "C000009", ', 1), "repeats"),
+    ):
+        with pytest.raises(PolicyError, match=why):
+            read(doc)
+    assert read(whole(**{names[0]: {}})).rows == len(lines) - len(fixtures.IDS[names[0]])
+
+
+def test_prepared_clients_become_sequences(spark, root, artifacts, encoded, tmp_path):
+    from tidewell.plans import documents
+    from tidewell.plans import tokenizer as tz
+
+    docs = documents.prepared(artifacts, encoded["raw"], "t")
+    layout = tz.layout_of(docs, min_count=1)
+    assert layout.events["TRANSFER"] == tuple(DEFAULT.sections["TRANSFER"]) and "atm_id" not in layout.events["CASH_WITHDRAWAL"] and layout.lists == ("products", "screens")
+    own = tz.of_encoded(encoded["raw"], artifacts)
+    frozen = tz.fit(own, layout)
+    folder = storage.publish(encoded["raw"], f"file://{tmp_path}/out", docs)
+    back, read = tz.read_prepared(spark, storage.current(spark, f"file://{tmp_path}/out", verify=True))
+    assert folder and tz.layout_of(read, min_count=1) == layout and tz.fit(back, layout).sha256() == frozen.sha256()
+    rows = lambda p: {r.client_id: r for r in tz.encode(p, frozen, 256).collect()}
+    one = rows(own)
+    assert rows(back) == one and set(one) == set(encoded["profiles"]) | {r.client_id for r in encoded["events"].values()}
+    names = {r.id: r.token for r in frozen.vocab.where("id is not null").collect()}
+    mine = one["C000000"]
+    told = [names[i] for i in mine.input_ids[: mine.n_ids]]
+    assert told[0] == "[USR]" and told.count("[EVT]") == mine.n_events == sum(r.client_id == "C000000" for r in encoded["events"].values()) and mine.n_unk == 0
+    assert [told[i] for i in mine.event_at] == ["[EVT]"] * mine.n_events and mine.delta[0] == "FIRST_EVENT" and mine.attention_mask == [1] * mine.n_ids + [0] * (256 - mine.n_ids)
+    with pytest.raises(preparation.StateMismatch):
+        tz.encode(replace(back, state_sha256="0" * 64), frozen)
+
+
+def test_the_ledger_has_a_fate_for_every_line(spark, root, encoded):
+    from tidewell.plans import ledger
+
+    p = preparation.prepare(spark, root, DEFAULT, fixtures.IDS)
+    rows = ledger.of(p, DEFAULT).collect()
+    read = sum(s["read"].count() for s in p.steps.values())
+    assert len(rows) == len({(r.source, r.partition, r.line_number) for r in rows}) == read
+    fates = {f: [r for r in rows if r.fate == f] for f in {r.fate for r in rows}}
+    assert set(fates) <= {"rejected", "cut", "version", "same_fact", "event", "action", "snapshot", "rate"} and len(fates["rejected"]) == 9
+    ids = {r.event_id: r.event_type for r in encoded["events"].values()}
+    assert {r.event_id for r in fates["event"] + fates["action"]} == set(ids)
+    assert {ids[r.event_id] for r in fates["action"]} == {"APP_SESSION"} and all(ids[r.event_id] != "APP_SESSION" for r in fates["event"])
+    lines = {f"{r.partition}#{r.line_number}": r for r in rows if r.source == "core_payments"}
+    assert fates["version"] and fates["same_fact"] and all(lines[r.superseded_by].fate in ("event", "same_fact") for r in fates["version"] + fates["same_fact"] if r.source == "core_payments")

@@ -11,7 +11,8 @@ from pathlib import Path
 from ..functions.hashing import SEED_MIXER
 from ..operators.buckets import Edges
 from ..operators.fields import MISSING
-from .config import Field, Policy
+from ..sources.jsonl import ColumnSpec, Contract, ContractError
+from .config import Field, Numeric, Policy, PolicyError, check
 
 TEXT_POLICY = {"trim": True, "unicode": "NFKC", "case": "upper", "missing": MISSING}
 SERIALIZATION = {"format": "json", "encoding": "utf-8", "keys": "sorted", "white_space": "none", "decimals": "plain text"}
@@ -54,11 +55,11 @@ def state(artifacts) -> dict[str, dict]:
     numeric = {n: asdict(f.numeric) for n, f in _fields(p).items() if f.numeric}
     times = {n: {"field": c.time_field, "kind": c.time_kind, "processing_field": c.processing_field, "zone_policy": c.zone_policy, "zone_field": c.zone_field, "default_zone": c.default_zone, "max_delay_hours": c.max_delay_hours} for n, c in p.contracts.items()}
     return {
-        "source_contracts": {n: asdict(c) for n, c in p.contracts.items()},
-        "identity_mapping": artifacts.identity,
+        "source_contracts": {n: asdict(c) | {"column_order": list(c.columns)} for n, c in p.contracts.items()},
+        "identity_mapping": artifacts.identity if isinstance(artifacts.identity, dict) else artifacts.identity.document(),
         "event_mapping": {"codes": p.codes, "event_types": p.event_types},
         "category_mapping": {"aliases": p.aliases, "placeholders": p.placeholders},
-        "feature_schema": {s: {n: asdict(f) for n, f in model.items()} for s, model in [*p.sections.items(), ("PROFILE", p.profile)]},
+        "feature_schema": {s: {n: asdict(f) | {"priority": i + 1} for i, (n, f) in enumerate(model.items())} for s, model in [*p.sections.items(), ("PROFILE", p.profile)]},
         "closed_set_domains": closed_domains(p),
         "bucket_field_domains": bucket_domains(artifacts.edges),
         "timestamp_policy": {"sources": times, "horizon_days": p.horizon_days},
@@ -79,6 +80,72 @@ def state(artifacts) -> dict[str, dict]:
     }
 
 
+#: The form of the policy in documents that this code reads and writes.
+POLICY_FORM = 1
+
+
+def _plain(x):
+    """Lists as tuples, at any depth: policies hold tuples."""
+    return tuple(_plain(v) for v in x) if isinstance(x, list) else {k: _plain(v) for k, v in x.items()} if isinstance(x, dict) else x
+
+
+def policy_sections(policy: Policy) -> dict:
+    """What ``policy_of`` needs: the sections of a state that say what the policy is."""
+    from .preparation import Artifacts
+
+    sections = state(Artifacts(policy, {}, {}, Edges(())))
+    return {n: sections[n] for n in POLICY_SECTIONS} | {"form": POLICY_FORM}
+
+
+POLICY_SECTIONS = (
+    "source_contracts", "event_mapping", "category_mapping", "feature_schema", "timestamp_policy", "calendar_timezone_policy", "dedup_config", "sessionization_config", "fx_config", "cutoff_policy",
+    "bucketization_config", "profile_policy", "run_policy",
+)
+
+
+def policy_of(sections: dict) -> Policy:
+    """The policy that documents describe; raises ``PolicyError`` on another form, on missing or unknown parts, and on whatever
+    ``config.check`` does not allow. The order of columns and fields is that of their places, not of the document."""
+    if sections.get("form") != POLICY_FORM:
+        raise PolicyError(f"a policy of form {sections.get('form')}; this code reads form {POLICY_FORM}")
+    lost, new = set(POLICY_SECTIONS) - set(sections), set(sections) - {*POLICY_SECTIONS, "form"}
+    if lost or new:
+        raise PolicyError(f"a policy without {sorted(lost)}" if lost else f"unknown parts of a policy {sorted(new)}")
+    d = _plain({n: sections[n] for n in POLICY_SECTIONS})
+
+    def contract(c: dict) -> Contract:
+        c = dict(c)
+        order = c.pop("column_order")
+        if set(order) != set(c["columns"]):
+            raise PolicyError(f"{c['name']}: the order names other columns")
+        return Contract(**c | {"columns": {n: ColumnSpec(**c["columns"][n]) for n in order}})
+
+    def model(fields: dict) -> dict[str, Field]:
+        rank = {n: f["priority"] for n, f in fields.items()}
+        if sorted(rank.values()) != list(range(1, len(rank) + 1)):
+            raise PolicyError("priorities of a section's fields are not 1, 2, ...")
+        rest = lambda f: {k: v for k, v in f.items() if k != "priority"} | {"numeric": Numeric(**f["numeric"]) if f["numeric"] else None}
+        return {n: Field(**rest(fields[n])) for n in sorted(rank, key=rank.get)}
+
+    try:
+        models = {s: model(f) for s, f in d["feature_schema"].items()}
+        profile = models.pop("PROFILE")
+        session, fx, run = d["sessionization_config"], d["fx_config"], d["run_policy"]
+        out = Policy(
+            {n: contract(c) for n, c in d["source_contracts"].items()}, d["calendar_timezone_policy"]["zones"], d["event_mapping"]["codes"], d["event_mapping"]["event_types"], d["dedup_config"]["fingerprints"],
+            {t: models.pop(t) for t in d["event_mapping"]["event_types"]}, profile, d["category_mapping"]["aliases"], d["category_mapping"]["placeholders"],
+            d["bucketization_config"]["fields"], d["bucketization_config"]["default"], d["bucketization_config"]["delta_buckets"],
+            session["source"], session["actions"], session["starts"], session["gap_seconds"], fx["base"], fx["source"], fx["providers"], fx["days"],
+            d["profile_policy"]["transactions"], d["profile_policy"]["topup_types"], d["profile_policy"]["topup_direction"], d["cutoff_policy"]["cutoff"], d["timestamp_policy"]["horizon_days"],
+            run["sample_size"], run["seed"], run["client_pattern"], run["version"],
+        )
+    except (KeyError, TypeError, AttributeError, ContractError) as e:
+        raise PolicyError(f"not a policy: {e}") from e
+    if models:
+        raise PolicyError(f"sections without an event type: {sorted(models)}")
+    return check(out)
+
+
 def code_state() -> dict:
     """SHA-256 of every source file of the preparation part, and of them all."""
     root = Path(__file__).resolve().parent.parent

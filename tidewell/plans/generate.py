@@ -28,11 +28,22 @@ PER_CLIENT = {"core_payments": 40, "card_processing": 70, "sessions": 25, "actio
 LONG, SINGLE, NO_PROFILE, NO_EVENTS, FIRST = 0, 1, 2, 3, 4
 #: Days without any rate.
 GAP = (date(2025, 7, 7), 8)
-CASES = (
-    "long_history single_event no_profile no_events historic_timezone missing_null missing_empty missing_placeholder missing_key numeric_unparsable numeric_nan numeric_inf negative_age unknown_event_code "
-    "clip_low clip_high future_timestamp dup_exact dup_business dup_conflicting tie_break_same_source tie_break_cross_source fx_foreign fx_fallback fx_stale_gap boundary_at_t boundary_after_t session_crossing_t "
-    "rare_value unseen_value multivalue_overflow naive_timestamp"
-).split()
+#: Cases by the operator that each is there to try.
+TRIED = {
+    "contract": ("key_left_out", "null_given", "blank_text", "dash_or_na"),
+    "identity": ("client_unprofiled", "client_silent"),
+    "timestamps": ("local_clock", "old_zone_rule"),
+    "cutoff": ("on_the_cutoff", "past_the_cutoff", "years_ahead"),
+    "dedup": ("sent_twice", "same_fact", "two_versions"),
+    "events": ("code_unknown",),
+    "sessions": ("session_cut_off",),
+    "numbers": ("no_number", "nan_text", "infinite_text", "age_below_zero"),
+    "fx": ("foreign_money", "rate_of_friday", "rate_too_old"),
+    "categories": ("seldom_seen", "never_trained", "list_too_long"),
+    "buckets": ("below_training", "above_training"),
+    "timeline": ("many_events", "only_event", "tie_within_source", "tie_between_sources"),
+}
+CASES = tuple(c for cases in TRIED.values() for c in cases)
 
 
 def draw(salt: str, n: int, *key: Column) -> Column:
@@ -143,19 +154,19 @@ def _injected() -> dict[str, list[tuple[str, dict]]]:
     tied = datetime(2026, 1, 10, 7, 0)
     local_t = CUTOFF + timedelta(hours=5)
     pays = [
-        payment("missing_null", amount=None), payment("missing_empty", currency=""), payment("missing_placeholder", direction="N/A"), payment("missing_key", direction="absent"),
-        payment("numeric_unparsable", amount="abc"), payment("numeric_nan", amount="NaN"), payment("numeric_inf", amount="-Inf"), payment("unknown_event_code", op_code="XYZ"),
-        payment("clip_low", amount="0,01"), payment("clip_high", amount="5 000 000 000,00"), payment("future_timestamp", "20.01.2028 15:00"),
-        payment("dup_exact", source_record_id="CPX-EXACT", counterparty_ref="KZ1"), payment("dup_exact", source_record_id="CPX-EXACT", counterparty_ref="KZ1"),
-        payment("dup_business", source_record_id="CPX-BUSINESS-a", **same), payment("dup_business", source_record_id="CPX-BUSINESS-b", **same),
-        payment("dup_conflicting", source_record_id="CPX-CONFLICT", amount="1,00", counterparty_ref="KZ2"), payment("dup_conflicting", source_record_id="CPX-CONFLICT", amount="2,00", counterparty_ref="KZ2", payload_version=2),
-        payment("tie_break_same_source", "10.01.2026 12:00"), payment("tie_break_same_source", "10.01.2026 12:00"), payment("tie_break_cross_source", "10.01.2026 12:00"),
-        payment("fx_foreign", "21.01.2026 12:00", currency="USD"), payment("fx_fallback", "18.01.2026 12:00", currency="USD"), payment("fx_stale_gap", "14.07.2025 12:00", currency="USD"),
-        payment("boundary_after_t", (CUTOFF + timedelta(seconds=61, hours=5)).strftime("%d.%m.%Y %H:%M")), payment("historic_timezone", "18.01.2024 12:00"), payment("single_event", "20.01.2026 15:00", client=SINGLE),
+        payment("null_given", amount=None), payment("blank_text", currency=""), payment("dash_or_na", direction="N/A"), payment("key_left_out", direction="absent"),
+        payment("no_number", amount="abc"), payment("nan_text", amount="NaN"), payment("infinite_text", amount="-Inf"), payment("code_unknown", op_code="XYZ"),
+        payment("below_training", amount="0,01"), payment("above_training", amount="5 000 000 000,00"), payment("years_ahead", "20.01.2028 15:00"),
+        payment("sent_twice", source_record_id="CPX-EXACT", counterparty_ref="KZ1"), payment("sent_twice", source_record_id="CPX-EXACT", counterparty_ref="KZ1"),
+        payment("same_fact", source_record_id="CPX-BUSINESS-a", **same), payment("same_fact", source_record_id="CPX-BUSINESS-b", **same),
+        payment("two_versions", source_record_id="CPX-CONFLICT", amount="1,00", counterparty_ref="KZ2"), payment("two_versions", source_record_id="CPX-CONFLICT", amount="2,00", counterparty_ref="KZ2", payload_version=2),
+        payment("tie_within_source", "10.01.2026 12:00"), payment("tie_within_source", "10.01.2026 12:00"), payment("tie_between_sources", "10.01.2026 12:00"),
+        payment("foreign_money", "21.01.2026 12:00", currency="USD"), payment("rate_of_friday", "18.01.2026 12:00", currency="USD"), payment("rate_too_old", "14.07.2025 12:00", currency="USD"),
+        payment("past_the_cutoff", (CUTOFF + timedelta(seconds=61, hours=5)).strftime("%d.%m.%Y %H:%M")), payment("old_zone_rule", "18.01.2024 12:00"), payment("only_event", "20.01.2026 15:00", client=SINGLE),
     ]
-    cards = [card("tie_break_cross_source", tied), card("boundary_at_t", CUTOFF), card("boundary_after_t", CUTOFF + timedelta(seconds=1)), *(card("rare_value", datetime(2026, 1, 5 + i, 9, 0), merchant_category="ANTIQUES") for i in range(3)), card("unseen_value", datetime(2026, 2, 10, 9, 0), merchant_category="SPACE_TRAVEL")]
-    logs = [action("session_crossing_t", local_t + timedelta(seconds=20 * i - 120), "LOGIN" if i == 0 else "screen_open", **({"screen": SCREENS[i % 10]} if i else {})) for i in range(12)]
-    snaps = [snapshot("negative_age", "2026-01-15", client=FIRST + 1, age=-1), snapshot("multivalue_overflow", "2026-01-16", products=[f"p{i:02}" for i in range(11, 0, -1)])]
+    cards = [card("tie_between_sources", tied), card("on_the_cutoff", CUTOFF), card("past_the_cutoff", CUTOFF + timedelta(seconds=1)), *(card("seldom_seen", datetime(2026, 1, 5 + i, 9, 0), merchant_category="ANTIQUES") for i in range(3)), card("never_trained", datetime(2026, 2, 10, 9, 0), merchant_category="SPACE_TRAVEL")]
+    logs = [action("session_cut_off", local_t + timedelta(seconds=20 * i - 120), "LOGIN" if i == 0 else "screen_open", **({"screen": SCREENS[i % 10]} if i else {})) for i in range(12)]
+    snaps = [snapshot("age_below_zero", "2026-01-15", client=FIRST + 1, age=-1), snapshot("list_too_long", "2026-01-16", products=[f"p{i:02}" for i in range(11, 0, -1)])]
     return {"core_payments": pays, "card_processing": cards, "app_logs": logs, "profile_snapshots": snaps, "fx_rates": []}
 
 
@@ -183,7 +194,7 @@ def identities(clients: int) -> dict[str, dict[str, str]]:
 
 def case_counts(rows: dict[str, DataFrame], clients: int) -> dict[str, int]:
     """How many records each edge case has; every case has to be there."""
-    out = {"long_history": 1, "no_profile": 1, "no_events": 1, "naive_timestamp": 1} if clients > FIRST else {}
+    out = {"many_events": 1, "client_unprofiled": 1, "client_silent": 1, "local_clock": 1} if clients > FIRST else {}
     for df in rows.values():
         for r in df.where("case is not null").groupBy("case").count().collect():
             out[r["case"]] = out.get(r["case"], 0) + r["count"]
@@ -216,8 +227,8 @@ def write(spark: SparkSession, root: str, clients: int = 200, scale: float = 1.0
 
 #: defect -> one payment in so many has it.
 DEFECTS = {
-    "missing_null": 11, "missing_placeholder": 13, "missing_key": 17, "numeric_unparsable": 19, "numeric_nan": 23, "unknown_event_code": 29,
-    "future_timestamp": 31, "dup_exact": 37, "dup_business": 41, "dup_conflicting": 43, "clip_low": 47, "clip_high": 53, "fx_foreign": 5,
+    "null_given": 11, "dash_or_na": 13, "key_left_out": 17, "no_number": 19, "nan_text": 23, "code_unknown": 29,
+    "years_ahead": 31, "sent_twice": 37, "same_fact": 41, "two_versions": 43, "below_training": 47, "above_training": 53, "foreign_money": 5,
 }
 
 
@@ -232,16 +243,16 @@ def payments(events: DataFrame) -> DataFrame:
     has = lambda n: F.array_contains("defects", n)
     cents = F.round(F.col("value") * 100).cast("long")
     plain = F.concat((cents / 100).cast("long").cast("string"), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
-    amount = F.when(has("missing_null"), None).when(has("numeric_unparsable"), "abc").when(has("numeric_nan"), "NaN").when(has("clip_low"), "0,01").when(has("clip_high"), "5 000 000 000,00").otherwise(plain)
-    when = F.when(has("future_timestamp"), F.col("ts") + F.expr("interval 4 years")).otherwise(F.col("ts"))
+    amount = F.when(has("null_given"), None).when(has("no_number"), "abc").when(has("nan_text"), "NaN").when(has("below_training"), "0,01").when(has("above_training"), "5 000 000 000,00").otherwise(plain)
+    when = F.when(has("years_ahead"), F.col("ts") + F.expr("interval 4 years")).otherwise(F.col("ts"))
     rows = rows.select(
         F.format_string("G-%08d", key).alias("source_record_id"), "defects", F.format_string("%06d", F.col("user_id")).alias("client_ref"), F.lit("ALMATY").alias("branch_region"), F.date_format(when, "dd.MM.yyyy HH:mm").alias("operation_time"),
-        F.when(has("unknown_event_code"), "XYZ").otherwise("TRF").alias("op_code"), amount.alias("amount"), F.when(has("fx_foreign"), "840").otherwise("KZT").alias("currency"),
-        F.when(has("missing_key"), None).when(has("missing_placeholder"), "N/A").otherwise("IN").alias("direction"), F.format_string("KZ%012d", key).alias("counterparty_ref"), F.lit(1).alias("payload_version"), F.date_format(F.col("ts") + F.expr("interval 1 day"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("loaded_at"),
+        F.when(has("code_unknown"), "XYZ").otherwise("TRF").alias("op_code"), amount.alias("amount"), F.when(has("foreign_money"), "840").otherwise("KZT").alias("currency"),
+        F.when(has("key_left_out"), None).when(has("dash_or_na"), "N/A").otherwise("IN").alias("direction"), F.format_string("KZ%012d", key).alias("counterparty_ref"), F.lit(1).alias("payload_version"), F.date_format(F.col("ts") + F.expr("interval 1 day"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("loaded_at"),
     )
-    copies = rows.where(F.array_contains("defects", "dup_exact"))
-    refiled = rows.where(F.array_contains("defects", "dup_business")).withColumn("source_record_id", F.concat("source_record_id", F.lit("-b")))
-    changed = rows.where(F.array_contains("defects", "dup_conflicting")).withColumns({"amount": F.lit("1,00"), "payload_version": F.lit(2)})
+    copies = rows.where(F.array_contains("defects", "sent_twice"))
+    refiled = rows.where(F.array_contains("defects", "same_fact")).withColumn("source_record_id", F.concat("source_record_id", F.lit("-b")))
+    changed = rows.where(F.array_contains("defects", "two_versions")).withColumns({"amount": F.lit("1,00"), "payload_version": F.lit(2)})
     every = rows.unionByName(copies).unionByName(refiled).unionByName(changed)
     names = [c for c in every.columns if c != "defects"]
     # a null amount is written as null; a missing direction is a missing key

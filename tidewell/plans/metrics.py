@@ -101,6 +101,14 @@ class Tallies:
             if own:
                 self._add(buckets.clip_counts(df, own), [("numeric_clip_rate", None, F.sum(F.col("clipped_low") + F.col("clipped_high")))], [("bucket_values", None, F.sum("assigned"))])
 
+    def labelled(self, events: DataFrame, profiles: DataFrame, edges: dict[str, buckets.Edges]) -> None:
+        """Labels that are in no published domain, as edges and domains of two builds would make them."""
+        for df in (events, profiles):
+            own = [n for n in edges if n in df.columns]
+            outside = [F.count_if(F.col(n).isNotNull() & ~F.col(n).isin([*edges[n].domain(), "MISSING"])) for n in own]
+            if own:
+                self._add(df, [("bucket_domain_violation_rate", None, sum(outside[1:], outside[0]))], [])
+
     def report(self) -> DataFrame:
         """``metric, label, hits, denominator, total, rate, level`` of all rates."""
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -27,26 +26,62 @@ def canonical(doc) -> bytes:
     return json.dumps(doc, sort_keys=True, ensure_ascii=False, separators=(",", ":"), default=lambda x: format(x, "f") if isinstance(x, Decimal) else str(x)).encode()
 
 
-def read_dictionary(spark: SparkSession, path: str, policy: Policy) -> dict[str, dict[str, str]]:
-    """The identity dictionary: section (source.field) -> ref -> client id. Repeated keys, clients or bad ids are errors."""
+@dataclass(frozen=True)
+class Identity:
+    """The identity dictionary as a table ``section, ref, client_id`` (a section is source.field), named by its content."""
+
+    table: DataFrame
+    sections: tuple[str, ...]
+    sha256: str
+    rows: int
+
+    def document(self) -> dict:
+        return {"sections": list(self.sections), "rows": self.rows, "sha256": self.sha256}
+
+
+def _pairs_of(path: str, spark: SparkSession) -> DataFrame:
+    """``section, ref, client_id`` of a dictionary: JSON lines with these keys in a folder, or one document section -> ref -> client.
+
+    A document is read by a task and not by the driver; repeated keys stay repeated rows. Large dictionaries come as lines.
+    """
+    schema = "section string, ref string, client_id string"
+    if storage.exists(spark, path):
+        return spark.read.schema(schema).json(path)
 
-    def unique(pairs):
-        out = dict(pairs)
-        if len(out) != len(pairs):
-            raise PolicyError("a key of the identity dictionary repeats")
-        return out
+    def run(batches):
+        import json
 
-    text = spark.read.text(path, wholetext=True).first()[0]
-    table = json.loads(text, object_pairs_hook=unique)
+        import pyarrow as pa
+
+        for b in batches:
+            for text in b.column(0).to_pylist():
+                rows = [(name, *pair) for name, section in json.loads(text, object_pairs_hook=list) for pair in section or [(None, None)]]
+                for at in range(0, len(rows), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows[at : at + 100_000])], names=["section", "ref", "client_id"])
+
+    return spark.read.text(f"{path}.json", wholetext=True).mapInArrow(run, schema)
+
+
+def read_identity(spark: SparkSession, path: str, policy: Policy) -> Identity:
+    """The dictionary at ``path`` (a folder of JSON lines) or ``path``.json. Repeated keys, clients or bad ids are errors, found by aggregation."""
+    every = storage.stored(_pairs_of(path, spark))
+    table = every.where("ref is not null or client_id is not null")
+    have = tuple(sorted(r[0] for r in every.select("section").distinct().limit(10_000).collect()))
     want = {f"{c.name}.{c.client_field}" for c in policy.contracts.values() if c.client_field}
-    if set(table) != want:
-        raise PolicyError(f"the identity dictionary has sections {sorted(table)}, not {sorted(want)}")
-    for name, section in table.items():
-        if not all(section) or not all(re.fullmatch(policy.client_pattern, c) for c in section.values()):
-            raise PolicyError(f"{name}: an empty reference or a malformed client id")
-        if len(set(section.values())) != len(section):
-            raise PolicyError(f"{name}: a client has two references")
-    return table
+    if set(have) != want:
+        raise PolicyError(f"the identity dictionary has sections {list(have)}, not {sorted(want)}")
+    bad = F.count_if(F.coalesce(F.col("ref"), F.lit("")) == "") + F.count_if(~F.coalesce(F.col("client_id"), F.lit("")).rlike(policy.client_pattern))
+    if table.agg(bad).first()[0]:
+        raise PolicyError("an empty reference or a malformed client id")
+    for key, why in (("ref", "a key of the identity dictionary repeats"), ("client_id", "a client has two references")):
+        if not table.groupBy("section", key).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+            raise PolicyError(why)
+    return identified(table, have)
+
+
+def identified(table: DataFrame, sections: tuple[str, ...]) -> Identity:
+    """A dictionary with the digest of its rows, which no order or partitioning changes."""
+    return Identity(table, sections, *hashing.table_digest(table.select("section", "ref", "client_id")))
 
 
 @dataclass(frozen=True)
@@ -57,6 +92,7 @@ class Prepared:
     profiles: DataFrame
     rejects: DataFrame
     tallies: metrics.Tallies
+    steps: dict[str, dict[str, DataFrame]] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -64,7 +100,7 @@ class Artifacts:
     """Frozen state: policy, identity, edges; its hash names the build."""
 
     policy: Policy
-    identity: dict[str, dict[str, str]]
+    identity: Identity | dict[str, dict[str, str]]
     edges: dict[str, buckets.Edges]
     delta: buckets.Edges
     extra: dict = field(default_factory=dict)
@@ -79,12 +115,15 @@ class Artifacts:
         return hashlib.sha256(canonical(self.document())).hexdigest()
 
 
-def _dictionary_frame(spark: SparkSession, table: dict[str, dict[str, str]]) -> DataFrame:
+def _dictionary_frame(spark: SparkSession, table: Identity | dict[str, dict[str, str]]) -> DataFrame:
+    """``source, ref, client_id``; a small dictionary may be given as it is."""
+    if isinstance(table, Identity):
+        return table.table.select(F.substring_index("section", ".", 1).alias("source"), "ref", "client_id")
     rows = [(name.split(".")[0], ref, client) for name, section in table.items() for ref, client in section.items()]
     return spark.createDataFrame(rows, "source string, ref string, client_id string")
 
 
-def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str, dict[str, str]]) -> Prepared:
+def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: Identity | dict[str, dict[str, str]]) -> Prepared:
     """Read, check, resolve, time, cut, deduplicate, type, sessionize, project and normalise all sources under ``root``."""
     jsonl.check_layout(spark, root, policy.contracts)
     ids = _dictionary_frame(spark, dictionary)
@@ -95,11 +134,13 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
         detail = F.array_join("details", ",") if "details" in bad.columns else F.lit(None).cast("string")
         rejected.append(bad.withColumn("source_name", F.lit(source)).select(F.col("source_name").alias("source"), "source_record_id", "partition", "line_number", "reason", detail.alias("detail")))
 
+    steps: dict[str, dict[str, DataFrame]] = {}
     identified: dict[str, DataFrame] = {}
     for name, c in policy.contracts.items():
         # each source is read and checked once; all that follows starts from this table
         checked = storage.stored(jsonl.checked(jsonl.read_lines(spark, root, name), c))
         tallies.rows(checked, name)
+        steps[name] = {"read": checked}
         good, bad = jsonl.divided(checked)
         out(bad, name)
         # a contract's own column may be called source, as the plan's is: the declared one is kept under another name
@@ -127,13 +168,16 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
         good, bad = timestamps.normalize(identified[name], c.time_field, c.time_kind, **kw)
         out(bad, name)
         tallies.times(identified[name], good, name)
+        steps[name]["timed"] = good
         good = timestamps.up_to(good, policy.cutoff).withColumn("source_priority", F.lit(c.priority))
+        steps[name]["within"] = good
         tallies.copies(good, name)
         good, bad = dedup.exact(good, ["source_record_id"], jsonl.signature(c), ["partition", "line_number"], c.version_field)
         out(bad, name)
+        steps[name]["single"] = good
         if policy.fingerprints[name]:
             good = dedup.business(good.withColumn("source", F.lit(name)), list(policy.fingerprints[name]))
-        timed[name] = storage.stored(good)
+        timed[name] = steps[name]["facts"] = storage.stored(good)
 
     base = ["client_id", "source", "source_record_id", "source_priority", "ts", "calendar_zone", "zone_fallback", "is_late", "event_type"]
     typed: list[DataFrame] = []
@@ -177,7 +221,7 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: dict[str
     rejects = rejected[0]
     for r in rejected[1:]:
         rejects = rejects.unionByName(r)
-    return Prepared(wide, prof, rejects, tallies)
+    return Prepared(wide, prof, rejects, tallies, steps)
 
 
 def _normalised(rows: DataFrame, model: dict[str, Field], policy: Policy, keep: list[str]) -> DataFrame:
@@ -233,7 +277,7 @@ def build(spark: SparkSession, root: str, policy: Policy = DEFAULT) -> Artifacts
 
 def fit(spark: SparkSession, root: str, policy: Policy) -> Artifacts:
     check(policy)
-    dictionary = read_dictionary(spark, f"{root}/_meta/identity_mapping.json", policy)
+    dictionary = read_identity(spark, f"{root}/_meta/identity_mapping", policy)
     p = prepare(spark, root, policy, dictionary)
     edges = buckets.fit(_values(p, policy), policy.bucket_fields(), policy.sample_size, policy.seed)
     d = timeline.deltas(timeline.order_timeline(p.events)).select(F.lit("delta").alias("field"), F.col("event_id").alias("key"), F.col("delta_seconds").cast("decimal(38,8)").alias("value"))
@@ -260,18 +304,19 @@ def encode(spark: SparkSession, root: str, artifacts: Artifacts, expected_sha256
     # read by the contract's checks, the outputs and the report: each is made once
     rejects = storage.stored(p.rejects)
     events = storage.stored(timeline.calendar(timeline.order_timeline(_bucketed(p.events, artifacts))))
-    checks.require(contract(events, _bucketed(p.profiles, artifacts), artifacts))
+    labels = _bucketed(p.profiles, artifacts)
+    checks.require(contract(events, labels, artifacts))
     lists = {n for s in [*policy.sections.values(), policy.profile] for n, f in s.items() if f.multivalue}
     sections = {t: [n for n, f in model.items() if f.vocabulary != "excluded"] for t, model in policy.sections.items()}
     shown = F.lit(None).cast("string")
     for t, names in sections.items():
         shown = F.when(F.col("event_type") == t, _document(sorted(names), lists)).otherwise(shown)
     out = events.select("client_id", "event_id", "event_type", "ts", "calendar_zone", "ordering_key", "position", shown.alias("fields"), "hour_of_day_local", "day_of_week_local", "lifetime_first")
-    prof = _bucketed(p.profiles, artifacts)
-    prof = prof.select("client_id", F.col("profile_ts"), _document(sorted(policy.profile), lists).alias("fields"))
+    prof = labels.select("client_id", F.col("profile_ts"), _document(sorted(policy.profile), lists).alias("fields"))
     letters = checks.quarantine(rejects, ["partition", "line_number"], "detail")
     p.tallies.prepared(p.events, p.profiles, rejects, policy)
     p.tallies.bucketed(p.events, p.profiles, artifacts.edges)
+    p.tallies.labelled(events, labels, artifacts.edges)
     return Encoded(out, prof, letters, storage.stored(p.tallies.report().coalesce(1)))
 
 
