@@ -197,6 +197,26 @@ def folds(whole: DataFrame, bands: Bands) -> DataFrame:
     return whole.mapInArrow(run, "node long, n long, own binary, low binary")
 
 
+def near_sketches(pairs: DataFrame, told: DataFrame, bands: Bands) -> DataFrame:
+    """``block, a, b, ra, rb`` of the pairs whose sizes and sketches do not speak against them: no set of another pair has to travel."""
+
+    def near(na, own_a, low_a, nb, own_b, low_b) -> bool:
+        one, two = bands.of(na), bands.of(nb)
+        x, y = (own_a if one <= two else low_a), (own_b if two <= one else low_b)
+        if abs(one - two) > 1 or x is None or y is None or min(na, nb) * bands.den < max(na, nb) * bands.num:
+            return False
+        return int(np.bitwise_count(np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64)).sum()) <= bands.apart(na, nb)
+
+    def run(batches):
+        for b in slices(batches, 4096):
+            ok = [near(*r) for r in zip(*(b.column(i).to_pylist() for i in range(5, 11)))]
+            yield pa.RecordBatch.from_arrays(b.columns[:5], names=b.schema.names[:5]).filter(pa.array(ok, pa.bool_()))
+
+    a, b = told.toDF("a", "na", "own_a", "low_a"), told.toDF("b", "nb", "own_b", "low_b")
+    rows = pairs.join(a, "a").join(b, "b").select("block", "a", "b", "ra", "rb", "na", "own_a", "low_a", "nb", "own_b", "low_b")
+    return rows.mapInArrow(run, "block long, a long, b long, ra long, rb long")
+
+
 def open_pairs(shared: DataFrame, roots: DataFrame, told: DataFrame, bands: Bands) -> DataFrame:
     """``block, a, b, ra, rb``: all pairs of sets of different classes that share a key and whose sketches are near enough, each once."""
     rows = shared.select("key", "node", "ask", "many").join(roots, "node")
@@ -319,9 +339,10 @@ def similar_roots(rows: DataFrame, texts: DataFrame, bands: Bands, shingle: int)
         wide = components(confirmed(materialize(pairs), whole, bands)).toDF("root", "wide")
         return materialize(root.join(wide, "root", "left").select("node", F.coalesce("wide", "root").alias("root")))
 
-    root = grown(root, star_pairs(shared))
-    root = grown(root, far_pairs(shared, root))
-    return grown(root, open_pairs(shared, root, materialize(folds(whole, bands)), bands))
+    told = materialize(folds(whole, bands))
+    root = grown(root, near_sketches(star_pairs(shared), told, bands))
+    root = grown(root, near_sketches(far_pairs(shared, root), told, bands))
+    return grown(root, open_pairs(shared, root, told, bands))
 
 
 def classes(docs: DataFrame, similarity: tuple[int, int] = (90, 100), shingle: int = 3) -> DataFrame:
