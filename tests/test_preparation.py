@@ -401,3 +401,19 @@ def test_the_ledger_has_a_fate_for_every_line(spark, root, encoded):
     assert {ids[r.event_id] for r in fates["action"]} == {"APP_SESSION"} and all(ids[r.event_id] != "APP_SESSION" for r in fates["event"])
     lines = {f"{r.partition}#{r.line_number}": r for r in rows if r.source == "core_payments"}
     assert fates["version"] and fates["same_fact"] and all(lines[r.superseded_by].fate in ("event", "same_fact") for r in fates["version"] + fates["same_fact"] if r.source == "core_payments")
+
+
+def test_golden_bytes_name_the_first_byte(spark, encoded, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tidewell.plans import golden
+
+    raw = encoded["raw"]
+    roots = golden.freeze_bytes(raw, f"file://{tmp_path}/g", 4)
+    assert set(roots) == {"prepared_events", "prepared_profile"} and golden.byte_differences(raw, f"file://{tmp_path}/g", 4) == {}
+    with pytest.raises(golden.GoldenMismatch, match="already"):
+        golden.freeze_bytes(raw, f"file://{tmp_path}/g", 4)
+    last = max(encoded["events"].values(), key=lambda r: (r.client_id, r.position))
+    changed = replace(raw, events=raw.events.withColumn("event_type", F.when(F.col("event_id") == last.event_id, "X").otherwise(F.col("event_type"))))
+    (d,) = golden.byte_differences(changed, f"file://{tmp_path}/g", 4).values()
+    assert d.line == len(encoded["events"]) - 1 and d.block == d.line // 4 and d.want[: d.byte] == d.got[: d.byte] and d.want[d.byte] != d.got[d.byte]

@@ -94,9 +94,10 @@ def divided(rows: DataFrame, client: str, most: int = HEAVY) -> tuple[DataFrame,
 
     Rows are counted a client, before the shuffle where they are.
     """
-    heavy = stored(rows.groupBy(F.col(client).alias("__c")).agg(F.count("*").alias("__n")).where(F.col("__n") > most).select("__c").coalesce(1))
+    heavy = rows.groupBy(F.col(client).alias("__c")).agg(F.count("*").alias("__n")).where(F.col("__n") > most).select("__c")
     if heavy.isEmpty():
         return rows, None
+    heavy = stored(heavy.coalesce(1))
     same = F.col(client).eqNullSafe(F.col("__c"))
     few = F.broadcast(heavy)  # fewer than all rows divided by ``most``
     return rows.join(few, same, "left_anti"), rows.join(few, same, "left_semi")

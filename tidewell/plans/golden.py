@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import blocks
 from ..operators.checks import first_difference
 from ..sources import storage
 from .documents import bucket_domains, canonical, code_state
@@ -65,3 +66,29 @@ def compare(spark: SparkSession, encoded, artifacts, path: str) -> None:
     found = differences(spark, encoded, artifacts, path)
     if found:
         raise GoldenMismatch("; ".join(f"{k}: {v}" for k, v in sorted(found.items())))
+
+
+def texts(encoded, block: int = blocks.BLOCK) -> dict[str, blocks.Text]:
+    """The outputs as the lines that files have, in order of client and position, with their hash trees."""
+    events, prof = storage.event_lines(encoded.events), storage.profile_lines(encoded.profiles)
+    shown = F.to_json(F.struct(*[c for c in events.columns if c != "position"]))
+    return {"prepared_events": blocks.text(events, KEYS["prepared_events"], shown, block), "prepared_profile": blocks.text(prof, KEYS["prepared_profile"], F.to_json(F.struct(*prof.columns)), block)}
+
+
+def freeze_bytes(encoded, path: str, block: int = blocks.BLOCK) -> dict[str, str | None]:
+    """Write the lines and trees of both outputs; returns their root hashes. An existing result is not overwritten."""
+    spark = encoded.events.sparkSession
+    out = {}
+    for name, t in texts(encoded, block).items():
+        if storage.exists(spark, f"{path}/{name}"):
+            raise GoldenMismatch(f"{path}/{name} holds a frozen result already")
+        blocks.freeze(t, f"{path}/{name}")
+        out[name] = t.root()
+    return out
+
+
+def byte_differences(encoded, path: str, block: int = blocks.BLOCK) -> dict[str, blocks.Difference]:
+    """Output -> block, line and byte of its first difference from the frozen one; nothing for equal ones."""
+    spark = encoded.events.sparkSession
+    found = {name: blocks.first_difference(t, blocks.frozen(spark, f"{path}/{name}", block)) for name, t in texts(encoded, block).items()}
+    return {n: d for n, d in found.items() if d}

@@ -66,15 +66,16 @@ def read_identity(spark: SparkSession, path: str, policy: Policy) -> Identity:
     """The dictionary at ``path`` (a folder of JSON lines) or ``path``.json. Repeated keys, clients or bad ids are errors, found by aggregation."""
     every = storage.stored(_pairs_of(path, spark))
     table = every.where("ref is not null or client_id is not null")
-    have = tuple(sorted(r[0] for r in every.select("section").distinct().limit(10_000).collect()))
+    wrong = F.count_if(F.coalesce(F.col("ref"), F.lit("")) == "") + F.count_if(~F.coalesce(F.col("client_id"), F.lit("")).rlike(policy.client_pattern))
+    real = F.col("ref").isNotNull() | F.col("client_id").isNotNull()
+    told = every.groupBy("section").agg(F.count_if(real).alias("n"), F.count_distinct("ref").alias("refs"), F.count_distinct("client_id").alias("clients"), (wrong - F.count_if(~real) * 2).alias("wrong"))
+    found = told.limit(10_000).collect()  # a row a section
+    have = tuple(sorted(r["section"] for r in found))
     want = {f"{c.name}.{c.client_field}" for c in policy.contracts.values() if c.client_field}
     if set(have) != want:
         raise PolicyError(f"the identity dictionary has sections {list(have)}, not {sorted(want)}")
-    bad = F.count_if(F.coalesce(F.col("ref"), F.lit("")) == "") + F.count_if(~F.coalesce(F.col("client_id"), F.lit("")).rlike(policy.client_pattern))
-    if table.agg(bad).first()[0]:
-        raise PolicyError("an empty reference or a malformed client id")
-    for key, why in (("ref", "a key of the identity dictionary repeats"), ("client_id", "a client has two references")):
-        if not table.groupBy("section", key).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+    for bad, why in ((any(r["wrong"] for r in found), "an empty reference or a malformed client id"), (any(r["refs"] < r["n"] for r in found), "a key of the identity dictionary repeats"), (any(r["clients"] < r["n"] for r in found), "a client has two references")):
+        if bad:
             raise PolicyError(why)
     return identified(table, have)
 
@@ -136,9 +137,10 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: Identity
 
     steps: dict[str, dict[str, DataFrame]] = {}
     identified: dict[str, DataFrame] = {}
+    # each source is read and checked once; all that follows starts from these tables
+    sources = storage.together({n: lambda n=n, c=c: storage.stored(jsonl.checked(jsonl.read_lines(spark, root, n), c)) for n, c in policy.contracts.items()})
     for name, c in policy.contracts.items():
-        # each source is read and checked once; all that follows starts from this table
-        checked = storage.stored(jsonl.checked(jsonl.read_lines(spark, root, name), c))
+        checked = sources[name]
         tallies.rows(checked, name)
         steps[name] = {"read": checked}
         good, bad = jsonl.divided(checked)
@@ -177,7 +179,10 @@ def prepare(spark: SparkSession, root: str, policy: Policy, dictionary: Identity
         steps[name]["single"] = good
         if policy.fingerprints[name]:
             good = dedup.business(good.withColumn("source", F.lit(name)), list(policy.fingerprints[name]))
-        timed[name] = steps[name]["facts"] = storage.stored(good)
+        timed[name] = good
+    timed = storage.together({n: lambda d=d: storage.stored(d) for n, d in timed.items()})
+    for name, d in timed.items():
+        steps[name]["facts"] = d
 
     base = ["client_id", "source", "source_record_id", "source_priority", "ts", "calendar_zone", "zone_fallback", "is_late", "event_type"]
     typed: list[DataFrame] = []
@@ -279,10 +284,12 @@ def fit(spark: SparkSession, root: str, policy: Policy) -> Artifacts:
     check(policy)
     dictionary = read_identity(spark, f"{root}/_meta/identity_mapping", policy)
     p = prepare(spark, root, policy, dictionary)
-    edges = buckets.fit(_values(p, policy), policy.bucket_fields(), policy.sample_size, policy.seed)
     d = timeline.deltas(timeline.order_timeline(p.events)).select(F.lit("delta").alias("field"), F.col("event_id").alias("key"), F.col("delta_seconds").cast("decimal(38,8)").alias("value"))
-    delta = buckets.fit(d, {"delta": ("quantile", policy.delta_buckets)}, policy.sample_size, policy.seed)["delta"]
-    return Artifacts(policy, dictionary, edges, delta)
+    made = storage.together({
+        "fields": lambda: buckets.fit(_values(p, policy), policy.bucket_fields(), policy.sample_size, policy.seed),
+        "delta": lambda: buckets.fit(d, {"delta": ("quantile", policy.delta_buckets)}, policy.sample_size, policy.seed)["delta"],
+    })
+    return Artifacts(policy, dictionary, made["fields"], made["delta"])
 
 
 @dataclass(frozen=True)
@@ -302,8 +309,9 @@ def encode(spark: SparkSession, root: str, artifacts: Artifacts, expected_sha256
     policy = check(artifacts.policy)
     p = prepare(spark, root, policy, artifacts.identity)
     # read by the contract's checks, the outputs and the report: each is made once
-    rejects = storage.stored(p.rejects)
-    events = storage.stored(timeline.calendar(timeline.order_timeline(_bucketed(p.events, artifacts))))
+    ordered = timeline.calendar(timeline.order_timeline(_bucketed(p.events, artifacts)))
+    made = storage.together({"rejects": lambda: storage.stored(p.rejects), "events": lambda: storage.stored(ordered)})
+    rejects, events = made["rejects"], made["events"]
     labels = _bucketed(p.profiles, artifacts)
     checks.require(contract(events, labels, artifacts))
     lists = {n for s in [*policy.sections.values(), policy.profile] for n, f in s.items() if f.multivalue}

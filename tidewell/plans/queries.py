@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, numbers, times
-from ..operators import buckets, checks, dedup, fields, fx, identity, profiles, sessions, timeline, timestamps, tokens
+from ..operators import blocks, buckets, checks, dedup, fields, fx, identity, profiles, sessions, timeline, timestamps, tokens
 from ..sources import jsonl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -580,6 +580,19 @@ def o26_golden_compare(spark, sf_dir):
     return checks.differences(got, want)
 
 
+@query("""
+WITH l AS (SELECT row_number() OVER (ORDER BY user_id, event_id) - 1 AS no, user_id || '|' || event_id || '|' || event_type || '|' || props AS line FROM events),
+a AS (SELECT no // 1000 AS no, sha256(string_agg(sha256(line), '' ORDER BY no)) AS sha256 FROM l GROUP BY no // 1000),
+b AS (SELECT no // 1000 AS no, sha256(string_agg(sha256, '' ORDER BY no)) AS sha256 FROM a GROUP BY no // 1000),
+c AS (SELECT no // 1000 AS no, sha256(string_agg(sha256, '' ORDER BY no)) AS sha256 FROM b GROUP BY no // 1000)
+SELECT 1 AS level, no::BIGINT AS no, sha256 FROM a UNION ALL SELECT 2, no::BIGINT, sha256 FROM b WHERE (SELECT count(*) FROM a) > 1 UNION ALL SELECT 3, no::BIGINT, sha256 FROM c WHERE (SELECT count(*) FROM b) > 1
+""")
+def o26_golden_bytes(spark, sf_dir):
+    """The hash tree over the events as lines in order: what a byte-exact golden result keeps."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "props")
+    return blocks.text(e, ["user_id", "event_id"], F.concat_ws("|", F.col("user_id").cast("string"), F.col("event_id").cast("string"), "event_type", "props")).tree
+
+
 @query(f"""
 SELECT 'read' AS stage, user_id AS client, count(*)::BIGINT AS n FROM events WHERE user_id IN (3, 5) GROUP BY ALL
 UNION ALL SELECT 'cutoff', user_id, count(*) FROM events WHERE user_id IN (3, 5) AND ts <= TIMESTAMP '{CUT}' GROUP BY ALL

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(makers: dict) -> dict:
+    """Name -> what its function gives, all of them run side by side: small jobs of independent tables need not wait for each other.
+
+    The threads carry the caller's job group; the first error is raised once all have ended.
+    """
+    own = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max(1, len(makers))) as pool:
+        running = {n: pool.submit(own(f)) for n, f in makers.items()}
+    return {n: r.result() for n, r in running.items()}
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small document in one file, through Hadoop's file system, so any store will do."""
     jvm = spark._jvm
