@@ -186,18 +186,16 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """All columns of ``docs`` (it must have ``text``) and ``fp`` long, the fingerprint's 64 bits."""
+    """All columns of ``docs`` but ``text``, which it must have, and ``fp`` long, the fingerprint's 64 bits."""
 
     def run(batches):
         for b in slices(batches):
             texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t or b"", shingle) for t in texts], np.uint64).view(np.int64)
-            keep = [i for i, n in enumerate(b.schema.names) if n != "text" or keep_text]
+            keep = [i for i, n in enumerate(b.schema.names) if n != "text"]
             yield pa.RecordBatch.from_arrays([b.column(i) for i in keep] + [pa.array(fps)], names=[b.schema.names[i] for i in keep] + ["fp"])
 
-    keep_text = "keep_text" in docs.columns
-    kept = [c for c in docs.columns if c != "text" or keep_text]
-    schema = docs.select(*kept).schema.add("fp", "long")
+    schema = docs.drop("text").schema.add("fp", "long")
     return docs.mapInArrow(run, schema)
 
 
@@ -489,7 +487,10 @@ def similar_classes(fps: DataFrame, texts: DataFrame, most: int, similarity: flo
     rep = materialize(nodes.groupBy("fp").agg(F.min("node").alias("rep")))
     far = links(rep.select("fp"), most).join(rep.toDF("a", "x"), "a").join(rep.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
     equal = nodes.select("node", "fp").join(rep, "fp").where("node != rep").select(F.col("rep").alias("a"), F.col("node").alias("b"))
-    met = materialize(far.unionByName(equal)).withColumns({"block": F.xxhash64("a", F.pmod(F.xxhash64("b"), F.lit(256))), "ra": F.col("a"), "rb": F.col("b")})
+    met = materialize(far.unionByName(equal))
+    # blocks of about STAR pairs, as many as a node's pairs need
+    room = F.greatest(F.lit(1), F.ceil(F.col("many") / STAR))
+    met = met.join(met.groupBy("a").agg(F.count("*").alias("many")), "a").withColumns({"block": F.xxhash64("a", F.pmod(F.xxhash64("b"), room)), "ra": F.col("a"), "rb": F.col("b")}).drop("many")
     asked = shared.select("node").unionByName(met.select(F.col("a").alias("node"))).unionByName(met.select(F.col("b").alias("node"))).distinct()
     sets = shingle_sets(nodes, asked, texts)
 
