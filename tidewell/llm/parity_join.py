@@ -40,8 +40,8 @@ PART = 1024
 STAR, BLOCK = 64, 64
 #: Words that a key takes by the number of tokens that may differ, one beyond (sets of under some 50 tokens).
 WORDS = {1: 4, 2: 3, 3: 2, 4: 2}
-#: Rows of one or two numbers that are sent to all tasks at most (some 150 MB); more are joined by a shuffle.
-SHARED = 4_000_000
+#: Rows of one or two numbers that are sent to all tasks at most (some 200 MB as hash tables); more are joined by a shuffle.
+SHARED = 2_000_000
 
 
 class Bands:
