@@ -62,7 +62,12 @@ def limited(slots: list[Slot], most: int = EVENT_LIMIT, head: str = "[EVT]") ->
     least important first. A key never stays without a value, a required field
     is never cut. An event whose required fields do not fit is an error.
     """
-    values = {s.name: _values(s.name, F.col(s.name), s.multivalue) for s in slots}
+    # bound once: every cut below asks for the values again
+    given = F.struct(*[_values(s.name, F.col(s.name), s.multivalue).alias(f"v{i}") for i, s in enumerate(slots)])
+    return F.transform(F.array(given), lambda v: _cut({s.name: v[f"v{i}"] for i, s in enumerate(slots)}, slots, most, head))[0]
+
+
+def _cut(values: dict[str, Column], slots: list[Slot], most: int, head: str) -> Column:
     size = {s.name: F.size(values[s.name]) if s.multivalue else F.lit(1) for s in slots}
     zero = F.lit(0)
     over = F.lit(1 + len(slots) - most) + sum(size.values(), zero)
