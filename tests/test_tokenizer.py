@@ -9,7 +9,6 @@ from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidewell.functions import hashing
 from tidewell.operators import tokens

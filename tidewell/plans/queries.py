@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import hashing, numbers, times
+from ..functions import hashing, times
 from ..operators import blocks, buckets, checks, dedup, fields, fx, identity, profiles, sessions, timeline, timestamps, tokens
 from ..sources import jsonl
 
