@@ -141,3 +141,9 @@ def test_the_query_against_sql(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert sorted(con.execute(queries.ORACLES["op13_jaccard_join"]).fetchall(), key=str) == brute(rows) == result(queries.op13_jaccard_join(spark, str(tmp_path)))
+
+
+def test_joins_without_broadcasts_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "SHARED", 0)
+    rows = rows_of(random.Random(31))[:200]
+    assert result(parity_join.classes(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
