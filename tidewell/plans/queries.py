@@ -981,21 +981,22 @@ def s02_stream_timeline(spark, sf_dir):
     last = rows.agg(F.max("ts").alias("ts")).select(*[F.expr("ts + interval 30 days").alias("ts") if c == "ts" else (F.lit("~") if t == "string" and c == "client_id" else F.lit("END") if c in ("source_record_id", "event_type") else F.lit(None)).cast(t).alias(c) for c, t in rows.dtypes])
     last = last.withColumns({"source": F.lit("app"), "source_priority": F.lit(10), "version": F.lit(1).cast("long")})
     shown = lambda d: d.select(*[F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("at") if c == "ts" else F.col(c) for c in streamed.INPUT[:-1]], F.to_json(F.struct("value")).alias("payload"))
-    # a stream takes files by the time they were written: parts by time of the record, one after the other
+    # parts by time of the record come one after the other; the stream stops after each and goes on from its state
     edges = [r[0] for r in rows.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), [0.25, 0.5, 0.75]).alias("q")).selectExpr("explode(q)").collect()]
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     part = sum((F.when(micros > x, 1).otherwise(0) for x in edges), F.lit(0))
     folders = [shown(rows.where(part == i)) for i in range(4)] + [shown(last)]
-    for i, d in enumerate(folders):
-        d.coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(folders[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    folders[0].limit(0).write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(folders[0].schema).parquet(f"{path}/in")
     stream = stream.withColumn("ts", F.to_timestamp("at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSX"))
     out = streamed.timelines(stream, "1 hour", ["signup"], GAP, remember_seconds=10**9)
 
     def keep(batch: DataFrame, _: int) -> None:
         batch.write.mode("append").parquet(f"{path}/rows")
 
-    streamed.run(out, path, keep)
+    for d in folders:
+        d.write.mode("append").parquet(f"{path}/in")
+        streamed.run(out, path, keep)
     got = spark.read.schema(out.schema).parquet(f"{path}/rows").where("client_id != '~'")
     return got.select("client_id", F.col("source_record_id").alias("record"), "event_type", F.when(F.col("event_type") != "APP_SESSION", F.get_json_object("payload", "$.value").cast("double")).alias("value"), "position", "delta_seconds", "duration_seconds", "n_actions")
 
