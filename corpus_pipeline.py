@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm import decontam, line_dedup, mixing, simhash, toxicity
-from tidewell.llm.common import discard, mark, materialize, pick
+from tidewell.llm.common import discard, mark, materialize, pick, release
 
 
 def _as_documents(docs: DataFrame, out: DataFrame) -> DataFrame:
@@ -83,6 +83,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             since = mark()
             docs = materialize(stage(spark, docs, sf_dir))
             discard(spark, since, keep=1)  # what the stage wrote on its way
+            release(spark)
     finally:
         spark.conf.set(_BATCH, before)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,6 +7,7 @@ import re
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import data
 from tests.llm.test_operators import frame
@@ -166,3 +167,14 @@ def test_order_of_words_is_kept():
     assert re.sub(r"\d", "#", SHAPES[0]) == SHAPES[0]
     a, b = (decontam.read(pa.array([t]), decontam.Lexicon())[0] for t in ("one dog two", "two dog one"))
     assert a.kind.tolist() == b.kind.tolist() and a.value.tolist() != b.value.tolist()
+
+
+def test_filters_reach_the_driver_packed(spark):
+    """A few thousand windows take no megabytes of the driver, and the filter has a bit for each of them and no other."""
+    import numpy as np
+
+    hashes = spark.range(0, 4000, 1, 8).select(F.xxhash64("id").alias("h"))
+    assert sum(len(r.bits) for r in decontam.partial_filters(hashes).collect()) < 400_000
+    want = {(r.h % 2**64) >> (64 - decontam.FILTER_BITS) for r in hashes.collect()}
+    got = np.unpackbits(np.frombuffer(decontam.window_filter(hashes), np.uint8), bitorder="little")
+    assert len(got) == 1 << decontam.FILTER_BITS and set(np.flatnonzero(got).tolist()) == want

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 import sys
+import zlib
 from array import array
 from collections import Counter, defaultdict
 
@@ -37,7 +38,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcastable, discard, mark, materialize, pick, sized_slices
+from .common import broadcastable, discard, mark, materialize, pick, release, sized_slices
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -297,20 +298,24 @@ def document_windows(docs: DataFrame, id_type: str, short: list[tuple[int, int]]
     return docs.mapInArrow(run, f"doc_id {id_type}, key long, h long, pos int, values array<long>")
 
 
-def window_filter(hashes: DataFrame) -> bytes:
-    """A bit for each top-bits value that a benchmark window has; one fixed size, merged from partial ones."""
-    n = 1 << (FILTER_BITS - 3)
+def partial_filters(hashes: DataFrame) -> DataFrame:
+    """``bits``: a filter for each of at most eight parts of the hashes, packed, as few bits are set in each."""
 
     def run(batches):
         bits = np.zeros(1 << FILTER_BITS, bool)
         for b in batches:
             h = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             bits[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], names=["bits"])
+        yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(np.packbits(bits, bitorder="little"), 1)], pa.binary())], names=["bits"])
+
+    return hashes.select("h").coalesce(8).mapInArrow(run, "bits binary")
 
-    out = np.zeros(n, np.uint8)
-    for r in hashes.select("h").coalesce(8).mapInArrow(run, "bits binary").collect():
-        out |= np.frombuffer(r["bits"], np.uint8)
+
+def window_filter(hashes: DataFrame) -> bytes:
+    """A bit for each top-bits value that a benchmark window has; one fixed size, merged from partial ones."""
+    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+    for r in partial_filters(hashes).collect():
+        out |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
     return out.tobytes()
 
 
@@ -454,8 +459,10 @@ def _agreeing(docs: DataFrame, benchmark: DataFrame, cover: int, common: int | N
     bench = materialize(parts.join(reach, "class").withColumn("names_it", names_it).drop("at", "t0", "t1", "classes", "rarest"))
     short = sorted((r["sort"], r["size"]) for r in bench.where(F.col("size") < WINDOW).select("sort", "size").distinct().collect())  # at most three times the window's words
     mask = docs.sparkSession.sparkContext.broadcast(window_filter(bench))
+    release(docs.sparkSession)  # the driver's heap grew for the filters and would fill up while the documents are read
     texts = pick(docs, "doc_id", "text").withColumn("key", F.xxhash64("text"))
     found = materialize(document_windows(texts, kind_of(texts, "doc_id"), short, mask))
+    release(docs.sparkSession)
     window = [F.struct("pos", F.col("f").alias("first"), F.col("l").alias("last"), "slots", "names", "values").alias("w")]
     pair = ["doc_id", "key", "class", "item_id", "n_items", "item_words", "reach"]
 
@@ -516,6 +523,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, cover: int = COVER) ->
         found = found.unionByName(by_part.join(sizes, "part").join(own, known, "left").where("coalesce(n_own, 0) < n").select("doc_id", "key"))
     hits = materialize(found.select(F.col("doc_id").alias("hit_id"), F.col("key").alias("hit_key")).distinct())
     discard(docs.sparkSession, since, keep=1)
+    release(docs.sparkSession)
     hits = broadcastable(hits, 500_000)  # two longs a row; more are joined by shuffle
     same = flat[f"c{names.index('doc_id')}"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(f"c{names.index('text')}") == F.col("hit_key"))
     return flat.join(hits, same, "left_anti").toDF(*names)

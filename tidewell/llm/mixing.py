@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, broadcastable, materialize, pick
+from .common import WORD, broadcastable, materialize, pick, release
 
 #: Fractional part of the golden ratio, the step of the points (fixed value).
 PHI = 0.6180339887498949
@@ -117,7 +117,10 @@ def plan(docs: DataFrame, slot_words: int = 1024, seed: str = "mix", source: str
     by = materialize(by)
     sources = materialize(targets(by.drop("n_docs")).join(by.select(F.col("src").alias("s"), "n_docs"), F.col("src").eqNullSafe(F.col("s"))).drop("s"))
     rows = materialize(stream(base, sources))
-    slots = schedule(docs.sparkSession, sources, slot_words)
+    release(docs.sparkSession)
+    # stored: its broadcasts are not held together with those of what follows
+    slots = materialize(schedule(docs.sparkSession, sources, slot_words))
+    release(docs.sparkSession)
     facts = broadcastable(sources.select("no", "source_size", "quota"), MAX_BROADCAST_SOURCES)
     # a slot takes the words [rank * slot_words, + slot_words) of the source's endless stream, up to the quota;
     # where the stream ends inside a slot, its blocks are two
